@@ -6,12 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .bpe import op9_byte_bpe
+from .fingerprints import op8_one_permutation
 from .mixing import op5_curriculum
 from .sharding import op4_hash_tree
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_hash_tree": op4_hash_tree,
     "op5_curriculum": op5_curriculum,
+    "op8_one_permutation": op8_one_permutation,
+    "op9_byte_bpe": op9_byte_bpe,
 }
 
 ORACLE_SQL: dict[str, str] = {}
