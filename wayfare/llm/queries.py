@@ -10,12 +10,14 @@ from .bpe import op9_byte_bpe
 from .fingerprints import op8_one_permutation
 from .mixing import op5_curriculum
 from .sharding import op4_hash_tree
+from .substring import op10_count_min
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_hash_tree": op4_hash_tree,
     "op5_curriculum": op5_curriculum,
     "op8_one_permutation": op8_one_permutation,
     "op9_byte_bpe": op9_byte_bpe,
+    "op10_count_min": op10_count_min,
 }
 
 ORACLE_SQL: dict[str, str] = {}
