@@ -11,8 +11,10 @@ from .fingerprints import op8_one_permutation
 from .mixing import op5_curriculum
 from .sharding import op4_hash_tree
 from .substring import op10_count_min
+from .suffixes import op1_suffix_array
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_suffix_array": op1_suffix_array,
     "op4_hash_tree": op4_hash_tree,
     "op5_curriculum": op5_curriculum,
     "op8_one_permutation": op8_one_permutation,

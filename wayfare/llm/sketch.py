@@ -24,6 +24,12 @@ LOG_CELLS = 27
 ROWS = 2
 #: A row of the sketch is merged in chunks of this many cells.
 LOG_CHUNK = 20
+#: A key is heavy from so many occurrences on, among those that occur so often in a part;
+#: a part reports so many at most. This decides how work is split, never what is found.
+HEAVY = 1000
+HEAVY_IN_PART = 4
+HEAVY_KEPT = 1024
+HEAVY_BUCKETS = 256
 _SALTS = (np.uint64(0x51ED270B7A2F3C15), np.uint64(0x2545F4914F6CDD1D))
 
 
@@ -52,11 +58,37 @@ def _merge(parts: list[bytes]) -> bytes:
     return np.packbits(hits > 1).tobytes()
 
 
+def _heavy_part(keys: np.ndarray, n: np.ndarray) -> Iterator[tuple[int, bytes]]:
+    """The keys most frequent in a part, by bucket, with their counts."""
+    often = np.flatnonzero(n >= HEAVY_IN_PART)
+    often = often[np.argsort(-n[often], kind="stable")][:HEAVY_KEPT]
+    keys, n = keys[often], n[often].astype(np.uint64)
+    bucket = (keys % np.uint64(HEAVY_BUCKETS)).astype(np.int64)
+    for b in np.unique(bucket):
+        yield -1 - int(b), np.stack([keys[bucket == b], n[bucket == b]]).tobytes()
+
+
+def _merge_heavy(parts: list[bytes]) -> bytes:
+    keys, n = np.concatenate([np.frombuffer(p, np.uint64).reshape(2, -1) for p in parts], axis=1)
+    once, place = np.unique(keys, return_inverse=True)
+    totals = np.bincount(place, n.astype(np.float64))
+    often = np.flatnonzero(totals >= HEAVY)
+    return once[often[np.argsort(-totals[often], kind="stable")][: HEAVY_KEPT // 4]].tobytes()
+
+
 class Sketch:
-    """Merged sketch, as tasks get it: a bit array for each row."""
+    """Merged sketch, as tasks get it: a bit array for each row. heavy: sorted keys known
+    to occur more than HEAVY times, to be split by those who group by key; at most
+    HEAVY_BUCKETS * HEAVY_KEPT / 4 of them."""
+
+    def __init__(self, rows: list[np.ndarray], heavy: np.ndarray | None = None):
+        self.rows, self.heavy = rows, heavy if heavy is not None else np.zeros(0, np.uint64)
 
-    def __init__(self, rows: list[np.ndarray]):
-        self.rows = rows
+    def is_heavy(self, keys: np.ndarray) -> np.ndarray:
+        if not len(self.heavy):
+            return np.zeros(len(keys), bool)
+        at = np.minimum(np.searchsorted(self.heavy, keys), len(self.heavy) - 1)
+        return self.heavy[at] == keys
 
     def repeated(self, keys: np.ndarray) -> np.ndarray:
         """Which keys are estimated to occur more than once."""
@@ -67,7 +99,7 @@ class Sketch:
         return out
 
 
-def build(df: DataFrame, keys_of: Callable[[Iterator[pa.RecordBatch]], Iterator[np.ndarray]]) -> Sketch:
+def build(df: DataFrame, keys_of: Callable[[Iterator[pa.RecordBatch]], Iterator[np.ndarray]], heavy: bool = False) -> Sketch:
     """The sketch of all keys that keys_of finds in df's record batches. What reaches the
     driver is 2 ** LOG_CELLS / 8 bytes a row of the sketch, whatever the input."""
 
@@ -78,6 +110,8 @@ def build(df: DataFrame, keys_of: Callable[[Iterator[pa.RecordBatch]], Iterator[
             keys = np.concatenate(found)
             for row in range(ROWS):
                 parts = list(_parts(cells(keys, row), row))
+                if heavy and not row:
+                    parts += _heavy_part(*np.unique(keys, return_counts=True))
                 if parts:
                     yield pa.RecordBatch.from_arrays([pa.array([c for c, _ in parts], pa.int64()), pa.array([b for _, b in parts], pa.binary())], ["chunk", "part"])
 
@@ -92,14 +126,18 @@ def build(df: DataFrame, keys_of: Callable[[Iterator[pa.RecordBatch]], Iterator[
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            merged = [_merge(parts) for parts in batch.column(1).to_pylist()]
+            merged = [_merge(parts) if chunk >= 0 else _merge_heavy(parts) for chunk, parts in zip(*[c.to_pylist() for c in batch.columns], strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(merged, pa.binary())], ["chunk", "bits"])
 
     parts = df.mapInArrow(sketch, "chunk long, part binary")
     merged = parts.groupBy("chunk").agg(F.collect_list("part").alias("parts")).mapInArrow(merge, "chunk long, bits binary").toArrow()
     rows = [np.zeros(1 << (LOG_CELLS - 3), np.uint8) for _ in range(ROWS)]
     width = 1 << (LOG_CHUNK - 3)
+    often = [np.zeros(0, np.uint64)]
     for chunk, bits in zip(merged["chunk"].to_pylist(), merged["bits"], strict=True):
+        if chunk < 0:
+            often.append(np.frombuffer(bits.as_py(), np.uint64))
+            continue
         row, c = chunk >> 32, chunk & 0xFFFFFFFF
         rows[row][c * width : (c + 1) * width] = np.frombuffer(bits.as_buffer(), np.uint8)
-    return Sketch(rows)
+    return Sketch(rows, np.sort(np.concatenate(often)))

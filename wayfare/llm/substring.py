@@ -13,6 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -85,6 +86,14 @@ def runs(ids: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.nd
     return i[new], p[new], p[np.r_[np.flatnonzero(new)[1:] - 1, len(p) - 1]]
 
 
+def by_shard(sorted_shards: np.ndarray, order: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """(shard, entries) for each shard that has any."""
+    if len(order):
+        edges = np.r_[0, np.flatnonzero(np.diff(sorted_shards)) + 1, len(order)]
+        for a, b in zip(edges[:-1], edges[1:], strict=True):
+            yield int(sorted_shards[a]), order[a:b]
+
+
 _FOUND = "shard int, h1 binary, h2 binary, ids binary, at binary"
 
 
@@ -118,11 +127,8 @@ def repeated_runs(df: DataFrame, window: int = WINDOW, gram: int = GRAM) -> Data
             h1, h2, ids, at = h1[keep], h2[keep], ids[keep], at[keep]
             shard = (h1 >> np.uint64(33)).astype(np.int64) % shards
             order = np.argsort(shard, kind="stable")
-            edges = np.searchsorted(shard[order], np.arange(shards + 1))
-            for s in range(shards):
-                o = order[edges[s] : edges[s + 1]]
-                if len(o):
-                    out.append((s, h1[o].tobytes(), h2[o].tobytes(), ids[o].tobytes(), at[o].astype(np.int32).tobytes()))
+            for s, o in by_shard(shard[order], order):
+                out.append((s, h1[o].tobytes(), h2[o].tobytes(), ids[o].tobytes(), at[o].astype(np.int32).tobytes()))
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.int32(), *[pa.binary()] * 4), strict=True)], ["shard", "h1", "h2", "ids", "at"])
 
     def group(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -154,13 +160,21 @@ def with_runs(df: DataFrame, found: DataFrame) -> DataFrame:
     return rows.join(cuts, rows["_id"] == cuts["id"], "left").drop("_id", "id")
 
 
-def _covered(cuts: list[dict], n: int, length: int) -> np.ndarray:
-    """Which of n units are covered by spans of that length starting at first to last."""
-    edges = np.zeros(n + 1, np.int64)
-    for cut in cuts:
-        edges[min(cut["first"], n)] += 1
-        edges[min(cut["last"] + length, n)] -= 1
-    return np.cumsum(edges[:-1]) > 0
+class Cuts:
+    """The runs of each document of a record batch."""
+
+    def __init__(self, column: pa.Array):
+        lists = column.cast(pa.list_(column.type.value_type))
+        self.sizes = np.asarray(pa.compute.fill_null(pa.compute.list_value_length(lists), 0))
+        self.at = np.r_[0, np.cumsum(self.sizes)]
+        flat = lists.flatten()
+        self.first, self.last = (flat.field(k).to_numpy(zero_copy_only=False) for k in ("first", "last"))
+
+    def covered(self, i: int, n: int, length: int) -> np.ndarray:
+        """Which of n units are covered by spans of that length starting at first to last."""
+        a, b = self.at[i], self.at[i + 1]
+        edges = np.bincount(np.minimum(self.first[a:b], n), minlength=n + 1) - np.bincount(np.minimum(self.last[a:b] + length, n), minlength=n + 1)
+        return np.cumsum(edges[:n]) > 0
 
 
 def _kept(texts: Texts, i: int, spans: tuple[np.ndarray, np.ndarray, np.ndarray], gone: np.ndarray) -> bytes:
@@ -181,10 +195,11 @@ def dedup(df: DataFrame, window: int = WINDOW) -> DataFrame:
         for batch, texts in slices(batches, SLICE_BYTES):
             spans = word_spans(texts)
             new = batch.column(1).to_pylist()
-            for i, cuts in enumerate(batch.column(batch.schema.get_field_index("cuts")).to_pylist()):
-                if cuts and new[i] is not None:
+            cuts = Cuts(batch.column(batch.schema.get_field_index("cuts")))
+            for i in np.flatnonzero(cuts.sizes):
+                if new[i] is not None:
                     n = int(spans[2][i + 1] - spans[2][i])
-                    new[i] = _kept(texts, i, spans, _covered(cuts, n, window)).decode()
+                    new[i] = _kept(texts, i, spans, cuts.covered(i, n, window)).decode()
             columns = [pa.array(new, pa.string()) if k == 1 else c for k, c in enumerate(batch.columns)]
             names = batch.schema.names
             keep = [k for k, name in enumerate(names) if name != "cuts"]
@@ -203,13 +218,14 @@ def op10_count_min(spark: SparkSession, sf_dir: str) -> DataFrame:
         for batch, texts in slices(batches, SLICE_BYTES):
             spans = word_spans(texts)
             words, removed, kept = [], [], []
-            for i, cuts in enumerate(batch.column(2).to_pylist()):
+            cuts = Cuts(batch.column(2))
+            for i in range(len(texts.ids)):
                 n = int(spans[2][i + 1] - spans[2][i])
-                gone = _covered(cuts or [], n, WINDOW)
+                gone = cuts.covered(i, n, WINDOW)
                 words.append(n)
                 removed.append(int(gone.sum()))
                 # Where nothing goes, one call normalizes the text; bytes.split knows the same white space.
-                kept.append(hashlib.sha256(b" ".join(texts.of(i).split()) if not cuts else _kept(texts, i, spans, gone)).hexdigest())
+                kept.append(hashlib.sha256(b" ".join(texts.of(i).split()) if not cuts.sizes[i] else _kept(texts, i, spans, gone)).hexdigest())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(words, pa.int64()), pa.array(removed, pa.int64()), pa.array(kept)], ["doc_id", "n_words", "n_removed", "kept_sha256"])
 
     return held.mapInArrow(digest, "doc_id long, n_words long, n_removed long, kept_sha256 string")
