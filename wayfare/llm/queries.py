@@ -12,11 +12,13 @@ from .mixing import op5_curriculum
 from .sharding import op4_hash_tree
 from .substring import op10_count_min
 from .suffixes import op1_suffix_array
+from .toxicity import op7_crf
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_array": op1_suffix_array,
     "op4_hash_tree": op4_hash_tree,
     "op5_curriculum": op5_curriculum,
+    "op7_crf": op7_crf,
     "op8_one_permutation": op8_one_permutation,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_count_min": op10_count_min,
