@@ -82,16 +82,17 @@ def likeness(a: Column, b: Column, bins: int = BINS, bits: int = BITS) -> Column
     return F.when(a == b, 1.0).when((a == "") | (b == ""), 0.0).otherwise(unbiased)
 
 
-def with_next(df: DataFrame, key: str, ties: list[str], carried: dict[str, str]) -> DataFrame:
+def with_next(df: DataFrame, key: str, ties: list[str], carried: dict[str, str], keys: DataFrame | None = None) -> DataFrame:
     """df with columns of the next row in the order of descending key (nulls last, ties
     in the order of the columns named); after the last row comes the first. carried maps
-    columns to the names they get.
+    columns to the names they get. keys has the keys alone, where df is dear to compute.
 
     Rows go into blocks of successive keys. The first row of each block is also sent to
     the block before it, so that each block finds its successors by itself and no task
     holds the whole order. There are about 4 * sqrt(rows) blocks, whose first keys are
     the one table that is joined."""
-    stats = df.agg(F.count("*").alias("n"), F.min(key).alias("low"), F.max(key).alias("high")).first()
+    keys = df.select(key) if keys is None else keys
+    stats = keys.agg(F.count("*").alias("n"), F.min(key).alias("low"), F.max(key).alias("high")).first()
     low = stats["low"] if stats["low"] is not None else 0
     high = stats["high"] if stats["high"] is not None else 0
     blocks = sqrt_blocks(stats["n"], 4)
@@ -99,8 +100,9 @@ def with_next(df: DataFrame, key: str, ties: list[str], carried: dict[str, str])
     if stats["low"] is not None and low == NULL_BELOW:
         raise ValueError(f"{key} holds the value kept for null")
     order = F.coalesce(F.col(key), F.lit(max(low - 1, NULL_BELOW)))
-    rows = df.withColumn("_order", order).withColumn("_block", F.floor((F.col("_order") - F.lit(low - 1)) / F.lit(width)).cast("long"))
-    firsts = rows.groupBy("_block").agg(F.max("_order").alias("_order"))
+    block = F.floor((F.col("_order") - F.lit(low - 1)) / F.lit(width)).cast("long")
+    rows = df.withColumn("_order", order).withColumn("_block", block)
+    firsts = keys.select(order.alias("_order")).withColumn("_block", block).groupBy("_block").agg(F.max("_order").alias("_order"))
     down = Window.orderBy(F.col("_block").desc())
     firsts = firsts.withColumns({"_to": F.lag("_block").over(down), "_least": F.min("_block").over(Window.partitionBy())})
     firsts = firsts.select("_order", F.coalesce("_to", "_least").alias("_to"))
@@ -121,8 +123,8 @@ def op8_one_permutation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of all documents and of their edited texts. Null text: empty. Rows
     of one doc_id follow each other in the order of their texts."""
     docs = documents(spark, sf_dir).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    docs = add_fingerprint(docs, "text", "fingerprint")
-    rows = with_next(docs, "doc_id", ["text"], {"text": "_next", "fingerprint": "_next_fingerprint"})
+    printed = add_fingerprint(docs, "text", "fingerprint")
+    rows = with_next(printed, "doc_id", ["text"], {"text": "_next", "fingerprint": "_next_fingerprint"}, docs.select("doc_id"))
     n = F.char_length("text")
     half = F.floor(n / 2).cast("int")
     edited = F.concat(F.substring(F.col("text"), F.lit(1), n - half), F.substring(F.col("_next"), F.lit(1), half))
