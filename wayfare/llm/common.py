@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import uuid
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -30,20 +31,25 @@ def sqrt_blocks(n: int, factor: int = 1) -> int:
     return max(1, factor * math.isqrt(max(0, n - 1)) + 1)
 
 
-def cut(df: DataFrame, name: str) -> DataFrame:
-    """Write df to the folder named by spark.checkpoint.dir and read it back: later
-    uses don't recompute it and don't depend on an executor's local files. The folder
-    is set to a temporary one only where the session names none (tests)."""
-    spark = df.sparkSession
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that spark.checkpoint.dir names, which driver and executors share. A
+    temporary one is made only where the session names none (tests)."""
     context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
-        if folder is None:
-            import tempfile
-
-            folder = tempfile.mkdtemp(prefix="spark-checkpoint-")
-        context.setCheckpointDir(folder)
-    return df.checkpoint(eager=True)
+    folder = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
+    if not folder:
+        import tempfile
+
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="spark-checkpoint-"))
+        folder = context.getCheckpointDir()
+    return folder.rstrip("/")
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """df written as a table in the shared folder and read back: later uses do not compute
+    it again and need no file of an executor's own."""
+    path = f"{shared_folder(df.sparkSession)}/tables/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 class Texts(NamedTuple):

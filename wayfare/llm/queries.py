@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .bpe import op9_byte_bpe
 from .fingerprints import op8_one_permutation
+from .jaccard import op3_heavy_light
 from .mixing import op5_curriculum
 from .sharding import op4_hash_tree
 from .substring import op10_count_min
@@ -16,6 +17,7 @@ from .toxicity import op7_crf
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_array": op1_suffix_array,
+    "op3_heavy_light": op3_heavy_light,
     "op4_hash_tree": op4_hash_tree,
     "op5_curriculum": op5_curriculum,
     "op7_crf": op7_crf,
