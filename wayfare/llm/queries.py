@@ -13,13 +13,17 @@ from .mixing import op5_curriculum
 from .sharding import op4_hash_tree
 from .substring import op10_count_min
 from .suffixes import op1_suffix_array
+from .tiff import op2_tiff
 from .toxicity import op7_crf
+from .wordpiece import op6_longest_match
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_array": op1_suffix_array,
+    "op2_tiff": op2_tiff,
     "op3_heavy_light": op3_heavy_light,
     "op4_hash_tree": op4_hash_tree,
     "op5_curriculum": op5_curriculum,
+    "op6_longest_match": op6_longest_match,
     "op7_crf": op7_crf,
     "op8_one_permutation": op8_one_permutation,
     "op9_byte_bpe": op9_byte_bpe,
