@@ -8,6 +8,7 @@ source's stream, the time at which it is due. Sorting by that time merges the so
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -57,11 +58,12 @@ def source_targets(sizes: DataFrame, share: float = 1.5, cap: float = 2.0, weigh
 
 
 def mix(df: DataFrame, id_col: str = "doc_id", size_col: str = "size", share: float = 1.5, cap: float = 2.0) -> DataFrame:
-    """df (id, source, size) with source_size, target, taken and position, sorted by position.
+    """df (id, source, size) with source_size, target, taken, position and passes.
 
     A source's documents in hashed order, repeated from the start when they end, are
     its stream; the mix takes the first floor(target) words. taken is what it takes of
-    a document over all passes; position is when the first pass reaches it. A null
+    a document over all passes; position is when the first pass reaches it; passes has
+    the words and the position of each pass that takes any. A null
     source is a source of its own, named last. Documents without words take 0. Equal
     rows are ordered next to one another and each counts.
 
@@ -82,8 +84,11 @@ def mix(df: DataFrame, id_col: str = "doc_id", size_col: str = "size", share: fl
     placed = rows.withColumn("_end", F.sum(size_col).over(own)).join(offsets, ["_named", "_name", "_block"])
     at = F.col("_start") + F.col("_end") - size
     demand = F.floor("target")
-    passes = [F.least(F.greatest(demand - at - i * F.col("source_size"), F.lit(0)), size) for i in range(int(cap))]
-    placed = placed.withColumns({"first_pass": passes[0].cast("long"), "taken": sum(passes[1:], passes[0]).cast("long"), "position": due_time(at.cast("double"), F.col("target"), F.col("_first"), F.col("_last"))})
+    rounds = [at + i * F.col("source_size") for i in range(math.ceil(cap))]
+    takes = [F.least(F.greatest(demand - begin, F.lit(0)), size).cast("long") for begin in rounds]
+    due = [due_time(begin.cast("double"), F.col("target"), F.col("_first"), F.col("_last")) for begin in rounds]
+    passes = F.array(*[F.struct(words.alias("words"), when.alias("position")) for words, when in zip(takes, due, strict=True)])
+    placed = placed.withColumns({"taken": sum(takes[1:], takes[0]), "position": due[0], "passes": F.filter(passes, lambda p: p["words"] > 0)})
     return placed.drop("_named", "_name", "_block", "_key", "_start", "_end", "_first", "_last")
 
 
