@@ -106,13 +106,13 @@ def sampling_health(df: DataFrame, keys: Sequence[str], at: str) -> DataFrame:
 def hour_crosstab(df: DataFrame, vehicle: str, hour: Column) -> DataFrame:
     """Rows of each vehicle by hour, hours without rows as 0."""
     wide = df.withColumn("_hour", hour).groupBy(vehicle).pivot("_hour", list(range(24)))
-    out = wide.agg(F.count("*")).na.fill(0)
+    out = wide.agg(F.count(F.lit(1))).na.fill(0)
     return out.withColumnsRenamed({str(h): f"h{h:02d}" for h in range(24)})
 
 
 def ratio_of_cities(df: DataFrame, day: str, one: str, other: str) -> DataFrame:
     """Rows of two cities by day and their ratio."""
-    wide = df.groupBy(day).pivot("city", [one, other]).agg(F.count("*")).na.fill(0)
+    wide = df.groupBy(day).pivot("city", [one, other]).agg(F.count(F.lit(1))).na.fill(0)
     return wide.select(day, F.col(one).alias("n_one"), F.col(other).alias("n_other"), F.round(F.try_divide(F.col(one).cast("double"), F.col(other).cast("double")), 6).alias("ratio"))
 
 

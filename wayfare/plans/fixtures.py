@@ -49,7 +49,7 @@ def positions(spark: SparkSession, sf_dir: str) -> DataFrame:
         _city(F.col("user_id")).alias("city"),
         F.when(F.col("event_type") == "error", 2).otherwise(1).cast("byte").alias("duty_status"),
         F.when(i % 11 == 5, None).when(i % 11 == 4, 99).when(i % 11 < 4, i % 11).otherwise(0).cast("short").alias("bus_status"),
-        F.when(i % 97 == 0, None).when(i % 101 == 0, 30.0).otherwise(25.0 + (i * 7) % 600 * 0.000125).alias("lat"),
+        F.when(i % 97 == 0, None).when(i % 101 == 0, 30.0).otherwise(25.00003 + (i * 7) % 600 * 0.000125).alias("lat"),
         F.lit(121.5).alias("lon"),
         (i % 110).cast("short").alias("speed"),
         us.alias("us"),
@@ -67,7 +67,7 @@ POSITIONS = """positions AS (
          CASE WHEN user_id % 2 = 0 THEN 'Taipei' ELSE 'NewTaipei' END AS city,
          CAST(CASE WHEN event_type = 'error' THEN 2 ELSE 1 END AS TINYINT) AS duty_status,
          CAST(CASE WHEN event_id % 11 = 5 THEN NULL WHEN event_id % 11 = 4 THEN 99 WHEN event_id % 11 < 4 THEN event_id % 11 ELSE 0 END AS SMALLINT) AS bus_status,
-         CASE WHEN event_id % 97 = 0 THEN NULL WHEN event_id % 101 = 0 THEN 30.0::DOUBLE ELSE 25.0::DOUBLE + (event_id * 7) % 600 * 0.000125::DOUBLE END AS lat,
+         CASE WHEN event_id % 97 = 0 THEN NULL WHEN event_id % 101 = 0 THEN 30.0::DOUBLE ELSE 25.00003::DOUBLE + (event_id * 7) % 600 * 0.000125::DOUBLE END AS lat,
          121.5::DOUBLE AS lon, CAST(event_id % 110 AS SMALLINT) AS speed, us, us AS gps_us, us + event_id % 30 * 1000000 AS update_us,
          us // 600000000 * 600000000 AS snapshot_us, CAST(user_id % 12 AS INT) AS kafka_partition, event_id AS kafka_offset
   FROM (SELECT *, epoch_us(ts) // 60000000 * 1000000 AS us FROM events))"""
@@ -92,7 +92,7 @@ def stop_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stops of each route as arrays in the order of the sequence."""
     fields = {"stop_seqs": "seq", "station_ids": "station_id", "stop_names": "stop_name", "boardings": "boarding", "stop_lats": "lat", "stop_lons": "lon"}
     listed = stops(spark, sf_dir).groupBy("sub_route_uid", "direction", "version_id").agg(F.array_sort(F.collect_list(F.struct("idx", *fields.values()))).alias("s"))
-    return listed.select("sub_route_uid", "direction", "version_id", *[F.transform("s", lambda x, f=f: x[f]).alias(name) for name, f in fields.items()])
+    return listed.select("sub_route_uid", "direction", "version_id", *[F.col(f"s.{f}").alias(name) for name, f in fields.items()])
 
 
 def trip_steps(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -165,13 +165,13 @@ def station_routes_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("station_id", F.col("route_count").cast("long").alias("route_count"), F.col("unique_route_count").cast("long").alias("unique_route_count"), F.array_join("unique_routes", ",").alias("unique_routes"))
 
 
-@query("""SELECT a.k AS id_a, b.k AS id_b FROM (SELECT s_suppkey AS k, 25.0 + (s_suppkey * 37 % 1000) * 0.0001 AS lat, 121.5 + (s_suppkey * 53 % 1000) * 0.0001 AS lon FROM supplier) a
-    JOIN (SELECT s_suppkey AS k, 25.0 + (s_suppkey * 37 % 1000) * 0.0001 AS lat, 121.5 + (s_suppkey * 53 % 1000) * 0.0001 AS lon FROM supplier) b ON a.k < b.k
+@query("""SELECT a.k AS id_a, b.k AS id_b FROM (SELECT s_suppkey AS k, 25.0 + (s_suppkey * 37 % 1000) * 0.00002 AS lat, 121.5 + (s_suppkey * 53 % 1000) * 0.00002 AS lon FROM supplier) a
+    JOIN (SELECT s_suppkey AS k, 25.0 + (s_suppkey * 37 % 1000) * 0.00002 AS lat, 121.5 + (s_suppkey * 53 % 1000) * 0.00002 AS lon FROM supplier) b ON a.k < b.k
     WHERE 2 * 6371000.0 * asin(sqrt(pow(sin(radians(b.lat - a.lat) / 2), 2) + cos(radians(a.lat)) * cos(radians(b.lat)) * pow(sin(radians(b.lon - a.lon) / 2), 2))) BETWEEN 20 AND 400""")
 def opposite_stop_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pairs of stops within a band of distances, met by grid cell."""
     k = F.col("s_suppkey")
-    s = table(spark, sf_dir, "supplier").select(k.alias("id"), (25.0 + (k * 37 % 1000) * 0.0001).alias("lat"), (121.5 + (k * 53 % 1000) * 0.0001).alias("lon"))
+    s = table(spark, sf_dir, "supplier").select(k.alias("id"), (25.0 + (k * 37 % 1000) * 0.00002).alias("lat"), (121.5 + (k * 53 % 1000) * 0.00002).alias("lon"))
     return D.near_pairs(s, 20, 400, 0.004).select("id_a", "id_b")
 
 
