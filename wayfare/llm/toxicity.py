@@ -32,6 +32,8 @@ PREFIXES = (4, 6)
 LEAST_SHARE = 0.02
 LEAST_DOCS = 4
 SLICE_BYTES = 2 << 20
+#: Labels of 16 bytes each that may be broadcast.
+BROADCAST_LABELS = 2_000_000
 #: Tokens that one step of the chain's recursion spans for all blocks at once.
 BLOCK = 64
 
@@ -181,37 +183,53 @@ def _texts(table: pa.Table) -> Texts:
     return next(slices(iter(batch), 1 << 62))[1] if batch else Texts(np.zeros(0, np.int64), np.zeros(0, np.uint8), np.zeros(1, np.int64))
 
 
+def _presence(rows: DataFrame, among: np.ndarray | None) -> DataFrame:
+    """(feature, n): in how many documents of rows each feature is; with among, a sorted
+    array, of these features alone."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, texts in slices(batches, SLICE_BYTES):
+            features, (_, _, first) = token_features(texts)
+            doc = np.repeat(np.arange(len(texts.ids), dtype=np.uint64), np.diff(first))
+            doc, flat = np.tile(doc, features.shape[1]), features.T.ravel()
+            if among is not None:
+                known = among[np.minimum(np.searchsorted(among, flat), max(0, len(among) - 1))] == flat if len(among) else np.zeros(len(flat), bool)
+                doc, flat = doc[known], flat[known]
+            order = np.lexsort((doc, flat))
+            doc, flat = doc[order], flat[order]
+            once = np.r_[True, (flat[1:] != flat[:-1]) | (doc[1:] != doc[:-1])] if len(flat) else np.zeros(0, bool)
+            keys, n = np.unique(flat[once], return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(n.astype(np.int64))], ["feature", "n"])
+
+    return rows.select("doc_id", "text").mapInArrow(count, "feature long, n long").groupBy("feature").agg(F.sum("n").alias("n"))
+
+
 def train(labelled: DataFrame, docs_at_most: int = TRAIN_DOCS, steps: int = 40) -> Chain:
     """A chain from labelled documents (doc_id, text, toxic). Rows without a label are left
     out; without toxic documents the chain finds nothing toxic."""
     rows = labelled.filter(F.col("toxic").isNotNull()).select("doc_id", "text", F.col("toxic").cast("int").alias("toxic"))
 
-    def presence(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, texts in slices(batches, SLICE_BYTES):
-            features, (_, _, first) = token_features(texts)
-            toxic = np.asarray(batch.column(2))
-            clean_n, toxic_n = [], []
-            doc = np.repeat(np.arange(len(texts.ids)), np.diff(first))
-            pairs = np.unique(np.stack([np.tile(doc.astype(np.uint64), features.shape[1]), features.T.ravel()]), axis=1) if len(doc) else np.zeros((2, 0), np.uint64)
-            keys, place = np.unique(pairs[1], return_inverse=True)
-            of = toxic[pairs[0].astype(np.int64)]
-            toxic_n = np.bincount(place, of, minlength=len(keys)).astype(np.int64)
-            clean_n = np.bincount(place, 1 - of, minlength=len(keys)).astype(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(toxic_n), pa.array(clean_n)], ["feature", "t", "c"])
-
     totals = {r["toxic"]: r["n"] for r in rows.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     n_toxic, n_clean = totals.get(1, 0), totals.get(0, 0)
     nothing = Chain(np.zeros(0, np.uint64), np.zeros(0), -8.0, np.zeros((2, 2)), np.array([-4.0, 0.0, 0.0]))
     if not n_toxic or not n_clean:
         return nothing
-    counts = rows.mapInArrow(presence, "feature long, t long, c long").groupBy("feature").agg(F.sum("t").alias("t"), F.sum("c").alias("c"))
-    odds = F.log((F.col("t") + 0.5) / (n_toxic + 1.0)) - F.log((F.col("c") + 0.5) / (n_clean + 1.0))
-    marks = counts.filter(F.col("t") >= max(LEAST_DOCS, LEAST_SHARE * n_toxic)).withColumn("odds", odds).filter(F.col("odds") > 2.0).orderBy(F.desc(F.col("odds") * F.log1p("t")), "feature").limit(MOST_FEATURES).toArrow()
-    if not marks.num_rows:
+    least = max(LEAST_DOCS, LEAST_SHARE * n_toxic)
+    # Of toxic documents every feature is counted; those in a fixed share of them are few
+    # whatever the input, and only these are counted in clean documents.
+    often = _presence(rows.filter("toxic = 1"), None).filter(F.col("n") >= least).toArrow()
+    found_t = dict(zip(often["feature"].to_pylist(), often["n"].to_pylist(), strict=True))
+    candidates = np.sort(np.fromiter(found_t, np.int64, len(found_t)).view(np.uint64))
+    clean = _presence(rows.filter("toxic = 0"), candidates).toArrow()
+    found_c = dict(zip(clean["feature"].to_pylist(), clean["n"].to_pylist(), strict=True))
+    t = np.array([found_t[k] for k in candidates.view(np.int64).tolist()], float)
+    c = np.array([found_c.get(k, 0) for k in candidates.view(np.int64).tolist()], float)
+    odds = np.log((t + 0.5) / (n_toxic + 1.0)) - np.log((c + 0.5) / (n_clean + 1.0))
+    kept = np.flatnonzero(odds > 2.0)
+    kept = np.sort(kept[np.lexsort((candidates[kept], -odds[kept] * np.log1p(t[kept])))][:MOST_FEATURES])
+    features, odds = candidates[kept], odds[kept]
+    if not len(features):
         return nothing
-    features = np.asarray(marks["feature"]).view(np.uint64)
-    order = np.argsort(features)
-    features, odds = features[order], np.asarray(marks["odds"])[order]
     half = docs_at_most // 2
     by_hash = [rows.filter(F.col("toxic") == k).orderBy(F.xxhash64("doc_id"), "doc_id").limit(half).toArrow() for k in (1, 0)]
     sample = pa.concat_tables(by_hash)
@@ -289,8 +307,11 @@ def held_out(doc_id: str = "doc_id") -> Column:
 
 
 def trained_on(docs: DataFrame, labels: DataFrame) -> Chain:
-    """The chain of those labelled documents that are not held out."""
-    return train(docs.filter(~held_out()).select("doc_id", "text").join(labels.select("doc_id", "toxic"), "doc_id"))
+    """The chain of those labelled documents that are not held out. Up to BROADCAST_LABELS
+    labels are broadcast, so that texts stay where they are; more are joined by shuffle."""
+    known = labels.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    few = labels.limit(BROADCAST_LABELS + 1).count() <= BROADCAST_LABELS
+    return train(docs.filter(~held_out()).select("doc_id", "text").join(F.broadcast(known) if few else known, "doc_id"))
 
 
 def op7_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
