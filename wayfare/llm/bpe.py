@@ -2,19 +2,24 @@
 
 A word's bytes are an array of ids; a fold merges the neighbouring pair of lowest rank,
 leftmost first, until none has a rank. The ranks are a literal map from pairs of ids to
-the id of the merged piece (its rank). A second literal map has the ids of the pieces
-that are words themselves and of the corpus's most frequent distinct words, which are
-folded once; words outside it are folded where they stand. Both maps are laid out as
-two-place hash tables, as Spark scans its own map type from the start at each lookup.
+the id of the merged piece (its rank), laid out as a two-place hash table, as Spark scans
+its own map type from the start at each lookup.
+
+Words are folded once if they are distinct words of the dictionary: the pieces that are
+words themselves and the corpus's most frequent words. Words outside it are folded once
+for each document that has them. Arrow stages around the fold replace words by their
+places in the dictionary and put the ids together. Decoding concatenates binary pieces.
 """
 
 from __future__ import annotations
 
 import base64
 import os
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -74,30 +79,28 @@ class Vocabulary:
                 if a is not None and b is not None:
                     pairs[a << 20 | b] = rank
         self.pairs = _table([(k, k.to_bytes(8, "little"), v) for k, v in pairs.items()], 1 << (2 * len(pairs)).bit_length())
-        self.pieces = [""] * (max(self.ranks.values()) + 1)
+        self.pieces = [b""] * (max(self.ranks.values()) + 1)
         for token, rank in self.ranks.items():
-            self.pieces[rank] = token.hex()
+            self.pieces[rank] = token
 
-    def literal(self, spark: SparkSession, words: dict[str, list[int]]) -> Column:
-        """The tables, with words added to the pieces that are words, as a scalar subquery."""
-        known = dict(words)
-        for token, rank in self.ranks.items():
-            try:
-                known[token.decode()] = [rank]
-            except UnicodeDecodeError:
-                continue
-        table = _table([(w, w.encode(), ids) for w, ids in known.items()], 1 << (2 * len(known)).bit_length())
+    def literal(self, spark: SparkSession) -> Column:
+        """The tables of bytes and pairs as a scalar subquery."""
         row = {
             "bytes": pa.array([[self.ranks[bytes([b])] for b in range(256)]], pa.list_(pa.int32())),
             "pair": pa.array([[x[0] if x else -1 for x in self.pairs]], pa.list_(pa.int64())),
             "rank": pa.array([[x[1] if x else -1 for x in self.pairs]], pa.list_(pa.int32())),
-            "word": pa.array([[x[0] if x else None for x in table]], pa.list_(pa.string())),
-            "ids": pa.array([[x[1] if x else None for x in table]], pa.list_(pa.list_(pa.int32()))),
-            "piece": pa.array([self.pieces], pa.list_(pa.string())),
         }
-        sizes = {"pairs": len(self.pairs), "words": len(table)}
-        frame = spark.createDataFrame(pa.table(row)).select(F.struct("*", *[F.lit(n).alias(k) for k, n in sizes.items()]).alias("tables"))
-        return frame.scalar()
+        return spark.createDataFrame(pa.table(row)).select(F.struct("*").alias("tables")).scalar()
+
+    def word_tokens(self) -> dict[str, list[int]]:
+        """Pieces that are words of text by themselves: such a word is one token."""
+        out = {}
+        for token, rank in self.ranks.items():
+            try:
+                out[token.decode()] = [rank]
+            except UnicodeDecodeError:
+                continue
+        return out
 
 
 def _bind(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -112,58 +115,146 @@ def _with_tables(df: DataFrame, tables: Column, name: str, body: Callable[[Colum
     return df.withColumn("_tables", tables).select(*[c for c in df.columns if c != name], value.alias(name))
 
 
-def _lookup(keys: Column, values: Column, size: Column, key: Column) -> Column:
+def _lookup(keys: Column, values: Column, size: int, key: Column) -> Column:
     h = F.xxhash64(key)
     a = h.bitwiseAND(size - 1).cast("int")
     b = F.shiftrightunsigned(h, 32).bitwiseAND(size - 1).cast("int")
     return F.when(F.get(keys, a) == key, F.get(values, a)).when(F.get(keys, b) == key, F.get(values, b))
 
 
-def fold_merges(word: Column, tables: Column) -> Column:
-    """The ids of one word: its bytes' ids with the pair of lowest rank merged, again and again."""
+def fold_merges(word: Column, tables: Column, pairs: int) -> Column:
+    """The ids of one word: its bytes' ids with the pair of lowest rank merged, again and again.
+
+    ranks has the rank of each pair of neighbours, null where there is none, and a null at
+    either end; a merge looks up only the two pairs that it makes."""
     latin = F.split(F.decode(F.encode(word, "UTF-8"), "ISO-8859-1"), "")
     pieces = F.transform(latin, lambda c: F.get(tables["bytes"], F.ascii(c)))
+    nothing = F.array(F.lit(None).cast("int"))
 
-    def merged(ids: Column, ranks: Column) -> Column:
-        lowest = F.array_min(ranks)
-        at = F.array_position(ranks, lowest).cast("int")
-        return F.when(lowest.isNull(), ids).otherwise(F.concat(F.slice(ids, F.lit(1), at - 1), F.array(lowest), F.slice(ids, at + 2, F.size(ids))))
+    def rank(a: Column, b: Column) -> Column:
+        return _bind(F.shiftleft(a.cast("long"), 20).bitwiseOR(b.cast("long")), lambda k: _lookup(tables["pair"], tables["rank"], pairs, k))
 
-    def step(ids: Column, _: Column) -> Column:
+    def start(ids: Column) -> Column:
         n = F.size(ids)
-        pairs = F.zip_with(F.slice(ids, F.lit(1), n - 1), F.slice(ids, F.lit(2), n), lambda a, b: F.shiftleft(a.cast("long"), 20).bitwiseOR(b.cast("long")))
-        ranks = F.transform(pairs, lambda k: _lookup(tables["pair"], tables["rank"], tables["pairs"], k))
-        return F.when(n < 2, ids).otherwise(_bind(ranks, lambda r: merged(ids, r)))
+        neighbours = F.zip_with(F.slice(ids, F.lit(1), n - 1), F.slice(ids, F.lit(2), n), lambda a, b: F.shiftleft(a.cast("long"), 20).bitwiseOR(b.cast("long")))
+        ranks = F.transform(neighbours, lambda k: _lookup(tables["pair"], tables["rank"], pairs, k))
+        return F.struct(ids.alias("ids"), F.concat(nothing, ranks, nothing).alias("ranks"))
+
+    def merged(state: Column, lowest: Column, at: Column) -> Column:
+        ids, ranks = state["ids"], state["ranks"]
+        new = F.concat(F.slice(ids, F.lit(1), at - 2), F.array(lowest), F.slice(ids, at + 1, F.size(ids)))
+        around = F.array(rank(F.get(ids, at - 3), lowest), rank(lowest, F.get(ids, at)))
+        return F.struct(new.alias("ids"), F.concat(F.slice(ranks, F.lit(1), at - 2), around, F.slice(ranks, at + 2, F.size(ranks))).alias("ranks"))
 
-    return F.aggregate(F.sequence(F.lit(1), F.octet_length(word)), pieces, step)
+    def step(state: Column, _: Column) -> Column:
+        lowest = F.array_min(state["ranks"])
+        return _bind(lowest, lambda m: F.when(m.isNull(), state).otherwise(_bind(F.array_position(state["ranks"], m).cast("int"), lambda at: merged(state, m, at))))
+
+    return F.aggregate(F.sequence(F.lit(1), F.octet_length(word)), _bind(pieces, start), step, lambda state: state["ids"])
 
 
 def words_of(text: Column, vocabulary: Vocabulary) -> Column:
     return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(vocabulary.pattern), F.lit(0))
 
 
-def frequent_words(df: DataFrame, text: str, vocabulary: Vocabulary, most: int = DICTIONARY_WORDS) -> dict[str, list[int]]:
-    """Ids of the most frequent distinct words of df, at most so many, folded in Spark.
-    All words of all rows are counted; ties go by the word."""
-    tables = vocabulary.literal(df.sparkSession, {})
+class Dictionary:
+    """Words and the ids of each, as tasks get them."""
+
+    def __init__(self, ids: dict[str, list[int]]):
+        self.words = pa.array(list(ids), pa.string())
+        self.sizes = np.array([len(x) for x in ids.values()], np.int64)
+        self.ids = np.array([i for x in ids.values() for i in x], np.int32)
+
+
+def frequent_words(df: DataFrame, text: str, vocabulary: Vocabulary, most: int = DICTIONARY_WORDS) -> Dictionary:
+    """The pieces that are words, and the most frequent distinct words of df, at most so
+    many, folded in Spark. All words of all rows are counted; ties go by the word."""
     counted = df.select(F.explode(words_of(F.col(text), vocabulary)).alias("word")).groupBy("word").agg(F.count("*").alias("n"))
     top = counted.filter(F.col("n") > 1).orderBy(F.desc("n"), "word").limit(most).select("word")
-    found = _with_tables(top.repartition("word"), tables, "ids", lambda t: F.coalesce(_lookup(t["word"], t["ids"], t["words"], F.col("word")), fold_merges(F.col("word"), t))).toArrow()
-    return dict(zip(found["word"].to_pylist(), found["ids"].to_pylist(), strict=True))
+    size = len(vocabulary.pairs)
+    found = _with_tables(top.repartition("word"), vocabulary.literal(df.sparkSession), "ids", lambda t: fold_merges(F.col("word"), t, size)).toArrow()
+    folded = dict(zip(found["word"].to_pylist(), found["ids"].to_pylist(), strict=True))
+    return Dictionary({**folded, **vocabulary.word_tokens()})
+
+
+def _per_slice(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
+def _flat(column: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """Values of a column of lists end to end, and where each list begins."""
+    sizes = np.asarray(pc.fill_null(pc.list_value_length(column), 0))
+    return column.flatten(), np.r_[0, np.cumsum(sizes)]
+
+
+def _lists(offsets: np.ndarray, values: pa.Array) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), values)
 
 
 def encode(df: DataFrame, text: str, ids: str, vocabulary: Vocabulary, most: int = DICTIONARY_WORDS) -> DataFrame:
     """df with the ids of the text, an array of ints; of a null or empty text, an empty array."""
-    tables = vocabulary.literal(df.sparkSession, frequent_words(df, text, vocabulary, most))
-    words = words_of(F.col(text), vocabulary)
-    found = _with_tables(df, tables, "_ids", lambda t: F.flatten(F.transform(words, lambda w: F.coalesce(_lookup(t["word"], t["ids"], t["words"], w), fold_merges(w, t)))))
-    return found.select(*[c for c in df.columns if c != ids], F.explode(F.array("_ids")).alias(ids))
+    shared = df.sparkSession.sparkContext.broadcast(frequent_words(df, text, vocabulary, most))
+    rest = [c for c in df.columns if c != ids]
+    held = df.select(*[F.col(f"`{c}`") for c in rest])
+    width, size = len(rest), len(vocabulary.pairs)
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in held.schema)
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Places in the dictionary; -1, -2, ... are places in the document's other words."""
+        known = shared.value
+        for batch in _per_slice(batches):
+            words, at = _flat(batch.column(width))
+            places = pc.fill_null(pc.index_in(words, value_set=known.words), -1).to_numpy(zero_copy_only=False).astype(np.int64)
+            other = np.flatnonzero(places < 0)
+            coded = words.take(pa.array(other)).dictionary_encode()
+            doc = np.searchsorted(at, other, side="right") - 1
+            key = doc * (len(coded.dictionary) + 1) + np.asarray(coded.indices, np.int64)
+            once, first, back = np.unique(key, return_index=True, return_inverse=True)
+            owner = doc[first]
+            begins = np.searchsorted(owner, np.arange(batch.num_rows + 1))
+            places[other] = -1 - (back - begins[doc])
+            rare = coded.dictionary.take(pa.array(np.asarray(coded.indices)[first]))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:width], _lists(at, pa.array(places.astype(np.int32))), _lists(begins, rare)], [*rest, "_places", "_rare"])
+
+    def assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = shared.value
+        for batch in _per_slice(batches):
+            places, at = _flat(batch.column(width))
+            folded, of_doc = _flat(batch.column(width + 1))
+            values, edges = _flat(folded)
+            doc = np.repeat(np.arange(batch.num_rows), np.diff(at))
+            places = places.to_numpy(zero_copy_only=False).astype(np.int64)
+            word = np.where(places >= 0, places, len(known.sizes) + of_doc[doc] - 1 - places)
+            sizes = np.r_[known.sizes, np.diff(edges)]
+            ids_of = np.r_[known.ids, values.to_numpy(zero_copy_only=False)]
+            begins = (np.cumsum(sizes) - sizes)[word]
+            n = sizes[word]
+            ends = np.r_[0, np.cumsum(n)]
+            out = ids_of[np.repeat(begins - ends[:-1], n) + np.arange(ends[-1])].astype(np.int32)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:width], _lists(ends[at], pa.array(out))], [*rest, ids])
+
+    placed = held.withColumn("_words", words_of(F.col(text), vocabulary)).mapInArrow(place, ", ".join([*([fields] if fields else []), "_places array<int>, _rare array<string>"]))
+    folded = _with_tables(placed, vocabulary.literal(df.sparkSession), "_folded", lambda t: F.transform("_rare", lambda w: fold_merges(w, t, size))).drop("_rare")
+    return folded.mapInArrow(assemble, f"{fields}, `{ids}` array<int>")
 
 
 def decode(df: DataFrame, ids: str, out: str, vocabulary: Vocabulary) -> DataFrame:
-    """df with the bytes of the ids' pieces, end to end; null for null ids."""
-    tables = vocabulary.literal(df.sparkSession, {})
-    return _with_tables(df, tables, out, lambda t: F.unhex(F.array_join(F.transform(ids, lambda i: F.get(t["piece"], i)), "")))
+    """df with the bytes of the ids' pieces, end to end; empty for null ids. An id outside
+    the vocabulary raises."""
+    shared = df.sparkSession.sparkContext.broadcast(vocabulary.pieces)
+    kept = df.select(*[F.col(f"`{c}`") for c in df.columns if c != out])
+    at, names = kept.columns.index(ids), [*kept.columns, out]
+
+    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pieces = pa.array(shared.value, pa.binary())
+        for batch in _per_slice(batches):
+            values, begins = _flat(batch.column(at))
+            joined = pc.binary_join(_lists(begins, pieces.take(values)), b"")
+            yield pa.RecordBatch.from_arrays([*batch.columns, joined], names)
+
+    return kept.mapInArrow(join, kept.withColumn(out, F.lit(b"")).schema)
 
 
 def default_vocabulary() -> Vocabulary:
@@ -175,8 +266,7 @@ def default_vocabulary() -> Vocabulary:
 
 
 def digest(df: DataFrame, vocabulary: Vocabulary) -> DataFrame:
-    rows = encode(df.select("doc_id", "text"), "text", "ids", vocabulary).drop("text")
-    rows = decode(rows, "ids", "decoded", vocabulary)
+    rows = decode(encode(df.select("doc_id", "text"), "text", "ids", vocabulary).drop("text"), "ids", "decoded", vocabulary)
     return rows.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.array_join("ids", " "), 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 

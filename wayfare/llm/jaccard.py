@@ -7,11 +7,11 @@ set in an order of all tokens, among which linked sets must share one. The sizes
 count as small are those for which enumerating costs less than lists.
 
 The order has tokens first that a sketch says occur in one document: those cannot be
-shared and need no list. Tokens known to be very frequent come last. Within a list, all
-sets are compared with its first; where that leaves a list in more than one component,
-sets outside its largest component are compared with all others. So every pair of a list
-is linked, compared, or connected already, and a group of copies needs no more
-comparisons than it has members.
+shared and need no list. Tokens known to be very frequent come last. Each set is compared
+with the most central of those that head its lists; lists that this leaves in more than
+one component are compared in full, block by block. So every pair of a list is linked,
+compared, or connected already, and a group of copies of one text needs about as many
+comparisons as it has members.
 """
 
 from __future__ import annotations
@@ -34,6 +34,8 @@ SLICE_BYTES = 2 << 20
 MOST_SMALL = 40
 #: What comparing two sets of a list costs, in rows of an enumeration.
 COMPARE_COST = 16
+#: Sets that meet as many others at once where all of a cluster are compared.
+BLOCK = 128
 _SECOND = np.uint64(0x6A09E667F3BCC909)
 
 
@@ -165,24 +167,79 @@ def _verified(pairs: DataFrame, held: DataFrame, num: int, den: int) -> DataFram
     return pairs.join(one, "a").join(two, "b").select("a", "b", "x", "y").mapInArrow(compare, "a long, b long")
 
 
+def _block_links(rows: DataFrame, num: int, den: int) -> DataFrame:
+    """Links (a, b) between sets of different components in one cluster: rows (cluster, n,
+    id, size, component, held). Members of a cluster are dealt to blocks of about BLOCK and
+    every two blocks meet once, so a set travels once for each block, not for each pair. In
+    a meeting only links that join components are given."""
+    blocks = F.greatest(F.ceil(F.col("n") / BLOCK).cast("int"), F.lit(1))
+    own = F.pmod(F.xxhash64("id"), blocks).cast("int")
+    dealt = rows.withColumns({"own": own, "other": F.explode(F.sequence(F.lit(0), blocks - 1))})
+    met = dealt.withColumns({"i": F.least("own", "other"), "j": F.greatest("own", "other")}).select("cluster", "i", "j", "own", "id", "component", "held")
+
+    def meet(table: pa.Table) -> pa.Table:
+        ids, component, own = (np.asarray(table[c]) for c in ("id", "component", "own"))
+        sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in table["held"]]
+        sizes = np.array([len(x) for x in sets])
+        owner = np.repeat(np.arange(len(sets)), sizes)
+        values, place = np.unique(np.concatenate(sets), return_inverse=True)
+        order = np.argsort(place, kind="stable")
+        owner, place = owner[order], place[order]
+        both = np.zeros((len(sets), len(sets)), np.float32)
+        for at in range(0, len(values), 4096):
+            low, high = np.searchsorted(place, [at, at + 4096])
+            has = np.zeros((len(sets), min(4096, len(values) - at)), np.float32)
+            has[owner[low:high], place[low:high] - at] = 1
+            both += has @ has.T
+        both = both.astype(np.int64)
+        alike = both * den >= (sizes[:, None] + sizes[None] - both) * num
+        alike &= component[:, None] != component[None]
+        root = {int(c): int(c) for c in component}
+
+        def find(x: int) -> int:
+            while root[x] != x:
+                root[x] = root[root[x]]
+                x = root[x]
+            return x
+
+        out = []
+        for x, y in zip(*np.nonzero(np.triu(alike, 1)), strict=True):
+            u, v = find(int(component[x])), find(int(component[y]))
+            if u != v:
+                root[max(u, v)] = min(u, v)
+                out.append((int(ids[x]), int(ids[y])))
+        return pa.table({"a": pa.array([x for x, _ in out], pa.int64()), "b": pa.array([y for _, y in out], pa.int64())})
+
+    return met.groupBy("cluster", "i", "j").applyInArrow(meet, "a long, b long")
+
+
 def _list_links(large: DataFrame, known: DataFrame, held: DataFrame, num: int, den: int) -> DataFrame:
     """All links (a, b) needed for the components of large sets (id, size, tokens), given
-    links known already; these are included."""
+    links known already; these are included.
+
+    A set is first compared with one other: of those that head its lists the most central,
+    whose lists are the longest. What a group of copies was made from is in more lists than
+    any copy, so most of the group is joined by one comparison each. Lists that are still in
+    several components put their members into clusters, in which all are compared."""
     rows = cut(large.select("id", "size", F.explode("tokens").alias("token")))
-    lists = cut(rows.groupBy("token").agg(F.min(F.struct("id", "size")).alias("head"), F.count("*").alias("n")).filter("n > 1"))
-    members = cut(rows.join(lists, "token"))
-    pairs = members.withColumn("head_size", F.col("head.size")).filter(_compatible("size", "head_size", num, den) & (F.col("id") != F.col("head.id"))).select(F.col("id").alias("a"), F.col("head.id").alias("b")).distinct()
+    lists = cut(rows.groupBy("token").agg(F.count("*").alias("n")).filter("n > 1"))
+    listed = cut(rows.join(lists, "token"))
+    weight = cut(listed.groupBy("id").agg(F.sum("n").alias("weight")))
+    members = cut(listed.join(weight, "id").select("token", "id", "size", "weight"))
+    heads = cut(members.groupBy("token").agg(F.max(F.struct("weight", (-F.col("id")).alias("id"), "size")).alias("head")))
+    tried = members.join(heads, "token").withColumns({"head_id": -F.col("head.id"), "head_size": F.col("head.size")})
+    best = tried.filter(_compatible("size", "head_size", num, den) & (F.col("id") != F.col("head_id"))).groupBy("id").agg(F.max("head").alias("head"))
+    pairs = cut(best.select(F.col("id").alias("a"), (-F.col("head.id")).alias("b")))
     links = cut(_verified(pairs, held, num, den).union(known))
-    named = cut(members.select("token", "id", "size", F.col("head.id").alias("head")).join(connected_components(links).toDF("id", "component"), "id", "left").withColumn("component", F.coalesce("component", "id")))
-    counted = named.groupBy("token", "component").agg(F.count("*").alias("n"))
-    torn = cut(counted.groupBy("token").agg(F.max(F.struct("n", "component")).alias("most"), F.count("*").alias("parts")).filter("parts > 1").select("token", F.col("most.component").alias("main")))
-    left = named.join(torn, "token")
-    outside = left.filter("component <> main").toDF("token", "a", "a_size", "a_head", "a_component", "_main").drop("_main")
-    others = left.toDF("token", "b", "b_size", "b_head", "b_component", "main")
-    crossed = outside.join(others, "token").filter((F.col("a_component") != F.col("b_component")) & _compatible("a_size", "b_size", num, den))
-    # Two sets outside the main component meet twice; pairs with the list's first were compared.
-    crossed = crossed.filter("(b_component = main or a < b) and a <> b_head and b <> b_head").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    return links.union(_verified(crossed, held, num, den))
+    named = cut(members.select("token", "id", "size").join(connected_components(links).toDF("id", "component"), "id", "left").withColumn("component", F.coalesce("component", "id")))
+    torn = cut(named.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high").select("token", F.col("low").alias("first")))
+    left = cut(named.join(torn, "token"))
+    # Lists that share a component are one cluster, and all of their members are in it.
+    clusters = connected_components(left.select(F.col("component").alias("a"), F.col("first").alias("b"))).toDF("component", "cluster")
+    inside = cut(left.select("id", "size", "component").distinct().join(clusters, "component"))
+    counts = cut(inside.groupBy("cluster").agg(F.count("*").alias("n")))
+    ready = inside.join(counts, "cluster").join(held, "id").select("cluster", "n", "id", "size", "component", "held")
+    return links.union(_block_links(ready, num, den))
 
 
 def components(df: DataFrame, n: int = 5, num: int = 8, den: int = 10) -> DataFrame:
