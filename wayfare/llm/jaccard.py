@@ -99,10 +99,10 @@ def _sets(df: DataFrame, n: int, num: int, den: int) -> DataFrame:
             yield hashes[hashes < tested_below]
 
     sketched = build(df, tested, heavy=True)
-    heavy, shared = sketched.heavy, df.sparkSession.sparkContext.broadcast(sketched.rows)
+    heavy, shared = sketched.heavy, df.sparkSession.sparkContext.broadcast(sketched.packed())
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sketch = Sketch(shared.value, heavy)
+        sketch = Sketch.unpacked(shared.value, heavy)
         for _, texts in slices(batches, SLICE_BYTES):
             doc, hashes = shingles(texts, n)
             size = np.bincount(doc, minlength=len(texts.ids))

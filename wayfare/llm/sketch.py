@@ -10,6 +10,7 @@ times 10 ** 8 anchors it passes more windows than need be, and loses none.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -84,6 +85,14 @@ class Sketch:
     def __init__(self, rows: list[np.ndarray], heavy: np.ndarray | None = None):
         self.rows, self.heavy = rows, heavy if heavy is not None else np.zeros(0, np.uint64)
 
+    def packed(self) -> list[bytes]:
+        """The rows as they are broadcast: most of their bits are 0."""
+        return [zlib.compress(bits, 1) for bits in self.rows]
+
+    @classmethod
+    def unpacked(cls, rows: list[bytes], heavy: np.ndarray | None = None) -> Sketch:
+        return cls([np.frombuffer(zlib.decompress(bits), np.uint8) for bits in rows], heavy)
+
     def is_heavy(self, keys: np.ndarray) -> np.ndarray:
         if not len(self.heavy):
             return np.zeros(len(keys), bool)

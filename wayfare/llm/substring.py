@@ -104,11 +104,11 @@ def repeated_runs(df: DataFrame, window: int = WINDOW, gram: int = GRAM) -> Data
     Windows travel as packed arrays to a shard of their hash. Those that repeat within a
     slice go on once, so that a frequent passage is met at most once from each slice."""
     sketched: Sketch = build(df, lambda batches: (_Windows(t, window, gram).keys() for _, t in slices(batches, SLICE_BYTES)))
-    shared = df.sparkSession.sparkContext.broadcast(sketched.rows)
+    shared = df.sparkSession.sparkContext.broadcast(sketched.packed())
     shards = max(12, SHARDS_PER_PARTITION * df.rdd.getNumPartitions())
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sketch = Sketch(shared.value)
+        sketch = Sketch.unpacked(shared.value)
         for _, texts in slices(batches, SLICE_BYTES):
             w = _Windows(texts, window, gram)
             # An anchor's cells are looked up once for its run of windows.
@@ -154,10 +154,9 @@ def repeated_runs(df: DataFrame, window: int = WINDOW, gram: int = GRAM) -> Data
 
 
 def with_runs(df: DataFrame, found: DataFrame) -> DataFrame:
-    """df (doc_id, text) with cuts, the runs of the document as an array of (first, last)."""
-    cuts = found.groupBy("id").agg(F.collect_list(F.struct("first", "last")).alias("cuts"))
-    rows = df.withColumn("_id", F.coalesce("doc_id", F.lit(NULL_ID)))
-    return rows.join(cuts, rows["_id"] == cuts["id"], "left").drop("_id", "id")
+    """df (doc_id, text) with _cuts, the runs of the document as an array of (first, last)."""
+    cuts = found.groupBy(F.col("id").alias("_cut_id")).agg(F.collect_list(F.struct("first", "last")).alias("_cuts"))
+    return df.join(cuts, F.coalesce(df["doc_id"], F.lit(NULL_ID)) == cuts["_cut_id"], "left").drop("_cut_id")
 
 
 class Cuts:
@@ -189,20 +188,20 @@ def dedup(df: DataFrame, window: int = WINDOW) -> DataFrame:
     rest = [c for c in df.columns if c not in ("doc_id", "text")]
     found = repeated_runs(df.select("doc_id", "text"), window)
     held = with_runs(df.select("doc_id", "text", *[F.col(f"`{c}`") for c in rest]), found)
-    schema = held.drop("cuts").schema
+    schema = held.drop("_cuts").schema
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in slices(batches, SLICE_BYTES):
             spans = word_spans(texts)
             new = batch.column(1).to_pylist()
-            cuts = Cuts(batch.column(batch.schema.get_field_index("cuts")))
+            cuts = Cuts(batch.column(batch.schema.get_field_index("_cuts")))
             for i in np.flatnonzero(cuts.sizes):
                 if new[i] is not None:
                     n = int(spans[2][i + 1] - spans[2][i])
                     new[i] = _kept(texts, i, spans, cuts.covered(i, n, window)).decode()
             columns = [pa.array(new, pa.string()) if k == 1 else c for k, c in enumerate(batch.columns)]
             names = batch.schema.names
-            keep = [k for k, name in enumerate(names) if name != "cuts"]
+            keep = [k for k, name in enumerate(names) if name != "_cuts"]
             yield pa.RecordBatch.from_arrays([columns[k] for k in keep], [names[k] for k in keep])
 
     return held.mapInArrow(cut, schema)
@@ -212,7 +211,7 @@ def op10_count_min(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Of all documents, how many words repeat and a digest of those kept. Null text: no
     words. Rows that share a doc_id are one place: neither is earlier than the other."""
     docs = documents(spark, sf_dir).select("doc_id", "text")
-    held = with_runs(docs, repeated_runs(docs)).select("doc_id", "text", "cuts")
+    held = with_runs(docs, repeated_runs(docs)).select("doc_id", "text", "_cuts")
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in slices(batches, SLICE_BYTES):

@@ -170,7 +170,7 @@ def repeated_runs(df: DataFrame, length: int = LENGTH, gram: int = GRAM) -> Data
     context = df.sparkSession.sparkContext
     sketched = build(df, lambda batches: (_Windows(t, length, gram).keys() for _, t in slices(batches, SLICE_BYTES)), heavy=True)
     heavy = sketched.heavy
-    shared = context.broadcast(sketched.rows)
+    shared = context.broadcast(sketched.packed())
 
     def heavy_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
         often = Sketch([], heavy)
@@ -180,11 +180,11 @@ def repeated_runs(df: DataFrame, length: int = LENGTH, gram: int = GRAM) -> Data
             if len(at):
                 yield w.hashes(at, length)[0]
 
-    split = context.broadcast(build(df, heavy_windows).rows) if len(heavy) else None
+    split = context.broadcast(build(df, heavy_windows).packed()) if len(heavy) else None
     shards = max(64, SHARDS_PER_PARTITION * df.rdd.getNumPartitions())
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sketch, windows = Sketch(shared.value, heavy), Sketch(split.value) if split else None
+        sketch, windows = Sketch.unpacked(shared.value, heavy), Sketch.unpacked(split.value) if split else None
         for _, texts in slices(batches, SLICE_BYTES):
             w = _Windows(texts, length, gram)
             if not len(w.at):
@@ -258,7 +258,7 @@ def op1_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Of all documents, how many bytes repeat, in how many spans, and a digest of those
     kept. Null text: empty. Rows that share a doc_id are one place."""
     docs = documents(spark, sf_dir).select("doc_id", "text")
-    held = with_runs(docs, repeated_runs(docs)).select("doc_id", "text", "cuts")
+    held = with_runs(docs, repeated_runs(docs)).select("doc_id", "text", "_cuts")
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in slices(batches, SLICE_BYTES):
