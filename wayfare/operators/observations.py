@@ -6,6 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..functions.columns import local_date
 from ..schemas import POSITIONS, conform
@@ -25,15 +26,15 @@ def to_second(ts: Column) -> Column:
     return F.date_trunc("second", F.try_to_timestamp(ts))
 
 
-def normalize(raw: DataFrame, constants: Mapping[str, object] | None = None) -> DataFrame:
+def normalize(raw: DataFrame, constants: Mapping[str, object] | None = None, schema: StructType = POSITIONS) -> DataFrame:
     """Raw records (nested, read with a fixed schema) as canonical positions. Fields that
-    are missing, or whose parent is, are null."""
+    are missing, or whose parent is, are null; columns that schema knows by name stay."""
     top = set(raw.columns)
     picked = [F.col(f).alias(c) for f, c in FLAT.items() if f in top]
     picked += [F.col(f).alias(c) for f, c in NESTED.items() if f.split(".")[0] in top]
     picked += [to_second(F.col(f)).alias(c) for f, c in TIMES.items() if f in top]
     extra = [F.col(c) for c in raw.columns if c not in FLAT and c not in TIMES and c not in {f.split(".")[0] for f in NESTED}]
-    return conform(raw.select(*picked, *extra), POSITIONS, constants)
+    return conform(raw.select(*picked, *extra), schema, constants)
 
 
 def in_service(df: DataFrame) -> DataFrame:
