@@ -15,10 +15,12 @@ OUT = "sub_route_uid string, direction byte, plate_numb string, us long, near_id
 STATE = "cur int, trip int, last_hit double"
 
 
-def match_stream(observations: DataFrame, stops: DataFrame, idle_ms: int = 6 * 3600 * 1000) -> DataFrame:
+def match_stream(observations: DataFrame, stops: DataFrame, idle_ms: int | None = None) -> DataFrame:
     """observations: a stream (VEHICLE, lat, lon, us); stops as match_positions takes them, a
     static table. Rows of one batch are put in time order; batches must come in it. A vehicle
-    that is silent for idle_ms of processing time is forgotten and begins a new trip."""
+    that is silent for idle_ms of processing time is forgotten and begins a new trip; without
+    idle_ms none is (a stream that ends, as with availableNow, must have none: Spark goes on
+    with empty batches while timeouts by processing time are on)."""
     joined = observations.join(stops.select("sub_route_uid", "direction", "stop_lats", "stop_lons"), ["sub_route_uid", "direction"])
 
     def match(key: tuple, frames: Iterable[pd.DataFrame], group: GroupState) -> Iterator[pd.DataFrame]:
@@ -31,8 +33,9 @@ def match_stream(observations: DataFrame, stops: DataFrame, idle_ms: int = 6 * 3
         d = haversine_matrix(rows["lat"].to_numpy(), rows["lon"].to_numpy(), lats, lons)
         matched, trips, causes, state = match_sequence(d, rows["us"].to_numpy() / 1e6, state)
         group.update((state.cur, state.trip, state.last_hit))
-        group.setTimeoutDuration(idle_ms)
+        if idle_ms:
+            group.setTimeoutDuration(idle_ms)
         near = [float(d[i, j]) if j >= 0 else None for i, j in enumerate(matched)]
         yield pd.DataFrame({**dict(zip(VEHICLE, ([k] * len(rows) for k in key), strict=True)), "us": rows["us"].to_numpy(), "near_idx": matched, "near_dist": near, "trip": trips, "cause": causes})
 
-    return joined.groupBy(*VEHICLE).applyInPandasWithState(match, OUT, STATE, "append", GroupStateTimeout.ProcessingTimeTimeout)
+    return joined.groupBy(*VEHICLE).applyInPandasWithState(match, OUT, STATE, "append", GroupStateTimeout.ProcessingTimeTimeout if idle_ms else GroupStateTimeout.NoTimeout)
