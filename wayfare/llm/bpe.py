@@ -14,6 +14,7 @@ places in the dictionary and put the ids together. Decoding concatenates binary
 from __future__ import annotations
 
 import base64
+import hashlib
 import os
 from collections.abc import Callable, Iterable, Iterator
 
@@ -193,13 +194,13 @@ def _lists(offsets: np.ndarray, values: pa.Array) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), values)
 
 
-def encode(df: DataFrame, text: str, ids: str, vocabulary: Vocabulary, most: int = DICTIONARY_WORDS) -> DataFrame:
+def encode(df: DataFrame, text: str, ids: str, vocabulary: Vocabulary, most: int = DICTIONARY_WORDS, keep_text: bool = True) -> DataFrame:
     """df with the ids of the text, an array of ints; of a null or empty text, an empty array."""
     shared = df.sparkSession.sparkContext.broadcast(frequent_words(df, text, vocabulary, most))
-    rest = [c for c in df.columns if c != ids]
-    held = df.select(*[F.col(f"`{c}`") for c in rest])
+    rest = [c for c in df.columns if c != ids and (keep_text or c != text)]
+    held = df.select(*[F.col(f"`{c}`") for c in rest], words_of(F.col(text), vocabulary).alias("_words"))
     width, size = len(rest), len(vocabulary.pairs)
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in held.schema)
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in held.drop("_words").schema)
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Places in the dictionary; -1, -2, ... are places in the document's other words."""
@@ -235,11 +236,16 @@ def encode(df: DataFrame, text: str, ids: str, vocabulary: Vocabulary, most: int
             out = ids_of[np.repeat(begins - ends[:-1], n) + np.arange(ends[-1])].astype(np.int32)
             yield pa.RecordBatch.from_arrays([*batch.columns[:width], _lists(ends[at], pa.array(out))], [*rest, ids])
 
-    placed = held.withColumn("_words", words_of(F.col(text), vocabulary)).mapInArrow(place, ", ".join([*([fields] if fields else []), "_places array<int>, _rare array<string>"]))
+    placed = held.mapInArrow(place, ", ".join([*([fields] if fields else []), "_places array<int>, _rare array<string>"]))
     folded = _with_tables(placed, vocabulary.literal(df.sparkSession), "_folded", lambda t: F.transform("_rare", lambda w: fold_merges(w, t, size))).drop("_rare")
     return folded.mapInArrow(assemble, f"{fields}, `{ids}` array<int>")
 
 
+def _decoded(ids: pa.Array, begins: np.ndarray, pieces: pa.Array) -> pa.Array:
+    """The bytes of each list of ids: their pieces end to end."""
+    return pc.binary_join(_lists(begins, pieces.take(ids)), b"")
+
+
 def decode(df: DataFrame, ids: str, out: str, vocabulary: Vocabulary) -> DataFrame:
     """df with the bytes of the ids' pieces, end to end; empty for null ids. An id outside
     the vocabulary raises."""
@@ -250,9 +256,7 @@ def decode(df: DataFrame, ids: str, out: str, vocabulary: Vocabulary) -> DataFra
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = pa.array(shared.value, pa.binary())
         for batch in _per_slice(batches):
-            values, begins = _flat(batch.column(at))
-            joined = pc.binary_join(_lists(begins, pieces.take(values)), b"")
-            yield pa.RecordBatch.from_arrays([*batch.columns, joined], names)
+            yield pa.RecordBatch.from_arrays([*batch.columns, _decoded(*_flat(batch.column(at)), pieces)], names)
 
     return kept.mapInArrow(join, kept.withColumn(out, F.lit(b"")).schema)
 
@@ -266,8 +270,20 @@ def default_vocabulary() -> Vocabulary:
 
 
 def digest(df: DataFrame, vocabulary: Vocabulary) -> DataFrame:
-    rows = decode(encode(df.select("doc_id", "text"), "text", "ids", vocabulary).drop("text"), "ids", "decoded", vocabulary)
-    return rows.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.array_join("ids", " "), 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+    """(doc_id, n_tokens, ids_sha256, decoded_sha256) of df (doc_id, text): encoded, and the
+    ids decoded again."""
+    encoded = encode(df.select("doc_id", "text"), "text", "ids", vocabulary, keep_text=False)
+    shared = df.sparkSession.sparkContext.broadcast(vocabulary.pieces)
+
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pieces = pa.array(shared.value, pa.binary())
+        for batch in _per_slice(batches):
+            ids, begins = _flat(batch.column(1))
+            written = pc.binary_join(_lists(begins, pc.cast(ids, pa.string())), " ")
+            columns = [pa.array([hashlib.sha256(x.as_buffer()).hexdigest() for x in c], pa.string()) for c in (written, _decoded(ids, begins, pieces))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.diff(begins), pa.int64()), *columns], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+
+    return encoded.mapInArrow(hashed, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
