@@ -7,7 +7,7 @@ set in an order of all tokens, among which linked sets must share one. The sizes
 count as small are those for which enumerating costs less than lists.
 
 The order has tokens first that a sketch says occur in one document: those cannot be
-shared and need no list. Tokens known to be very frequent come last. Each set is compared
+shared and need no list. Others come by the number of sets that have them. Each set is compared
 with the most central of those that head its lists; lists that this leaves in more than
 one component are compared in full, block by block. So every pair of a list is linked,
 compared, or connected already, and a group of copies of one text needs about as many
@@ -22,7 +22,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import BYTE_CODES, NULL_ID, Roller, Texts, cut, documents, mix64, slices, word_spans
@@ -87,33 +87,43 @@ def boundary(sizes: dict[int, int], num: int, den: int) -> int:
     return at
 
 
+def tested_below(num: int, den: int) -> int:
+    """The largest hash, as a signed long, of tokens that are sketched and counted: a share of
+    all that gives a set more of them than its prefix needs."""
+    share = min(1.0, 2.5 * (den - num) / den)
+    return int(np.array(min(int(share * 2**64), 2**64 - 1), np.uint64).view(np.int64))
+
+
 def _sets(df: DataFrame, n: int, num: int, den: int) -> DataFrame:
     """A row for each document of df (doc_id, text): id, size, h1 and h2 of its set, the
-    tokens to look up, and the set itself where it may be asked for."""
-    share = min(1.0, 2.5 * (den - num) / den)
-    tested_below = np.uint64(min(int(share * 2**64), 2**64 - 1))
+    tokens that may be looked up and how many of them need be, and the set itself where it
+    may be asked for.
+
+    The order of tokens: those below a hash that a sketch says are in one document, the
+    others below it by how many sets have them, those above it by hash."""
+    below = np.int64(tested_below(num, den)).view(np.uint64)
 
     def tested(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
         for _, texts in slices(batches, SLICE_BYTES):
             _, hashes = shingles(texts, n)
-            yield hashes[hashes < tested_below]
+            yield hashes[hashes <= below]
 
-    sketched = build(df, tested, heavy=True)
-    heavy, shared = sketched.heavy, df.sparkSession.sparkContext.broadcast(sketched.packed())
+    shared = df.sparkSession.sparkContext.broadcast(build(df, tested).packed())
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sketch = Sketch.unpacked(shared.value, heavy)
+        sketch = Sketch.unpacked(shared.value)
         for _, texts in slices(batches, SLICE_BYTES):
             doc, hashes = shingles(texts, n)
             size = np.bincount(doc, minlength=len(texts.ids))
             first = np.r_[0, np.cumsum(size)]
             kind = np.full(len(hashes), 2, np.int8)
-            low = np.flatnonzero(hashes < tested_below)
+            low = np.flatnonzero(hashes <= below)
             kind[low] = sketch.repeated(hashes[low])
-            kind[low[sketch.is_heavy(hashes[low])]] = 3
             order = np.lexsort((hashes, kind, doc))
-            rank = np.arange(len(order)) - first[:-1][doc]
-            chosen = order[(rank < prefix_size(size, num, den)[doc]) & (kind[order] > 0)]
+            rank, kind = np.arange(len(order)) - first[:-1][doc], kind[order]
+            prefix = prefix_size(size, num, den)
+            need = np.maximum(0, prefix - np.bincount(doc[kind == 0], minlength=len(size)))
+            chosen = order[(need > 0)[doc] & ((kind == 1) | ((kind == 2) & (rank < prefix[doc])))]
             tokens = np.bincount(doc[chosen], minlength=len(size))
             sums = [np.zeros(len(size), np.uint64) for _ in range(2)]
             full = np.flatnonzero(size)
@@ -122,9 +132,9 @@ def _sets(df: DataFrame, n: int, num: int, den: int) -> DataFrame:
                     out[full] = np.add.reduceat(values, first[full])
             held = [hashes[first[i] : first[i + 1]].tobytes() if tokens[i] or 0 < size[i] <= MOST_SMALL else None for i in range(len(size))]
             lists = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(tokens)].astype(np.int32)), pa.array(hashes[chosen].view(np.int64)))
-            yield pa.RecordBatch.from_arrays([pa.array(texts.ids), pa.array(size.astype(np.int64)), *[pa.array(x.view(np.int64)) for x in sums], lists, pa.array(held, pa.binary())], ["id", "size", "h1", "h2", "tokens", "held"])
+            yield pa.RecordBatch.from_arrays([pa.array(texts.ids), pa.array(size.astype(np.int64)), *[pa.array(x.view(np.int64)) for x in sums], pa.array(need.astype(np.int64)), lists, pa.array(held, pa.binary())], ["id", "size", "h1", "h2", "need", "tokens", "held"])
 
-    return df.mapInArrow(sets, "id long, size long, h1 long, h2 long, tokens array<long>, held binary")
+    return df.mapInArrow(sets, "id long, size long, h1 long, h2 long, need long, tokens array<long>, held binary")
 
 
 def _small_links(small: DataFrame, num: int, den: int) -> DataFrame:
@@ -221,9 +231,12 @@ def _list_links(large: DataFrame, known: DataFrame, held: DataFrame, num: int, d
     whose lists are the longest. What a group of copies was made from is in more lists than
     any copy, so most of the group is joined by one comparison each. Lists that are still in
     several components put their members into clusters, in which all are compared."""
-    rows = cut(large.select("id", "size", F.explode("tokens").alias("token")))
-    lists = cut(rows.groupBy("token").agg(F.count("*").alias("n")).filter("n > 1"))
-    listed = cut(rows.join(lists, "token"))
+    rows = cut(large.select("id", "size", "need", F.posexplode("tokens").alias("place", "token")))
+    frequent = cut(rows.groupBy("token").agg(F.count("*").alias("n")))
+    # In a document's array tokens below the tested hash come first, each by hash.
+    tested = F.col("token").between(0, tested_below(num, den)) if tested_below(num, den) >= 0 else (F.col("token") >= 0) | (F.col("token") <= tested_below(num, den))
+    rank = F.row_number().over(Window.partitionBy("id").orderBy(~tested, F.when(tested, F.col("n")), "place"))
+    listed = cut(rows.join(frequent, "token").withColumn("rank", rank).filter("rank <= need and n > 1").select("token", "id", "size", "n"))
     weight = cut(listed.groupBy("id").agg(F.sum("n").alias("weight")))
     members = cut(listed.join(weight, "id").select("token", "id", "size", "weight"))
     heads = cut(members.groupBy("token").agg(F.max(F.struct("weight", (-F.col("id")).alias("id"), "size")).alias("head")))
@@ -248,7 +261,7 @@ def components(df: DataFrame, n: int = 5, num: int = 8, den: int = 10) -> DataFr
     an empty set and link with nothing, equal ones neither. A null id counts as smaller
     than all others. Equal rows are linked with each other."""
     base = cut(_sets(df.select("doc_id", "text"), n, num, den))
-    sets = cut(base.filter("size > 0").groupBy("h1", "h2", "size").agg(F.min("id").alias("rep"), F.first("tokens").alias("tokens"), F.first(F.when(F.col("size") <= MOST_SMALL, F.col("held"))).alias("held")))
+    sets = cut(base.filter("size > 0").groupBy("h1", "h2", "size").agg(F.min("id").alias("rep"), F.first("tokens").alias("tokens"), F.first("need").alias("need"), F.first(F.when(F.col("size") <= MOST_SMALL, F.col("held"))).alias("held")))
     reps = sets.withColumnRenamed("rep", "id")
     sizes = {r["size"]: r["n"] for r in reps.filter(F.col("size") <= MOST_SMALL).groupBy("size").agg(F.count("*").alias("n")).collect()}
     small = boundary(sizes, num, den)
