@@ -26,8 +26,7 @@ def positions_normalized(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("duty_status").alias("DutyStatus"), iso("gps_us").alias("GPSTime"), iso("update_us").alias("UpdateTime"), F.lit("x").alias("Unknown"),
     ))
     raw = p.select("obs_id", "city", F.from_json(message, RAW_POSITION).alias("m")).select("obs_id", "city", "m.*")
-    keyed = raw.withColumn("geo", F.col("obs_id"))
-    normal = O.normalize(keyed.withColumn("SubRouteID", F.col("obs_id").cast("string")))
+    normal = O.normalize(raw.withColumn("SubRouteID", F.col("obs_id").cast("string")))  # carries the id
     return normal.select(F.col("sub_route_id").cast("long").alias("obs_id"), "plate_numb", "route_uid", "sub_route_uid", "direction", "city", "duty_status", F.round("lat", 6).alias("lat"), "lon", "operator_no", F.unix_seconds("gps_time").alias("gps_s"), F.unix_seconds("update_time").alias("update_s"), "speed")
 
 
