@@ -13,7 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute  # noqa: F401
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -164,7 +164,7 @@ class Cuts:
 
     def __init__(self, column: pa.Array):
         lists = column.cast(pa.list_(column.type.value_type))
-        self.sizes = np.asarray(pa.compute.fill_null(pa.compute.list_value_length(lists), 0))
+        self.sizes = np.asarray(pc.fill_null(pc.list_value_length(lists), 0))
         self.at = np.r_[0, np.cumsum(self.sizes)]
         flat = lists.flatten()
         self.first, self.last = (flat.field(k).to_numpy(zero_copy_only=False) for k in ("first", "last"))

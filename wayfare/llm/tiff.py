@@ -7,7 +7,6 @@ page. The writer stores rows of samples as a gray page, for round trips and test
 
 from __future__ import annotations
 
-import hashlib
 import struct
 import zlib
 from collections.abc import Iterator, Sequence
