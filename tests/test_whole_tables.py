@@ -1,0 +1,25 @@
+"""Queries over whole tables, against their SQL without the filters that cut it."""
+
+import pytest
+
+from wayfare.plans.registry import ORACLE, QUERIES
+
+from .test_entry import FOLDER, canonical, duck, needs_tables  # noqa: F401
+
+#: What the SQL of a query leaves out.
+CUTS = {
+    "journey_segments": (" WHERE n_nationkey < 20", " AND n < 60"),
+    "journey_total": (" WHERE n_nationkey < 20", " AND n < 60"),
+}
+
+
+@needs_tables
+@pytest.mark.parametrize("name", sorted(CUTS))
+def test_whole_table(spark, duck, name):  # noqa: F811
+    sql = ORACLE[name]
+    for part in CUTS[name]:
+        sql = sql.replace(part, "")
+    df, want = QUERIES[name](spark, FOLDER), duck.sql(sql)
+    columns = sorted(df.columns)
+    quoted = ", ".join(f'"{c}"' for c in columns)
+    assert canonical(df.select(*columns).collect()) == canonical(want.select(quoted).fetchall())
