@@ -60,9 +60,18 @@ def snapshot_gaps(df: DataFrame, keys: Sequence[str], snapshot: str) -> DataFram
 
 
 def break_gaps(df: DataFrame, keys: Sequence[str], at: str, value: str, gap_s: int = MAX_GAP_S) -> DataFrame:
-    """Points of a line chart, with a point without a value one second into each long gap."""
-    w = Window.partitionBy(*keys).orderBy(at)
-    marked = df.select(*keys, at, value).withColumn("_next", F.lead(at).over(w))
+    """Points of a line chart, with a point without a value one second into each long gap.
+
+    The next point is looked for in the hour, and after its last point in the hours that
+    follow, of which a table has one row each: no task holds a line."""
+    hour = F.floor(F.col(at) / 3_600_000_000)
+    rows = df.select(*keys, at, value).withColumn("_hour", hour)
+    after = Window.partitionBy(*keys).orderBy("_hour")
+    hours = rows.groupBy(*keys, "_hour").agg(F.min(at).alias("_first")).withColumn("_later", F.lead("_first").over(after))
+    same = [F.col(f"rows.{k}").eqNullSafe(F.col(f"hours.{k}")) for k in (*keys, "_hour")]
+    w = Window.partitionBy(*keys, "_hour").orderBy(at)
+    near = rows.withColumn("_near", F.lead(at).over(w))
+    marked = near.alias("rows").join(hours.alias("hours"), same, "left").select("rows.*", F.coalesce("_near", "_later").alias("_next"))
     own = F.struct(F.col(at).alias("at"), F.col(value).alias("value"))
     hole = F.struct((F.col(at) + 1_000_000).alias("at"), F.lit(None).cast(df.schema[value].dataType).alias("value"))
     points = F.when(F.col("_next") - F.col(at) > gap_s * 1_000_000, F.array(own, hole)).otherwise(F.array(own))
