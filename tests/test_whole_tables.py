@@ -11,6 +11,7 @@ CUTS = {
     "gap_break_points": (" WHERE user_id % 10 = 3",),
     "journey_segments": (" WHERE n_nationkey < 20", " AND n < 60"),
     "journey_total": (" WHERE n_nationkey < 20", " AND n < 60"),
+    "natural_route_order": (" LIMIT 50",),
     "union_align": (" WHERE event_id % 5 = 0",),
 }
 
