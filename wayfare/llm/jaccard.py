@@ -95,7 +95,7 @@ def tested_below(num: int, den: int) -> int:
 
 
 def _sets(df: DataFrame, n: int, num: int, den: int) -> DataFrame:
-    """A row for each document of df (doc_id, text): id, size, h1 and h2 of its set, the
+    """A row for each document of df (doc_id, text, key): id, key, size, h1 and h2 of its set, the
     tokens that may be looked up and how many of them need be, and the set itself where it
     may be asked for.
 
@@ -112,7 +112,7 @@ def _sets(df: DataFrame, n: int, num: int, den: int) -> DataFrame:
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sketch = Sketch.unpacked(shared.value)
-        for _, texts in slices(batches, SLICE_BYTES):
+        for batch, texts in slices(batches, SLICE_BYTES):
             doc, hashes = shingles(texts, n)
             size = np.bincount(doc, minlength=len(texts.ids))
             first = np.r_[0, np.cumsum(size)]
@@ -132,9 +132,9 @@ def _sets(df: DataFrame, n: int, num: int, den: int) -> DataFrame:
                     out[full] = np.add.reduceat(values, first[full])
             held = [hashes[first[i] : first[i + 1]].tobytes() if tokens[i] or 0 < size[i] <= MOST_SMALL else None for i in range(len(size))]
             lists = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(tokens)].astype(np.int32)), pa.array(hashes[chosen].view(np.int64)))
-            yield pa.RecordBatch.from_arrays([pa.array(texts.ids), pa.array(size.astype(np.int64)), *[pa.array(x.view(np.int64)) for x in sums], pa.array(need.astype(np.int64)), lists, pa.array(held, pa.binary())], ["id", "size", "h1", "h2", "need", "tokens", "held"])
+            yield pa.RecordBatch.from_arrays([pa.array(texts.ids), batch.column(2), pa.array(size.astype(np.int64)), *[pa.array(x.view(np.int64)) for x in sums], pa.array(need.astype(np.int64)), lists, pa.array(held, pa.binary())], ["id", "key", "size", "h1", "h2", "need", "tokens", "held"])
 
-    return df.mapInArrow(sets, "id long, size long, h1 long, h2 long, need long, tokens array<long>, held binary")
+    return df.mapInArrow(sets, "id long, key long, size long, h1 long, h2 long, need long, tokens array<long>, held binary")
 
 
 def _small_links(small: DataFrame, num: int, den: int) -> DataFrame:
@@ -239,10 +239,10 @@ def _list_links(large: DataFrame, known: DataFrame, held: DataFrame, num: int, d
     listed = cut(rows.join(frequent, "token").withColumn("rank", rank).filter("rank <= need and n > 1").select("token", "id", "size", "n"))
     weight = cut(listed.groupBy("id").agg(F.sum("n").alias("weight")))
     members = cut(listed.join(weight, "id").select("token", "id", "size", "weight"))
-    heads = cut(members.groupBy("token").agg(F.max(F.struct("weight", (-F.col("id")).alias("id"), "size")).alias("head")))
-    tried = members.join(heads, "token").withColumns({"head_id": -F.col("head.id"), "head_size": F.col("head.size")})
+    heads = cut(members.groupBy("token").agg(F.max(F.struct("weight", "id", "size")).alias("head")))
+    tried = members.join(heads, "token").withColumns({"head_id": F.col("head.id"), "head_size": F.col("head.size")})
     best = tried.filter(_compatible("size", "head_size", num, den) & (F.col("id") != F.col("head_id"))).groupBy("id").agg(F.max("head").alias("head"))
-    pairs = cut(best.select(F.col("id").alias("a"), (-F.col("head.id")).alias("b")))
+    pairs = cut(best.select(F.col("id").alias("a"), F.col("head.id").alias("b")))
     links = cut(_verified(pairs, held, num, den).union(known))
     named = cut(members.select("token", "id", "size").join(connected_components(links).toDF("id", "component"), "id", "left").withColumn("component", F.coalesce("component", "id")))
     torn = cut(named.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high").select("token", F.col("low").alias("first")))
@@ -255,25 +255,37 @@ def _list_links(large: DataFrame, known: DataFrame, held: DataFrame, num: int, d
     return links.union(_block_links(ready, num, den))
 
 
-def components(df: DataFrame, n: int = 5, num: int = 8, den: int = 10) -> DataFrame:
-    """(doc_id, n_shingles, component_id) of each row of df (doc_id, text): documents link
-    when den * |intersection| >= num * |union| of their sets. Documents without words have
-    an empty set and link with nothing, equal ones neither. A null id counts as smaller
-    than all others. Equal rows are linked with each other."""
-    base = cut(_sets(df.select("doc_id", "text"), n, num, den))
-    sets = cut(base.filter("size > 0").groupBy("h1", "h2", "size").agg(F.min("id").alias("rep"), F.first("tokens").alias("tokens"), F.first("need").alias("need"), F.first(F.when(F.col("size") <= MOST_SMALL, F.col("held"))).alias("held")))
-    reps = sets.withColumnRenamed("rep", "id")
+def linked(df: DataFrame, n: int = 5, num: int = 8, den: int = 10) -> DataFrame:
+    """(id, key, size, node) of each row of df (doc_id, text): NULL_ID for a null id, a hash
+    of the text, the size of its set, and a number that rows have in common when their sets
+    link, over any others. Rows without words have none.
+
+    Sets are told apart by their hashes, never by ids, which different texts may share."""
+    node = F.xxhash64("h1", "h2", "size")
+    base = cut(_sets(df.select("doc_id", "text", F.xxhash64("text").alias("key")), n, num, den)).withColumn("node", F.when(F.col("size") > 0, node))
+    sets = cut(base.filter("size > 0").groupBy("node", "size").agg(F.first("tokens").alias("tokens"), F.first("need").alias("need"), F.first(F.when(F.col("size") <= MOST_SMALL, F.col("held"))).alias("held")))
+    reps = sets.withColumnRenamed("node", "id")
     sizes = {r["size"]: r["n"] for r in reps.filter(F.col("size") <= MOST_SMALL).groupBy("size").agg(F.count("*").alias("n")).collect()}
     small = boundary(sizes, num, den)
     # A small set may link with one just above the boundary, so it is looked up as well.
     large = reps.filter(F.col("size") * den >= (small + 1) * num)
     known = _small_links(reps.filter(F.col("size") <= small), num, den)
-    held = base.filter("held is not null").groupBy("id").agg(F.first("held").alias("held"))
-    found = connected_components(_list_links(large, known, held, num, den))
-    of_sets = cut(sets.select("h1", "h2", F.col("size"), "rep").join(found.toDF("rep", "component"), "rep", "left").select("h1", "h2", "size", F.coalesce("component", "rep").alias("component")))
-    rows = base.select("id", "size", "h1", "h2").join(of_sets, ["h1", "h2", "size"], "left")
+    held = base.filter("held is not null and size > 0").groupBy(F.col("node").alias("id")).agg(F.first("held").alias("held"))
+    found = cut(connected_components(_list_links(large, known, held, num, den)))
+    rows = base.select("id", "key", "size", "node").join(found.toDF("node", "component"), "node", "left")
+    return rows.select("id", "key", "size", F.coalesce("component", "node").alias("node"))
+
+
+def components(df: DataFrame, n: int = 5, num: int = 8, den: int = 10) -> DataFrame:
+    """(doc_id, n_shingles, component_id) of each row of df (doc_id, text): documents link
+    when den * |intersection| >= num * |union| of their sets. Documents without words have
+    an empty set and link with nothing, equal ones neither. A null id counts as smaller
+    than all others. Equal rows are linked with each other. component_id is the smallest
+    doc_id of the component; where components share that doc_id, they share the name."""
+    rows = cut(linked(df, n, num, den))
+    names = cut(rows.filter("size > 0").groupBy("node").agg(F.min("id").alias("component")))
     real = lambda c: F.when(c != NULL_ID, c)
-    return rows.select(real(F.col("id")).alias("doc_id"), F.col("size").alias("n_shingles"), real(F.coalesce("component", "id")).alias("component_id"))
+    return rows.join(names, "node", "left").select(real(F.col("id")).alias("doc_id"), F.col("size").alias("n_shingles"), real(F.coalesce("component", "id")).alias("component_id"))
 
 
 def op3_heavy_light(spark: SparkSession, sf_dir: str) -> DataFrame:

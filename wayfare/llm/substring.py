@@ -63,27 +63,37 @@ class _Windows:
         return Roller(self.codes).ranges(at, at + self.window), Roller(mix64(self.codes), BASE2, BASE2_INV).ranges(at, at + self.window)
 
 
-def earliest(h1: np.ndarray, h2: np.ndarray, ids: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """Which entries have an equal (h1, h2) of smaller (id, at)."""
+def keyed(df: DataFrame) -> DataFrame:
+    """df's first two columns, an id and a text, and key, a hash of the text: different
+    documents may share an id, and each is a place of its own."""
+    doc, text = df.columns[:2]
+    return df.select(F.col(doc), F.col(text), F.xxhash64(F.col(text)).alias("key"))
+
+
+def earliest(h1: np.ndarray, h2: np.ndarray, ids: np.ndarray, keys: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Which entries have an equal (h1, h2) of smaller id, or of smaller at in their own
+    document (id, key)."""
     if not len(h1):
         return np.zeros(0, bool)
-    order = np.lexsort((at, ids, h2, h1))
-    a, b, i, p = h1[order], h2[order], ids[order], at[order]
+    order = np.lexsort((at, keys, ids, h2, h1))
+    a, b, i, k, p = h1[order], h2[order], ids[order], keys[order], at[order]
     same = np.r_[False, (a[1:] == a[:-1]) & (b[1:] == b[:-1])]
-    head = np.maximum.accumulate(np.where(same, 0, np.arange(len(a))))
+    own = same & np.r_[False, (i[1:] == i[:-1]) & (k[1:] == k[:-1])]
+    place = np.arange(len(a))
+    head, first = (np.maximum.accumulate(np.where(x, 0, place)) for x in (same, own))
     out = np.zeros(len(a), bool)
-    out[order] = (i > i[head]) | (p > p[head])  # an equal row of an equal id is not earlier
+    out[order] = (i > i[head]) | (p > p[first])  # other documents of an equal id are not earlier
     return out
 
 
-def runs(ids: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(id, first, last) of runs of successive starts in one document."""
+def runs(ids: np.ndarray, keys: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(id, key, first, last) of runs of successive starts in one document."""
     if not len(ids):
-        return ids, at, at
-    order = np.lexsort((at, ids))
-    i, p = ids[order], at[order]
-    new = np.r_[True, (i[1:] != i[:-1]) | (p[1:] > p[:-1] + 1)]
-    return i[new], p[new], p[np.r_[np.flatnonzero(new)[1:] - 1, len(p) - 1]]
+        return ids, keys, at, at
+    order = np.lexsort((at, keys, ids))
+    i, k, p = ids[order], keys[order], at[order]
+    new = np.r_[True, (i[1:] != i[:-1]) | (k[1:] != k[:-1]) | (p[1:] > p[:-1] + 1)]
+    return i[new], k[new], p[new], p[np.r_[np.flatnonzero(new)[1:] - 1, len(p) - 1]]
 
 
 def by_shard(sorted_shards: np.ndarray, order: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
@@ -94,12 +104,12 @@ def by_shard(sorted_shards: np.ndarray, order: np.ndarray) -> Iterator[tuple[int
             yield int(sorted_shards[a]), order[a:b]
 
 
-_FOUND = "shard int, h1 binary, h2 binary, ids binary, at binary"
+_FOUND = "shard int, h1 binary, h2 binary, ids binary, keys binary, at binary"
 
 
 def repeated_runs(df: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
-    """(id, first, last): windows of df (id, text) starting at words first to last of the
-    document also start earlier. Windows never cross documents; null texts have none.
+    """(id, key, first, last): windows of df (id, text) starting at words first to last of the
+    document, which the hash key of its text tells from others of its id, also start earlier. Windows never cross documents; null texts have none.
 
     Windows travel as packed arrays to a shard of their hash. Those that repeat within a
     slice go on once, so that a frequent passage is met at most once from each slice."""
@@ -109,7 +119,7 @@ def repeated_runs(df: DataFrame, window: int = WINDOW, gram: int = GRAM) -> Data
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sketch = Sketch.unpacked(shared.value)
-        for _, texts in slices(batches, SLICE_BYTES):
+        for batch, texts in slices(batches, SLICE_BYTES):
             w = _Windows(texts, window, gram)
             # An anchor's cells are looked up once for its run of windows.
             change = np.r_[True, w.anchors[1:] != w.anchors[:-1]] if len(w.anchors) else np.zeros(0, bool)
@@ -119,44 +129,46 @@ def repeated_runs(df: DataFrame, window: int = WINDOW, gram: int = GRAM) -> Data
                 continue
             h1, h2 = w.hashes(chosen)
             doc = w.doc[w.at[chosen]]
-            ids, at = texts.ids[doc], w.at[chosen] - w.first[doc]
-            late = earliest(h1, h2, ids, at)
-            i, a, b = runs(ids[late], at[late])
-            out = [(-1, b"", b"", i.tobytes(), np.stack([a, b]).tobytes())] if len(i) else []
+            ids, keys, at = texts.ids[doc], batch.column(2).to_numpy()[doc], w.at[chosen] - w.first[doc]
+            late = earliest(h1, h2, ids, keys, at)
+            i, k, a, b = runs(ids[late], keys[late], at[late])
+            out = [(-1, b"", b"", i.tobytes(), k.tobytes(), np.stack([a, b]).tobytes())] if len(i) else []
             keep = ~late
-            h1, h2, ids, at = h1[keep], h2[keep], ids[keep], at[keep]
+            h1, h2, ids, keys, at = h1[keep], h2[keep], ids[keep], keys[keep], at[keep]
             shard = (h1 >> np.uint64(33)).astype(np.int64) % shards
             order = np.argsort(shard, kind="stable")
             for s, o in by_shard(shard[order], order):
-                out.append((s, h1[o].tobytes(), h2[o].tobytes(), ids[o].tobytes(), at[o].astype(np.int32).tobytes()))
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.int32(), *[pa.binary()] * 4), strict=True)], ["shard", "h1", "h2", "ids", "at"])
+                out.append((s, h1[o].tobytes(), h2[o].tobytes(), ids[o].tobytes(), keys[o].tobytes(), at[o].astype(np.int32).tobytes()))
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.int32(), *[pa.binary()] * 5), strict=True)], ["shard", "h1", "h2", "ids", "keys", "at"])
 
     def group(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         got: list[tuple[np.ndarray, ...]] = []
         for batch in batches:
-            for s, a, b, i, p in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+            for s, a, b, i, k, p in zip(*[c.to_pylist() for c in batch.columns], strict=True):
                 if s < 0:
                     first, last = np.frombuffer(p, np.int64).reshape(2, -1)
-                    yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(i, np.int64)), pa.array(first), pa.array(last)], ["id", "first", "last"])
+                    yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(i, np.int64)), pa.array(np.frombuffer(k, np.int64)), pa.array(first), pa.array(last)], ["id", "key", "first", "last"])
                 else:
-                    got.append((np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64), np.frombuffer(i, np.int64), np.frombuffer(p, np.int32)))
+                    got.append((np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64), np.frombuffer(i, np.int64), np.frombuffer(k, np.int64), np.frombuffer(p, np.int32)))
         if got:
-            h1, h2, ids, at = (np.concatenate(x) for x in zip(*got, strict=True))
-            late = earliest(h1, h2, ids, at)
-            i, a, b = runs(ids[late], at[late].astype(np.int64))
-            for k in range(0, len(i), 100_000):
-                yield pa.RecordBatch.from_arrays([pa.array(x[k : k + 100_000]) for x in (i, a, b)], ["id", "first", "last"])
+            h1, h2, ids, keys, at = (np.concatenate(x) for x in zip(*got, strict=True))
+            late = earliest(h1, h2, ids, keys, at)
+            found = runs(ids[late], keys[late], at[late].astype(np.int64))
+            for k in range(0, len(found[0]), 100_000):
+                yield pa.RecordBatch.from_arrays([pa.array(x[k : k + 100_000]) for x in found], ["id", "key", "first", "last"])
 
-    found = df.mapInArrow(find, _FOUND)
+    found = keyed(df).mapInArrow(find, _FOUND)
     # What a slice has settled by itself (shard -1) has no group to meet.
     spread = F.when(F.col("shard") < 0, F.xxhash64("ids")).otherwise(F.col("shard"))
-    return found.repartition(shards, spread).mapInArrow(group, "id long, first long, last long")
+    return found.repartition(shards, spread).mapInArrow(group, "id long, key long, first long, last long")
 
 
 def with_runs(df: DataFrame, found: DataFrame) -> DataFrame:
-    """df (doc_id, text) with _cuts, the runs of the document as an array of (first, last)."""
-    cuts = found.groupBy(F.col("id").alias("_cut_id")).agg(F.collect_list(F.struct("first", "last")).alias("_cuts"))
-    return df.join(cuts, F.coalesce(df["doc_id"], F.lit(NULL_ID)) == cuts["_cut_id"], "left").drop("_cut_id")
+    """df (doc_id, text) with _cuts, the runs of the document as an array of (first, last).
+    Copies of a row find the same runs, which count once."""
+    cuts = found.groupBy(F.col("id").alias("_cut_id"), F.col("key").alias("_cut_key")).agg(F.collect_set(F.struct("first", "last")).alias("_cuts"))
+    own = (F.coalesce(df["doc_id"], F.lit(NULL_ID)) == cuts["_cut_id"]) & (F.xxhash64(df["text"]) == cuts["_cut_key"])
+    return df.join(cuts, own, "left").drop("_cut_id", "_cut_key")
 
 
 class Cuts:
@@ -209,7 +221,7 @@ def dedup(df: DataFrame, window: int = WINDOW) -> DataFrame:
 
 def op10_count_min(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Of all documents, how many words repeat and a digest of those kept. Null text: no
-    words. Rows that share a doc_id are one place: neither is earlier than the other."""
+    words. Of rows that share a doc_id none is earlier than another."""
     docs = documents(spark, sf_dir).select("doc_id", "text")
     held = with_runs(docs, repeated_runs(docs)).select("doc_id", "text", "_cuts")
 

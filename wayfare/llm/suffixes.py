@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from .common import BASE2, BASE2_INV, BYTE_CODES, Roller, Texts, documents, mix64, slices, sliding_min
 from .sketch import Sketch, build
-from .substring import Cuts, by_shard, earliest, runs, with_runs
+from .substring import Cuts, by_shard, earliest, keyed, runs, with_runs
 
 LENGTH = 100
 #: Bytes of the grams among which a window's anchor is chosen.
@@ -139,8 +139,8 @@ def _pieces(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarr
     return data[np.repeat(starts - begins, sizes) + np.arange(int(sizes.sum()))]
 
 
-def _repeats(text: np.ndarray, sizes: np.ndarray, counts: np.ndarray, ids: np.ndarray, at: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
-    """Runs (id, first, last) of windows that also start earlier, from the suffix array
+def _repeats(text: np.ndarray, sizes: np.ndarray, counts: np.ndarray, ids: np.ndarray, keys: np.ndarray, at: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
+    """Runs (id, key, first, last) of windows that also start earlier, from the suffix array
     of stretches of text end to end; counts[k] windows start in stretch k, from at[k] on."""
     begins = np.cumsum(sizes) - sizes
     wanted = np.zeros(len(text) + 1, np.int32)
@@ -154,19 +154,20 @@ def _repeats(text: np.ndarray, sizes: np.ndarray, counts: np.ndarray, ids: np.nd
     shared = same | np.r_[same[1:], False]
     order, group = order[shared], group[shared]
     stretch = np.searchsorted(begins, order, side="right") - 1
-    doc, start = ids[stretch], at[stretch] + order - begins[stretch]
-    late = earliest(group, np.zeros(len(group), np.int8), doc, start)
-    return runs(doc[late], start[late])
+    doc, key, start = ids[stretch], keys[stretch], at[stretch] + order - begins[stretch]
+    late = earliest(group, np.zeros(len(group), np.int8), doc, key, start)
+    return runs(doc[late], key[late], start[late])
 
 
-_FOUND = "shard int, keys binary, ids binary, at binary, counts binary, text binary"
-_TYPES = (pa.int32(), *[pa.binary()] * 5)
+_FOUND = "shard int, keys binary, ids binary, rows binary, at binary, counts binary, text binary"
+_TYPES = (pa.int32(), *[pa.binary()] * 6)
 
 
 def repeated_runs(df: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
-    """(id, first, last): strings of length bytes of df (id, text) starting at bytes first
-    to last of the document also start earlier (smaller id, then start). They never cross
-    documents; null texts have none. Equal ids are one place: neither is earlier."""
+    """(id, key, first, last): strings of length bytes of df (id, text) starting at bytes first
+    to last of the document, which the hash key of its text tells from others of its id, also
+    start earlier (smaller id, then start in the document). They never cross documents; null
+    texts have none. Of documents of equal ids none is earlier."""
     context = df.sparkSession.sparkContext
     sketched = build(df, lambda batches: (_Windows(t, length, gram).keys() for _, t in slices(batches, SLICE_BYTES)), heavy=True)
     heavy = sketched.heavy
@@ -185,10 +186,11 @@ def repeated_runs(df: DataFrame, length: int = LENGTH, gram: int = GRAM) -> Data
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sketch, windows = Sketch.unpacked(shared.value, heavy), Sketch.unpacked(split.value) if split else None
-        for _, texts in slices(batches, SLICE_BYTES):
+        for batch, texts in slices(batches, SLICE_BYTES):
             w = _Windows(texts, length, gram)
             if not len(w.at):
                 continue
+            rows = batch.column(2).to_numpy()
             doc = np.searchsorted(texts.starts, w.at, side="right") - 1
             # A run of windows with one anchor is one stretch.
             change = np.flatnonzero(np.r_[True, (w.anchors[1:] != w.anchors[:-1]) | (w.at[1:] != w.at[:-1] + 1) | (doc[1:] != doc[:-1])])
@@ -203,11 +205,11 @@ def repeated_runs(df: DataFrame, length: int = LENGTH, gram: int = GRAM) -> Data
                 h1, h2 = w.hashes(w.at[each], length)
                 passed = windows.repeated(h1)
                 each, h1, h2 = each[passed], h1[passed], h2[passed]
-                ids, start = texts.ids[doc[each]], w.at[each] - texts.starts[doc[each]]
-                late = earliest(h1, h2, ids, start)
-                i, a, b = runs(ids[late], start[late])
+                ids, own, start = texts.ids[doc[each]], rows[doc[each]], w.at[each] - texts.starts[doc[each]]
+                late = earliest(h1, h2, ids, own, start)
+                i, r, a, b = runs(ids[late], own[late], start[late])
                 if len(i):
-                    out.append((-1, b"", i.tobytes(), np.stack([a, b]).tobytes(), b"", b""))
+                    out.append((-1, b"", i.tobytes(), r.tobytes(), np.stack([a, b]).tobytes(), b"", b""))
                 each, h1 = each[~late], h1[~late]
                 keys, at, n = np.r_[keys, h1], np.r_[at, w.at[each]], np.r_[n, np.ones(len(each), np.int64)]
                 owner = np.r_[owner, doc[each]]
@@ -215,22 +217,22 @@ def repeated_runs(df: DataFrame, length: int = LENGTH, gram: int = GRAM) -> Data
             order = np.argsort(shard, kind="stable")
             for s, o in by_shard(shard[order], order):
                 text = _pieces(texts.data, at[o], n[o] + length - 1)
-                out.append((s, keys[o].tobytes(), texts.ids[owner[o]].tobytes(), (at[o] - texts.starts[owner[o]]).tobytes(), n[o].tobytes(), text.tobytes()))
+                out.append((s, keys[o].tobytes(), texts.ids[owner[o]].tobytes(), rows[owner[o]].tobytes(), (at[o] - texts.starts[owner[o]]).tobytes(), n[o].tobytes(), text.tobytes()))
             if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), _TYPES, strict=True)], ["shard", "keys", "ids", "at", "counts", "text"])
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), _TYPES, strict=True)], ["shard", "keys", "ids", "rows", "at", "counts", "text"])
 
     def sort(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         got = []
         for batch in batches:
-            for s, k, i, p, n, t in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+            for s, k, i, r, p, n, t in zip(*[c.to_pylist() for c in batch.columns], strict=True):
                 if s < 0:
                     first, last = np.frombuffer(p, np.int64).reshape(2, -1)
-                    yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(i, np.int64)), pa.array(first), pa.array(last)], ["id", "first", "last"])
+                    yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(i, np.int64)), pa.array(np.frombuffer(r, np.int64)), pa.array(first), pa.array(last)], ["id", "key", "first", "last"])
                 else:
-                    got.append((np.frombuffer(k, np.uint64), *[np.frombuffer(x, np.int64) for x in (i, p, n)], np.frombuffer(t, np.uint8)))
+                    got.append((np.frombuffer(k, np.uint64), *[np.frombuffer(x, np.int64) for x in (i, r, p, n)], np.frombuffer(t, np.uint8)))
         if not got:
             return
-        keys, ids, at, counts, text = (np.concatenate(x) for x in zip(*got, strict=True))
+        keys, ids, rows, at, counts, text = (np.concatenate(x) for x in zip(*got, strict=True))
         del got
         sizes = counts + length - 1
         begins = np.cumsum(sizes) - sizes
@@ -243,20 +245,20 @@ def repeated_runs(df: DataFrame, length: int = LENGTH, gram: int = GRAM) -> Data
             fit = ends[(ends > a) & (total[ends - 1] - done <= ARRAY_WINDOWS)]
             b = int(fit[-1]) if len(fit) else int(ends[ends > a][0])
             o = order[a:b]
-            i, first, last = _repeats(_pieces(text, begins[o], sizes[o]), sizes[o], counts[o], ids[o], at[o], length)
-            for k in range(0, len(i), 100_000):
-                yield pa.RecordBatch.from_arrays([pa.array(x[k : k + 100_000]) for x in (i, first, last)], ["id", "first", "last"])
+            found = _repeats(_pieces(text, begins[o], sizes[o]), sizes[o], counts[o], ids[o], rows[o], at[o], length)
+            for k in range(0, len(found[0]), 100_000):
+                yield pa.RecordBatch.from_arrays([pa.array(x[k : k + 100_000]) for x in found], ["id", "key", "first", "last"])
             a = b
 
-    found = df.mapInArrow(find, _FOUND)
+    found = keyed(df).mapInArrow(find, _FOUND)
     # What a slice has settled by itself (shard -1) has no group to meet.
     spread = F.when(F.col("shard") < 0, F.xxhash64("ids")).otherwise(F.col("shard"))
-    return found.repartition(shards, spread).mapInArrow(sort, "id long, first long, last long")
+    return found.repartition(shards, spread).mapInArrow(sort, "id long, key long, first long, last long")
 
 
 def op1_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Of all documents, how many bytes repeat, in how many spans, and a digest of those
-    kept. Null text: empty. Rows that share a doc_id are one place."""
+    kept. Null text: empty. Of rows that share a doc_id none is earlier than another."""
     docs = documents(spark, sf_dir).select("doc_id", "text")
     held = with_runs(docs, repeated_runs(docs)).select("doc_id", "text", "_cuts")
 
