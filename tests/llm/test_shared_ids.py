@@ -5,7 +5,8 @@ from collections import Counter
 
 import pytest
 
-from wayfare.llm import substring
+import corpus_pipeline
+from wayfare.llm import mixing, substring
 from wayfare.llm.queries import QUERIES
 
 from .conftest import SCHEMA, SOME
@@ -85,3 +86,51 @@ def test_jaccard(spark, shared):
         of = [rows[x][0] for x in sets if root[x] == root[k]]
         want[rows[k][0], len(sets[k]), min(of, key=smallest_first)] += 1
     assert Counter(map(tuple, QUERIES["op3_heavy_light"](spark, folder).collect())) == want
+
+
+def test_near_copies(spark, shared):
+    rows, folder = shared
+    sets = shingle_sets([(k, r[1]) for k, r in enumerate(rows)], 5)
+    root, want = components(sets, 8, 10), set()
+    got = [(r.doc_id, r.text) for r in corpus_pipeline.drop_near_copies(spark, spark.createDataFrame(rows, SCHEMA), folder).collect()]
+    for k in sets:
+        of = [rows[x][:2] for x in sets if root[x] == root[k]] if sets[k] else [r[:2] for r in rows if r[:2] == rows[k][:2]]
+        least = min((i for i, _ in of), key=smallest_first)
+        want.add(frozenset(x for x in of if x[0] == least))
+    # One row of each component, of its smallest id.
+    assert len(got) == len({root[k] for k in sets if sets[k]} | {rows[k][:2] for k in sets if not sets[k]})
+    assert all(sum(row in group for row in got) == 1 for group in want)
+
+
+def test_mix(spark, shared):
+    """Each row is a document of its own: passes are whole but for one of each source."""
+    rows, folder = shared
+    got = Counter((r.doc_id, r.source, words(r.text)) for r in corpus_pipeline.mix_sources(spark, spark.createDataFrame(rows, SCHEMA), folder).collect())
+    sizes, by = Counter(), {}
+    for i, text, _, source, _ in rows:
+        sizes[source] += len(words(text))
+        if words(text):
+            by.setdefault(source, []).append((i, words(text)))
+    target = {r.source: int(r.target) for r in mixing.source_targets(spark.createDataFrame(list(sizes.items()), "source string, source_size long")).collect()}
+    for source, docs in by.items():
+        mixed = Counter({(i, u): n for (i, s, u), n in got.items() if s == source})
+        assert sum(len(u) * n for (_, u), n in mixed.items()) == target[source]
+        whole, have, parts = Counter(docs), Counter(), 0
+        for (i, u), n in mixed.items():
+            if (i, u) in whole:
+                have[i, u] += n
+            else:
+                parts += n
+                assert any(j == i and v[: len(u)] == u for j, v in docs)
+        times = target[source] // sizes[source]
+        assert parts <= 1 and all(times * n <= have[d] <= (times + 1) * n for d, n in whole.items())
+
+
+def test_run(spark, shared):
+    """run() gives the token ids of the stages' mix, row for row."""
+    rows, folder = shared
+    docs = spark.createDataFrame(rows, SCHEMA)
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, folder)
+    want = Counter((r.doc_id, sha(r.text.encode())) for r in docs.collect())
+    assert Counter((r.doc_id, r.decoded_sha256) for r in corpus_pipeline.run(spark, folder).collect()) == want

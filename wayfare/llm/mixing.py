@@ -57,7 +57,7 @@ def source_targets(sizes: DataFrame, share: float = 1.5, cap: float = 2.0, weigh
     return t.withColumn("target", F.when(F.col("_full"), F.col("_cap")).otherwise(F.col("_w") * level)).select("source", "source_size", F.col("target").cast("double").alias("target"), "_first", "_last")
 
 
-def mix(df: DataFrame, id_col: str = "doc_id", size_col: str = "size", share: float = 1.5, cap: float = 2.0) -> DataFrame:
+def mix(df: DataFrame, id_col: str = "doc_id", size_col: str = "size", share: float = 1.5, cap: float = 2.0, ties: Sequence[str] = ()) -> DataFrame:
     """df (id, source, size) with source_size, target, taken, position and passes.
 
     A source's documents in hashed order, repeated from the start when they end, are
@@ -65,20 +65,21 @@ def mix(df: DataFrame, id_col: str = "doc_id", size_col: str = "size", share: fl
     a document over all passes; position is when the first pass reaches it; passes has
     the words and the position of each pass that takes any. A null
     source is a source of its own, named last. Documents without words take 0. Equal
-    rows are ordered next to one another and each counts.
+    rows are ordered next to one another and each counts; rows of equal id and size go by
+    the columns ties.
 
     Positions in a stream are sums over hashed blocks plus a running sum in a block,
     so no task holds a source."""
     blocks = sqrt_blocks(df.count(), 1)
     key = F.xxhash64(F.col(id_col), F.col(size_col))
-    rows = df.withColumn("_key", key).withColumn("_block", F.pmod(F.xxhash64("_key"), F.lit(blocks)).cast("int"))
+    rows = df.withColumn("_order", key).withColumn("_block", F.pmod(F.xxhash64("_order"), F.lit(blocks)).cast("int"))
     by_block = rows.groupBy("source", "_block").agg(F.sum(size_col).alias("_words"))
     before = Window.partitionBy("source").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     offsets = by_block.withColumns({"_start": F.coalesce(F.sum("_words").over(before), F.lit(0)), "_named": F.col("source").isNotNull(), "_name": F.coalesce("source", F.lit(""))})
     targets = source_targets(by_block.groupBy("source").agg(F.sum("_words").alias("source_size")), share, cap)
     targets = targets.withColumns({"_named": F.col("source").isNotNull(), "_name": F.coalesce("source", F.lit(""))}).drop("source")
     offsets = offsets.drop("source", "_words").join(targets, ["_named", "_name"])
-    own = Window.partitionBy("_named", "_name", "_block").orderBy("_key", id_col, size_col).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    own = Window.partitionBy("_named", "_name", "_block").orderBy("_order", id_col, size_col, *ties).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     rows = rows.withColumns({"_named": F.col("source").isNotNull(), "_name": F.coalesce("source", F.lit(""))})
     size = F.col(size_col)
     placed = rows.withColumn("_end", F.sum(size_col).over(own)).join(offsets, ["_named", "_name", "_block"])
@@ -89,7 +90,7 @@ def mix(df: DataFrame, id_col: str = "doc_id", size_col: str = "size", share: fl
     due = [due_time(begin.cast("double"), F.col("target"), F.col("_first"), F.col("_last")) for begin in rounds]
     passes = F.array(*[F.struct(words.alias("words"), when.alias("position")) for words, when in zip(takes, due, strict=True)])
     placed = placed.withColumns({"taken": sum(takes[1:], takes[0]), "position": due[0], "passes": F.filter(passes, lambda p: p["words"] > 0)})
-    return placed.drop("_named", "_name", "_block", "_key", "_start", "_end", "_first", "_last")
+    return placed.drop("_named", "_name", "_block", "_order", "_start", "_end", "_first", "_last")
 
 
 def op5_curriculum(spark: SparkSession, sf_dir: str) -> DataFrame:
