@@ -178,14 +178,45 @@ def test_next_rows_with_ties_and_nulls(spark):
     assert fingerprints.with_next(one, "k", ["v"], {"v": "n"}).first().n == "x"
 
 
-def test_bpe_with_a_small_dictionary(spark):
-    vocabulary = bpe.default_vocabulary()
-    texts = [(1, "unfathomable gibberishness zzzzqqqq zzzzqqqq", "keep"), (2, None, None), (3, "x" * 400, "")]
-    df = spark.createDataFrame(texts, "doc_id long, text string, ids_note string")
-    out = bpe.decode(bpe.encode(df, "text", "ids", vocabulary, most=1), "ids", "raw", vocabulary)
+def _as_tiktoken(texts):
+    import public_tokenizers
+    import tiktoken
+
+    encoding = tiktoken.Encoding("b", pat_str=public_tokenizers.PATTERN, mergeable_ranks=bpe.load_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken")), special_tokens={})
+    return [encoding.encode_ordinary(t or "") for t in texts]
+
+
+def _bpe_ids(spark, texts, partitions=2):
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(partitions)
+    return [r.ids for r in bpe.encode(df, "text", "ids", bpe.default_vocabulary()).orderBy("doc_id").collect()]
+
+
+def test_bpe_as_tiktoken(spark, monkeypatch):
+    """Words met again after they were forgotten, and words above and below LONG_WORD."""
+    monkeypatch.setattr(bpe, "WORDS_HELD", 5)
+    monkeypatch.setattr(bpe, "ROWS", 3)
+    random.seed(6)
+    word = lambda n, letters: "".join(random.choice(letters) for _ in range(n))
+    texts = [" ".join(word(random.choice([3, 9, 30, 47, 48, 49, 90, 300]), "abcdefghijklmnopqrstuvwxyz" if k % 2 else "aeinrst") for _ in range(8)) for k in range(30)]
+    texts += [None, "", "a" * 400, "ab" * 150, "漢字かな交じり文" * 40, "naïve " * 30, "\u00a0\u2003x \r\n\n  y"] + texts[:5]
+    assert _bpe_ids(spark, texts) == _as_tiktoken(texts)
+
+
+def test_bpe_long_words(spark):
+    """As tiktoken; the work of a word grows far less than with the square of its bytes."""
+    random.seed(7)
+    texts = ["".join(random.choice("etaoinshrdlu") for _ in range(4_000)), "ha" * 50_000, "z" * 100_000]
+    assert _bpe_ids(spark, texts, 3) == _as_tiktoken(texts)
+
+
+def test_bpe_keeps_other_columns(spark):
+    rows = [(1, "unfathomable zzzzqqqq zzzzqqqq", "keep", 5), (2, None, None, 6), (3, "x" * 400, "", 7)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, words string, places int")
+    out = bpe.decode(bpe.encode(df, "text", "ids", bpe.default_vocabulary()), "ids", "raw", bpe.default_vocabulary())
+    assert out.columns == ["doc_id", "text", "words", "places", "ids", "raw"]
     got = {r.doc_id: r for r in out.collect()}
-    assert {k: bytes(r.raw).decode() for k, r in got.items()} == {1: texts[0][1], 2: "", 3: texts[2][1]}
-    assert got[1].ids_note == "keep" and got[2].ids == []
+    assert {k: bytes(r.raw).decode() for k, r in got.items()} == {1: rows[0][1], 2: "", 3: rows[2][1]}
+    assert got[1].words == "keep" and got[2].places == 6 and got[2].ids == []
 
 
 def test_toxicity_learns_words_and_stems(spark):

@@ -5,10 +5,9 @@ leftmost first, until none has a rank. The ranks are a literal map from pairs of
 the id of the merged piece (its rank), laid out as a two-place hash table, as Spark scans
 its own map type from the start at each lookup.
 
-Words are folded once if they are distinct words of the dictionary: the pieces that are
-words themselves and the corpus's most frequent words. Words outside it are folded once
-for each document that has them. Arrow stages around the fold replace words by their
-places in the dictionary and put the ids together. Decoding concatenates binary pieces.
+The distinct words of a partition are folded once each; pieces that are words themselves
+are known beforehand. Arrow stages around the fold number the words and put the ids
+together. Decoding concatenates binary pieces.
 """
 
 from __future__ import annotations
@@ -29,8 +28,12 @@ from .common import documents
 
 #: White space as the tokenizer's pattern means it (Unicode's White_Space).
 _SPACE = r"\x09-\x0D\x20\x85\xA0  -     　"
-#: The distinct words kept with their ids; others are folded again at each place.
-DICTIONARY_WORDS = 150_000
+#: Longest word, in bytes, of which a step of the fold merges one pair.
+LONG_WORD = 48
+#: Distinct words that a task keeps at a time beside the pieces; then it begins anew.
+WORDS_HELD = 400_000
+#: Rows of a slice.
+ROWS = 1000
 
 
 def java_pattern(pattern: str) -> str:
@@ -126,62 +129,75 @@ def _lookup(keys: Column, values: Column, size: int, key: Column) -> Column:
 def fold_merges(word: Column, tables: Column, pairs: int) -> Column:
     """The ids of one word: its bytes' ids with the pair of lowest rank merged, again and again.
 
-    ranks has the rank of each pair of neighbours, null where there is none, and a null at
-    either end; a merge looks up only the two pairs that it makes."""
+    The state has the ids, the rank of each pair of neighbours (null where there is none, and
+    a null at either end) and the lowest of these. Of a short word a step merges the leftmost
+    pair of lowest rank and looks up the two pairs that it makes. Of a long word a step merges
+    all pairs of that rank, so that there are as many steps as ranks met, not as bytes."""
     latin = F.split(F.decode(F.encode(word, "UTF-8"), "ISO-8859-1"), "")
     pieces = F.transform(latin, lambda c: F.get(tables["bytes"], F.ascii(c)))
     nothing = F.array(F.lit(None).cast("int"))
 
+    def key(a: Column, b: Column) -> Column:
+        return F.shiftleft(a.cast("long"), 20).bitwiseOR(b.cast("long"))
+
+    def found(k: Column) -> Column:
+        return _lookup(tables["pair"], tables["rank"], pairs, k)
+
     def rank(a: Column, b: Column) -> Column:
-        return _bind(F.shiftleft(a.cast("long"), 20).bitwiseOR(b.cast("long")), lambda k: _lookup(tables["pair"], tables["rank"], pairs, k))
+        return _bind(key(a, b), found)
+
+    def state_of(ids: Column, ranks: Column) -> Column:
+        return F.struct(ids.alias("ids"), ranks.alias("ranks"), F.array_min(ranks).alias("lowest"))
 
     def start(ids: Column) -> Column:
         n = F.size(ids)
-        neighbours = F.zip_with(F.slice(ids, F.lit(1), n - 1), F.slice(ids, F.lit(2), n), lambda a, b: F.shiftleft(a.cast("long"), 20).bitwiseOR(b.cast("long")))
-        ranks = F.transform(neighbours, lambda k: _lookup(tables["pair"], tables["rank"], pairs, k))
-        return F.struct(ids.alias("ids"), F.concat(nothing, ranks, nothing).alias("ranks"))
+        neighbours = F.zip_with(F.slice(ids, F.lit(1), n - 1), F.slice(ids, F.lit(2), n), key)
+        return _bind(F.concat(nothing, F.transform(neighbours, found), nothing), lambda ranks: state_of(ids, ranks))
 
-    def merged(state: Column, lowest: Column, at: Column) -> Column:
-        ids, ranks = state["ids"], state["ranks"]
-        new = F.concat(F.slice(ids, F.lit(1), at - 2), F.array(lowest), F.slice(ids, at + 1, F.size(ids)))
-        around = F.array(rank(F.get(ids, at - 3), lowest), rank(lowest, F.get(ids, at)))
-        return F.struct(new.alias("ids"), F.concat(F.slice(ranks, F.lit(1), at - 2), around, F.slice(ranks, at + 2, F.size(ranks))).alias("ranks"))
+    def merge_one(state: Column) -> Column:
+        ids, ranks, lowest = state["ids"], state["ranks"], state["lowest"]
 
-    def step(state: Column, _: Column) -> Column:
-        lowest = F.array_min(state["ranks"])
-        return _bind(lowest, lambda m: F.when(m.isNull(), state).otherwise(_bind(F.array_position(state["ranks"], m).cast("int"), lambda at: merged(state, m, at))))
+        def merged(at: Column) -> Column:
+            new = F.concat(F.slice(ids, F.lit(1), at - 2), F.array(lowest), F.slice(ids, at + 1, F.size(ids)))
+            around = F.array(rank(F.get(ids, at - 3), lowest), rank(lowest, F.get(ids, at)))
+            return _bind(F.concat(F.slice(ranks, F.lit(1), at - 2), around, F.slice(ranks, at + 2, F.size(ranks))), lambda r: state_of(new, r))
 
-    return F.aggregate(F.sequence(F.lit(1), F.octet_length(word)), _bind(pieces, start), step, lambda state: state["ids"])
+        return _bind(F.array_position(ranks, lowest).cast("int"), merged)
 
+    def merge_all(state: Column) -> Column:
+        """Of overlapping pairs the leftmost, as one by one. Should a merge make a pair of
+        lower rank, which would then be next, only one is merged."""
+        ids, ranks, lowest = state["ids"], state["ranks"], state["lowest"]
+        marks = F.array_join(F.transform(ranks, lambda r: F.when(r == lowest, "1").otherwise("0")), "")
+        # marks[i] is of the pair that ends at ids[i].
+        chosen = F.split(F.regexp_replace(marks, "11", "12"), "")
 
-def words_of(text: Column, vocabulary: Vocabulary) -> Column:
-    return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(vocabulary.pattern), F.lit(0))
+        def merged(c: Column) -> Column:
+            new = F.transform(ids, lambda x, i: F.when(F.get(c, i + 1) == "1", lowest).when(F.get(c, i) != "1", x))
+            between = F.exists(F.transform(ids, lambda x, i: F.when(F.get(c, i - 1) == "1", rank(lowest, x))), lambda r: r < lowest)
+            return _bind(start(F.filter(new, lambda x: x.isNotNull())), lambda s: F.when((s["lowest"] < lowest) | F.coalesce(between, F.lit(False)), merge_one(state)).otherwise(s))
 
+        return _bind(chosen, merged)
 
-class Dictionary:
-    """Words and the ids of each, as tasks get them."""
+    def step(merge: Callable[[Column], Column]) -> Callable[[Column, Column], Column]:
+        return lambda state, _: F.when(state["lowest"].isNull(), state).otherwise(merge(state))
 
-    def __init__(self, ids: dict[str, list[int]]):
-        self.words = pa.array(list(ids), pa.string())
-        self.sizes = np.array([len(x) for x in ids.values()], np.int64)
-        self.ids = np.array([i for x in ids.values() for i in x], np.int32)
+    size = F.octet_length(word)
+    # Each step copies the state, so of a long word steps left over are skipped by rounds.
+    rounds = F.sequence(F.lit(1), F.ceil(F.sqrt(size)).cast("int"))
+    short = F.aggregate(F.sequence(F.lit(1), size), _bind(pieces, start), step(merge_one), lambda state: state["ids"])
+    long = F.aggregate(rounds, _bind(pieces, start), step(lambda state: F.aggregate(rounds, state, step(merge_all))), lambda state: state["ids"])
+    return F.when(size <= LONG_WORD, short).otherwise(long)
 
 
-def frequent_words(df: DataFrame, text: str, vocabulary: Vocabulary, most: int = DICTIONARY_WORDS) -> Dictionary:
-    """The pieces that are words, and the most frequent distinct words of df, at most so
-    many, folded in Spark. All words of all rows are counted; ties go by the word."""
-    counted = df.select(F.explode(words_of(F.col(text), vocabulary)).alias("word")).groupBy("word").agg(F.count("*").alias("n"))
-    top = counted.filter(F.col("n") > 1).orderBy(F.desc("n"), "word").limit(most).select("word")
-    size = len(vocabulary.pairs)
-    found = _with_tables(top.repartition("word"), vocabulary.literal(df.sparkSession), "ids", lambda t: fold_merges(F.col("word"), t, size)).toArrow()
-    folded = dict(zip(found["word"].to_pylist(), found["ids"].to_pylist(), strict=True))
-    return Dictionary({**folded, **vocabulary.word_tokens()})
+def words_of(text: Column, vocabulary: Vocabulary) -> Column:
+    return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(vocabulary.pattern), F.lit(0))
 
 
-def _per_slice(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
+def _per_slice(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for at in range(0, batch.num_rows, rows):
-            yield batch.slice(at, rows)
+        for at in range(0, batch.num_rows, ROWS):
+            yield batch.slice(at, ROWS)
 
 
 def _flat(column: pa.Array) -> tuple[pa.Array, np.ndarray]:
@@ -194,51 +210,122 @@ def _lists(offsets: np.ndarray, values: pa.Array) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), values)
 
 
-def encode(df: DataFrame, text: str, ids: str, vocabulary: Vocabulary, most: int = DICTIONARY_WORDS, keep_text: bool = True) -> DataFrame:
-    """df with the ids of the text, an array of ints; of a null or empty text, an empty array."""
-    shared = df.sparkSession.sparkContext.broadcast(frequent_words(df, text, vocabulary, most))
-    rest = [c for c in df.columns if c != ids and (keep_text or c != text)]
-    held = df.select(*[F.col(f"`{c}`") for c in rest], words_of(F.col(text), vocabulary).alias("_words"))
+class _Numbers:
+    """Numbers of words: those of pieces first, then others in the order they are met. At
+    most WORDS_HELD others are known at a time; least is the first of them that still is."""
+
+    def __init__(self, pieces: list[str]):
+        self.pieces = {word: i for i, word in enumerate(pieces)}
+        self.next = self.least = len(pieces)
+        self.others: dict[str, int] = {}
+
+    def of(self, words: list[str]) -> tuple[np.ndarray, list[str]]:
+        """The numbers of distinct words, and those of them that are new."""
+        if len(self.others) > WORDS_HELD:
+            self.others, self.least = {}, self.next
+        out, new = np.empty(len(words), np.int64), []
+        for k, word in enumerate(words):
+            number = self.pieces.get(word)
+            if number is None:
+                number = self.others.get(word)
+                if number is None:
+                    number = self.others[word] = self.next
+                    self.next += 1
+                    new.append(word)
+            out[k] = number
+        return out, new
+
+
+class _Folded:
+    """Ids of numbered words, as they come folded."""
+
+    def __init__(self, piece_ids: np.ndarray):
+        self.pieces = piece_ids
+        self.least = len(piece_ids)  # number of the first word held beside the pieces
+        self.sizes, self.ids = np.zeros(0, np.int64), np.zeros(0, np.int32)
+
+    def add(self, sizes: np.ndarray, ids: np.ndarray) -> None:
+        self.sizes, self.ids = np.r_[self.sizes, sizes], np.r_[self.ids, ids]
+
+    def forget(self, least: int) -> None:
+        gone = least - self.least
+        if gone > 0:
+            self.ids, self.sizes, self.least = self.ids[self.sizes[:gone].sum() :], self.sizes[gone:], least
+
+    def of(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The words' ids end to end, and where each word's begin."""
+        k = len(self.pieces)
+        place = np.where(numbers < k, numbers, numbers - self.least + k)
+        sizes = np.r_[np.ones(k, np.int64), self.sizes]
+        begins = np.cumsum(sizes) - sizes
+        n = sizes[place]
+        ends = np.r_[0, np.cumsum(n)]
+        ids = np.r_[self.pieces, self.ids]
+        return ids[np.repeat(begins[place] - ends[:-1], n) + np.arange(ends[-1])], ends
+
+
+Body = Callable[[pa.RecordBatch, pa.Array, np.ndarray], pa.RecordBatch]
+
+
+def _encoded(df: DataFrame, text: str, vocabulary: Vocabulary, body: Body, schema: str) -> DataFrame:
+    """What body makes of slices of df: their other columns, and the ids of all texts end to
+    end with where each text's begin.
+
+    A task gives each distinct word it meets a number and sends it to be folded with the
+    first slice that has it; behind the fold the ids are kept by number. So a word is folded
+    once for each partition, whatever the number of its documents, and nothing is shuffled."""
+    rest = [c for c in df.columns if c != text]
+    names = [f"c{k}" for k in range(len(rest))]  # whatever df's columns are called
+    held = df.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(rest, names, strict=True)], words_of(F.col(f"`{text}`"), vocabulary).alias("words"))
     width, size = len(rest), len(vocabulary.pairs)
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in held.drop("_words").schema)
+    single = vocabulary.word_tokens()
+    shared = df.sparkSession.sparkContext.broadcast((list(single), np.array([i for (i,) in single.values()], np.int32)))
 
-    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Places in the dictionary; -1, -2, ... are places in the document's other words."""
-        known = shared.value
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        numbers = _Numbers(shared.value[0])
         for batch in _per_slice(batches):
             words, at = _flat(batch.column(width))
-            places = pc.fill_null(pc.index_in(words, value_set=known.words), -1).to_numpy(zero_copy_only=False).astype(np.int64)
-            other = np.flatnonzero(places < 0)
-            coded = words.take(pa.array(other)).dictionary_encode()
-            doc = np.searchsorted(at, other, side="right") - 1
-            key = doc * (len(coded.dictionary) + 1) + np.asarray(coded.indices, np.int64)
-            once, first, back = np.unique(key, return_index=True, return_inverse=True)
-            owner = doc[first]
-            begins = np.searchsorted(owner, np.arange(batch.num_rows + 1))
-            places[other] = -1 - (back - begins[doc])
-            rare = coded.dictionary.take(pa.array(np.asarray(coded.indices)[first]))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:width], _lists(at, pa.array(places.astype(np.int32))), _lists(begins, rare)], [*rest, "_places", "_rare"])
+            coded = words.dictionary_encode()
+            of_word, new = numbers.of(coded.dictionary.to_pylist())
+            places = of_word[np.asarray(coded.indices)] if len(words) else np.zeros(0, np.int64)
+            first = np.full(batch.num_rows + 1, len(new), np.int32)
+            first[0] = 0  # a slice's new words go with its first row
+            least = np.full(batch.num_rows, numbers.least, np.int64)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:width], _lists(at, pa.array(places)), _lists(first, pa.array(new, pa.string())), pa.array(least)], [*names, "places", "new", "least"])
 
     def assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = shared.value
-        for batch in _per_slice(batches):
-            places, at = _flat(batch.column(width))
-            folded, of_doc = _flat(batch.column(width + 1))
-            values, edges = _flat(folded)
-            doc = np.repeat(np.arange(batch.num_rows), np.diff(at))
-            places = places.to_numpy(zero_copy_only=False).astype(np.int64)
-            word = np.where(places >= 0, places, len(known.sizes) + of_doc[doc] - 1 - places)
-            sizes = np.r_[known.sizes, np.diff(edges)]
-            ids_of = np.r_[known.ids, values.to_numpy(zero_copy_only=False)]
-            begins = (np.cumsum(sizes) - sizes)[word]
-            n = sizes[word]
-            ends = np.r_[0, np.cumsum(n)]
-            out = ids_of[np.repeat(begins - ends[:-1], n) + np.arange(ends[-1])].astype(np.int32)
-            yield pa.RecordBatch.from_arrays([*batch.columns[:width], _lists(ends[at], pa.array(out))], [*rest, ids])
-
-    placed = held.mapInArrow(place, ", ".join([*([fields] if fields else []), "_places array<int>, _rare array<string>"]))
-    folded = _with_tables(placed, vocabulary.literal(df.sparkSession), "_folded", lambda t: F.transform("_rare", lambda w: fold_merges(w, t, size))).drop("_rare")
-    return folded.mapInArrow(assemble, f"{fields}, `{ids}` array<int>")
+        known = _Folded(shared.value[1])
+        for batch in batches:
+            lists, _ = _flat(batch.column(width + 2))
+            ids, edges = _flat(lists)
+            known.add(np.diff(edges), ids.to_numpy(zero_copy_only=False))
+            for part in _per_slice([batch]):
+                numbers, at = _flat(part.column(width))
+                out, ends = known.of(numbers.to_numpy(zero_copy_only=False))
+                rows = pa.RecordBatch.from_arrays(part.columns[:width], rest)
+                yield body(rows, pa.array(out.astype(np.int32)), ends[at])
+            known.forget(int(np.asarray(batch.column(width + 1))[-1]))
+
+    fields = [f"{n} {held.schema[n].dataType.simpleString()}" for n in names]
+    placed = held.mapInArrow(number, ", ".join([*fields, "places array<long>", "new array<string>", "least long"]))
+    folded = _with_tables(placed, vocabulary.literal(df.sparkSession), "folded", lambda t: F.transform("new", lambda w: fold_merges(w, t, size))).drop("new")
+    return folded.mapInArrow(assemble, schema)
+
+
+def encode(df: DataFrame, text: str, ids: str, vocabulary: Vocabulary, keep_text: bool = True) -> DataFrame:
+    """df with the ids of the text, an array of ints; of a null or empty text, an empty array.
+    A column of that name is replaced, all others keep their names."""
+    rest = [c for c in df.columns if c != ids and (keep_text or c != text)]
+    own = "text"
+    while own in rest:
+        own += "_"
+    work = df.select(*[F.col(f"`{c}`") for c in rest], F.col(f"`{text}`").alias(own))
+    schema = ", ".join([*[f"`{f.name}` {f.dataType.simpleString()}" for f in work.schema[:-1]], f"`{ids}` array<int>"])
+
+    def body(rows: pa.RecordBatch, values: pa.Array, begins: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([*rows.columns, _lists(begins, values)], [*rest, ids])
+
+    return _encoded(work, own, vocabulary, body, schema)
 
 
 def _decoded(ids: pa.Array, begins: np.ndarray, pieces: pa.Array) -> pa.Array:
@@ -272,18 +359,16 @@ def default_vocabulary() -> Vocabulary:
 def digest(df: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256) of df (doc_id, text): encoded, and the
     ids decoded again."""
-    encoded = encode(df.select("doc_id", "text"), "text", "ids", vocabulary, keep_text=False)
     shared = df.sparkSession.sparkContext.broadcast(vocabulary.pieces)
+    names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
 
-    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def hashed(rows: pa.RecordBatch, ids: pa.Array, begins: np.ndarray) -> pa.RecordBatch:
         pieces = pa.array(shared.value, pa.binary())
-        for batch in _per_slice(batches):
-            ids, begins = _flat(batch.column(1))
-            written = pc.binary_join(_lists(begins, pc.cast(ids, pa.string())), " ")
-            columns = [pa.array([hashlib.sha256(x.as_buffer()).hexdigest() for x in c], pa.string()) for c in (written, _decoded(ids, begins, pieces))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.diff(begins), pa.int64()), *columns], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+        written = pc.binary_join(_lists(begins, pc.cast(ids, pa.string())), " ")
+        columns = [pa.array([hashlib.sha256(x.as_buffer()).hexdigest() for x in c], pa.string()) for c in (written, _decoded(ids, begins, pieces))]
+        return pa.RecordBatch.from_arrays([rows.column(0), pa.array(np.diff(begins), pa.int64()), *columns], names)
 
-    return encoded.mapInArrow(hashed, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return _encoded(df.select("doc_id", "text"), "text", vocabulary, hashed, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
