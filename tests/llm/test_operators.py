@@ -3,11 +3,13 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from wayfare.llm import bpe, components, fingerprints, jaccard, mixing, sharding, substring, suffixes, tiff, toxicity, wordpiece
-from wayfare.llm.common import Roller, Texts, cut, sliding_min
+from wayfare.llm import bpe, components, fingerprints, jaccard, mixing, sharding, sketch, substring, suffixes, tiff, toxicity, wordpiece
+from wayfare.llm.common import Texts, byte_grams, cut, gram_hashes, sliding_min, span_hashes, two_smallest
+from wayfare.llm.packs import meet
 
 from .test_queries import components as brute_components
 
@@ -26,13 +28,25 @@ def test_two_stage_order(letters, size):
         assert prefixes[k] == n
 
 
-def test_heavy_anchors_are_split(spark, monkeypatch):
-    monkeypatch.setattr("wayfare.llm.sketch.HEAVY", 5)
-    monkeypatch.setattr("wayfare.llm.sketch.HEAVY_IN_PART", 1)
+def starts_found(df, found):
+    """(id, start) of all windows of found, which is of df's packs."""
+
+    def task(pack, data):
+        doc, first, last = substring.unpacked_runs(data)
+        yield pa.RecordBatch.from_arrays([pa.array(pack.texts.ids[doc]), pa.array(first), pa.array(last)], ["id", "first", "last"])
+
+    rows = meet(df, found, task, "id long, first long, last long", suffixes.PACK_BYTES).collect()
+    return {(r.id, k) for r in rows for k in range(r["first"], r["last"] + 1)}
+
+
+@pytest.mark.parametrize("heavy,pack", [(5, 1 << 20), (5, 2000), (1000, 700)])
+def test_heavy_anchors_are_split(spark, monkeypatch, heavy, pack):
+    monkeypatch.setattr("wayfare.llm.sketch.HEAVY", heavy)
+    monkeypatch.setattr(suffixes, "PACK_BYTES", pack)
     line = "".join(chr(97 + (k * k) % 26) for k in range(130))
     texts = [f"{i}" * 40 + line + f"{i + 1}" * 40 for i in range(40)]
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
-    got = {(r.id, k) for r in suffixes.repeated_runs(df).collect() for k in range(r["first"], r["last"] + 1)}
+    got = starts_found(df, suffixes.repeated_runs(df))
     seen, want = set(), set()
     for i, t in enumerate(texts):
         for k in range(len(t) - 99):
@@ -42,13 +56,73 @@ def test_heavy_anchors_are_split(spark, monkeypatch):
     assert got == want and want
 
 
-def test_hash_rolls_and_minima():
-    codes = np.arange(1, 200, dtype=np.uint64) % np.uint64(7)
-    r = Roller(codes)
-    assert r.ranges(np.array([0]), np.array([7]))[0] == r.ranges(np.array([7]), np.array([14]))[0]
-    assert (r.grams(5) == r.ranges(np.arange(195), np.arange(195) + 5)).all()
-    x = np.random.default_rng(1).integers(0, 1000, 300).astype(np.uint64)
-    assert all((sliding_min(x, w) == [x[i : i + w].min() for i in range(300 - w + 1)]).all() for w in (1, 2, 7, 64))
+def test_packs_of_a_changed_table(spark):
+    df = spark.createDataFrame([(1, "a b " * 30), (2, "c d " * 30)], "doc_id long, text string").coalesce(1)
+    other = spark.createDataFrame([(1, "a b " * 30), (2, "c d " * 31)], "doc_id long, text string").coalesce(1)
+    with pytest.raises(Exception, match="in another order"):
+        meet(df, substring.repeated_runs(other), lambda pack, data: iter([pack.batch]), df.schema, 1 << 20).collect()
+
+
+def thue_morse(n):
+    a, b = "a", "b"
+    for _ in range(n):
+        a, b = a + b, b + a
+    return a, b
+
+
+def test_hashes_and_minima():
+    words = [w.encode() for w in (*thue_morse(12), "a", "b", "ab", "ba", "a" * 8, "a" * 9, "", "12345678", "123456789", "1234567812345678")]
+    data = np.frombuffer(b" ".join([*words, *words]), np.uint8)
+    sizes = np.array([len(w) for w in [*words, *words]])
+    ends = np.cumsum(sizes + 1) - 1
+    for seed in (0, 1):
+        h = span_hashes(data, ends - sizes, ends, seed)
+        assert (h[: len(words)] == h[len(words) :]).all() and len(set(h.tolist())) == len(words)
+    codes = np.random.default_rng(2).integers(0, 2, 400).astype(np.uint64)
+    for k in (1, 2, 3, 5, 8, 20):
+        found = {}
+        for i, g in enumerate(gram_hashes(codes, k).tolist()):
+            assert found.setdefault(tuple(codes[i : i + k].tolist()), g) == g
+        assert len(set(found.values())) == len(found)
+    raw = np.random.default_rng(3).integers(97, 99, 3000).astype(np.uint8)
+    for k in (8, 12, 24, 100):
+        found = {}
+        for i, g in enumerate(byte_grams(raw, k).tolist()):
+            assert found.setdefault(raw[i : i + k].tobytes(), g) == g
+        assert len(set(found.values())) == len(found)
+    x = np.random.default_rng(1).integers(0, 40, 300).astype(np.uint64)
+    for w in (1, 2, 7, 64):
+        assert (sliding_min(x, w) == [x[i : i + w].min() for i in range(300 - w + 1)]).all()
+        for i, (a, b) in enumerate(zip(*two_smallest(x, w))):
+            others = sorted(set(x[i : i + w].tolist()))
+            assert a == others[0] and b == (others[1] if len(others) > 1 else 2**64 - 1)
+
+
+def test_estimates_are_never_too_low():
+    rng = np.random.default_rng(5)
+    packs = [np.unique(rng.integers(0, 30_000, 5000).astype(np.uint64)) for _ in range(10)]
+    keys, n = np.unique(np.concatenate(packs), return_counts=True)
+    true = dict(zip(keys.tolist(), n.tolist()))
+    found = sketch.merged([sketch._cells(k) for k in packs], [np.ones(len(k), np.uint8) for k in packs])
+    got = {k: e for pack, part in zip(packs, found) for k, e in zip(pack.tolist(), part.tolist())}
+    assert all(got[k] >= n for k, n in true.items())
+    # At ten and more times the keys the share of unique ones that pass stays the same.
+    for size in (20_000, 400_000):
+        unique = np.arange(size).astype(np.uint64)
+        assert (sketch.merged([sketch._cells(unique)], [np.ones(size, np.uint8)])[0] > 1).mean() < 0.06
+
+
+def test_colliding_words_are_told_apart(spark):
+    a, b = thue_morse(12)
+    tail = " ".join(f"w{k}" for k in range(19))
+    df = spark.createDataFrame([(1, f"{a} {tail}"), (2, f"{b} {tail}"), (3, f"{a} {tail}")], "doc_id long, text string").coalesce(2)
+    assert [r.text for r in substring.dedup(df).orderBy("doc_id").collect()] == [f"{a} {tail}", f"{b} {tail}", ""]
+    one, two = (spark.createDataFrame([(1, a), (2, b), (3, f"{a} {tail}"), (4, f"{b} {tail}")], "doc_id long, text string") for _ in range(2))
+    assert sorted(r.component_id for r in jaccard.components(one, 3, 90, 100).collect()) == [1, 2, 3, 4]
+    pieces = wordpiece.pieces_of(bpe.load_ranks(wordpiece.vocabulary_path()))
+    counts = {r.doc_id: r.n_tokens for r in wordpiece.token_counts(two, pieces).collect()}
+    alone = {r.doc_id: r.n_tokens for k in (1, 2) for r in wordpiece.token_counts(two.filter(f"doc_id = {k}"), pieces).collect()}
+    assert counts[1] == alone[1] and counts[2] == alone[2]
 
 
 def test_dedup_keeps_other_columns_and_nulls(spark, corpus):

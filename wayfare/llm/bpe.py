@@ -194,10 +194,10 @@ def words_of(text: Column, vocabulary: Vocabulary) -> Column:
     return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(vocabulary.pattern), F.lit(0))
 
 
-def _per_slice(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _per_slice(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for at in range(0, batch.num_rows, ROWS):
-            yield batch.slice(at, ROWS)
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
 
 
 def _flat(column: pa.Array) -> tuple[pa.Array, np.ndarray]:
@@ -212,16 +212,17 @@ def _lists(offsets: np.ndarray, values: pa.Array) -> pa.ListArray:
 
 class _Numbers:
     """Numbers of words: those of pieces first, then others in the order they are met. At
-    most WORDS_HELD others are known at a time; least is the first of them that still is."""
+    most so many others are known at a time; least is the first of them that still is."""
 
-    def __init__(self, pieces: list[str]):
+    def __init__(self, pieces: list[str], most: int):
+        self.most = most
         self.pieces = {word: i for i, word in enumerate(pieces)}
         self.next = self.least = len(pieces)
         self.others: dict[str, int] = {}
 
     def of(self, words: list[str]) -> tuple[np.ndarray, list[str]]:
         """The numbers of distinct words, and those of them that are new."""
-        if len(self.others) > WORDS_HELD:
+        if len(self.others) > self.most:
             self.others, self.least = {}, self.next
         out, new = np.empty(len(words), np.int64), []
         for k, word in enumerate(words):
@@ -282,8 +283,8 @@ def _encoded(df: DataFrame, text: str, vocabulary: Vocabulary, body: Body, schem
     shared = df.sparkSession.sparkContext.broadcast((list(single), np.array([i for (i,) in single.values()], np.int32)))
 
     def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        numbers = _Numbers(shared.value[0])
-        for batch in _per_slice(batches):
+        numbers = _Numbers(shared.value[0], WORDS_HELD)
+        for batch in _per_slice(batches, ROWS):
             words, at = _flat(batch.column(width))
             coded = words.dictionary_encode()
             of_word, new = numbers.of(coded.dictionary.to_pylist())
@@ -299,7 +300,7 @@ def _encoded(df: DataFrame, text: str, vocabulary: Vocabulary, body: Body, schem
             lists, _ = _flat(batch.column(width + 2))
             ids, edges = _flat(lists)
             known.add(np.diff(edges), ids.to_numpy(zero_copy_only=False))
-            for part in _per_slice([batch]):
+            for part in _per_slice([batch], ROWS):
                 numbers, at = _flat(part.column(width))
                 out, ends = known.of(numbers.to_numpy(zero_copy_only=False))
                 rows = pa.RecordBatch.from_arrays(part.columns[:width], rest)
@@ -342,7 +343,7 @@ def decode(df: DataFrame, ids: str, out: str, vocabulary: Vocabulary) -> DataFra
 
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = pa.array(shared.value, pa.binary())
-        for batch in _per_slice(batches):
+        for batch in _per_slice(batches, ROWS):
             yield pa.RecordBatch.from_arrays([*batch.columns, _decoded(*_flat(batch.column(at)), pieces)], names)
 
     return kept.mapInArrow(join, kept.withColumn(out, F.lit(b"")).schema)

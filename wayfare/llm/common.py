@@ -97,40 +97,51 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
-BASE_INV = np.uint64(pow(int(BASE), -1, 1 << 64))
-BASE2 = np.uint64(0xD6E8FEB86659FD93 | 1)
-BASE2_INV = np.uint64(pow(int(BASE2), -1, 1 << 64))
-BYTE_CODES = mix64(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-
-
-def powers(base: np.uint64, n: int) -> np.ndarray:
-    """base ** 0 .. base ** n modulo 2 ** 64."""
-    out = np.full(n + 1, base, np.uint64)
-    out[0] = 1
-    with np.errstate(over="ignore"):
-        return np.multiply.accumulate(out)
-
-
-class Roller:
-    """Hashes of any range of a sequence of uint64 codes: a polynomial over prefix sums."""
-
-    def __init__(self, codes: np.ndarray, base: np.uint64 = BASE, inverse: np.uint64 = BASE_INV):
-        n = len(codes)
-        self.sums = np.zeros(n + 1, np.uint64)
-        if n:
-            np.cumsum(codes * powers(base, n - 1), out=self.sums[1:])
-        self.inverse = powers(inverse, n)
-
-    def ranges(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        return mix64((self.sums[ends] - self.sums[starts]) * self.inverse[starts])
-
-    def grams(self, k: int) -> np.ndarray:
-        """Hashes of all ranges of length k; empty if the sequence is shorter."""
-        n = len(self.sums) - 1
-        if n < k:
-            return np.zeros(0, np.uint64)
-        return mix64((self.sums[k:] - self.sums[: n - k + 1]) * self.inverse[: n - k + 1])
+#: Two ways to hash the same bytes, for 128 bits of them.
+SEEDS = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93))
+_LEFT = np.uint64(0xC2B2AE3D27D4EB4F)
+_MASKS = np.array([(1 << (8 * k)) - 1 for k in range(9)], np.uint64)
+
+
+def eights(data: np.ndarray) -> np.ndarray:
+    """The 8 bytes from each byte on as one number, and one more entry for the end; what is
+    past the end counts as bytes 0."""
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    return np.ndarray(len(data) + 1, np.dtype("<u8"), padded, strides=(1,))
+
+
+def joined(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Hashes of sequences from those of their two parts. Mixing between the parts keeps
+    texts built of repeated parts from meeting, as they do in a polynomial modulo 2 ** 64."""
+    return mix64(left * _LEFT + right)
+
+
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int = 0) -> np.ndarray:
+    """A hash of data[start : end] for each span, eight bytes a step for all spans at once."""
+    size, from_here = ends - starts, eights(data)
+    out = mix64(size.astype(np.uint64) ^ SEEDS[seed])
+    left, step = np.flatnonzero(size > 0), 0
+    while len(left):
+        part = from_here[starts[left] + step] & _MASKS[np.minimum(size[left] - step, 8)]
+        out[left] = joined(out[left], part)
+        step += 8
+        left = left[size[left] > step]
+    return out
+
+
+def gram_hashes(codes: np.ndarray, k: int) -> np.ndarray:
+    """Hashes of all ranges of k successive codes; empty if there are fewer."""
+    n = len(codes) - k + 1
+    if n <= 0:
+        return np.zeros(0, np.uint64)
+    out, level, span, done = None, codes, 1, 0
+    while True:
+        if k & span:
+            part = level[done : done + n]
+            out, done = (part if out is None else joined(out, part)), done + span
+        if done == k:
+            return mix64(out ^ np.uint64(k))
+        level, span = joined(level[:-span], level[span:]), 2 * span
 
 
 def word_spans(texts: Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -152,6 +163,24 @@ def word_spans(texts: Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return starts, stops, np.searchsorted(starts, texts.starts)
 
 
+def equal_words(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Positions of one of each word among the spans data[start : end], which are in order and
+    apart, and for each span its word's number among these. Words are told apart by their bytes."""
+    n = len(starts)
+    if not n:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    edges = np.zeros(len(data) + 1, np.int8)
+    edges[starts] += 1
+    edges[ends] -= 1
+    held = np.ascontiguousarray(data[np.cumsum(edges[:-1], dtype=np.int8) > 0])
+    offsets = np.r_[0, np.cumsum(ends - starts)].astype(np.int32)
+    coded = pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer(offsets), pa.py_buffer(held)]).dictionary_encode()
+    number = np.asarray(coded.indices).astype(np.int64)
+    first = np.empty(len(coded.dictionary), np.int64)
+    first[number[::-1]] = np.arange(n - 1, -1, -1)
+    return first, number
+
+
 def sliding_min(values: np.ndarray, w: int) -> np.ndarray:
     """Minimum of each w successive values, in log2(w) passes."""
     n = len(values) - w + 1
@@ -160,3 +189,36 @@ def sliding_min(values: np.ndarray, w: int) -> np.ndarray:
         out = np.minimum(out[: len(out) - span], out[span:])
         span *= 2
     return np.minimum(out[:n], out[w - span : w - span + n])
+
+
+def two_smallest(values: np.ndarray, w: int) -> tuple[np.ndarray, np.ndarray]:
+    """The smallest of each w successive values, and the smallest other one among them (the
+    largest possible value where all are equal)."""
+    most = np.uint64(2**64 - 1)
+
+    def both(a: tuple, b: tuple) -> tuple[np.ndarray, np.ndarray]:
+        other = np.where(a[0] == b[0], most, np.maximum(a[0], b[0]))
+        return np.minimum(a[0], b[0]), np.minimum(np.minimum(a[1], b[1]), other)
+
+    n, span, out = len(values) - w + 1, 1, (values, np.full(len(values), most))
+    while span * 2 <= w:
+        out = both([x[: len(x) - span] for x in out], [x[span:] for x in out])
+        span *= 2
+    return both([x[:n] for x in out], [x[w - span : w - span + n] for x in out])
+
+
+def byte_grams(data: np.ndarray, k: int) -> np.ndarray:
+    """Hashes of all ranges of k successive bytes, k at least 8; empty if there are fewer."""
+    n = len(data) - k + 1
+    if n <= 0:
+        return np.zeros(0, np.uint64)
+    here = eights(data)[: len(data) - 7]
+    level, span, out, done = mix64(here ^ SEEDS[0]), 8, None, 0
+    while True:
+        if k // 8 & span // 8:
+            part = level[done : done + n]
+            out, done = (part if out is None else joined(out, part)), done + span
+        if done == k // 8 * 8:
+            break
+        level, span = joined(level[:-span], level[span:]), 2 * span
+    return joined(out, here[k - 8 : k - 8 + n]) if done < k else mix64(out)

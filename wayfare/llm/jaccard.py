@@ -9,7 +9,7 @@ count as small are those for which enumerating costs less than lists.
 The order has tokens first that a sketch says occur in one document: those cannot be
 shared and need no list. Others come by the number of sets that have them. Each set is compared
 with the most central of those that head its lists; lists that this leaves in more than
-one component are compared in full, block by block. So every pair of a list is linked,
+one component are compared in full, block by block, by their differences from a central set. So every pair of a list is linked,
 compared, or connected already, and a group of copies of one text needs about as many
 comparisons as it has members.
 """
@@ -22,20 +22,24 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import BYTE_CODES, NULL_ID, Roller, Texts, cut, documents, mix64, slices, word_spans
+from .common import NULL_ID, Texts, cut, documents, gram_hashes, mix64, span_hashes, word_spans
 from .components import connected_components
-from .sketch import Sketch, build
-
-SLICE_BYTES = 2 << 20
-#: Sets up to this size may count as small.
-MOST_SMALL = 40
-#: What comparing two sets of a list costs, in rows of an enumeration.
-COMPARE_COST = 16
+from .packs import Pack, meet
+from .sketch import Estimates, estimates, ranges_of
+
+PACK_BYTES = 2 << 20
+#: No set of which more subsets would have to be enumerated is small.
+SUBSETS_AT_MOST = 5000
+#: What scanning an entry of an inverted list costs, in rows of an enumeration.
+ENTRY_COST = 4
 #: Sets that meet as many others at once where all of a cluster are compared.
-BLOCK = 128
+BLOCK = 1024
+#: Pairs with one set on one side that meet in one place.
+STAR = 64
 _SECOND = np.uint64(0x6A09E667F3BCC909)
 
 
@@ -46,14 +50,16 @@ def shingles(texts: Texts, n: int) -> tuple[np.ndarray, np.ndarray]:
     upper = (data >= 65) & (data <= 90)
     data[upper] += 32
     starts, ends, first = word_spans(texts)
-    words = Roller(BYTE_CODES[data]).ranges(starts, ends) if len(starts) else np.zeros(0, np.uint64)
-    rolled = Roller(mix64(words ^ (ends - starts).astype(np.uint64)))
+    words = span_hashes(data, starts, ends)
     counts = np.diff(first)
     grams = np.where(counts >= n, counts - n + 1, np.minimum(counts, 1))
     doc = np.repeat(np.arange(len(counts)), grams)
     at = first[:-1][doc] + np.arange(len(doc)) - (np.cumsum(grams) - grams)[doc]
     length = np.minimum(counts, n)[doc]
-    hashes = mix64(rolled.ranges(at, at + length) ^ length.astype(np.uint64))
+    hashes = np.empty(len(doc), np.uint64)
+    for k in np.unique(length).tolist():
+        some = length == k
+        hashes[some] = gram_hashes(words, k)[at[some]]
     order = np.lexsort((hashes, doc))
     doc, hashes = doc[order], hashes[order]
     new = np.r_[True, (doc[1:] != doc[:-1]) | (hashes[1:] != hashes[:-1])] if len(doc) else np.zeros(0, bool)
@@ -76,13 +82,27 @@ def subsets(values: np.ndarray, num: int, den: int) -> Iterator[tuple[int, int,
             yield s - gone, (whole[0] - sum(a[i] for i in out)) & mask, (whole[1] - sum(b[i] for i in out)) & mask
 
 
-def boundary(sizes: dict[int, int], num: int, den: int) -> int:
-    """The largest size that counts as small: of all boundaries the one of least cost."""
-    best, gain, at = 0.0, 0.0, 0
-    for s in range(1, MOST_SMALL + 1):
-        enumerate_cost = sum(math.comb(s, j) for j in range((den - num) * s // den + 1))
-        gain += sizes.get(s, 0) * (prefix_size(s, num, den) * (1 + COMPARE_COST) - enumerate_cost)
-        if gain > best or (gain == best and not sizes.get(s, 0) and at == s - 1):
+def subset_count(size: int, num: int, den: int) -> int:
+    """How many subsets a set of that size enumerates."""
+    return sum(math.comb(size, j) for j in range((den - num) * size // den + 1))
+
+
+def most_enumerated(num: int, den: int) -> int:
+    """The largest size of which one set enumerates SUBSETS_AT_MOST subsets."""
+    size = 0
+    while size < SUBSETS_AT_MOST and subset_count(size + 1, num, den) <= SUBSETS_AT_MOST:
+        size += 1
+    return size
+
+
+def boundary(sizes: dict[int, tuple[int, int]], num: int, den: int) -> int:
+    """The largest size that counts as small: of all boundaries the one of least cost. sizes
+    has for each size the number of its sets and of the list entries that they would scan."""
+    best, gain, at = 0, 0, 0
+    for s in range(1, most_enumerated(num, den) + 1):
+        count, entries = sizes.get(s, (0, 0))
+        gain += entries * ENTRY_COST - count * subset_count(s, num, den)
+        if gain > best:
             best, at = gain, s
     return at
 
@@ -101,40 +121,38 @@ def _sets(df: DataFrame, n: int, num: int, den: int) -> DataFrame:
 
     The order of tokens: those below a hash that a sketch says are in one document, the
     others below it by how many sets have them, those above it by hash."""
-    below = np.int64(tested_below(num, den)).view(np.uint64)
-
-    def tested(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
-        for _, texts in slices(batches, SLICE_BYTES):
-            _, hashes = shingles(texts, n)
-            yield hashes[hashes <= below]
-
-    shared = df.sparkSession.sparkContext.broadcast(build(df, tested).packed())
-
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sketch = Sketch.unpacked(shared.value)
-        for batch, texts in slices(batches, SLICE_BYTES):
-            doc, hashes = shingles(texts, n)
-            size = np.bincount(doc, minlength=len(texts.ids))
-            first = np.r_[0, np.cumsum(size)]
-            kind = np.full(len(hashes), 2, np.int8)
-            low = np.flatnonzero(hashes <= below)
-            kind[low] = sketch.repeated(hashes[low])
-            order = np.lexsort((hashes, kind, doc))
-            rank, kind = np.arange(len(order)) - first[:-1][doc], kind[order]
-            prefix = prefix_size(size, num, den)
-            need = np.maximum(0, prefix - np.bincount(doc[kind == 0], minlength=len(size)))
-            chosen = order[(need > 0)[doc] & ((kind == 1) | ((kind == 2) & (rank < prefix[doc])))]
-            tokens = np.bincount(doc[chosen], minlength=len(size))
-            sums = [np.zeros(len(size), np.uint64) for _ in range(2)]
-            full = np.flatnonzero(size)
-            if len(full):
-                for out, values in zip(sums, (mix64(hashes), mix64(hashes ^ _SECOND)), strict=True):
-                    out[full] = np.add.reduceat(values, first[full])
-            held = [hashes[first[i] : first[i + 1]].tobytes() if tokens[i] or 0 < size[i] <= MOST_SMALL else None for i in range(len(size))]
-            lists = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(tokens)].astype(np.int32)), pa.array(hashes[chosen].view(np.int64)))
-            yield pa.RecordBatch.from_arrays([pa.array(texts.ids), batch.column(2), pa.array(size.astype(np.int64)), *[pa.array(x.view(np.int64)) for x in sums], pa.array(need.astype(np.int64)), lists, pa.array(held, pa.binary())], ["id", "key", "size", "h1", "h2", "need", "tokens", "held"])
-
-    return df.mapInArrow(sets, "id long, key long, size long, h1 long, h2 long, need long, tokens array<long>, held binary")
+    below, most = np.int64(tested_below(num, den)).view(np.uint64), most_enumerated(num, den)
+    ranges = ranges_of(df)
+
+    def tested(texts: Texts) -> np.ndarray:
+        _, hashes = shingles(texts, n)
+        return hashes[hashes <= below]
+
+    def sets(pack: Pack, data: list[bytes]) -> Iterator[pa.RecordBatch]:
+        texts = pack.texts
+        doc, hashes = shingles(texts, n)
+        size = np.bincount(doc, minlength=len(texts.ids))
+        first = np.r_[0, np.cumsum(size)]
+        kind = np.full(len(hashes), 2, np.int8)
+        low = np.flatnonzero(hashes <= below)
+        again, _ = Estimates(hashes[low], data, ranges).of(hashes[low])
+        kind[low] = again
+        order = np.lexsort((hashes, kind, doc))
+        rank, kind = np.arange(len(order)) - first[:-1][doc], kind[order]
+        prefix = prefix_size(size, num, den)
+        need = np.maximum(0, prefix - np.bincount(doc[kind == 0], minlength=len(size)))
+        chosen = order[(need > 0)[doc] & ((kind == 1) | ((kind == 2) & (rank < prefix[doc])))]
+        tokens = np.bincount(doc[chosen], minlength=len(size))
+        sums = [np.zeros(len(size), np.uint64) for _ in range(2)]
+        full = np.flatnonzero(size)
+        if len(full):
+            for out, values in zip(sums, (mix64(hashes), mix64(hashes ^ _SECOND)), strict=True):
+                out[full] = np.add.reduceat(values, first[full])
+        held = [hashes[first[i] : first[i + 1]].tobytes() if tokens[i] or 0 < size[i] <= most else None for i in range(len(size))]
+        lists = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(tokens)].astype(np.int32)), pa.array(hashes[chosen].view(np.int64)))
+        yield pa.RecordBatch.from_arrays([pa.array(texts.ids), pack.batch.column(2), pa.array(size.astype(np.int64)), *[pa.array(x.view(np.int64)) for x in sums], pa.array(need.astype(np.int64)), lists, pa.array(held, pa.binary())], ["id", "key", "size", "h1", "h2", "need", "tokens", "held"])
+
+    return meet(df, estimates(df, tested, PACK_BYTES), sets, "id long, key long, size long, h1 long, h2 long, need long, tokens array<long>, held binary", PACK_BYTES, all_found=True)
 
 
 def _small_links(small: DataFrame, num: int, den: int) -> DataFrame:
@@ -162,7 +180,8 @@ def _compatible(a: str, b: str, num: int, den: int):
 
 
 def _verified(pairs: DataFrame, held: DataFrame, num: int, den: int) -> DataFrame:
-    """Those of pairs (a, b) whose sets (id, held) are alike."""
+    """Those of pairs (a, b) whose sets (id, held) are alike. A set b of very many pairs is
+    sent to as many places as STAR pairs each need."""
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -173,37 +192,64 @@ def _verified(pairs: DataFrame, held: DataFrame, num: int, den: int) -> DataFram
                 keep.append(both * den >= (len(x) + len(y) - both) * num)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    one, two = held.toDF("a", "x"), held.toDF("b", "y")
-    return pairs.join(one, "a").join(two, "b").select("a", "b", "x", "y").mapInArrow(compare, "a long, b long")
+    places = cut(pairs.groupBy("b").agg(F.ceil(F.count("*") / STAR).cast("int").alias("places")))
+    dealt = pairs.join(places, "b").withColumn("place", F.pmod(F.xxhash64("a"), "places").cast("int")).select("a", "b", "place")
+    one = held.toDF("a", "x")
+    two = held.toDF("b", "y").join(places, "b").select("b", "y", F.explode(F.sequence(F.lit(0), F.col("places") - 1)).alias("place"))
+    return dealt.join(one, "a").join(two, ["b", "place"]).select("a", "b", "x", "y").mapInArrow(compare, "a long, b long")
+
+
+def _from_centres(rows: DataFrame, centres: DataFrame) -> DataFrame:
+    """rows (cluster, id, size, component, held) as they differ from their cluster's centre:
+    added and missing, hashes the set has and the centre has not, and the other way round.
+    centres: (cluster, centre, places), the centre's set and how many places its cluster is
+    dealt to."""
+
+    def differ(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            added, missing = [], []
+            for x, y in zip(batch.column("held"), batch.column("centre"), strict=True):
+                x, y = (np.frombuffer(v.as_buffer(), np.int64) for v in (x, y))
+                added.append(np.setdiff1d(x, y, assume_unique=True))
+                missing.append(np.setdiff1d(y, x, assume_unique=True))
+            lists = [pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum([len(v) for v in c])].astype(np.int32)), pa.array(np.concatenate(c) if c else np.zeros(0, np.int64))) for c in (added, missing)]
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in ("cluster", "id", "size", "component")], *lists], ["cluster", "id", "size", "component", "added", "missing"])
+
+    few = centres.select("cluster", "places").withColumnRenamed("cluster", "_c")
+    dealt = rows.join(few, F.col("cluster") == F.col("_c")).withColumn("place", F.pmod(F.xxhash64("id"), "places").cast("int"))
+    spread = centres.select("cluster", "centre", F.explode(F.sequence(F.lit(0), F.col("places") - 1)).alias("place"))
+    met = dealt.join(spread, ["cluster", "place"]).select("cluster", "id", "size", "component", "held", "centre")
+    return met.mapInArrow(differ, "cluster long, id long, size long, component long, added array<long>, missing array<long>")
 
 
 def _block_links(rows: DataFrame, num: int, den: int) -> DataFrame:
     """Links (a, b) between sets of different components in one cluster: rows (cluster, n,
-    id, size, component, held). Members of a cluster are dealt to blocks of about BLOCK and
-    every two blocks meet once, so a set travels once for each block, not for each pair. In
-    a meeting only links that join components are given."""
+    id, size, component, added, missing), the sets as they differ from a centre.
+
+    Of two sets x and y, |x & y| = |x| - added(x) - missing(y) + what they have added alike and
+    are missing alike. Members of a cluster are dealt to blocks of about BLOCK and every two
+    blocks meet once, so a set travels once for each block, not for each pair, and of its
+    hashes only those that differ. In a meeting only links that join components are given."""
     blocks = F.greatest(F.ceil(F.col("n") / BLOCK).cast("int"), F.lit(1))
     own = F.pmod(F.xxhash64("id"), blocks).cast("int")
     dealt = rows.withColumns({"own": own, "other": F.explode(F.sequence(F.lit(0), blocks - 1))})
-    met = dealt.withColumns({"i": F.least("own", "other"), "j": F.greatest("own", "other")}).select("cluster", "i", "j", "own", "id", "component", "held")
+    met = dealt.withColumns({"i": F.least("own", "other"), "j": F.greatest("own", "other")}).select("cluster", "i", "j", "id", "size", "component", "added", "missing")
 
     def meet(table: pa.Table) -> pa.Table:
-        ids, component, own = (np.asarray(table[c]) for c in ("id", "component", "own"))
-        sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in table["held"]]
-        sizes = np.array([len(x) for x in sets])
-        owner = np.repeat(np.arange(len(sets)), sizes)
-        values, place = np.unique(np.concatenate(sets), return_inverse=True)
+        ids, component, sizes = (np.asarray(table[c]) for c in ("id", "component", "size"))
+        added, missing = (table[c].combine_chunks() for c in ("added", "missing"))
+        n_added, n_missing = (np.asarray(pc.list_value_length(c)) for c in (added, missing))
+        # Which hash is missing and which added does not matter: the centre has it or not.
+        owner = np.concatenate([np.repeat(np.arange(len(ids)), n) for n in (n_added, n_missing)])
+        values, place = np.unique(np.concatenate([np.asarray(c.flatten()) for c in (added, missing)]), return_inverse=True)
         order = np.argsort(place, kind="stable")
         owner, place = owner[order], place[order]
-        both = np.zeros((len(sets), len(sets)), np.float32)
-        for at in range(0, len(values), 4096):
-            low, high = np.searchsorted(place, [at, at + 4096])
-            has = np.zeros((len(sets), min(4096, len(values) - at)), np.float32)
+        both = np.zeros((len(ids), len(ids)), np.float32)
+        for at in range(0, len(values), 2048):
+            low, high = np.searchsorted(place, [at, at + 2048])
+            has = np.zeros((len(ids), min(2048, len(values) - at)), np.float32)
             has[owner[low:high], place[low:high] - at] = 1
             both += has @ has.T
-        both = both.astype(np.int64)
-        alike = both * den >= (sizes[:, None] + sizes[None] - both) * num
-        alike &= component[:, None] != component[None]
         root = {int(c): int(c) for c in component}
 
         def find(x: int) -> int:
@@ -213,30 +259,49 @@ def _block_links(rows: DataFrame, num: int, den: int) -> DataFrame:
             return x
 
         out = []
-        for x, y in zip(*np.nonzero(np.triu(alike, 1)), strict=True):
-            u, v = find(int(component[x])), find(int(component[y]))
-            if u != v:
-                root[max(u, v)] = min(u, v)
-                out.append((int(ids[x]), int(ids[y])))
+        for x in range(len(ids) - 1):
+            shared = both[x, x + 1 :].astype(np.int64) + sizes[x] - n_added[x] - n_missing[x + 1 :]
+            alike = (shared * den >= (sizes[x] + sizes[x + 1 :] - shared) * num) & (component[x + 1 :] != component[x])
+            for y in (np.flatnonzero(alike) + x + 1).tolist():
+                u, v = find(int(component[x])), find(int(component[y]))
+                if u != v:
+                    root[max(u, v)] = min(u, v)
+                    out.append((int(ids[x]), int(ids[y])))
         return pa.table({"a": pa.array([x for x, _ in out], pa.int64()), "b": pa.array([y for _, y in out], pa.int64())})
 
     return met.groupBy("cluster", "i", "j").applyInArrow(meet, "a long, b long")
 
 
-def _list_links(large: DataFrame, known: DataFrame, held: DataFrame, num: int, den: int) -> DataFrame:
-    """All links (a, b) needed for the components of large sets (id, size, tokens), given
-    links known already; these are included.
+def _may_link(rows: DataFrame, num: int, den: int) -> DataFrame:
+    """rows (cluster, id, size, added, ...) without sets that have too many hashes which no
+    other set of their cluster has: they can be alike to none of it."""
+    added = rows.select("cluster", "id", F.explode("added").alias("token"))
+    alone = added.groupBy("cluster", "token").agg(F.min("id").alias("id"), F.count("*").alias("n")).filter("n = 1")
+    own = alone.groupBy("cluster", "id").agg(F.count("*").alias("own"))
+    kept = (F.col("size") - F.coalesce("own", F.lit(0))) * den >= F.col("size") * num
+    return rows.join(own, ["cluster", "id"], "left").filter(kept).drop("own")
+
+
+def _listed(rows: DataFrame, lengths: DataFrame, num: int, den: int) -> DataFrame:
+    """The entries (token, id, size, n) of the lists that are looked up: of each set the first
+    `need` tokens of its rows (id, size, need, place, token) in the order of tokens, of those
+    that other sets have too. lengths: (token, n), the sets that have each."""
+    # In a document's array tokens below the tested hash come first, each by hash.
+    below = tested_below(num, den)
+    tested = F.col("token").between(0, below) if below >= 0 else (F.col("token") >= 0) | (F.col("token") <= below)
+    rank = F.row_number().over(Window.partitionBy("id").orderBy(~tested, F.when(tested, F.col("n")), "place"))
+    return rows.join(lengths, "token").withColumn("rank", rank).filter("rank <= need and n > 1").select("token", "id", "size", "n")
+
+
+def _list_links(listed: DataFrame, known: DataFrame, held: DataFrame, num: int, den: int) -> DataFrame:
+    """All links (a, b) needed for the components of the sets in lists (token, id, size, n),
+    given links known already; these are included.
 
     A set is first compared with one other: of those that head its lists the most central,
     whose lists are the longest. What a group of copies was made from is in more lists than
     any copy, so most of the group is joined by one comparison each. Lists that are still in
-    several components put their members into clusters, in which all are compared."""
-    rows = cut(large.select("id", "size", "need", F.posexplode("tokens").alias("place", "token")))
-    frequent = cut(rows.groupBy("token").agg(F.count("*").alias("n")))
-    # In a document's array tokens below the tested hash come first, each by hash.
-    tested = F.col("token").between(0, tested_below(num, den)) if tested_below(num, den) >= 0 else (F.col("token") >= 0) | (F.col("token") <= tested_below(num, den))
-    rank = F.row_number().over(Window.partitionBy("id").orderBy(~tested, F.when(tested, F.col("n")), "place"))
-    listed = cut(rows.join(frequent, "token").withColumn("rank", rank).filter("rank <= need and n > 1").select("token", "id", "size", "n"))
+    several components put their members into clusters, in which all are compared by how they
+    differ from one of them."""
     weight = cut(listed.groupBy("id").agg(F.sum("n").alias("weight")))
     members = cut(listed.join(weight, "id").select("token", "id", "size", "weight"))
     heads = cut(members.groupBy("token").agg(F.max(F.struct("weight", "id", "size")).alias("head")))
@@ -244,15 +309,19 @@ def _list_links(large: DataFrame, known: DataFrame, held: DataFrame, num: int, d
     best = tried.filter(_compatible("size", "head_size", num, den) & (F.col("id") != F.col("head_id"))).groupBy("id").agg(F.max("head").alias("head"))
     pairs = cut(best.select(F.col("id").alias("a"), F.col("head.id").alias("b")))
     links = cut(_verified(pairs, held, num, den).union(known))
-    named = cut(members.select("token", "id", "size").join(connected_components(links).toDF("id", "component"), "id", "left").withColumn("component", F.coalesce("component", "id")))
+    named = cut(members.join(connected_components(links).toDF("id", "component"), "id", "left").withColumn("component", F.coalesce("component", "id")))
     torn = cut(named.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high").select("token", F.col("low").alias("first")))
     left = cut(named.join(torn, "token"))
     # Lists that share a component are one cluster, and all of their members are in it.
     clusters = connected_components(left.select(F.col("component").alias("a"), F.col("first").alias("b"))).toDF("component", "cluster")
-    inside = cut(left.select("id", "size", "component").distinct().join(clusters, "component"))
-    counts = cut(inside.groupBy("cluster").agg(F.count("*").alias("n")))
-    ready = inside.join(counts, "cluster").join(held, "id").select("cluster", "n", "id", "size", "component", "held")
-    return links.union(_block_links(ready, num, den))
+    inside = cut(left.select("id", "size", "weight", "component").distinct().join(clusters, "component"))
+    found = cut(inside.groupBy("cluster").agg(F.max(F.struct("weight", "id")).alias("most"), F.count("*").alias("n")))
+    central = found.select("cluster", F.col("most.id").alias("id"), F.ceil(F.col("n") / STAR).cast("int").alias("places")).join(held, "id")
+    sets = inside.join(held, "id").select("cluster", "id", "size", "component", "held")
+    differing = cut(_from_centres(sets, central.select("cluster", F.col("held").alias("centre"), "places")))
+    ready = cut(_may_link(differing, num, den))
+    counts = cut(ready.groupBy("cluster").agg(F.count("*").alias("n")).filter("n > 1"))
+    return links.union(_block_links(ready.join(counts, "cluster"), num, den))
 
 
 def linked(df: DataFrame, n: int = 5, num: int = 8, den: int = 10) -> DataFrame:
@@ -263,15 +332,20 @@ def linked(df: DataFrame, n: int = 5, num: int = 8, den: int = 10) -> DataFrame:
     Sets are told apart by their hashes, never by ids, which different texts may share."""
     node = F.xxhash64("h1", "h2", "size")
     base = cut(_sets(df.select("doc_id", "text", F.xxhash64("text").alias("key")), n, num, den)).withColumn("node", F.when(F.col("size") > 0, node))
-    sets = cut(base.filter("size > 0").groupBy("node", "size").agg(F.first("tokens").alias("tokens"), F.first("need").alias("need"), F.first(F.when(F.col("size") <= MOST_SMALL, F.col("held"))).alias("held")))
+    most = most_enumerated(num, den)
+    sets = cut(base.filter("size > 0").groupBy("node", "size").agg(F.first("tokens").alias("tokens"), F.first("need").alias("need"), F.first(F.when(F.col("size") <= most, F.col("held"))).alias("held")))
     reps = sets.withColumnRenamed("node", "id")
-    sizes = {r["size"]: r["n"] for r in reps.filter(F.col("size") <= MOST_SMALL).groupBy("size").agg(F.count("*").alias("n")).collect()}
-    small = boundary(sizes, num, den)
+    rows = cut(reps.select("id", "size", "need", F.posexplode("tokens").alias("place", "token")))
+    lengths = cut(rows.groupBy("token").agg(F.count("*").alias("n")))
+    listed = cut(_listed(rows, lengths, num, den))
+    sizes = reps.filter(F.col("size") <= most).groupBy("size").agg(F.count("*").alias("sets"))
+    entries = listed.filter(F.col("size") <= most).groupBy("size").agg(F.sum("n").alias("entries"))
+    measured = {r["size"]: (r["sets"], r["entries"] or 0) for r in sizes.join(entries, "size", "left").collect()}  # a row for each size
+    small = boundary(measured, num, den)
     # A small set may link with one just above the boundary, so it is looked up as well.
-    large = reps.filter(F.col("size") * den >= (small + 1) * num)
     known = _small_links(reps.filter(F.col("size") <= small), num, den)
     held = base.filter("held is not null and size > 0").groupBy(F.col("node").alias("id")).agg(F.first("held").alias("held"))
-    found = cut(connected_components(_list_links(large, known, held, num, den)))
+    found = cut(connected_components(_list_links(listed.filter(F.col("size") * den >= (small + 1) * num), known, held, num, den)))
     rows = base.select("id", "key", "size", "node").join(found.toDF("node", "component"), "node", "left")
     return rows.select("id", "key", "size", F.coalesce("component", "node").alias("node"))
 
@@ -280,7 +354,7 @@ def components(df: DataFrame, n: int = 5, num: int = 8, den: int = 10) -> DataFr
     """(doc_id, n_shingles, component_id) of each row of df (doc_id, text): documents link
     when den * |intersection| >= num * |union| of their sets. Documents without words have
     an empty set and link with nothing, equal ones neither. A null id counts as smaller
-    than all others. Equal rows are linked with each other. component_id is the smallest
+    than all others, and equal to the smallest long. Equal rows are linked with each other. component_id is the smallest
     doc_id of the component; where components share that doc_id, they share the name."""
     rows = cut(linked(df, n, num, den))
     names = cut(rows.filter("size > 0").groupBy("node").agg(F.min("id").alias("component")))

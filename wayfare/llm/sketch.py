@@ -1,152 +1,111 @@
-"""Count-min prefilter over anchors.
-
-A window's anchor is the smallest gram hash in it, chosen by the window's content alone:
-equal windows have equal anchors, so a window is at most as frequent as its anchor. Each
-partition sketches its anchors; merged by Spark, the sketches say of every cell whether
-it was hit more than once. An anchor is estimated repeated if all its cells were. The
-estimate is never too low. The sketch has a fixed size whatever the input: beyond a few
-times 10 ** 8 anchors it passes more windows than need be, and loses none.
+"""Count-min prefilter over keys of documents.
+
+Each pack of documents sketches its keys: of each key two cells of a wide sketch and how
+often they were hit. A sketch is dealt by hash range, so that a range's task merges the
+parts of all packs, folded to as many cells as its keys need, and gives back to each part
+which of its keys are estimated to occur more than once, and which very often. Estimates are
+never too low. Sketches grow with the keys and no task holds more than its range.
 """
 
 from __future__ import annotations
 
-import zlib
+import struct
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from .common import mix64
+from .common import Texts, mix64
+from .packs import packs, partitions
 
-#: Cells of one row of the sketch as a power of two, and the rows. A cell takes one bit once merged.
-LOG_CELLS = 27
+#: Cells of a range for each of its keys, at least; and the rows of a sketch.
+CELLS_PER_KEY = 4
 ROWS = 2
-#: A row of the sketch is merged in chunks of this many cells.
-LOG_CHUNK = 20
-#: A key is heavy from so many occurrences on, among those that occur so often in a part;
-#: a part reports so many at most. This decides how work is split, never what is found.
+#: A key is heavy from so many occurrences on.
 HEAVY = 1000
-HEAVY_IN_PART = 4
-HEAVY_KEPT = 1024
-HEAVY_BUCKETS = 256
-_SALTS = (np.uint64(0x51ED270B7A2F3C15), np.uint64(0x2545F4914F6CDD1D))
-
-
-def cells(keys: np.ndarray, row: int) -> np.ndarray:
-    return (mix64(keys ^ _SALTS[row]) >> np.uint64(64 - LOG_CELLS)).astype(np.int64)
-
-
-def _parts(hits: np.ndarray, row: int) -> Iterator[tuple[int, bytes]]:
-    """The cells hit, sorted, by chunk: cell number in the chunk, and in the top bit whether hit twice."""
-    once, n = np.unique(hits, return_counts=True)
-    packed = ((once & ((1 << LOG_CHUNK) - 1)) | ((n > 1).astype(np.int64) << 31)).astype(np.uint32)
-    chunk = once >> LOG_CHUNK
-    edges = np.flatnonzero(np.diff(chunk)) + 1
-    for a, b in zip(np.r_[0, edges], np.r_[edges, len(once)], strict=True):
-        if b > a:
-            yield int(chunk[a]) + (row << 32), packed[a:b].tobytes()
-
-
-def _merge(parts: list[bytes]) -> bytes:
-    """Bits of a chunk's cells that were hit more than once, in any part or over all."""
-    hits = np.zeros(1 << LOG_CHUNK, np.uint8)
-    for part in parts:
-        x = np.frombuffer(part, np.uint32)
-        at = (x & np.uint32(0x7FFFFFFF)).astype(np.int64)
-        hits[at] = np.minimum(hits[at] + 1 + (x >> np.uint32(31)).astype(np.uint8), 2)
-    return np.packbits(hits > 1).tobytes()
-
-
-def _heavy_part(keys: np.ndarray, n: np.ndarray) -> Iterator[tuple[int, bytes]]:
-    """The keys most frequent in a part, by bucket, with their counts."""
-    often = np.flatnonzero(n >= HEAVY_IN_PART)
-    often = often[np.argsort(-n[often], kind="stable")][:HEAVY_KEPT]
-    keys, n = keys[often], n[often].astype(np.uint64)
-    bucket = (keys % np.uint64(HEAVY_BUCKETS)).astype(np.int64)
-    for b in np.unique(bucket):
-        yield -1 - int(b), np.stack([keys[bucket == b], n[bucket == b]]).tobytes()
-
-
-def _merge_heavy(parts: list[bytes]) -> bytes:
-    keys, n = np.concatenate([np.frombuffer(p, np.uint64).reshape(2, -1) for p in parts], axis=1)
-    once, place = np.unique(keys, return_inverse=True)
-    totals = np.bincount(place, n.astype(np.float64))
-    often = np.flatnonzero(totals >= HEAVY)
-    return once[often[np.argsort(-totals[often], kind="stable")][: HEAVY_KEPT // 4]].tobytes()
-
-
-class Sketch:
-    """Merged sketch, as tasks get it: a bit array for each row. heavy: sorted keys known
-    to occur more than HEAVY times, to be split by those who group by key; at most
-    HEAVY_BUCKETS * HEAVY_KEPT / 4 of them."""
-
-    def __init__(self, rows: list[np.ndarray], heavy: np.ndarray | None = None):
-        self.rows, self.heavy = rows, heavy if heavy is not None else np.zeros(0, np.uint64)
-
-    def packed(self) -> list[bytes]:
-        """The rows as they are broadcast: most of their bits are 0."""
-        return [zlib.compress(bits, 1) for bits in self.rows]
-
-    @classmethod
-    def unpacked(cls, rows: list[bytes], heavy: np.ndarray | None = None) -> Sketch:
-        return cls([np.frombuffer(zlib.decompress(bits), np.uint8) for bits in rows], heavy)
-
-    def is_heavy(self, keys: np.ndarray) -> np.ndarray:
-        if not len(self.heavy):
-            return np.zeros(len(keys), bool)
-        at = np.minimum(np.searchsorted(self.heavy, keys), len(self.heavy) - 1)
-        return self.heavy[at] == keys
-
-    def repeated(self, keys: np.ndarray) -> np.ndarray:
-        """Which keys are estimated to occur more than once."""
-        out = np.ones(len(keys), bool)
-        for i, bits in enumerate(self.rows):
-            c = cells(keys, i)
-            out &= (bits[c >> 3] >> (7 - (c & 7)).astype(np.uint8) & 1).astype(bool)
-        return out
-
-
-def build(df: DataFrame, keys_of: Callable[[Iterator[pa.RecordBatch]], Iterator[np.ndarray]], heavy: bool = False) -> Sketch:
-    """The sketch of all keys that keys_of finds in df's record batches. What reaches the
-    driver is 2 ** LOG_CELLS / 8 bytes a row of the sketch, whatever the input."""
+RANGES_PER_PARTITION = 4
+_SALT = np.uint64(0x51ED270B7A2F3C15)
+
+
+def ranges_of(df: DataFrame) -> int:
+    return partitions(df, RANGES_PER_PARTITION, 32)
+
+
+def _by_range(keys: np.ndarray, ranges: int) -> tuple[np.ndarray, np.ndarray]:
+    """The range of each key, and the keys' places in the order of ranges."""
+    of = ((mix64(keys ^ _SALT) >> np.uint64(32)) % np.uint64(ranges)).astype(np.int64)
+    return of, np.argsort(of, kind="stable")
+
+
+def _cells(keys: np.ndarray) -> np.ndarray:
+    """For each row of the sketch the keys' cells among 2 ** 32."""
+    return mix64(keys + _SALT).view(np.uint32).reshape(-1, ROWS).T
+
+
+def merged(parts: list[np.ndarray], hits: list[np.ndarray]) -> list[np.ndarray]:
+    """Of each part's cells (a row for each row of the sketch) the estimated counts of its
+    keys, by one sketch of all parts' hits."""
+    total = sum(p.shape[1] for p in parts)
+    mask = np.uint32((1 << max(8, (CELLS_PER_KEY * total - 1).bit_length())) - 1)
+    out = None
+    for row in range(ROWS):
+        at = np.concatenate([p[row] for p in parts]) & mask
+        counts = np.bincount(at, np.concatenate(hits), int(mask) + 1)[at]
+        out = counts if out is None else np.minimum(out, counts)
+    return np.split(out, np.cumsum([p.shape[1] for p in parts])[:-1])
+
+
+def estimates(df: DataFrame, keys_of: Callable[[Texts], np.ndarray], max_bytes: int) -> DataFrame:
+    """(pack, data): for each pack of df (id, text) and each range what is estimated of its
+    keys; Estimates reads the data of a pack. Every pack has a row at least."""
+    ranges = ranges_of(df)
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found, size = [], 0
-
-        def flush():
-            keys = np.concatenate(found)
-            for row in range(ROWS):
-                parts = list(_parts(cells(keys, row), row))
-                if heavy and not row:
-                    parts += _heavy_part(*np.unique(keys, return_counts=True))
-                if parts:
-                    yield pa.RecordBatch.from_arrays([pa.array([c for c, _ in parts], pa.int64()), pa.array([b for _, b in parts], pa.binary())], ["chunk", "part"])
-
-        for keys in keys_of(batches):
-            found.append(keys)
-            size += len(keys)
-            if size > 4_000_000:
-                yield from flush()
-                found, size = [], 0
-        if size:
-            yield from flush()
+        for name, _, texts in packs(batches, max_bytes):
+            keys, n = np.unique(keys_of(texts), return_counts=True)
+            of, order = _by_range(keys, ranges)
+            cells, n = _cells(keys[order]), np.minimum(n[order], 255).astype(np.uint8)
+            edges = np.searchsorted(of[order], np.arange(ranges + 1))
+            some = np.flatnonzero(np.diff(edges)) if len(keys) else np.array([struct.unpack_from(">q", name, 8)[0] % ranges])
+            rows = [(int(r), name, np.ascontiguousarray(cells[:, edges[r] : edges[r + 1]]).tobytes(), n[edges[r] : edges[r + 1]].tobytes()) for r in some]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int32(), pa.binary(), pa.binary(), pa.binary()), strict=True)], ["range", "pack", "cells", "hits"])
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names, of, parts, hits = [], [], [], []
         for batch in batches:
-            merged = [_merge(parts) if chunk >= 0 else _merge_heavy(parts) for chunk, parts in zip(*[c.to_pylist() for c in batch.columns], strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(merged, pa.binary())], ["chunk", "bits"])
-
-    parts = df.mapInArrow(sketch, "chunk long, part binary")
-    merged = parts.groupBy("chunk").agg(F.collect_list("part").alias("parts")).mapInArrow(merge, "chunk long, bits binary").toArrow()
-    rows = [np.zeros(1 << (LOG_CELLS - 3), np.uint8) for _ in range(ROWS)]
-    width = 1 << (LOG_CHUNK - 3)
-    often = [np.zeros(0, np.uint64)]
-    for chunk, bits in zip(merged["chunk"].to_pylist(), merged["bits"], strict=True):
-        if chunk < 0:
-            often.append(np.frombuffer(bits.as_py(), np.uint64))
-            continue
-        row, c = chunk >> 32, chunk & 0xFFFFFFFF
-        rows[row][c * width : (c + 1) * width] = np.frombuffer(bits.as_buffer(), np.uint8)
-    return Sketch(rows, np.sort(np.concatenate(often)))
+            for r, name, cells, n in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+                names.append(name)
+                of.append(r)
+                parts.append(np.frombuffer(cells, np.uint32).reshape(ROWS, -1))
+                hits.append(np.frombuffer(n, np.uint8))
+        if not names:
+            return
+        found = merged(parts, hits)
+        for k in range(0, len(names), 1000):
+            data = [struct.pack("<i", r) + np.packbits(n > 1).tobytes() + np.packbits(n >= HEAVY).tobytes() for r, n in zip(of[k : k + 1000], found[k : k + 1000], strict=True)]
+            yield pa.RecordBatch.from_arrays([pa.array(names[k : k + 1000], pa.binary()), pa.array(data, pa.binary())], ["pack", "data"])
+        pa.default_memory_pool().release_unused()
+
+    return df.mapInArrow(sketch, "range int, pack binary, cells binary, hits binary").repartition(ranges, "range").mapInArrow(merge, "pack binary, data binary")
+
+
+class Estimates:
+    """What is estimated of a pack's keys, given the ranges that estimates() deals to."""
+
+    def __init__(self, keys: np.ndarray, data: list[bytes], ranges: int):
+        self.keys = np.unique(keys)
+        self.repeated, self.heavy = np.zeros(len(self.keys), bool), np.zeros(len(self.keys), bool)
+        of, order = _by_range(self.keys, ranges)
+        edges = np.searchsorted(of[order], np.arange(ranges + 1))
+        for part in data:
+            (r,) = struct.unpack_from("<i", part)
+            at = order[edges[r] : edges[r + 1]]
+            bits = np.frombuffer(part, np.uint8)[4:].reshape(2, -1)
+            for out, row in zip((self.repeated, self.heavy), bits, strict=True):
+                out[at] = np.unpackbits(row, count=len(at)).astype(bool)
+
+    def of(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Whether keys, each one of the pack's, occur more than once, and whether very often."""
+        at = np.searchsorted(self.keys, keys)
+        return self.repeated[at], self.heavy[at]

@@ -1,99 +1,104 @@
 """Substring dedup over word windows with a count-min prefilter.
 
 First pass: partition sketches of the windows' anchors are merged and overestimate how
-often each window occurs. Second pass: only windows estimated repeated are grouped, by
-128 bits of their words; in each group all but the earliest (smallest id, then start)
-are repeats. Words that a repeat covers are removed.
+often each window occurs. A window's anchor is the smallest gram hash in it, chosen by the
+window's content alone, so a window is at most as frequent as its anchor. Second pass: only
+windows estimated repeated are grouped, by their words; in each group all but the earliest
+(smallest id, then start) are repeats. Words that a repeat covers are removed.
 """
 
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import BASE2, BASE2_INV, BYTE_CODES, NULL_ID, Roller, Texts, documents, mix64, slices, sliding_min, word_spans
-from .sketch import Sketch, build
+from .common import Texts, documents, equal_words, gram_hashes, mix64, sliding_min, span_hashes, word_spans
+from .packs import Pack, meet, partitions, unzipped, zipped
+from .sketch import Estimates, estimates, ranges_of
 
 WINDOW = 20
 #: Words of the grams among which a window's anchor is chosen.
 GRAM = 8
-SLICE_BYTES = 4 << 20
+PACK_BYTES = 2 << 20
 #: Shards that the second pass groups windows in, for each partition of the input.
 SHARDS_PER_PARTITION = 2
 
 
 class _Windows:
-    """Windows of the documents of one slice: anchors, and where each begins."""
+    """Windows of the documents of one pack: anchors, and where each begins."""
 
     def __init__(self, texts: Texts, window: int, gram: int):
         starts, ends, first = word_spans(texts)
-        self.first, self.n_words = first, len(starts)
-        words = Roller(BYTE_CODES[texts.data]).ranges(starts, ends) if self.n_words else np.zeros(0, np.uint64)
-        self.codes, self.window = mix64(words ^ (ends - starts).astype(np.uint64)), window
-        if self.n_words < window:
-            self.at = np.zeros(0, np.int64)
-            self.anchors = np.zeros(0, np.uint64)
+        self.starts, self.ends, self.first, self.window = starts, ends, first, window
+        self.at = np.zeros(0, np.int64)
+        self.anchors = np.zeros(0, np.uint64)
+        if len(starts) < window:
             return
-        doc = np.repeat(np.arange(len(texts.ids)), np.diff(first))
-        self.at = np.flatnonzero(doc[: len(doc) - window + 1] == doc[window - 1 :])  # within one document
-        self.doc = doc
-        self.grams = Roller(self.codes).grams(gram)
-        self.span = window - gram + 1
-        self.all_anchors = sliding_min(self.grams, self.span)
-        self.anchors = self.all_anchors[self.at]
+        self.codes = span_hashes(texts.data, starts, ends)
+        self.doc = np.repeat(np.arange(len(texts.ids)), np.diff(first))
+        self.at = np.flatnonzero(self.doc[: len(self.doc) - window + 1] == self.doc[window - 1 :])  # within one document
+        self.grams, self.span = gram_hashes(self.codes, gram), window - gram + 1
+        self.all = sliding_min(self.grams, self.span)
+        self.anchors = self.all[self.at]
 
     def keys(self) -> np.ndarray:
         """The anchor grams, each place of the text once (those of windows that would cross
         documents too: estimates may be too high). A gram is at least the anchor of every
         window that holds it, so it is the anchor of one if the largest of these equals it."""
-        if not len(self.at):
-            return self.anchors
-        pad = np.zeros(self.span - 1, np.uint64)
-        largest = ~sliding_min(~np.concatenate([pad, self.all_anchors, pad]), self.span)
-        return self.grams[largest == self.grams]
-
-    def hashes(self, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        at = self.at[chosen]
-        return Roller(self.codes).ranges(at, at + self.window), Roller(mix64(self.codes), BASE2, BASE2_INV).ranges(at, at + self.window)
-
-
-def keyed(df: DataFrame) -> DataFrame:
-    """df's first two columns, an id and a text, and key, a hash of the text: different
-    documents may share an id, and each is a place of its own."""
-    doc, text = df.columns[:2]
-    return df.select(F.col(doc), F.col(text), F.xxhash64(F.col(text)).alias("key"))
+        return anchor_places(self.grams, self.all, self.span) if len(self.at) else self.anchors
+
+
+def anchor_places(grams: np.ndarray, anchors: np.ndarray, span: int) -> np.ndarray:
+    pad = np.zeros(span - 1, np.uint64)
+    largest = ~sliding_min(~np.concatenate([pad, anchors, pad]), span)
+    return grams[largest == grams]
+
+
+def equal_groups(rows: np.ndarray, at: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """A number for each row of a matrix that at names, the same for equal rows alone. Hashes
+    bring them together; they are compared themselves."""
+    order = np.argsort(hashes, kind="stable")
+    h, same = hashes[order], np.zeros(len(order), bool)
+    near = np.flatnonzero(h[1:] == h[:-1]) + 1
+    for k in range(0, len(near), 50_000):
+        some = near[k : k + 50_000]
+        same[some] = (rows[at[order[some]]] == rows[at[order[some - 1]]]).all(axis=1)
+    if not same[near].all():
+        return np.unique(rows[at], axis=0, return_inverse=True)[1].ravel()
+    out = np.empty(len(order), np.int64)
+    out[order] = np.cumsum(~same)
+    return out
 
 
-def earliest(h1: np.ndarray, h2: np.ndarray, ids: np.ndarray, keys: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """Which entries have an equal (h1, h2) of smaller id, or of smaller at in their own
-    document (id, key)."""
-    if not len(h1):
+def earliest(groups: np.ndarray, ids: np.ndarray, places: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Which entries have another of their group of smaller id, or of smaller at in their own
+    document (place)."""
+    if not len(groups):
         return np.zeros(0, bool)
-    order = np.lexsort((at, keys, ids, h2, h1))
-    a, b, i, k, p = h1[order], h2[order], ids[order], keys[order], at[order]
-    same = np.r_[False, (a[1:] == a[:-1]) & (b[1:] == b[:-1])]
-    own = same & np.r_[False, (i[1:] == i[:-1]) & (k[1:] == k[:-1])]
-    place = np.arange(len(a))
+    order = np.lexsort((at, places, ids, groups))
+    g, i, d, p = groups[order], ids[order], places[order], at[order]
+    same = np.r_[False, g[1:] == g[:-1]]
+    own = same & np.r_[False, d[1:] == d[:-1]]
+    place = np.arange(len(g))
     head, first = (np.maximum.accumulate(np.where(x, 0, place)) for x in (same, own))
-    out = np.zeros(len(a), bool)
+    out = np.zeros(len(g), bool)
     out[order] = (i > i[head]) | (p > p[first])  # other documents of an equal id are not earlier
     return out
 
 
-def runs(ids: np.ndarray, keys: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(id, key, first, last) of runs of successive starts in one document."""
-    if not len(ids):
-        return ids, keys, at, at
-    order = np.lexsort((at, keys, ids))
-    i, k, p = ids[order], keys[order], at[order]
-    new = np.r_[True, (i[1:] != i[:-1]) | (k[1:] != k[:-1]) | (p[1:] > p[:-1] + 1)]
-    return i[new], k[new], p[new], p[np.r_[np.flatnonzero(new)[1:] - 1, len(p) - 1]]
+def runs(docs: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(document, first, last) of runs of successive starts in one document."""
+    if not len(docs):
+        return docs, at, at
+    order = np.lexsort((at, docs))
+    d, p = docs[order], at[order]
+    new = np.r_[True, (d[1:] != d[:-1]) | (p[1:] > p[:-1] + 1)]
+    return d[new], p[new], p[np.r_[np.flatnonzero(new)[1:] - 1, len(p) - 1]]
 
 
 def by_shard(sorted_shards: np.ndarray, order: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
@@ -104,82 +109,150 @@ def by_shard(sorted_shards: np.ndarray, order: np.ndarray) -> Iterator[tuple[int
             yield int(sorted_shards[a]), order[a:b]
 
 
-_FOUND = "shard int, h1 binary, h2 binary, ids binary, keys binary, at binary"
-
-
-def repeated_runs(df: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
-    """(id, key, first, last): windows of df (id, text) starting at words first to last of the
-    document, which the hash key of its text tells from others of its id, also start earlier. Windows never cross documents; null texts have none.
-
-    Windows travel as packed arrays to a shard of their hash. Those that repeat within a
-    slice go on once, so that a frequent passage is met at most once from each slice."""
-    sketched: Sketch = build(df, lambda batches: (_Windows(t, window, gram).keys() for _, t in slices(batches, SLICE_BYTES)))
-    shared = df.sparkSession.sparkContext.broadcast(sketched.packed())
-    shards = max(12, SHARDS_PER_PARTITION * df.rdd.getNumPartitions())
-
-    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sketch = Sketch.unpacked(shared.value)
-        for batch, texts in slices(batches, SLICE_BYTES):
-            w = _Windows(texts, window, gram)
-            # An anchor's cells are looked up once for its run of windows.
-            change = np.r_[True, w.anchors[1:] != w.anchors[:-1]] if len(w.anchors) else np.zeros(0, bool)
-            hit = sketch.repeated(w.anchors[change])
-            chosen = np.flatnonzero(hit[np.cumsum(change) - 1]) if len(change) else np.zeros(0, np.int64)
-            if not len(chosen):
-                continue
-            h1, h2 = w.hashes(chosen)
-            doc = w.doc[w.at[chosen]]
-            ids, keys, at = texts.ids[doc], batch.column(2).to_numpy()[doc], w.at[chosen] - w.first[doc]
-            late = earliest(h1, h2, ids, keys, at)
-            i, k, a, b = runs(ids[late], keys[late], at[late])
-            out = [(-1, b"", b"", i.tobytes(), k.tobytes(), np.stack([a, b]).tobytes())] if len(i) else []
-            keep = ~late
-            h1, h2, ids, keys, at = h1[keep], h2[keep], ids[keep], keys[keep], at[keep]
-            shard = (h1 >> np.uint64(33)).astype(np.int64) % shards
-            order = np.argsort(shard, kind="stable")
-            for s, o in by_shard(shard[order], order):
-                out.append((s, h1[o].tobytes(), h2[o].tobytes(), ids[o].tobytes(), keys[o].tobytes(), at[o].astype(np.int32).tobytes()))
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.int32(), *[pa.binary()] * 5), strict=True)], ["shard", "h1", "h2", "ids", "keys", "at"])
-
-    def group(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        got: list[tuple[np.ndarray, ...]] = []
+#: Stretches of a pack's documents on their way to a shard: of each its document's number in
+#: the pack and id, where it begins, how many windows begin in it, a label that stretches
+#: which may have a window in common share, and its bytes; or, of shard -1, runs that the pack
+#: has settled by itself.
+STRETCHES = "shard int, pack binary, docs binary, ids binary, at binary, counts binary, labels binary, sizes binary, text binary"
+_TYPES = (pa.int32(), *[pa.binary()] * 8)
+_NAMES = [f.split()[0] for f in STRETCHES.split(", ")]
+
+
+def packed_runs(docs: np.ndarray, first: np.ndarray, last: np.ndarray) -> bytes:
+    return np.stack([docs, first, last]).astype(np.int64).tobytes()
+
+
+def unpacked_runs(data: list[bytes]) -> np.ndarray:
+    """A row each of documents, first and last starts."""
+    return np.concatenate([np.zeros((3, 0), np.int64), *[np.frombuffer(x, np.int64).reshape(3, -1) for x in data]], axis=1)
+
+
+def stretches(pack: Pack, shards: int, keys: np.ndarray, docs: np.ndarray, at: np.ndarray, counts: np.ndarray, text: Callable[[np.ndarray], tuple[bytes, np.ndarray]], settled: tuple[np.ndarray, ...]) -> Iterator[pa.RecordBatch]:
+    """Rows of STRETCHES: of each stretch its key, document, first start and number of starts;
+    text gives the bytes of some of them end to end and their sizes. settled: runs."""
+    out = [(-1, pack.name, *[b""] * 6, packed_runs(*settled))] if len(settled[0]) else []
+    mixed = mix64(keys)
+    shard = (mixed >> np.uint64(33)).astype(np.int64) % shards
+    order = np.argsort(shard, kind="stable")
+    for s, o in by_shard(shard[order], order):
+        data, sizes = text(o)
+        out.append((s, pack.name, docs[o].astype(np.int32).tobytes(), pack.texts.ids[docs[o]].tobytes(), at[o].astype(np.int64).tobytes(), counts[o].astype(np.int32).tobytes(), mixed[o].astype(np.uint32).tobytes(), sizes.astype(np.int32).tobytes(), zipped(data)))
+    for k in range(0, len(out), 256):
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out[k : k + 256], strict=True), _TYPES, strict=True)], _NAMES)
+
+
+class Stretches:
+    """The stretches that have come to a task. packs has their packs' names; places tells
+    documents apart."""
+
+    def __init__(self, rows: list[tuple]):
+        self.packs: list[bytes] = []
+        number: dict[bytes, int] = {}
+        columns = [[] for _ in range(7)]
+        for name, docs, ids, at, counts, labels, sizes, text in rows:
+            if name not in number:
+                number[name] = len(self.packs)
+                self.packs.append(name)
+            own = (np.frombuffer(docs, np.int32).astype(np.int64) | number[name] << 32, np.frombuffer(ids, np.int64), np.frombuffer(at, np.int64), np.frombuffer(counts, np.int32), np.frombuffer(labels, np.uint32), np.frombuffer(sizes, np.int32).astype(np.int64), unzipped(text))
+            for column, values in zip(columns, own, strict=True):
+                column.append(values)
+        self.places, self.ids, self.at, self.counts, self.labels, self.sizes, self.text = (np.concatenate(c) for c in columns)
+
+    def found(self, places: np.ndarray, first: np.ndarray, last: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """Runs as rows (pack, data)."""
+        pack = places >> 32
+        order = np.argsort(pack, kind="stable")
+        rows = [(self.packs[p], packed_runs(places[o] & 0xFFFFFFFF, first[o], last[o])) for p, o in by_shard(pack[order], order)]
+        for k in range(0, len(rows), 1000):
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in zip(*rows[k : k + 1000], strict=True)], ["pack", "data"])
+
+
+def grouped(sent: DataFrame, shards: int, group: Callable[[Stretches], Iterator[pa.RecordBatch]]) -> DataFrame:
+    """(pack, data): runs that group finds in the stretches of a shard, and those settled before."""
+
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = []
         for batch in batches:
-            for s, a, b, i, k, p in zip(*[c.to_pylist() for c in batch.columns], strict=True):
-                if s < 0:
-                    first, last = np.frombuffer(p, np.int64).reshape(2, -1)
-                    yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(i, np.int64)), pa.array(np.frombuffer(k, np.int64)), pa.array(first), pa.array(last)], ["id", "key", "first", "last"])
+            for shard, *row in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+                if shard < 0:
+                    yield pa.RecordBatch.from_arrays([pa.array([x], pa.binary()) for x in (row[0], row[-1])], ["pack", "data"])
                 else:
-                    got.append((np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64), np.frombuffer(i, np.int64), np.frombuffer(k, np.int64), np.frombuffer(p, np.int32)))
-        if got:
-            h1, h2, ids, keys, at = (np.concatenate(x) for x in zip(*got, strict=True))
-            late = earliest(h1, h2, ids, keys, at)
-            found = runs(ids[late], keys[late], at[late].astype(np.int64))
-            for k in range(0, len(found[0]), 100_000):
-                yield pa.RecordBatch.from_arrays([pa.array(x[k : k + 100_000]) for x in found], ["id", "key", "first", "last"])
+                    rows.append(tuple(row))
+        if rows:
+            met = Stretches(rows)
+            rows.clear()
+            yield from group(met)
+        pa.default_memory_pool().release_unused()
 
-    found = keyed(df).mapInArrow(find, _FOUND)
-    # What a slice has settled by itself (shard -1) has no group to meet.
-    spread = F.when(F.col("shard") < 0, F.xxhash64("ids")).otherwise(F.col("shard"))
-    return found.repartition(shards, spread).mapInArrow(group, "id long, key long, first long, last long")
+    # What a pack has settled by itself has no group to meet.
+    spread = F.when(F.col("shard") < 0, F.xxhash64("pack")).otherwise(F.col("shard"))
+    return sent.repartition(shards, spread).mapInArrow(gather, "pack binary, data binary")
 
 
-def with_runs(df: DataFrame, found: DataFrame) -> DataFrame:
-    """df (doc_id, text) with _cuts, the runs of the document as an array of (first, last).
-    Copies of a row find the same runs, which count once."""
-    cuts = found.groupBy(F.col("id").alias("_cut_id"), F.col("key").alias("_cut_key")).agg(F.collect_set(F.struct("first", "last")).alias("_cuts"))
-    own = (F.coalesce(df["doc_id"], F.lit(NULL_ID)) == cuts["_cut_id"]) & (F.xxhash64(df["text"]) == cuts["_cut_key"])
-    return df.join(cuts, own, "left").drop("_cut_id", "_cut_key")
+def repeated_runs(df: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
+    """(pack, data): for the packs of df (id, text, ...) the runs (document, first, last) of
+    windows starting at words first to last which also start earlier. Windows never cross
+    documents; null texts have none.
+
+    Windows whose anchor is estimated repeated travel, as the words of the stretch that holds
+    a run of them, to a shard of their anchor: equal windows meet in one. Those that repeat
+    within a pack go on once, so that a frequent passage is met at most once from each pack.
+    Words are numbered by their bytes and windows compared number by number."""
+    rows, ranges, shards = df.select(*df.columns[:2]), ranges_of(df), partitions(df, SHARDS_PER_PARTITION, 12)
+
+    def groups_of(words: np.ndarray, at: np.ndarray) -> np.ndarray:
+        windows = np.lib.stride_tricks.sliding_window_view(words.astype(np.int32), window)
+        return equal_groups(windows, at, gram_hashes(mix64(words.astype(np.uint64)), window)[at])
+
+    def find(pack: Pack, data: list[bytes]) -> Iterator[pa.RecordBatch]:
+        w = _Windows(pack.texts, window, gram)
+        if not len(w.at):
+            return
+        # An anchor is looked up once for its run of windows.
+        change = np.r_[True, w.anchors[1:] != w.anchors[:-1]]
+        again, _ = Estimates(w.keys(), data, ranges).of(w.anchors[change])
+        at = w.at[again[np.cumsum(change) - 1]]
+        if not len(at):
+            return
+        _, words = equal_words(pack.texts.data, w.starts, w.ends)
+        doc = w.doc[at]
+        late = earliest(groups_of(words, at), pack.texts.ids[doc], doc, at)
+        settled = runs(doc[late], at[late] - w.first[doc[late]])
+        at, doc = at[~late], doc[~late]
+        anchors = w.all[at]
+        new = np.flatnonzero(np.r_[True, (at[1:] != at[:-1] + 1) | (anchors[1:] != anchors[:-1]) | (doc[1:] != doc[:-1])]) if len(at) else at
+        begin, counts = at[new], np.diff(np.r_[new, len(at)])
+        raw = pack.texts.data.tobytes()
+
+        def text(chosen: np.ndarray) -> tuple[bytes, np.ndarray]:
+            parts = [raw[w.starts[a] : w.ends[a + n + window - 2]] for a, n in zip(begin[chosen].tolist(), counts[chosen].tolist(), strict=True)]
+            return b"".join(parts), np.array([len(p) for p in parts], np.int64)
+
+        yield from stretches(pack, shards, anchors[new], doc[new], begin - w.first[doc[new]], counts, text, settled)
+
+    def group(met: Stretches) -> Iterator[pa.RecordBatch]:
+        edges = np.r_[0, np.cumsum(met.sizes)]
+        starts, ends, first = word_spans(Texts(met.places, met.text, edges))
+        _, words = equal_words(met.text, starts, ends)
+        stretch = np.repeat(np.arange(len(met.counts)), met.counts)
+        inside = np.arange(len(stretch)) - (np.cumsum(met.counts) - met.counts)[stretch]
+        place, start = met.places[stretch], met.at[stretch] + inside
+        late = earliest(groups_of(words, first[stretch] + inside), met.ids[stretch], place, start)
+        yield from met.found(*runs(place[late], start[late]))
+
+    marked = estimates(rows, lambda texts: _Windows(texts, window, gram).keys(), PACK_BYTES)
+    return grouped(meet(rows, marked, find, STRETCHES, PACK_BYTES, all_found=True), shards, group)
 
 
 class Cuts:
-    """The runs of each document of a record batch."""
+    """The runs of each of n documents of a pack."""
 
-    def __init__(self, column: pa.Array):
-        lists = column.cast(pa.list_(column.type.value_type))
-        self.sizes = np.asarray(pc.fill_null(pc.list_value_length(lists), 0))
-        self.at = np.r_[0, np.cumsum(self.sizes)]
-        flat = lists.flatten()
-        self.first, self.last = (flat.field(k).to_numpy(zero_copy_only=False) for k in ("first", "last"))
+    def __init__(self, n: int, data: list[bytes]):
+        doc, first, last = unpacked_runs(data)
+        order = np.argsort(doc, kind="stable")
+        self.first, self.last = first[order], last[order]
+        self.at = np.searchsorted(doc[order], np.arange(n + 1))
+        self.sizes = np.diff(self.at)
 
     def covered(self, i: int, n: int, length: int) -> np.ndarray:
         """Which of n units are covered by spans of that length starting at first to last."""
@@ -196,47 +269,42 @@ def _kept(texts: Texts, i: int, spans: tuple[np.ndarray, np.ndarray, np.ndarray]
 
 def dedup(df: DataFrame, window: int = WINDOW) -> DataFrame:
     """df (doc_id, text, other columns) with text cut down to the words kept, joined by one
-    space; texts of which nothing is removed stay as they are. Null texts stay null."""
+    space; texts of which nothing is removed stay as they are. Null texts stay null. df must
+    give its rows in the same order when it is read again, as files do (see packs)."""
     rest = [c for c in df.columns if c not in ("doc_id", "text")]
-    found = repeated_runs(df.select("doc_id", "text"), window)
-    held = with_runs(df.select("doc_id", "text", *[F.col(f"`{c}`") for c in rest]), found)
-    schema = held.drop("_cuts").schema
-
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, texts in slices(batches, SLICE_BYTES):
-            spans = word_spans(texts)
-            new = batch.column(1).to_pylist()
-            cuts = Cuts(batch.column(batch.schema.get_field_index("_cuts")))
-            for i in np.flatnonzero(cuts.sizes):
-                if new[i] is not None:
-                    n = int(spans[2][i + 1] - spans[2][i])
-                    new[i] = _kept(texts, i, spans, cuts.covered(i, n, window)).decode()
-            columns = [pa.array(new, pa.string()) if k == 1 else c for k, c in enumerate(batch.columns)]
-            names = batch.schema.names
-            keep = [k for k, name in enumerate(names) if name != "_cuts"]
-            yield pa.RecordBatch.from_arrays([columns[k] for k in keep], [names[k] for k in keep])
-
-    return held.mapInArrow(cut, schema)
+    rows = df.select("doc_id", "text", *[F.col(f"`{c}`") for c in rest])
+
+    def cut(pack: Pack, data: list[bytes]) -> Iterator[pa.RecordBatch]:
+        texts, new = pack.texts, pack.batch.column(1).to_pylist()
+        spans, cuts = word_spans(texts), Cuts(len(texts.ids), data)
+        for i in np.flatnonzero(cuts.sizes):
+            n = int(spans[2][i + 1] - spans[2][i])
+            new[i] = _kept(texts, i, spans, cuts.covered(i, n, window)).decode()
+        columns = [pa.array(new, pa.string()) if k == 1 else c for k, c in enumerate(pack.batch.columns)]
+        yield pa.RecordBatch.from_arrays(columns, pack.batch.schema.names)
+
+    return meet(rows, repeated_runs(rows, window), cut, rows.schema, PACK_BYTES).select(df.columns)
 
 
 def op10_count_min(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Of all documents, how many words repeat and a digest of those kept. Null text: no
-    words. Of rows that share a doc_id none is earlier than another."""
+    words. A null doc_id is smaller than all others, and equal to the smallest long. Of rows
+    that share a doc_id none is earlier than another."""
     docs = documents(spark, sf_dir).select("doc_id", "text")
-    held = with_runs(docs, repeated_runs(docs)).select("doc_id", "text", "_cuts")
-
-    def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, texts in slices(batches, SLICE_BYTES):
-            spans = word_spans(texts)
-            words, removed, kept = [], [], []
-            cuts = Cuts(batch.column(2))
-            for i in range(len(texts.ids)):
-                n = int(spans[2][i + 1] - spans[2][i])
-                gone = cuts.covered(i, n, WINDOW)
-                words.append(n)
-                removed.append(int(gone.sum()))
+
+    def digest(pack: Pack, data: list[bytes]) -> Iterator[pa.RecordBatch]:
+        texts = pack.texts
+        spans, cuts = word_spans(texts), Cuts(len(texts.ids), data)
+        removed, kept = [], []
+        for i in range(len(texts.ids)):
+            if not cuts.sizes[i]:
                 # Where nothing goes, one call normalizes the text; bytes.split knows the same white space.
-                kept.append(hashlib.sha256(b" ".join(texts.of(i).split()) if not cuts.sizes[i] else _kept(texts, i, spans, gone)).hexdigest())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(words, pa.int64()), pa.array(removed, pa.int64()), pa.array(kept)], ["doc_id", "n_words", "n_removed", "kept_sha256"])
+                removed.append(0)
+                kept.append(hashlib.sha256(b" ".join(texts.of(i).split())).hexdigest())
+                continue
+            gone = cuts.covered(i, int(spans[2][i + 1] - spans[2][i]), WINDOW)
+            removed.append(int(gone.sum()))
+            kept.append(hashlib.sha256(_kept(texts, i, spans, gone)).hexdigest())
+        yield pa.RecordBatch.from_arrays([pack.batch.column(0), pa.array(np.diff(spans[2]), pa.int64()), pa.array(removed, pa.int64()), pa.array(kept)], ["doc_id", "n_words", "n_removed", "kept_sha256"])
 
-    return held.mapInArrow(digest, "doc_id long, n_words long, n_removed long, kept_sha256 string")
+    return meet(docs, repeated_runs(docs), digest, "doc_id long, n_words long, n_removed long, kept_sha256 string", PACK_BYTES)

@@ -8,8 +8,8 @@ In Spark each task builds the suffix array of one share of the corpus. A window
 has an anchor (the smallest hash of the grams in it), which a sketch of all anchors says
 to be repeated or not. Windows with a repeated anchor go, as the stretch of text that
 holds a run of them, to the share of that anchor: equal windows meet in one array. Very
-frequent anchors are split by the whole window instead, after windows that repeat in one
-slice were reduced to the first and those that repeat nowhere were left out by a sketch.
+frequent anchors are split by the next smallest gram as well, after windows that repeat in
+one pack were reduced to the first.
 """
 
 from __future__ import annotations
@@ -20,16 +20,16 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from .common import BASE2, BASE2_INV, BYTE_CODES, Roller, Texts, documents, mix64, slices, sliding_min
-from .sketch import Sketch, build
-from .substring import Cuts, by_shard, earliest, keyed, runs, with_runs
+from .common import Texts, byte_grams, documents, joined, sliding_min, two_smallest
+from .packs import Pack, meet, partitions
+from .sketch import Estimates, estimates, ranges_of
+from .substring import STRETCHES, Cuts, Stretches, anchor_places, by_shard, earliest, equal_groups, grouped, runs, stretches
 
 LENGTH = 100
 #: Bytes of the grams among which a window's anchor is chosen.
 GRAM = 24
-SLICE_BYTES = 1 << 20
+PACK_BYTES = 1 << 20
 SHARDS_PER_PARTITION = 4
 #: Windows whose suffixes one array holds.
 ARRAY_WINDOWS = 1_000_000
@@ -102,15 +102,14 @@ def adjacent_prefixes(data: np.ndarray, order: np.ndarray, depth: int) -> np.nda
 
 
 class _Windows:
-    """Windows of the documents of one slice: anchors, and where each begins."""
+    """Windows of the documents of one pack: anchors, and where each begins."""
 
     def __init__(self, texts: Texts, length: int, gram: int):
         data, self.span = texts.data, length - gram + 1
-        self.codes = BYTE_CODES[data]
         self.at = np.zeros(0, np.int64)
         self.anchors = self.grams = self.all = np.zeros(0, np.uint64)
         if len(data) >= length:
-            self.grams = Roller(self.codes).grams(gram)
+            self.grams = byte_grams(data, gram)
             self.all = sliding_min(self.grams, self.span)
             inside = np.zeros(len(data) + 1, np.int32)  # windows within one document
             sizes = np.diff(texts.starts)
@@ -121,16 +120,8 @@ class _Windows:
             self.anchors = self.all[self.at]
 
     def keys(self) -> np.ndarray:
-        """The anchor grams, each place of the text once: those as small as the largest of
-        the anchors of all windows that hold them."""
-        if not len(self.at):
-            return self.anchors
-        pad = np.zeros(self.span - 1, np.uint64)
-        largest = ~sliding_min(~np.concatenate([pad, self.all, pad]), self.span)
-        return self.grams[largest == self.grams]
-
-    def hashes(self, at: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
-        return Roller(self.codes).ranges(at, at + length), Roller(mix64(self.codes), BASE2, BASE2_INV).ranges(at, at + length)
+        """The anchor grams, each place of the text once."""
+        return anchor_places(self.grams, self.all, self.span) if len(self.at) else self.anchors
 
 
 def _pieces(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -139,9 +130,9 @@ def _pieces(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarr
     return data[np.repeat(starts - begins, sizes) + np.arange(int(sizes.sum()))]
 
 
-def _repeats(text: np.ndarray, sizes: np.ndarray, counts: np.ndarray, ids: np.ndarray, keys: np.ndarray, at: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
-    """Runs (id, key, first, last) of windows that also start earlier, from the suffix array
-    of stretches of text end to end; counts[k] windows start in stretch k, from at[k] on."""
+def _repeats(text: np.ndarray, sizes: np.ndarray, counts: np.ndarray, ids: np.ndarray, places: np.ndarray, at: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
+    """Runs (place, first, last) of windows that also start earlier, from the suffix array of
+    stretches of text end to end; counts[k] windows start in stretch k, from at[k] on."""
     begins = np.cumsum(sizes) - sizes
     wanted = np.zeros(len(text) + 1, np.int32)
     np.add.at(wanted, begins, 1)
@@ -154,129 +145,84 @@ def _repeats(text: np.ndarray, sizes: np.ndarray, counts: np.ndarray, ids: np.nd
     shared = same | np.r_[same[1:], False]
     order, group = order[shared], group[shared]
     stretch = np.searchsorted(begins, order, side="right") - 1
-    doc, key, start = ids[stretch], keys[stretch], at[stretch] + order - begins[stretch]
-    late = earliest(group, np.zeros(len(group), np.int8), doc, key, start)
-    return runs(doc[late], key[late], start[late])
-
-
-_FOUND = "shard int, keys binary, ids binary, rows binary, at binary, counts binary, text binary"
-_TYPES = (pa.int32(), *[pa.binary()] * 6)
+    place, start = places[stretch], at[stretch] + order - begins[stretch]
+    late = earliest(group, ids[stretch], place, start)
+    return runs(place[late], start[late])
 
 
 def repeated_runs(df: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
-    """(id, key, first, last): strings of length bytes of df (id, text) starting at bytes first
-    to last of the document, which the hash key of its text tells from others of its id, also
-    start earlier (smaller id, then start in the document). They never cross documents; null
-    texts have none. Of documents of equal ids none is earlier."""
-    context = df.sparkSession.sparkContext
-    sketched = build(df, lambda batches: (_Windows(t, length, gram).keys() for _, t in slices(batches, SLICE_BYTES)), heavy=True)
-    heavy = sketched.heavy
-    shared = context.broadcast(sketched.packed())
-
-    def heavy_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
-        often = Sketch([], heavy)
-        for _, texts in slices(batches, SLICE_BYTES):
-            w = _Windows(texts, length, gram)
-            at = w.at[often.is_heavy(w.anchors)]
-            if len(at):
-                yield w.hashes(at, length)[0]
-
-    split = context.broadcast(build(df, heavy_windows).packed()) if len(heavy) else None
-    shards = max(64, SHARDS_PER_PARTITION * df.rdd.getNumPartitions())
-
-    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sketch, windows = Sketch.unpacked(shared.value, heavy), Sketch.unpacked(split.value) if split else None
-        for batch, texts in slices(batches, SLICE_BYTES):
-            w = _Windows(texts, length, gram)
-            if not len(w.at):
-                continue
-            rows = batch.column(2).to_numpy()
-            doc = np.searchsorted(texts.starts, w.at, side="right") - 1
-            # A run of windows with one anchor is one stretch.
-            change = np.flatnonzero(np.r_[True, (w.anchors[1:] != w.anchors[:-1]) | (w.at[1:] != w.at[:-1] + 1) | (doc[1:] != doc[:-1])])
-            counts = np.diff(np.r_[change, len(w.at)])
-            often, again = sketch.is_heavy(w.anchors[change]), sketch.repeated(w.anchors[change])
-            out = []
-            chosen = again & ~often
-            keys, at, n = w.anchors[change[chosen]], w.at[change[chosen]], counts[chosen]
-            owner = doc[change[chosen]]
-            if windows is not None and often.any():
-                each = np.flatnonzero(np.repeat(often, counts))
-                h1, h2 = w.hashes(w.at[each], length)
-                passed = windows.repeated(h1)
-                each, h1, h2 = each[passed], h1[passed], h2[passed]
-                ids, own, start = texts.ids[doc[each]], rows[doc[each]], w.at[each] - texts.starts[doc[each]]
-                late = earliest(h1, h2, ids, own, start)
-                i, r, a, b = runs(ids[late], own[late], start[late])
-                if len(i):
-                    out.append((-1, b"", i.tobytes(), r.tobytes(), np.stack([a, b]).tobytes(), b"", b""))
-                each, h1 = each[~late], h1[~late]
-                keys, at, n = np.r_[keys, h1], np.r_[at, w.at[each]], np.r_[n, np.ones(len(each), np.int64)]
-                owner = np.r_[owner, doc[each]]
-            shard = (mix64(keys) >> np.uint64(33)).astype(np.int64) % shards
-            order = np.argsort(shard, kind="stable")
-            for s, o in by_shard(shard[order], order):
-                text = _pieces(texts.data, at[o], n[o] + length - 1)
-                out.append((s, keys[o].tobytes(), texts.ids[owner[o]].tobytes(), rows[owner[o]].tobytes(), (at[o] - texts.starts[owner[o]]).tobytes(), n[o].tobytes(), text.tobytes()))
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), _TYPES, strict=True)], ["shard", "keys", "ids", "rows", "at", "counts", "text"])
-
-    def sort(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        got = []
-        for batch in batches:
-            for s, k, i, r, p, n, t in zip(*[c.to_pylist() for c in batch.columns], strict=True):
-                if s < 0:
-                    first, last = np.frombuffer(p, np.int64).reshape(2, -1)
-                    yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(i, np.int64)), pa.array(np.frombuffer(r, np.int64)), pa.array(first), pa.array(last)], ["id", "key", "first", "last"])
-                else:
-                    got.append((np.frombuffer(k, np.uint64), *[np.frombuffer(x, np.int64) for x in (i, r, p, n)], np.frombuffer(t, np.uint8)))
-        if not got:
+    """(pack, data): for the packs of df (id, text, ...) the runs (document, first, last) of
+    strings of length bytes starting at bytes first to last which also start earlier (smaller
+    id, then start in the document). They never cross documents; null texts have none. Of
+    documents of equal ids none is earlier."""
+    rows, ranges, shards = df.select(*df.columns[:2]), ranges_of(df), partitions(df, SHARDS_PER_PARTITION, 64)
+
+    def find(pack: Pack, data: list[bytes]) -> Iterator[pa.RecordBatch]:
+        texts = pack.texts
+        w = _Windows(texts, length, gram)
+        if not len(w.at):
             return
-        keys, ids, rows, at, counts, text = (np.concatenate(x) for x in zip(*got, strict=True))
-        del got
-        sizes = counts + length - 1
-        begins = np.cumsum(sizes) - sizes
-        order = np.argsort(keys, kind="stable")
-        total = np.cumsum(counts[order])
-        ends = np.flatnonzero(np.r_[keys[order][1:] != keys[order][:-1], True]) + 1  # of keys
+        change = np.r_[True, w.anchors[1:] != w.anchors[:-1]]
+        again, often = (x[np.cumsum(change) - 1] for x in Estimates(w.keys(), data, ranges).of(w.anchors[change]))
+        at, keys, often = w.at[again], w.anchors[again], often[again]
+        doc = np.searchsorted(texts.starts, at, side="right") - 1
+        settled = runs(at[:0], at[:0])
+        if often.any():
+            # Windows of a very frequent anchor are told apart by their next smallest gram too,
+            # and those that repeat in the pack go on once.
+            first, second = (x[at[often]] for x in two_smallest(w.grams, w.span))
+            keys[often] = joined(first, second)
+            hot = np.flatnonzero(often)
+            views = np.lib.stride_tricks.sliding_window_view(texts.data, length)
+            groups = equal_groups(views, at[hot], byte_grams(texts.data, length)[at[hot]])
+            late = hot[earliest(groups, texts.ids[doc[hot]], doc[hot], at[hot])]
+            settled = runs(doc[late], at[late] - texts.starts[doc[late]])
+            kept = np.ones(len(at), bool)
+            kept[late] = False
+            at, keys, doc = at[kept], keys[kept], doc[kept]
+        # A run of windows with one key is one stretch.
+        new = np.flatnonzero(np.r_[True, (keys[1:] != keys[:-1]) | (at[1:] != at[:-1] + 1) | (doc[1:] != doc[:-1])]) if len(at) else at
+        begin, counts = at[new], np.diff(np.r_[new, len(at)])
+
+        def text(chosen: np.ndarray) -> tuple[bytes, np.ndarray]:
+            sizes = counts[chosen] + length - 1
+            return _pieces(texts.data, begin[chosen], sizes).tobytes(), sizes
+
+        yield from stretches(pack, shards, keys[new], doc[new], begin - texts.starts[doc[new]], counts, text, settled)
+
+    def sort(met: Stretches) -> Iterator[pa.RecordBatch]:
+        begins = np.cumsum(met.sizes) - met.sizes
+        order = np.argsort(met.labels, kind="stable")
+        label, total = met.labels[order], np.cumsum(met.counts[order], dtype=np.int64)
+        ends = np.flatnonzero(np.r_[label[1:] != label[:-1], True]) + 1  # of labels
         a = 0
         while a < len(order):
             done = total[a - 1] if a else 0
             fit = ends[(ends > a) & (total[ends - 1] - done <= ARRAY_WINDOWS)]
             b = int(fit[-1]) if len(fit) else int(ends[ends > a][0])
             o = order[a:b]
-            found = _repeats(_pieces(text, begins[o], sizes[o]), sizes[o], counts[o], ids[o], rows[o], at[o], length)
-            for k in range(0, len(found[0]), 100_000):
-                yield pa.RecordBatch.from_arrays([pa.array(x[k : k + 100_000]) for x in found], ["id", "key", "first", "last"])
+            yield from met.found(*_repeats(_pieces(met.text, begins[o], met.sizes[o]), met.sizes[o], met.counts[o], met.ids[o], met.places[o], met.at[o], length))
             a = b
 
-    found = keyed(df).mapInArrow(find, _FOUND)
-    # What a slice has settled by itself (shard -1) has no group to meet.
-    spread = F.when(F.col("shard") < 0, F.xxhash64("ids")).otherwise(F.col("shard"))
-    return found.repartition(shards, spread).mapInArrow(sort, "id long, key long, first long, last long")
+    marked = estimates(rows, lambda texts: _Windows(texts, length, gram).keys(), PACK_BYTES)
+    return grouped(meet(rows, marked, find, STRETCHES, PACK_BYTES, all_found=True), shards, sort)
 
 
 def op1_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Of all documents, how many bytes repeat, in how many spans, and a digest of those
-    kept. Null text: empty. Of rows that share a doc_id none is earlier than another."""
+    kept. Null text: empty. A null doc_id is smaller than all others, and equal to the smallest
+    long. Of rows that share a doc_id none is earlier than another."""
     docs = documents(spark, sf_dir).select("doc_id", "text")
-    held = with_runs(docs, repeated_runs(docs)).select("doc_id", "text", "_cuts")
-
-    def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, texts in slices(batches, SLICE_BYTES):
-            cuts = Cuts(batch.column(2))
-            sizes, removed, spans, kept = np.diff(texts.starts), [], [], []
-            for i in range(len(texts.ids)):
-                text = texts.data[texts.starts[i] : texts.starts[i + 1]]
-                if cuts.sizes[i]:
-                    gone = cuts.covered(i, len(text), LENGTH)
-                    removed.append(int(gone.sum()))
-                    spans.append(int(gone[0]) + int((gone[1:] & ~gone[:-1]).sum()))
-                    text = text[~gone]
-                else:
-                    removed.append(0)
-                    spans.append(0)
-                kept.append(hashlib.sha256(text.tobytes()).hexdigest())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(removed, pa.int64()), pa.array(spans, pa.int64()), pa.array(kept)], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
-
-    return held.mapInArrow(digest, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+
+    def digest(pack: Pack, data: list[bytes]) -> Iterator[pa.RecordBatch]:
+        texts = pack.texts
+        cuts, removed, spans, kept = Cuts(len(texts.ids), data), [], [], []
+        for i in range(len(texts.ids)):
+            text = texts.data[texts.starts[i] : texts.starts[i + 1]]
+            gone = cuts.covered(i, len(text), LENGTH) if cuts.sizes[i] else None
+            removed.append(0 if gone is None else int(gone.sum()))
+            spans.append(0 if gone is None else int(gone[0]) + int((gone[1:] & ~gone[:-1]).sum()))
+            kept.append(hashlib.sha256((text if gone is None else text[~gone]).tobytes()).hexdigest())
+        yield pa.RecordBatch.from_arrays([pack.batch.column(0), pa.array(np.diff(texts.starts), pa.int64()), pa.array(removed, pa.int64()), pa.array(spans, pa.int64()), pa.array(kept)], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
+
+    return meet(docs, repeated_runs(docs), digest, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string", PACK_BYTES)

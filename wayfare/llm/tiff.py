@@ -31,8 +31,10 @@ SLICE_BYTES = 4 << 20
 #: Samples in a row of the pages that texts are stored in.
 ROW = 64
 STRIP_ROWS = 1024
-#: Payloads up to these many bytes are stored as PackBits and LZW, longer ones as deflate.
-PACKBITS_TO, LZW_TO = 256, 1024
+TILE = (32, 64)
+#: How texts are stored: (compression, predictor, tiles). A checksum of the text chooses, so
+#: that texts of every length come in each form, and equal texts in one.
+FORMS = [(code, predictor, tile) for code, predictor in ((PACKBITS, 1), (LZW, 1), (LZW, 2), (DEFLATE, 1), (DEFLATE, 2)) for tile in (None, TILE)]
 
 
 class TiffError(ValueError):
@@ -56,101 +58,83 @@ def packbits_decode(data: bytes) -> bytes:
 def packbits_encode(data: bytes) -> bytes:
     """Runs of 3 or more bytes as runs, all else as literals of at most 128."""
     a = np.frombuffer(data, np.uint8)
-    ends = np.r_[np.flatnonzero(a[1:] != a[:-1]) + 1, len(a)] if len(a) else np.zeros(0, np.int64)
-    out, literal, begin = bytearray(), bytearray(), 0
-
-    def flush() -> None:
-        for k in range(0, len(literal), 128):
-            out.append(len(literal[k : k + 128]) - 1)
-            out.extend(literal[k : k + 128])
-        literal.clear()
-
-    for end in ends.tolist():
-        size = end - begin
-        if size < 3:
-            literal += data[begin:end]
-        else:
-            flush()
-            while size > 1:
-                step = min(size, 128)
-                out += bytes([257 - step, data[begin]])
-                size -= step
-            literal += data[begin : begin + size]
-        begin = end
-    flush()
+    edges = np.r_[0, np.flatnonzero(a[1:] != a[:-1]) + 1, len(a)] if len(a) else np.zeros(1, np.int64)
+    long = np.flatnonzero(np.diff(edges) >= 3)
+    out, done = bytearray(), 0
+
+    def literal(upto: int) -> None:
+        for k in range(done, upto, 128):
+            part = data[k : min(k + 128, upto)]
+            out.append(len(part) - 1)
+            out.extend(part)
+
+    for begin, end in zip(edges[long].tolist(), edges[long + 1].tolist(), strict=True):
+        literal(begin)
+        while end - begin > 1:
+            step = min(end - begin, 128)
+            out.extend((257 - step, data[begin]))
+            begin += step
+        done = begin
+    literal(len(data))
     return bytes(out)
 
 
+#: Bits of the n-th code after a clear code: widths change one code early.
+LZW_WIDTHS = np.array([min((LZW_FIRST + n).bit_length(), 12) for n in range(3839)])
+
+
 def lzw_decode(data: bytes) -> bytes:
-    table: list[bytes] = []
-    out, before, width = bytearray(), b"", 9
-    held = bits = 0
-    for byte in data:
-        held = held << 8 | byte
-        bits += 8
-        if bits < width:
-            continue
-        bits -= width
-        code = held >> bits
-        held &= (1 << bits) - 1
-        if code == LZW_END:
+    """Codes are cut out up to the next clear code at once, then their strings looked up."""
+    raw = np.r_[np.frombuffer(data, np.uint8), np.zeros(4, np.uint8)].astype(np.uint32)
+    at, total, out = 0, 8 * len(data), []
+    first = [bytes([b]) for b in range(256)] + [b"", b""]
+    while at + 9 <= total:
+        begins = at + np.cumsum(LZW_WIDTHS) - LZW_WIDTHS
+        begins = begins[begins + LZW_WIDTHS <= total]
+        widths, byte = LZW_WIDTHS[: len(begins)], begins >> 3
+        window = raw[byte] << 24 | raw[byte + 1] << 16 | raw[byte + 2] << 8 | raw[byte + 3]
+        codes = window >> (32 - (begins & 7) - widths).astype(np.uint32) & ((1 << widths) - 1).astype(np.uint32)
+        stops = np.flatnonzero((codes == LZW_CLEAR) | (codes == LZW_END))
+        n = int(stops[0]) if len(stops) else len(codes)
+        table, before = list(first), b""
+        for code in codes[:n].tolist():
+            if code < len(table):
+                entry = table[code]
+            elif before and code == len(table):
+                entry = before + before[:1]
+            else:
+                raise TiffError("LZW code out of range")
+            if before and len(table) < 4096:
+                table.append(before + entry[:1])
+            out.append(entry)
+            before = entry
+        if not len(stops) and len(codes) == len(LZW_WIDTHS):
+            raise TiffError("no LZW clear code in time")
+        if not len(stops) or codes[n] == LZW_END:
             break
-        if code == LZW_CLEAR:
-            table, before, width = [], b"", 9
-            continue
-        if code < LZW_CLEAR:
-            entry = bytes([code])
-        elif code - LZW_FIRST < len(table):
-            entry = table[code - LZW_FIRST]
-        elif before and code - LZW_FIRST == len(table):
-            entry = before + before[:1]
-        else:
-            raise TiffError("LZW code out of range")
-        out += entry
-        if before:
-            table.append(before + entry[:1])
-            # Widths change one code early.
-            if LZW_FIRST + len(table) + 1 >= 1 << width and width < 12:
-                width += 1
-        before = entry
-    return bytes(out)
+        at = int(begins[n] + widths[n])
+    return b"".join(out)
 
 
 def lzw_encode(data: bytes) -> bytes:
-    table: dict[bytes, int] = {}
-    out, held, bits, width, prefix = bytearray(), 0, 0, 9, b""
-
-    def put(code: int) -> None:
-        nonlocal held, bits
-        held = held << width | code
-        bits += width
-        while bits >= 8:
-            bits -= 8
-            out.append(held >> bits & 255)
-        held &= (1 << bits) - 1
-
-    put(LZW_CLEAR)
-    for k in range(len(data)):
-        longer = prefix + data[k : k + 1]
-        if len(longer) == 1 or longer in table:
-            prefix = longer
-            continue
-        put(prefix[0] if len(prefix) == 1 else table[prefix])
-        table[longer] = LZW_FIRST + len(table)
-        if LZW_FIRST + len(table) >= 1 << width:
-            width += 1
-        if LZW_FIRST + len(table) == 4094:
-            put(LZW_CLEAR)
-            table, width = {}, 9
-        prefix = longer[-1:]
-    if prefix:
-        put(prefix[0] if len(prefix) == 1 else table[prefix])
-        if LZW_FIRST + len(table) + 1 >= 1 << width and width < 12:
-            width += 1
-    put(LZW_END)
-    if bits:
-        out.append(held << (8 - bits) & 255)
-    return bytes(out)
+    codes, widths, table, prefix = [LZW_CLEAR], [np.array([9])], {}, -1
+    for byte in data:
+        key = prefix << 8 | byte
+        code = byte if prefix < 0 else table.get(key)
+        if code is None:
+            codes.append(prefix)
+            code, table[key] = byte, LZW_FIRST + len(table)
+            if len(table) == 3836:
+                codes.append(LZW_CLEAR)
+                widths.append(LZW_WIDTHS[:3837])
+                table = {}
+        prefix = code
+    rest = len(table) + (prefix >= 0) + 1
+    codes += [prefix, LZW_END] if prefix >= 0 else [LZW_END]
+    n = np.concatenate([*widths, LZW_WIDTHS[:rest]])
+    ends = np.cumsum(n)
+    shift = np.repeat(ends, n) - 1 - np.arange(ends[-1])
+    return np.packbits((np.repeat(np.array(codes), n) >> shift & 1).astype(np.uint8)).tobytes()
 
 
 def _unpack(data: bytes, compression: int) -> bytes:
@@ -284,7 +268,7 @@ def write_tiff(pages: Sequence[np.ndarray], compression: int = DEFLATE, predicto
 
 def text_to_tiff(df: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """(id, n_bytes, media): each text's bytes as one gray page of rows of 64 samples, filled
-    up with bytes 0 to at least one full row. Null text: empty."""
+    up with bytes 0 to at least one full row, in one of FORMS. Null text: empty."""
 
     def store(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in slices(batches, SLICE_BYTES):
@@ -292,8 +276,8 @@ def text_to_tiff(df: DataFrame, id_col: str = "doc_id", text: str = "text") -> D
             for i in range(len(texts.ids)):
                 raw = texts.of(i)
                 page = np.frombuffer(raw.ljust(max(ROW, -(-len(raw) // ROW) * ROW), b"\0"), np.uint8).reshape(-1, ROW)
-                compression = PACKBITS if page.size <= PACKBITS_TO else LZW if page.size <= LZW_TO else DEFLATE
-                media.append(write_tiff([page], compression, 2 if compression == LZW else 1))
+                compression, predictor, tile = FORMS[zlib.crc32(raw) % len(FORMS)]
+                media.append(write_tiff([page], compression, predictor, tile=tile))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.diff(texts.starts), pa.int64()), pa.array(media, pa.binary())], [id_col, "n_bytes", "media"])
 
     kind = df.schema[id_col].dataType.simpleString()

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import BYTE_CODES, Roller, Texts, documents, mix64, slices, word_spans
+from .common import Texts, documents, mix64, slices, span_hashes, word_spans
 
 #: Bound on the labelled documents that the chain is trained on, half of them toxic: those
 #: of smallest hash. Features are counted over all labelled documents of the training fold.
@@ -61,11 +61,10 @@ def token_features(texts: Texts) -> tuple[np.ndarray, tuple[np.ndarray, np.ndarr
     last = len(letters) - 1
     first = np.where(bare, starts, letters[np.minimum(a, last)] if last >= 0 else starts)
     stop = np.where(bare, starts, letters[np.maximum(b, 0)] + 1 if last >= 0 else starts)
-    rolled = Roller(BYTE_CODES[folded])
     out = np.empty((len(starts), 1 + len(PREFIXES)), np.uint64)
-    out[:, 0] = rolled.ranges(first, stop)
+    out[:, 0] = span_hashes(folded, first, stop)
     for k, n in enumerate(PREFIXES):
-        out[:, k + 1] = mix64(rolled.ranges(first, np.minimum(first + n, stop)) + np.uint64(k + 1))
+        out[:, k + 1] = mix64(span_hashes(folded, first, np.minimum(first + n, stop)) + np.uint64(k + 1))
     return out, spans
 
 

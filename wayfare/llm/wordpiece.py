@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from .bpe import load_ranks
-from .common import BYTE_CODES, Roller, documents, slices, word_spans
+from .common import documents, equal_words, slices, word_spans
 
 SLICE_BYTES = 4 << 20
 
@@ -123,9 +123,8 @@ def token_counts(df: DataFrame, pieces: tuple[set[bytes], set[bytes]], id_col: s
             starts, ends, first = word_spans(texts)
             tokens = np.zeros(len(starts), np.int64)
             if len(starts):
-                hashes = Roller(BYTE_CODES[texts.data]).ranges(starts, ends) ^ (ends - starts).astype(np.uint64)
-                _, where, back = np.unique(hashes, return_index=True, return_inverse=True)
-                tokens = automaton.counts(texts.data, starts[where], ends[where])[back]
+                first_of, back = equal_words(texts.data, starts, ends)
+                tokens = automaton.counts(texts.data, starts[first_of], ends[first_of])[back]
             sums = np.r_[0, np.cumsum(tokens)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.diff(first), pa.int64()), pa.array(sums[first[1:]] - sums[first[:-1]], pa.int64())], [id_col, "n_words", "n_tokens"])
 
