@@ -5,7 +5,7 @@ leftmost first, until none has a rank. The ranks are a literal map from pairs of
 the id of the merged piece (its rank), laid out as a two-place hash table, as Spark scans
 its own map type from the start at each lookup.
 
-The distinct words of a partition are folded once each; pieces that are words themselves
+Each distinct word is folded once, in the shard of its hash; pieces that are words themselves
 are known beforehand. Arrow stages around the fold number the words and put the ids
 together. Decoding concatenates binary pieces.
 """
@@ -15,23 +15,30 @@ from __future__ import annotations
 import base64
 import hashlib
 import os
+import struct
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import documents
+from .common import by_shard, documents, pieces_of, span_hashes
+from .packs import partitions, stored, unzipped, zipped
 
 #: White space as the tokenizer's pattern means it (Unicode's White_Space).
 _SPACE = r"\x09-\x0D\x20\x85\xA0  -     　"
 #: Longest word, in bytes, of which a step of the fold merges one pair.
 LONG_WORD = 48
-#: Distinct words that a task keeps at a time beside the pieces; then it begins anew.
-WORDS_HELD = 400_000
+#: Distinct words of a book beside the pieces, of which it is closed; and how many times as
+#: many words it holds at most.
+WORDS_HELD = 200_000
+#: Words that one row brings to the fold.
+FOLDED_AT_ONCE = 1000
+SHARDS_PER_PARTITION = 4
 #: Rows of a slice.
 ROWS = 1000
 
@@ -210,59 +217,45 @@ def _lists(offsets: np.ndarray, values: pa.Array) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), values)
 
 
-class _Numbers:
-    """Numbers of words: those of pieces first, then others in the order they are met. At
-    most so many others are known at a time; least is the first of them that still is."""
+class _Book:
+    """Some of a task's rows one after another, and the distinct words in them, numbered:
+    pieces first, then others as they are met."""
 
-    def __init__(self, pieces: list[str], most: int):
-        self.most = most
-        self.pieces = {word: i for i, word in enumerate(pieces)}
-        self.next = self.least = len(pieces)
-        self.others: dict[str, int] = {}
+    def __init__(self, pieces: dict[str, int]):
+        self.pieces, self.others, self.words_read, self.slices = pieces, {}, 0, []
 
-    def of(self, words: list[str]) -> tuple[np.ndarray, list[str]]:
-        """The numbers of distinct words, and those of them that are new."""
-        if len(self.others) > self.most:
-            self.others, self.least = {}, self.next
-        out, new = np.empty(len(words), np.int64), []
-        for k, word in enumerate(words):
+    def numbers(self, words: pa.Array) -> np.ndarray:
+        coded, least = words.dictionary_encode(), len(self.pieces)
+        numbers = np.empty(len(coded.dictionary), np.int32)
+        for k, word in enumerate(coded.dictionary.to_pylist()):
             number = self.pieces.get(word)
-            if number is None:
-                number = self.others.get(word)
-                if number is None:
-                    number = self.others[word] = self.next
-                    self.next += 1
-                    new.append(word)
-            out[k] = number
-        return out, new
-
-
-class _Folded:
-    """Ids of numbered words, as they come folded."""
-
-    def __init__(self, piece_ids: np.ndarray):
-        self.pieces = piece_ids
-        self.least = len(piece_ids)  # number of the first word held beside the pieces
-        self.sizes, self.ids = np.zeros(0, np.int64), np.zeros(0, np.int32)
-
-    def add(self, sizes: np.ndarray, ids: np.ndarray) -> None:
-        self.sizes, self.ids = np.r_[self.sizes, sizes], np.r_[self.ids, ids]
-
-    def forget(self, least: int) -> None:
-        gone = least - self.least
-        if gone > 0:
-            self.ids, self.sizes, self.least = self.ids[self.sizes[:gone].sum() :], self.sizes[gone:], least
-
-    def of(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The words' ids end to end, and where each word's begin."""
-        k = len(self.pieces)
-        place = np.where(numbers < k, numbers, numbers - self.least + k)
-        sizes = np.r_[np.ones(k, np.int64), self.sizes]
-        begins = np.cumsum(sizes) - sizes
-        n = sizes[place]
-        ends = np.r_[0, np.cumsum(n)]
-        ids = np.r_[self.pieces, self.ids]
-        return ids[np.repeat(begins[place] - ends[:-1], n) + np.arange(ends[-1])], ends
+            numbers[k] = self.others.setdefault(word, least + len(self.others)) if number is None else number
+        self.words_read += len(words)
+        return numbers[np.asarray(coded.indices)] if len(words) else np.zeros(0, np.int32)
+
+    def name(self, partition: int, number: int) -> bytes:
+        """Its place, the number of its words that are no pieces, and a checksum of them."""
+        check = xxhash.xxh3_64_intdigest("\n".join(self.others).encode())
+        return struct.pack(">qqqQ", partition, number, len(self.others), check)
+
+
+def _books(batches: Iterator[pa.RecordBatch], pieces: list[str], take: Callable[[_Book, pa.RecordBatch], None], rows: int, most: int) -> Iterator[tuple[bytes, _Book]]:
+    """The books of a task, whose words are the last column. take is given each slice."""
+    known = {word: i for i, word in enumerate(pieces)}
+    partition, number, book = TaskContext.get().partitionId(), 0, _Book(known)
+    for batch in _per_slice(batches, rows):
+        take(book, batch)
+        if len(book.others) > most or book.words_read > 20 * most:
+            yield book.name(partition, number), book
+            number, book = number + 1, _Book(known)
+    if book.words_read or book.slices:
+        yield book.name(partition, number), book
+
+
+def _bytes_of(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """UTF-8 bytes of words end to end, and where each begins."""
+    raw = [w.encode() for w in words]
+    return np.frombuffer(b"".join(raw), np.uint8), np.r_[0, np.cumsum([len(w) for w in raw])].astype(np.int64)
 
 
 Body = Callable[[pa.RecordBatch, pa.Array, np.ndarray], pa.RecordBatch]
@@ -272,45 +265,128 @@ def _encoded(df: DataFrame, text: str, vocabulary: Vocabulary, body: Body, schem
     """What body makes of slices of df: their other columns, and the ids of all texts end to
     end with where each text's begin.
 
-    A task gives each distinct word it meets a number and sends it to be folded with the
-    first slice that has it; behind the fold the ids are kept by number. So a word is folded
-    once for each partition, whatever the number of its documents, and nothing is shuffled."""
+    A task numbers the distinct words of its rows, book by book, and sends each word once to
+    the shard of its hash. A shard folds its distinct words, so each distinct word of df is
+    folded once, and sends ids back by number. They meet the book's rows, which travel as
+    compressed arrays of numbers. Books are made anew for that; if they differ then, because
+    df gave its rows in another order, the meeting raises."""
     rest = [c for c in df.columns if c != text]
     names = [f"c{k}" for k in range(len(rest))]  # whatever df's columns are called
     held = df.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(rest, names, strict=True)], words_of(F.col(f"`{text}`"), vocabulary).alias("words"))
     width, size = len(rest), len(vocabulary.pairs)
     single = vocabulary.word_tokens()
     shared = df.sparkSession.sparkContext.broadcast((list(single), np.array([i for (i,) in single.values()], np.int32)))
-
-    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        numbers = _Numbers(shared.value[0], WORDS_HELD)
-        for batch in _per_slice(batches, ROWS):
+    shards = partitions(df, SHARDS_PER_PARTITION, 16)
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        least = len(shared.value[0])
+        for name, book in _books(batches, shared.value[0], lambda b, batch: b.numbers(batch.column(width).flatten()), ROWS, WORDS_HELD):
+            data, at = _bytes_of(list(book.others))
+            shard = (span_hashes(data, at[:-1], at[1:]) >> np.uint64(33)).astype(np.int64) % shards
+            order = np.argsort(shard, kind="stable")
+            rows = []
+            for s, o in by_shard(shard[order], order):
+                sizes = np.diff(at)[o]
+                rows.append((s, name, (o + least).astype(np.int32).tobytes(), sizes.astype(np.int32).tobytes(), zipped(pieces_of(data, at[o], sizes).tobytes())))
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int32(), *[pa.binary()] * 4), strict=True)], ["shard", "book", "numbers", "sizes", "text"])
+
+    def distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The shard's distinct words, then for each book its numbers and which words they are."""
+        books, numbers, sizes, text = [], [], [], []
+        for batch in batches:
+            for _, book, n, s, t in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+                books.append(book)
+                numbers.append(np.frombuffer(n, np.int32))
+                sizes.append(np.frombuffer(s, np.int32))
+                text.append(unzipped(t))
+        if not books:
+            return
+        ends = np.cumsum(np.concatenate(sizes), dtype=np.int64)
+        coded = pa.Array.from_buffers(pa.large_string(), len(ends), [None, pa.py_buffer(np.r_[0, ends]), pa.py_buffer(np.concatenate(text))]).dictionary_encode()
+        words, which = coded.dictionary.cast(pa.string()), np.asarray(coded.indices).astype(np.int32)
+        none = pa.array([], pa.string())
+        for k in range(0, len(words), FOLDED_AT_ONCE):
+            some = words[k : k + FOLDED_AT_ONCE]
+            yield pa.RecordBatch.from_arrays([pa.array([None], pa.binary()), pa.array([None], pa.binary()), _lists(np.array([0, len(some)]), some)], ["book", "refs", "words"])
+        done = 0
+        for book, n in zip(books, numbers, strict=True):
+            refs = np.stack([n, which[done : done + len(n)]]).tobytes()
+            yield pa.RecordBatch.from_arrays([pa.array([book], pa.binary()), pa.array([refs], pa.binary()), _lists(np.array([0, 0]), none)], ["book", "refs", "words"])
+            done += len(n)
+
+    def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sizes, ids, store = [np.zeros(0, np.int64)], [np.zeros(0, np.int32)], None
+        for batch in batches:
+            lists, _ = _flat(batch.column(2))
+            values, edges = _flat(lists)
+            if len(lists):
+                sizes.append(np.diff(edges))
+                ids.append(values.to_numpy(zero_copy_only=False))
+            for book, refs in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                if refs is None:
+                    continue
+                if store is None:  # all words of the shard have come
+                    n = np.concatenate(sizes)
+                    store = n, np.cumsum(n) - n, np.concatenate(ids)
+                numbers, which = np.frombuffer(refs, np.int32).reshape(2, -1)
+                n = store[0][which]
+                out = pieces_of(store[2], store[1][which], n)
+                data = struct.pack("<q", len(numbers)) + zipped(np.concatenate([numbers, n.astype(np.int32), out.astype(np.int32)]).tobytes())
+                yield pa.RecordBatch.from_arrays([pa.array([book], pa.binary()), pa.array([0], pa.int32()), pa.array([0], pa.int32()), pa.array([data], pa.binary())], ["book", "kind", "part", "data"])
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def take(book: _Book, batch: pa.RecordBatch) -> None:
             words, at = _flat(batch.column(width))
-            coded = words.dictionary_encode()
-            of_word, new = numbers.of(coded.dictionary.to_pylist())
-            places = of_word[np.asarray(coded.indices)] if len(words) else np.zeros(0, np.int64)
-            first = np.full(batch.num_rows + 1, len(new), np.int32)
-            first[0] = 0  # a slice's new words go with its first row
-            least = np.full(batch.num_rows, numbers.least, np.int64)
-            yield pa.RecordBatch.from_arrays([*batch.columns[:width], _lists(at, pa.array(places)), _lists(first, pa.array(new, pa.string())), pa.array(least)], [*names, "places", "new", "least"])
+            row = pa.RecordBatch.from_arrays([*batch.columns[:width], _lists(at, pa.array(book.numbers(words)))], [*names, "places"])
+            book.slices.append(stored(row))
+
+        for name, book in _books(batches, shared.value[0], take, ROWS, WORDS_HELD):
+            for part, data in enumerate(book.slices):
+                yield pa.RecordBatch.from_arrays([pa.array([name], pa.binary()), pa.array([1], pa.int32()), pa.array([part], pa.int32()), pa.array([data], pa.binary())], ["book", "kind", "part", "data"])
 
     def assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = _Folded(shared.value[1])
+        pieces, name, answers, known = shared.value[1], None, [], None
         for batch in batches:
-            lists, _ = _flat(batch.column(width + 2))
-            ids, edges = _flat(lists)
-            known.add(np.diff(edges), ids.to_numpy(zero_copy_only=False))
-            for part in _per_slice([batch], ROWS):
-                numbers, at = _flat(part.column(width))
-                out, ends = known.of(numbers.to_numpy(zero_copy_only=False))
-                rows = pa.RecordBatch.from_arrays(part.columns[:width], rest)
-                yield body(rows, pa.array(out.astype(np.int32)), ends[at])
-            known.forget(int(np.asarray(batch.column(width + 1))[-1]))
-
-    fields = [f"{n} {held.schema[n].dataType.simpleString()}" for n in names]
-    placed = held.mapInArrow(number, ", ".join([*fields, "places array<long>", "new array<string>", "least long"]))
-    folded = _with_tables(placed, vocabulary.literal(df.sparkSession), "folded", lambda t: F.transform("new", lambda w: fold_merges(w, t, size))).drop("new")
-    return folded.mapInArrow(assemble, schema)
+            for book, kind, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(3), strict=True):
+                if book != name:
+                    name, answers, known = book, [], None
+                if kind == 0:
+                    answers.append(data.as_py())
+                    continue
+                if known is None:
+                    known = _ids_by_number(pieces, answers, struct.unpack(">qqqQ", name)[2])
+                rows = pa.ipc.open_stream(data.as_buffer()).read_next_batch()
+                numbers, at = _flat(rows.column(width))
+                numbers = numbers.to_numpy(zero_copy_only=False)
+                n = known[0][numbers]
+                out = pieces_of(known[2], known[1][numbers], n)
+                yield body(pa.RecordBatch.from_arrays(rows.columns[:width], rest), pa.array(out.astype(np.int32)), np.r_[0, np.cumsum(n)][at])
+
+    asked = held.select(*names, "words").mapInArrow(ask, "shard int, book binary, numbers binary, sizes binary, text binary")
+    met = asked.repartition(shards, "shard").mapInArrow(distinct, "book binary, refs binary, words array<string>")
+    folded = _with_tables(met, vocabulary.literal(df.sparkSession), "folded", lambda t: F.transform("words", lambda w: fold_merges(w, t, size))).drop("words")
+    answers = folded.mapInArrow(answer, "book binary, kind int, part int, data binary")
+    bodies = held.mapInArrow(write, "book binary, kind int, part int, data binary")
+    ordered = bodies.union(answers).repartition(shards, "book").sortWithinPartitions("book", "kind", "part")
+    return ordered.mapInArrow(assemble, schema)
+
+
+def _ids_by_number(pieces: np.ndarray, answers: list[bytes], words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """How many ids each number has, where they begin, and the ids."""
+    k = len(pieces)
+    sizes, begins = np.zeros(k + words, np.int64), np.zeros(k + words, np.int64)
+    sizes[:k], begins[:k] = 1, np.arange(k)
+    ids, done, met = [pieces], k, 0
+    for data in answers:
+        (n,) = struct.unpack_from("<q", data)
+        numbers, own, out = np.split(unzipped(data[8:]).view(np.int32), [n, 2 * n])
+        sizes[numbers], begins[numbers] = own, done + np.cumsum(own) - own
+        ids.append(out)
+        done, met = done + len(out), met + n
+    if met != words:
+        raise RuntimeError("the table gave other rows, or rows in another order, when it was read again")
+    return sizes, begins, np.concatenate(ids)
 
 
 def encode(df: DataFrame, text: str, ids: str, vocabulary: Vocabulary, keep_text: bool = True) -> DataFrame:

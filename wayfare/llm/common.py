@@ -222,3 +222,17 @@ def byte_grams(data: np.ndarray, k: int) -> np.ndarray:
             break
         level, span = joined(level[:-span], level[span:]), 2 * span
     return joined(out, here[k - 8 : k - 8 + n]) if done < k else mix64(out)
+
+
+def pieces_of(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """data[start : start + size] of all pieces, end to end."""
+    begins = np.cumsum(sizes) - sizes
+    return data[np.repeat(starts - begins, sizes) + np.arange(int(sizes.sum()))]
+
+
+def by_shard(sorted_shards: np.ndarray, order: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """(shard, entries) for each shard that has any."""
+    if len(order):
+        edges = np.r_[0, np.flatnonzero(np.diff(sorted_shards)) + 1, len(order)]
+        for a, b in zip(edges[:-1], edges[1:], strict=True):
+            yield int(sorted_shards[a]), order[a:b]

@@ -9,6 +9,8 @@ Of each bin the low bits are stored, one hexadecimal digit a bin.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -21,6 +23,8 @@ BITS = 4
 SHINGLE = 5
 #: Probes unrolled before the exact search among all filled bins.
 PROBES = 6
+#: Quantiles of the keys, at most, between which rows are put in order.
+MOST_BLOCKS = 20_000
 
 
 def _probe_tables(bins: int) -> tuple[list[int], list[int], list[int]]:
@@ -82,49 +86,78 @@ def likeness(a: Column, b: Column, bins: int = BINS, bits: int = BITS) -> Column
     return F.when(a == b, 1.0).when((a == "") | (b == ""), 0.0).otherwise(unbiased)
 
 
+def _longs(values: list[int]) -> Column:
+    return F.split(F.lit(",".join(map(str, values))), ",").cast("array<long>")
+
+
+def _with_block(df: DataFrame, keys: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
+    """df and keys, each with columns key and _tie, a hash, with _block: blocks are in the
+    order of descending key, nulls last, then of _tie.
+
+    Between two successive quantiles of the keys lies a block. A key that is several quantiles
+    itself has blocks of its own, as many, by its rows' hashes; so have nulls. Keys are only
+    compared, so any long may be one."""
+    n = keys.count()
+    many = min(sqrt_blocks(n, 4), MOST_BLOCKS)
+    shares = [k / many for k in range(1, many)] or [0.5]
+    found = keys.agg(F.percentile_approx(key, shares, 4 * many).alias("q"), F.count_if(F.col(key).isNull()).alias("nulls")).first()
+    times: dict[int, int] = {}
+    for q in sorted(found["q"] or [0], reverse=True):
+        times[q] = times.get(q, 0) + 1
+    borders, nulls = _longs(list(times)), 1 + many * found["nulls"] // max(1, n)
+    begins = [0]  # the block of keys between a border and the one above; then come the border's own
+    for m in times.values():
+        begins.append(begins[-1] + 1 + m)
+    # How many borders are above the key: every width-th one is asked first, then those between.
+    width = math.isqrt(len(times)) + 1
+    above = lambda values: F.size(F.filter(values, lambda b: b > F.col(key)))
+    steps = above(_longs(list(times)[::width]))
+    between = above(F.slice(borders, F.greatest(F.col("_steps") - 1, F.lit(0)) * width + 1, F.lit(width)))
+    # A share of m by the upper bits of the hash.
+    part = lambda m: F.shiftright((F.shiftright("_tie", 32) + (1 << 31)) * m, 32)
+    own = F.when(F.get(borders, F.col("_above")) == F.col(key), 1 + part(F.get(_longs(list(times.values())), F.col("_above")))).otherwise(0)
+    block = F.when(F.col(key).isNull(), begins[-1] + 1 + part(F.lit(nulls))).otherwise(F.get(_longs(begins), F.col("_above")) + own)
+
+    def of(rows: DataFrame) -> DataFrame:
+        rows = rows.withColumn("_steps", steps).withColumn("_above", F.when(F.col("_steps") > 0, (F.col("_steps") - 1) * width + between).otherwise(0))
+        return rows.withColumn("_block", block.cast("long")).drop("_steps", "_above")
+
+    return of(df), of(keys)
+
+
 def with_next(df: DataFrame, key: str, ties: list[str], carried: dict[str, str], keys: DataFrame | None = None) -> DataFrame:
-    """df with columns of the next row in the order of descending key (nulls last, ties
-    in the order of the columns named); after the last row comes the first. carried maps
-    columns to the names they get. keys has the keys alone, where df is dear to compute.
-
-    Rows go into blocks of successive keys. The first row of each block is also sent to
-    the block before it, so that each block finds its successors by itself and no task
-    holds the whole order. There are about 4 * sqrt(rows) blocks, whose first keys are
-    the one table that is joined."""
-    keys = df.select(key) if keys is None else keys
-    stats = keys.agg(F.count("*").alias("n"), F.min(key).alias("low"), F.max(key).alias("high")).first()
-    low = stats["low"] if stats["low"] is not None else 0
-    high = stats["high"] if stats["high"] is not None else 0
-    blocks = sqrt_blocks(stats["n"], 4)
-    width = max(1, (high - low) // blocks + 1)
-    if stats["low"] is not None and low == NULL_BELOW:
-        raise ValueError(f"{key} holds the value kept for null")
-    order = F.coalesce(F.col(key), F.lit(max(low - 1, NULL_BELOW)))
-    block = F.floor((F.col("_order") - F.lit(low - 1)) / F.lit(width)).cast("long")
-    rows = df.withColumn("_order", order).withColumn("_block", block)
-    firsts = keys.select(order.alias("_order")).withColumn("_block", block).groupBy("_block").agg(F.max("_order").alias("_order"))
-    down = Window.orderBy(F.col("_block").desc())
-    firsts = firsts.withColumns({"_to": F.lag("_block").over(down), "_least": F.min("_block").over(Window.partitionBy())})
-    firsts = firsts.select("_order", F.coalesce("_to", "_least").alias("_to"))
-    # A row for each block, and blocks are 4 * sqrt(rows): small enough to broadcast up to this many.
-    sent = F.broadcast(firsts) if blocks <= 1_000_000 else firsts
-    rows = rows.join(sent, "_order", "left")
+    """df with columns of the next row in the order of descending key (nulls last, ties in
+    the order of a hash of the columns named, then of these); after the last row comes the
+    first. carried maps columns to the names they get. keys has key and ties alone, where df
+    is dear to compute.
+
+    Rows go into blocks of the order. The first row of each block is also sent to the block
+    before it, so that each block finds its successors by itself and no task holds the whole
+    order. There are about 4 * sqrt(rows) blocks, a few times MOST_BLOCKS at most; their first
+    rows are the one table that is broadcast."""
+    tie = F.xxhash64(*ties)
+    small = (df if keys is None else keys).select(key, tie.alias("_tie"))
+    rows, small = _with_block(df.withColumn("_tie", tie), small, key)
+    # Of the order's hashes the complement falls as they rise.
+    firsts = small.groupBy("_block").agg(F.max(F.struct(key, F.bitwise_not("_tie").alias("tie"))).alias("first"))
+    around = Window.orderBy("_block")  # over a row for each block
+    firsts = firsts.withColumns({"_to": F.lag("_block").over(around), "_last": F.max("_block").over(Window.partitionBy())})
+    firsts = firsts.select(F.col("_block").alias("_of"), F.col(f"first.{key}").alias("_key"), F.bitwise_not("first.tie").alias("_key_tie"), F.coalesce("_to", "_last").alias("_to"))
+    first = (F.col("_block") == F.col("_of")) & (F.col("_tie") == F.col("_key_tie")) & F.col(key).eqNullSafe(F.col("_key"))
+    rows = rows.join(F.broadcast(firsts), first, "left").drop("_of", "_key", "_key_tie")
     both = F.array(F.struct(F.col("_block").alias("at"), F.lit(True).alias("own")), F.struct(F.col("_to").alias("at"), F.lit(False).alias("own")))
     rows = rows.withColumn("_place", F.explode(F.filter(both, lambda p: p["at"].isNotNull()))).withColumns({"_at": F.col("_place.at"), "_own": F.col("_place.own")})
-    own = Window.partitionBy("_at").orderBy(F.col("_own").desc(), F.col("_order").desc(), *ties)
+    own = Window.partitionBy("_at").orderBy(F.col("_own").desc(), F.col(key).desc_nulls_last(), "_tie", *ties)
     rows = rows.withColumns({name: F.lead(c).over(own) for c, name in carried.items()})
-    return rows.filter("_own").drop("_order", "_block", "_to", "_place", "_at", "_own")
-
-
-NULL_BELOW = -(1 << 63)
+    return rows.filter("_own").drop("_tie", "_block", "_to", "_place", "_at", "_own")
 
 
 def op8_one_permutation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of all documents and of their edited texts. Null text: empty. Rows
-    of one doc_id follow each other in the order of their texts."""
+    of one doc_id follow each other in the order of a hash of their texts, then of these."""
     docs = documents(spark, sf_dir).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     printed = add_fingerprint(docs, "text", "fingerprint")
-    rows = with_next(printed, "doc_id", ["text"], {"text": "_next", "fingerprint": "_next_fingerprint"}, docs.select("doc_id"))
+    rows = with_next(printed, "doc_id", ["text"], {"text": "_next", "fingerprint": "_next_fingerprint"}, docs)
     n = F.char_length("text")
     half = F.floor(n / 2).cast("int")
     edited = F.concat(F.substring(F.col("text"), F.lit(1), n - half), F.substring(F.col("_next"), F.lit(1), half))

@@ -49,7 +49,7 @@ def partitions(df: DataFrame, factor: int, least: int) -> int:
     return max(least, factor * df.rdd.getNumPartitions())
 
 
-def _stored(batch: pa.RecordBatch) -> bytes:
+def stored(batch: pa.RecordBatch) -> bytes:
     sink = pa.BufferOutputStream()
     with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
         out.write_batch(batch)
@@ -75,7 +75,7 @@ def meet(df: DataFrame, found: DataFrame, task: Task, schema, max_bytes: int, al
 
     def store(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for pack in packs(batches, max_bytes):
-            yield pa.RecordBatch.from_arrays([pa.array([pack.name], pa.binary()), pa.array([0], pa.int32()), pa.array([_stored(pack.batch)], pa.binary())], ["pack", "kind", "data"])
+            yield pa.RecordBatch.from_arrays([pa.array([pack.name], pa.binary()), pa.array([0], pa.int32()), pa.array([stored(pack.batch)], pa.binary())], ["pack", "kind", "data"])
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         name, body, parts = None, None, []

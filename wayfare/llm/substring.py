@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Texts, documents, equal_words, gram_hashes, mix64, sliding_min, span_hashes, word_spans
+from .common import Texts, by_shard, documents, equal_words, gram_hashes, mix64, sliding_min, span_hashes, word_spans
 from .packs import Pack, meet, partitions, unzipped, zipped
 from .sketch import Estimates, estimates, ranges_of
 
@@ -101,14 +101,6 @@ def runs(docs: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.n
     return d[new], p[new], p[np.r_[np.flatnonzero(new)[1:] - 1, len(p) - 1]]
 
 
-def by_shard(sorted_shards: np.ndarray, order: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-    """(shard, entries) for each shard that has any."""
-    if len(order):
-        edges = np.r_[0, np.flatnonzero(np.diff(sorted_shards)) + 1, len(order)]
-        for a, b in zip(edges[:-1], edges[1:], strict=True):
-            yield int(sorted_shards[a]), order[a:b]
-
-
 #: Stretches of a pack's documents on their way to a shard: of each its document's number in
 #: the pack and id, where it begins, how many windows begin in it, a label that stretches
 #: which may have a window in common share, and its bytes; or, of shard -1, runs that the pack

@@ -21,10 +21,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from .common import Texts, byte_grams, documents, joined, sliding_min, two_smallest
+from .common import Texts, by_shard, byte_grams, documents, joined, pieces_of, sliding_min, two_smallest
 from .packs import Pack, meet, partitions
 from .sketch import Estimates, estimates, ranges_of
-from .substring import STRETCHES, Cuts, Stretches, anchor_places, by_shard, earliest, equal_groups, grouped, runs, stretches
+from .substring import STRETCHES, Cuts, Stretches, anchor_places, earliest, equal_groups, grouped, runs, stretches
 
 LENGTH = 100
 #: Bytes of the grams among which a window's anchor is chosen.
@@ -124,12 +124,6 @@ class _Windows:
         return anchor_places(self.grams, self.all, self.span) if len(self.at) else self.anchors
 
 
-def _pieces(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """data[start : start + size] of all pieces, end to end."""
-    begins = np.cumsum(sizes) - sizes
-    return data[np.repeat(starts - begins, sizes) + np.arange(int(sizes.sum()))]
-
-
 def _repeats(text: np.ndarray, sizes: np.ndarray, counts: np.ndarray, ids: np.ndarray, places: np.ndarray, at: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
     """Runs (place, first, last) of windows that also start earlier, from the suffix array of
     stretches of text end to end; counts[k] windows start in stretch k, from at[k] on."""
@@ -186,7 +180,7 @@ def repeated_runs(df: DataFrame, length: int = LENGTH, gram: int = GRAM) -> Data
 
         def text(chosen: np.ndarray) -> tuple[bytes, np.ndarray]:
             sizes = counts[chosen] + length - 1
-            return _pieces(texts.data, begin[chosen], sizes).tobytes(), sizes
+            return pieces_of(texts.data, begin[chosen], sizes).tobytes(), sizes
 
         yield from stretches(pack, shards, keys[new], doc[new], begin - texts.starts[doc[new]], counts, text, settled)
 
@@ -201,7 +195,7 @@ def repeated_runs(df: DataFrame, length: int = LENGTH, gram: int = GRAM) -> Data
             fit = ends[(ends > a) & (total[ends - 1] - done <= ARRAY_WINDOWS)]
             b = int(fit[-1]) if len(fit) else int(ends[ends > a][0])
             o = order[a:b]
-            yield from met.found(*_repeats(_pieces(met.text, begins[o], met.sizes[o]), met.sizes[o], met.counts[o], met.ids[o], met.places[o], met.at[o], length))
+            yield from met.found(*_repeats(pieces_of(met.text, begins[o], met.sizes[o]), met.sizes[o], met.counts[o], met.ids[o], met.places[o], met.at[o], length))
             a = b
 
     marked = estimates(rows, lambda texts: _Windows(texts, length, gram).keys(), PACK_BYTES)
