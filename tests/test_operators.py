@@ -1,5 +1,12 @@
 """Boundary cases of the operators on literal frames."""
 
+import datetime as dt
+import glob
+import json
+import os
+import shutil
+import time
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -10,7 +17,9 @@ from wayfare.operators import baseline as B
 from wayfare.operators import dimensions as D
 from wayfare.operators import observations as O
 from wayfare.operators import transfers as T
-from wayfare.operators.publish import PublishError, backfill_allowed, compact_day, dates_between, swap
+from wayfare import cli
+from wayfare.streaming.archive import ProgressLog
+from wayfare.operators.publish import PublishError, backfill_allowed, backfill_positions, compact_day, dates_between, read_published, swap, violations
 from wayfare.schemas import POSITIONS, RAW_POSITION, SchemaDriftError, conform, drift
 from wayfare.sources.lake import read_snapshots
 from wayfare.sources.paged import RunawaySource, paged_documents
@@ -78,7 +87,7 @@ def test_matcher_boundaries():
     far = np.full((3, 3), 900.0)
     far[0, 0] = 50
     assert A.match_sequence(far, np.array([0.0, 1200.0, 1200.5]))[2].tolist() == [1, 0, 3]
-    assert A.match_sequence(np.array([[300.0, 300.0]]), np.array([0.0]))[3].cur == 0
+    assert A.match_sequence(np.array([[300.0, 300.0]]), np.array([0.0]))[3].stop == 0
 
 
 def test_matcher_goes_on_from_its_state():
@@ -172,7 +181,10 @@ def test_swap_keeps_the_old_table_when_checks_fail(spark, tmp_path):
     for bad in (df.where("id > 9"), df.union(df)):
         with pytest.raises(PublishError):
             swap(spark, bad, path, ["id"])
-    assert spark.read.parquet(path).count() == 3
+    assert read_published(spark, path).count() == 3
+    swap(spark, spark.range(5), path, ["id"])
+    assert read_published(spark, path).count() == 5
+    assert len([x for x in os.listdir(path) if x.startswith("v-")]) == 2
 
 
 def test_compaction(spark, tmp_path):
@@ -184,6 +196,16 @@ def test_compaction(spark, tmp_path):
         compact_day(spark, staging, silver, "A", "2024-01-01", "2024-01-01")
     done = compact_day(spark, staging, silver, "A", "2024-01-01", "2024-01-02")
     assert (done.read, done.written) == (3, 2)
+    assert compact_day(spark, staging, silver, "A", "2024-01-01", "2024-01-02").written == 0
+    # A run that broke off before it deleted what it had taken.
+    taken = [r.file for r in spark.read.parquet(f"{silver}/_taken/city=A/dt=2024-01-01").collect()]
+    left = taken[0].removeprefix("file:").replace("///", "/")
+    os.makedirs(os.path.dirname(left), exist_ok=True)
+    rows.coalesce(1).write.parquet(str(tmp_path / "copy"))
+    shutil.copy(glob.glob(str(tmp_path / "copy" / "part-*"))[0], left)
+    assert compact_day(spark, staging, silver, "A", "2024-01-01", "2024-01-02").written == 0 and not os.path.exists(left)
+    with pytest.raises(PublishError, match="nothing is staged"):
+        compact_day(spark, staging, silver, "B", "2024-01-01", "2024-01-02")
     rows.write.mode("append").parquet(part)
     with pytest.raises(PublishError, match="published"):
         compact_day(spark, staging, silver, "A", "2024-01-01", "2024-01-02")
@@ -192,6 +214,68 @@ def test_compaction(spark, tmp_path):
     assert dates_between("2024-02-28", "2024-03-01") == ["2024-02-28", "2024-02-29", "2024-03-01"]
 
 
+def test_backfill_is_guarded(spark, tmp_path):
+    silver, rows = str(tmp_path), spark.range(4)
+    assert backfill_positions(spark, rows, silver, "A", "2026-08-21") is None
+    assert backfill_positions(spark, rows, silver, "A", "2026-08-16").incomplete
+    assert backfill_positions(spark, spark.range(9), silver, "A", "2026-08-16") is None
+    assert backfill_positions(spark, spark.range(9), silver, "A", "2026-08-16", force=True).rows == 9
+    day = f"{silver}/city=A/dt=2026-08-20"
+    at = lambda *xs: spark.createDataFrame([(x,) for x in xs], "update_time long")
+    at(5, 6).write.parquet(day)
+    assert backfill_positions(spark, at(1, 4, 5, None), silver, "A", "2026-08-20").rows == 5
+    assert sorted(r.update_time or 0 for r in spark.read.parquet(day).collect()) == [0, 1, 4, 5, 6]
+
+
+def test_violations(spark):
+    df = spark.createDataFrame([(1, "a", None), (1, "b", 2.0), (None, "c", 3.0)], "k int, v string, x double")
+    assert {(r.rule, r.n) for r in violations(df, ["k"], ["x"], {"v": ["a", "b"]}).collect()} == {("k is null", 1), ("x is null", 1), ("v has another value", 1)} | {("k not unique", 1)}
+    assert violations(df.where("v = 'b'"), ["k"], ["x"]).collect() == []
+
+
+def test_progress_log(spark, tmp_path):
+    log = ProgressLog()
+    spark.range(7).write.parquet(str(tmp_path / "in"))
+    spark.streams.addListener(log)
+    try:
+        q = spark.readStream.schema("id long").parquet(str(tmp_path / "in")).writeStream.format("noop").option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start()
+        q.awaitTermination()
+        for _ in range(100):
+            if log.queries.get(str(q.runId), {}).get("state") == "ended":
+                break
+            time.sleep(0.1)
+    finally:
+        spark.streams.removeListener(log)
+    assert log.queries[str(q.runId)]["rows"] == 7 and log.queries[str(q.runId)]["error"] is None
+
+
+def test_daily_chain(spark, tmp_path, monkeypatch):
+    """A tiny lake from staged messages and raw routes to serving tables."""
+    lake = str(tmp_path)
+    stop = lambda k: {"StopSequence": k, "StopUID": f"u{k}", "StopID": f"s{k}", "StationID": f"S{k}", "LocationCityCode": None, "StopName": {"Zh_tw": f"n{k}", "En": None}, "StopBoarding": 0, "StopPosition": {"PositionLat": 25 + k * 0.01, "PositionLon": 121.5, "GeoHash": None}}
+    for route in "12":
+        doc = {"SubRouteUID": f"TPE{route}", "RouteUID": f"R{route}", "VersionID": "1", "UpdateTime": "t", "Direction": 0, "RouteName": {"Zh_tw": route, "En": None}, "SubRouteName": {"Zh_tw": route, "En": None}, "Operators": [], "Stops": [stop(k) for k in (3, 1, 2)]}
+        os.makedirs(f"{lake}/raw_routes/Taipei", exist_ok=True)
+        with open(f"{lake}/raw_routes/Taipei/{route}.json", "w") as f:
+            json.dump([doc], f)
+    rows = []
+    for vehicle in range(60):
+        for k in (1, 2, 3):
+            t, route = dt.datetime(2024, 1, 8, 1) + dt.timedelta(seconds=k * 180 + vehicle * 30), f"TPE{1 + vehicle % 2}"
+            rows.append((f"P{vehicle}", route, 0, 1, 25 + k * 0.01, 121.5, 10, 0, t, t, t, 0, len(rows), "c"))
+    df = spark.createDataFrame(rows, "plate_numb string, sub_route_uid string, direction byte, duty_status byte, lat double, lon double, speed short, bus_status short, gps_time timestamp, update_time timestamp, snapshot_time timestamp, kafka_partition int, kafka_offset long, consume_time string").withColumn("route_uid", F.col("sub_route_uid"))
+    df.union(df).write.parquet(f"{lake}/staging/city=Taipei/dt=2024-01-08")
+    monkeypatch.setattr(cli, "get_session", lambda: spark)
+    assert cli.main(["daily", "--lake", lake, "--city", "Taipei", "--date", "2024-01-08"]) == 0
+    assert spark.read.parquet(f"{lake}/events").count() == 180 and spark.read.parquet(f"{lake}/steps").count() == 120
+    assert read_published(spark, f"{lake}/marts").count() > 0
+    assert read_published(spark, f"{lake}/baseline").count() == 2
+    assert read_published(spark, f"{lake}/serving/route_stop").count() == 6
+    assert spark.read.json(f"{lake}/metrics").first().raw_records == 180
+    assert cli.main(["backfill", "--lake", lake, "--city", "Taipei", "--first", "2024-01-08", "--last", "2024-01-08"]) == 0
+    assert spark.read.parquet(f"{lake}/events").count() == 180
+
+
 def test_snapshots_keep_ids_and_report_broken_files(spark, tmp_path):
     import gzip
 

@@ -1,4 +1,5 @@
-"""Daily chain and backfill: positions of a day to events, transfers and marts.
+"""Daily chain and backfill: staged messages of a day to positions, events, transfers, steps, and
+the tables over all days: stops, marts, baseline, serving.
 
     python -m wayfare.cli daily --lake DIR --date 2026-08-21 [--city Taipei --city NewTaipei]
     python -m wayfare.cli backfill --lake DIR --first 2026-08-01 --last 2026-08-20 [--force]
@@ -7,26 +8,32 @@
 from __future__ import annotations
 
 import argparse
+import datetime as dt
 import sys
 import traceback
+from zoneinfo import ZoneInfo
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .functions.columns import LOCAL_ZONE
 from .operators import arrivals as A
+from .operators import baseline as B
+from .operators import dimensions as D
 from .operators import observations as O
 from .operators import quality as Q
 from .operators import transfers as T
-from .operators.publish import backfill_allowed, dates_between
+from .operators.publish import backfill_allowed, compact_day, dates_between, exists, read_published, swap
+from .schemas import RAW_ROUTE
 from .session import get_session
-from .sources.lake import append_metrics, write_partitioned
+from .sources.lake import append_metrics, read_documents, write_partitioned
 
 CITIES = ("Taipei", "NewTaipei")
 
 
 def stop_lists(spark: SparkSession, lake: str) -> DataFrame:
     """The open versions of the stops as arrays."""
-    open_ = spark.read.parquet(f"{lake}/route_stops").where("valid_to is null")
+    open_ = read_published(spark, f"{lake}/route_stops").where("valid_to is null")
     fields = {"stop_seqs": "seq", "station_ids": "station_id", "stop_names": "name", "boardings": "boarding", "stop_lats": "lat", "stop_lons": "lon"}
     return open_.select("sub_route_uid", "direction", "version_id", *[F.col(f"stops.{f}").alias(name) for name, f in fields.items()])
 
@@ -49,8 +56,15 @@ def build_transfers(spark: SparkSession, lake: str, city: str, date: str) -> Non
     write_partitioned(hist.withColumn("dt", F.col("data_date")), f"{lake}/transfers", "city", "dt")
 
 
-def build_marts(spark: SparkSession, lake: str) -> None:
-    T.with_validity(T.transfer_marts(spark.read.parquet(f"{lake}/transfers"))).write.mode("overwrite").parquet(f"{lake}/marts")
+def build_steps(spark: SparkSession, lake: str, city: str, date: str) -> None:
+    e = spark.read.parquet(f"{lake}/events").where((F.col("city") == city) & (F.col("dt") == date))
+    write_partitioned(B.segment_steps(e).withColumn("dt", F.lit(date)), f"{lake}/steps", "city", "dt")
+
+
+def compact(spark: SparkSession, lake: str, city: str, date: str) -> None:
+    """Staged messages of the day as a silver partition, where any are staged."""
+    if exists(spark, f"{lake}/staging/city={city}/dt={date}"):
+        compact_day(spark, f"{lake}/staging", f"{lake}/silver", city, date, dt.datetime.now(ZoneInfo(LOCAL_ZONE)).date().isoformat())
 
 
 def health(spark: SparkSession, lake: str, city: str, date: str) -> None:
@@ -58,12 +72,39 @@ def health(spark: SparkSession, lake: str, city: str, date: str) -> None:
     append_metrics(Q.profile(p).withColumn("date", F.lit(date)), f"{lake}/metrics")
 
 
+def refresh_stops(spark: SparkSession, lake: str) -> None:
+    """Raw route documents of each city as versions of the stops, where any have come."""
+    if not exists(spark, f"{lake}/raw_routes"):
+        return
+    now = F.current_timestamp()
+    found = None
+    for city in CITIES:
+        if exists(spark, path := f"{lake}/raw_routes/{city}"):
+            built = D.build_route_stops(read_documents(spark, path, RAW_ROUTE), now, city)
+            found = built if found is None else found.unionByName(built)
+    there = exists(spark, f"{lake}/route_stops/_current")
+    current = read_published(spark, f"{lake}/route_stops") if there else found.limit(0)
+    swap(spark, D.upsert_versions(current, found, ["sub_route_uid", "direction"], now).drop("change"), f"{lake}/route_stops", ["_id"])
+
+
+def build_marts(spark: SparkSession, lake: str) -> None:
+    swap(spark, T.with_validity(T.transfer_marts(spark.read.parquet(f"{lake}/transfers"))), f"{lake}/marts")
+
+
+def build_baseline(spark: SparkSession, lake: str) -> None:
+    swap(spark, B.baseline_segment(B.rollup(spark.read.parquet(f"{lake}/steps"))), f"{lake}/baseline", B.CELL)
+
+
+def build_serving(spark: SparkSession, lake: str) -> None:
+    swap(spark, D.serving_rows(read_published(spark, f"{lake}/route_stops")), f"{lake}/serving/route_stop", ["sub_route_uid", "direction", "seq"])
+
+
 def run_day(spark: SparkSession, lake: str, cities: list[str], date: str) -> int:
     """All steps of each city; a failed one ends its city's chain, a failed health check none.
     Returns the number of failures."""
     failed = 0
     for city in cities:
-        for step, must in ((health, False), (build_events, True), (build_transfers, True)):
+        for step, must in ((compact, True), (health, False), (build_events, True), (build_transfers, True), (build_steps, True)):
             try:
                 step(spark, lake, city, date)
             except Exception:
@@ -74,6 +115,18 @@ def run_day(spark: SparkSession, lake: str, cities: list[str], date: str) -> int
     return failed
 
 
+def run_tables(spark: SparkSession, lake: str) -> int:
+    """The tables over all days, each whether or not the others succeed."""
+    failed = 0
+    for step in (build_marts, build_baseline, build_serving):
+        try:
+            step(spark, lake)
+        except Exception:
+            traceback.print_exc()
+            failed += 1
+    return failed
+
+
 def main(argv: list[str] | None = None) -> int:
     parser = argparse.ArgumentParser(prog="wayfare")
     commands = parser.add_subparsers(dest="command", required=True)
@@ -88,12 +141,13 @@ def main(argv: list[str] | None = None) -> int:
     args = parser.parse_args(argv)
     spark, cities = get_session(), args.city or list(CITIES)
     days = [args.date] if args.command == "daily" else dates_between(args.first, args.last)
+    refresh_stops(spark, args.lake)
     failed = 0
     for date in days:
         if args.command == "backfill":
             backfill_allowed(date, args.force)
         failed += run_day(spark, args.lake, cities, date)
-    build_marts(spark, args.lake)
+    failed += run_tables(spark, args.lake)
     return min(failed, 1)
 
 

@@ -25,16 +25,43 @@ def segment_steps(events: DataFrame, lowest_s: int = 1, highest_s: int = 1800) -
     return steps.withColumn("band", band(F.col("hr"))).select("city", "service_date", "sub_route_uid", "direction", "from_station_id", F.col("station_id").alias("to_station_id"), "arrival_from", "sec", "from_min_speed", "hr", "day_type", "band")
 
 
-def rollup(steps: DataFrame, exact: bool = True) -> DataFrame:
-    """Statistics of all prefixes of the cell in one pass; level says which: band (all five),
-    daytype, pair; coarser ones are left out. grouping_id tells a rolled-up column from a
-    null one. Quantiles are elements of the data; exact=False sketches them, which keeps
-    memory of very large cells bounded."""
-    quantile = (lambda q: F.expr(f"percentile_disc({q}) within group (order by sec)")) if exact else (lambda q: F.percentile_approx("sec", q, 10_000))
-    stats = [F.count("*").alias("n"), F.countDistinct("sub_route_uid").alias("n_route"), *[quantile(q / 100).alias(f"p{q}_sec") for q in (25, 50, 75, 90)], F.avg("sec").alias("mean_sec"), F.stddev_samp("sec").alias("sd_sec"), F.min("service_date").alias("date_from"), F.max("service_date").alias("date_to"), F.countDistinct("service_date").alias("n_days")]
-    rolled = steps.rollup(*CELL).agg(F.grouping_id().alias("_grouping"), *stats)
-    level = F.when(F.col("_grouping") == 0, "band").when(F.col("_grouping") == 1, "daytype").when(F.col("_grouping") == 3, "pair")
-    return rolled.withColumn("level", level).where("level is not null").drop("_grouping")
+def rollup(steps: DataFrame) -> DataFrame:
+    """Statistics of all prefixes of the cell; level says which: band (all five), daytype, pair.
+    Quantiles are elements of the data.
+
+    Steps are first counted by (cell, seconds), (cell, route) and (cell, date), which combines
+    before the shuffle. What is left of a pair is bounded by the seconds, routes and dates it
+    has, whatever its steps, and makes all three levels without another shuffle."""
+    values = ("sec", "sub_route_uid", "service_date")
+    counted = steps.groupingSets([[*CELL, v] for v in values], *CELL, *values).agg(F.grouping_id().alias("_set"), F.count("*").alias("_n"))
+    pair, null = CELL[:3], F.lit(None).cast("string")
+    # grouping_id has a bit for each column, 0 where it is grouped by.
+    kind = F.when(F.col("_set") == 3, "sec").when(F.col("_set") == 5, "route").otherwise("date")
+    levels = F.array(F.struct(F.lit("band").alias("level"), F.col("day_type"), F.col("band")), F.struct(F.lit("daytype").alias("level"), F.col("day_type"), null.alias("band")), F.struct(F.lit("pair").alias("level"), null.alias("day_type"), null.alias("band")))
+    rows = counted.repartition(*pair).withColumn("_kind", kind).select(*pair, "_kind", *values, "_n", F.explode(levels).alias("_level")).select(*pair, "_level.*", "_kind", *values, "_n")
+    cell = [*CELL, "level"]
+    rows = rows.groupBy(*cell, "_kind", *values).agg(F.sum("_n").alias("_n"))
+    timed = F.when((F.col("_kind") == "sec") & F.col("sec").isNotNull(), F.col("_n"))
+    whole = Window.partitionBy(*cell)
+    so_far = F.sum(timed).over(whole.orderBy(F.col("sec").asc_nulls_first()).rangeBetween(Window.unboundedPreceding, 0))
+    rows = rows.withColumns({"_timed": timed, "_so_far": so_far, "_all": F.sum(timed).over(whole)})
+    total, squares = F.sum(F.col("_timed") * F.col("sec")), F.sum(F.col("_timed") * F.col("sec") * F.col("sec"))
+    quantiles = [F.min(F.when(F.col("_timed").isNotNull() & (F.col("_so_far") * 100 >= F.col("_all") * q), F.col("sec"))).alias(f"p{q}_sec") for q in (25, 50, 75, 90)]
+    out = rows.groupBy(*cell).agg(
+        F.sum(F.when(F.col("_kind") == "sec", F.col("_n"))).alias("n"),
+        F.count_if((F.col("_kind") == "route") & F.col("sub_route_uid").isNotNull()).alias("n_route"),
+        *quantiles,
+        total.alias("_total"),
+        squares.alias("_squares"),
+        F.sum("_timed").alias("_timed"),
+        F.min("service_date").alias("date_from"),
+        F.max("service_date").alias("date_to"),
+        F.count_if((F.col("_kind") == "date") & F.col("service_date").isNotNull()).alias("n_days"),
+    )
+    n, wide = F.col("_timed"), lambda c: F.col(c).cast("decimal(19,0)")
+    spread = (wide("_timed") * wide("_squares") - wide("_total") * wide("_total")).cast("double")
+    out = out.withColumns({"mean_sec": F.try_divide(F.col("_total").cast("double"), n), "sd_sec": F.when(n > 1, F.sqrt(spread / (n.cast("double") * (n - 1))))})
+    return out.select(*CELL, *STATS, "level")
 
 
 def baseline_segment(rolled: DataFrame, min_n: int = MIN_N) -> DataFrame:

@@ -9,13 +9,33 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import city_of, content_hash, haversine_m
 
-
-def build_route_stops(raw: DataFrame, now: Column) -> DataFrame:
-    """Route documents (sub_route_uid, direction, version_id, route_uid, route_name, stops) as
-    open versions; stops ordered by seq."""
-    ordered = F.array_sort("stops", lambda a, b: F.when(a["seq"] < b["seq"], -1).when(a["seq"] > b["seq"], 1).otherwise(0))
-    key = F.concat("sub_route_uid", F.lit("_"), F.col("direction").cast("string"), F.lit("_"), F.col("version_id").cast("string"))
-    return raw.withColumns({"_id": key, "stops": ordered, "stop_count": F.size("stops"), "valid_from": now, "valid_to": F.lit(None).cast("timestamp")})
+# Bearings of stops and their opposites.
+OPPOSITE = {"E": "W", "W": "E", "N": "S", "S": "N", "NE": "SW", "SW": "NE", "NW": "SE", "SE": "NW"}
+
+
+def build_route_stops(raw: DataFrame, now: Column, authority: str) -> DataFrame:
+    """Raw route documents (schemas.RAW_ROUTE) of an authority as open versions; stops ordered
+    by their sequence."""
+    by_seq = F.array_sort("Stops", lambda a, b: F.when(a["StopSequence"] < b["StopSequence"], -1).when(a["StopSequence"] > b["StopSequence"], 1).otherwise(0))
+    stop = lambda s: F.struct(s["StopSequence"].alias("seq"), s["StopUID"].alias("stop_uid"), s["StopID"].alias("stop_id"), s["StopName"]["Zh_tw"].alias("name"), s["StationID"].alias("station_id"), s["StopBoarding"].alias("boarding"), s["StopPosition"]["PositionLat"].alias("lat"), s["StopPosition"]["PositionLon"].alias("lon"), s["StopPosition"]["GeoHash"].alias("geohash"), s["LocationCityCode"].alias("location_city"))
+    operator = lambda o: F.struct(o["OperatorID"].alias("id"), o["OperatorNo"].alias("no"), o["OperatorName"]["Zh_tw"].alias("name"), o["OperatorCode"].alias("code"))
+    key = F.concat("SubRouteUID", F.lit("_"), F.col("Direction").cast("string"), F.lit("_"), F.col("VersionID").cast("string"))
+    return raw.select(
+        key.alias("_id"),
+        F.col("SubRouteUID").alias("sub_route_uid"),
+        F.col("Direction").cast("int").alias("direction"),
+        F.col("VersionID").cast("string").alias("version_id"),
+        F.col("RouteUID").alias("route_uid"),
+        F.col("RouteName.Zh_tw").alias("route_name"),
+        F.col("SubRouteName.Zh_tw").alias("sub_route_name"),
+        F.lit(authority).alias("authority"),
+        F.transform(F.coalesce("Operators", F.array()), operator).alias("operators"),
+        F.transform(by_seq, stop).alias("stops"),
+        F.size("Stops").alias("stop_count"),
+        F.col("UpdateTime").alias("source_updated"),
+        now.alias("valid_from"),
+        F.lit(None).cast("timestamp").alias("valid_to"),
+    )
 
 
 def union_stations(rows: DataFrame, now: Column, authority_order: Sequence[str] = ("Taipei", "NewTaipei")) -> DataFrame:
@@ -48,11 +68,19 @@ def upsert_versions(current: DataFrame, incoming: DataFrame, keys: Sequence[str]
 
 
 def serving_rows(route_stops: DataFrame) -> DataFrame:
-    """One row for each stop of the open versions. A stop without a name, or a route of an
-    unknown city, raises."""
-    open_ = route_stops.where("valid_to is null").select("sub_route_uid", "direction", "route_name", "version_id", F.explode("stops").alias("s"))
-    name = F.coalesce(F.col("s.name"), F.raise_error(F.concat(F.lit("stop without a name: "), "sub_route_uid")).cast("string"))
-    return open_.select("sub_route_uid", "direction", F.col("s.seq").alias("seq"), F.col("s.station_id").alias("station_id"), name.alias("stop_name"), F.col("s.boarding").alias("boarding"), F.col("s.lat").alias("lat"), F.col("s.lon").alias("lon"), "route_name", "version_id", city_of(F.col("sub_route_uid")).alias("city"))
+    """One row for each stop of the open versions. A route without a name, or of an unknown
+    city, raises."""
+    route = F.when(F.col("route_name") != "", F.col("route_name")).otherwise(F.raise_error(F.concat(F.lit("route without a name: "), "sub_route_uid")).cast("string"))
+    open_ = route_stops.where("valid_to is null").select(city_of(F.col("sub_route_uid")).alias("city"), route.alias("route_name"), "sub_route_uid", "direction", "version_id", F.explode("stops").alias("s"))
+    return open_.select("city", "route_name", "sub_route_uid", "direction", F.col("s.seq").alias("seq"), F.col("s.station_id").alias("station_id"), F.col("s.name").alias("stop_name"), F.col("s.boarding").alias("boarding"), "version_id")
+
+
+def length_checks(df: DataFrame, column: str, most: int) -> DataFrame:
+    """Rows, distinct values, and the longest value of a column in characters and in bytes;
+    fits says whether it has room in most characters. One row."""
+    c = F.col(column)
+    out = df.groupBy(c.alias("v")).agg(F.count("*").alias("n")).agg(F.sum("n").alias("n_rows"), F.count("v").alias("n_distinct"), F.max(F.char_length("v")).alias("longest_chars"), F.max(F.octet_length("v")).alias("longest_bytes"))
+    return out.withColumn("fits", F.coalesce(F.col("longest_chars") <= most, F.lit(True)))
 
 
 def name_ambiguity(stops: DataFrame, k: int = 10) -> DataFrame:
@@ -73,6 +101,16 @@ def near_pairs(stops: DataFrame, lowest_m: float, highest_m: float, cell_deg: fl
     return pairs.where(F.col("dist_m").between(lowest_m, highest_m)).drop("_x", "_y")
 
 
+def opposite_stops(stops: DataFrame, lowest_m: float = 20.0, highest_m: float = 50.0, cell_deg: float = 0.0006, least_like: float = 0.6) -> DataFrame:
+    """Pairs of stops (id, lat, lon, bearing, name) across a road from one another: apart by a
+    road's width, of opposite bearings, and of names that are alike (one less the edit distance
+    by the longer length)."""
+    opposite = F.create_map(*[F.lit(x) for pair in OPPOSITE.items() for x in pair])
+    longer = F.greatest(F.char_length("name_a"), F.char_length("name_b"), F.lit(1))
+    pairs = near_pairs(stops, lowest_m, highest_m, cell_deg).where(opposite[F.col("bearing_a")] == F.col("bearing_b"))
+    return pairs.withColumn("name_likeness", 1 - F.levenshtein("name_a", "name_b") / longer).where(F.col("name_likeness") >= least_like)
+
+
 def ambiguous_stops(stops: DataFrame, far_seq: int = 5, near_m: float = 100.0) -> DataFrame:
     """Pairs of stops of one route and direction that are near but far apart in sequence."""
     keys = ["sub_route_uid", "direction"]

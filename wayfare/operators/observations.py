@@ -89,3 +89,28 @@ def merge_at_cutover(history: DataFrame, live: DataFrame, ts: str) -> DataFrame:
     boundary = live.agg(F.min(ts).alias("_boundary"))
     before = history.join(F.broadcast(boundary)).where(F.coalesce(F.col(ts) < F.col("_boundary"), F.lit(True))).drop("_boundary")  # one row
     return before.unionByName(live, allowMissingColumns=True)
+
+
+#: Columns that a cutover may go by, the first one that both sides know.
+BOUNDARY_CANDIDATES = ("snapshot_time", "update_time", "src_update_time", "gps_time")
+
+
+def boundary_column(history: DataFrame, live: DataFrame, candidates: Sequence[str] = BOUNDARY_CANDIDATES) -> str:
+    """The first candidate that both tables have and of which history has any value."""
+    shared = [c for c in candidates if c in history.columns and c in live.columns]
+    known = history.agg(*[F.count(c).alias(c) for c in shared]).first() if shared else {}
+    for c in shared:
+        if known[c]:
+            return c
+    raise ValueError(f"no time column in common among {', '.join(candidates)}")
+
+
+def trajectory(df: DataFrame, sub_route_uid: str, direction: int, plate_numb: str | None = None) -> DataFrame:
+    """The observations of one route and direction, or of one vehicle on it, once for each
+    vehicle and time; of several the smallest row stays. The filter comes first, so that it
+    reaches the files."""
+    rows = df.where((F.col("sub_route_uid") == sub_route_uid) & (F.col("direction") == direction))
+    rows = rows if plate_numb is None else rows.where(F.col("plate_numb") == plate_numb)
+    others = [c for c in df.columns if c not in ("plate_numb", "gps_us")]
+    once = rows.groupBy("plate_numb", "gps_us").agg(F.min(F.struct(*others)).alias("_first"))
+    return once.select("plate_numb", "gps_us", "_first.*").select(*df.columns).sort("plate_numb", "gps_us")

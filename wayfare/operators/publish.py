@@ -6,13 +6,15 @@ import datetime as dt
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from .observations import dedup_messages
+from .observations import boundary_column, dedup_messages, merge_at_cutover
 
 # Fixed policy of the history that must not be overwritten.
 PROTECTED_DAYS = frozenset({"2026-08-21", "2026-08-22", "2026-08-23", "2026-08-24", "2026-08-25"})
+CUTOVER_DAY = "2026-08-20"
+KNOWN_INCOMPLETE = frozenset({"2026-08-16"})
 
 
 class PublishError(RuntimeError):
@@ -46,54 +48,120 @@ class Compacted:
     written: int
 
 
-def compact_day(spark: SparkSession, staging: str, silver: str, city: str, date: str, today: str, files: int = 1) -> Compacted:
+def _staged(spark: SparkSession, path: str) -> list[str]:
+    fs, p = _files(spark, path)
+    found = [s.getPath().toString() for s in fs.listStatus(p)] if fs.exists(p) else []
+    return [f for f in found if f.endswith(".parquet") and f.rsplit("/", 1)[1][0] not in "._"]
+
+
+def compact_day(spark: SparkSession, staging: str, silver: str, city: str, date: str, today: str, files: int = 8) -> Compacted:
     """Staged messages of a city and day as one silver partition, copies removed.
 
-    Refuses a day that is not over and a day already published. The list of staged files is
-    taken first; only these are read and, after the result was read back and verified,
-    deleted, so what arrives meanwhile stays."""
+    Refuses a day that is not over. The list of staged files is taken first and written beside
+    the day; only these are read and, after the result was read back and verified, deleted, so
+    what arrives meanwhile stays. A day that is published is left alone: files of its list that
+    a run that broke off left behind are deleted, others are late records and refused."""
     if date >= today:
         raise PublishError(f"{date} is not over")
     part = f"city={city}/dt={date}"
-    target = f"{silver}/{part}"
+    target, taken = f"{silver}/{part}", f"{silver}/_taken/{part}"
+    staged = _staged(spark, f"{staging}/{part}")
     if exists(spark, target):
-        raise PublishError(f"{target} is published already; late records need a decision")
-    staged = [f for f in spark.read.parquet(f"{staging}/{part}").inputFiles()]
-    rows = spark.read.parquet(*staged)
-    once = dedup_messages(rows).sortWithinPartitions("kafka_partition", "kafka_offset")
+        known = {r["file"] for r in spark.read.parquet(taken).collect()} if exists(spark, taken) else set()  # one day's files
+        if late := [f for f in staged if f not in known]:
+            raise PublishError(f"{target} is published already; {len(late)} files of late records need a decision")
+        for f in staged:
+            delete(spark, f)
+        return Compacted(0, 0)
+    if not staged:
+        raise PublishError(f"nothing is staged for {part}")
+    seen = Observation()
+    once = dedup_messages(spark.read.parquet(*staged).observe(seen, F.count(F.lit(1)).alias("read")))
     building = f"{silver}/_building/{part}"
-    once.coalesce(files).write.mode("overwrite").option("compression", "zstd").parquet(building)
-    read, written = rows.count(), spark.read.parquet(building)
-    n = written.agg(F.count("*").alias("n"), F.count_distinct("kafka_partition", "kafka_offset").alias("keys")).first()
-    expected = rows.select("kafka_partition", "kafka_offset").distinct().count()
-    if n["n"] != n["keys"] or n["n"] != expected:
-        raise PublishError(f"{building}: {n['n']} rows, {n['keys']} keys, {expected} expected")
+    key = ["kafka_partition", "kafka_offset"]
+    once.repartitionByRange(files, *key).sortWithinPartitions(*key).write.mode("overwrite").option("compression", "zstd").parquet(building)
+    n = spark.read.parquet(building).groupBy(*key).agg(F.count("*").alias("n")).agg(F.sum("n").alias("n"), F.count("*").alias("keys")).first()
+    if not n["n"] or n["n"] != n["keys"]:
+        raise PublishError(f"{building}: {n['n']} rows, {n['keys']} keys")
+    spark.createDataFrame([(f,) for f in staged], "file string").coalesce(1).write.mode("overwrite").parquet(taken)
     fs, p = _files(spark, target)
     fs.mkdirs(p.getParent())
     rename(spark, building, target)
     for f in staged:
         delete(spark, f)
-    return Compacted(read, n["n"])
-
-
-def swap(spark: SparkSession, df: DataFrame, path: str, keys: Sequence[str] = ()) -> int:
-    """Replace the table at path by df: written beside it, checked (rows, keys), renamed. An
-    empty df or a failed check leaves the old table in place."""
-    new, old = f"{path}__new", f"{path}__old"
-    df.write.mode("overwrite").parquet(new)
-    written = spark.read.parquet(new)
-    n = written.count()
-    if n == 0:
-        delete(spark, new)
-        raise PublishError(f"nothing to publish at {path}")
-    if keys and written.select(*keys).distinct().count() != n:
-        delete(spark, new)
-        raise PublishError(f"{path}: {', '.join(keys)} are no key")
-    delete(spark, old)
-    if exists(spark, path):
-        rename(spark, path, old)
-    rename(spark, new, path)
-    delete(spark, old)
+    return Compacted(seen.get["read"], n["n"])
+
+
+def _pointer(spark: SparkSession, path: str) -> str | None:
+    fs, p = _files(spark, f"{path}/_current")
+    if not fs.exists(p):
+        return None
+    stream = fs.open(p)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
+def _point(spark: SparkSession, path: str, version: str) -> None:
+    """Let the pointer name a version: written beside it and renamed over it, in one step."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    fs, new = _files(spark, f"{path}/_current.new")
+    stream = fs.create(new, True)
+    stream.write(bytearray(version.encode()))
+    stream.close()
+    overwrite = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+    options = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    options[0] = overwrite
+    qualified = fs.makeQualified(new)
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(qualified.toUri(), conf)
+    context.rename(qualified, fs.makeQualified(_files(spark, f"{path}/_current")[1]), options)
+
+
+def read_published(spark: SparkSession, path: str) -> DataFrame:
+    """The version of a published table that its pointer names."""
+    version = _pointer(spark, path)
+    if version is None:
+        raise PublishError(f"nothing is published at {path}")
+    return spark.read.parquet(f"{path}/{version}")
+
+
+def violations(df: DataFrame, keys: Sequence[str] = (), required: Sequence[str] = (), allowed: dict[str, Sequence[str]] | None = None) -> DataFrame:
+    """What a table's declaration forbids: one row (rule, n) for each rule that rows break:
+    null in a key or a required column, a value that is not allowed, a key that is not unique."""
+    rules = {f"{c} is null": F.col(c).isNull() for c in dict.fromkeys([*keys, *required])}
+    rules |= {f"{c} has another value": F.col(c).isNotNull() & ~F.col(c).isin(*values) for c, values in (allowed or {}).items()}
+    found = []
+    if rules:
+        counts = df.agg(*[F.count_if(rule).alias(f"r{k}") for k, rule in enumerate(rules.values())])
+        found.append(counts.select(F.explode(F.array(*[F.struct(F.lit(name).alias("rule"), F.col(f"r{k}").alias("n")) for k, name in enumerate(rules)])).alias("x")).select("x.*"))
+    if keys:
+        several = df.groupBy(*keys).agg(F.count("*").alias("n")).where("n > 1")
+        found.append(several.agg(F.lit(f"{', '.join(keys)} not unique").alias("rule"), F.count("*").alias("n")))
+    out = found[0]
+    for more in found[1:]:
+        out = out.union(more)
+    return out.where("n > 0")
+
+
+def swap(spark: SparkSession, df: DataFrame, path: str, keys: Sequence[str] = (), keep: int = 1) -> int:
+    """Publish df at path: written as a version of its own, checked (rows, keys), then named by
+    the pointer in one step, so that readers (read_published) see the old table or the new
+    one. An empty df or a failed check leaves the old one. keep old versions stay for those
+    who still read them."""
+    before, version = _pointer(spark, path), f"v-{dt.datetime.now(dt.UTC):%Y%m%dT%H%M%S%f}"
+    df.write.parquet(f"{path}/{version}")
+    rows = spark.read.parquet(f"{path}/{version}")
+    n = rows.count()
+    broken = [r["rule"] for r in violations(rows, keys).collect()] if keys and n else []  # a row for each rule
+    if not n or broken:
+        delete(spark, f"{path}/{version}")
+        raise PublishError(f"nothing to publish at {path}" if not n else f"{path}: {'; '.join(broken)}")
+    _point(spark, path, version)
+    fs, p = _files(spark, path)
+    old = sorted(x for s in fs.listStatus(p) if (x := s.getPath().getName()).startswith("v-") and x not in (version, before))
+    for name in old[: len(old) - max(0, keep - 1)]:
+        delete(spark, f"{path}/{name}")
     return n
 
 
@@ -103,6 +171,38 @@ def backfill_allowed(date: str, force: bool = False) -> None:
         raise PublishError(f"{date} is protected")
 
 
+@dataclass
+class Backfilled:
+    rows: int
+    incomplete: bool
+
+
+def backfill_positions(spark: SparkSession, rows: DataFrame, silver: str, city: str, date: str, force: bool = False) -> Backfilled | None:
+    """Historical positions of a city and day as a silver partition. A protected day is never
+    overwritten, an existing one only with force, except the day of the cutover, where what is
+    there is merged: history before the first live row, live rows from there on. What was
+    written is read back and compared in rows and columns. Says whether the day is known to
+    be incomplete; None if it was left alone."""
+    target = f"{silver}/city={city}/dt={date}"
+    there = exists(spark, target)
+    if date in PROTECTED_DAYS or (there and date != CUTOVER_DAY and not force):
+        return None
+    if there and date == CUTOVER_DAY:
+        live = spark.read.parquet(target)
+        rows = merge_at_cutover(rows, live, boundary_column(rows, live))
+    building = f"{silver}/_building/city={city}/dt={date}"
+    seen = Observation()
+    rows.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("overwrite").option("compression", "zstd").parquet(building)
+    back = spark.read.parquet(building)
+    if back.count() != seen.get["n"] or back.columns != rows.columns:
+        raise PublishError(f"{building}: what was written differs from what was read")
+    fs, p = _files(spark, target)
+    fs.mkdirs(p.getParent())
+    delete(spark, target)
+    rename(spark, building, target)
+    return Backfilled(seen.get["n"], date in KNOWN_INCOMPLETE)
+
+
 def dates_between(first: str, last: str) -> list[str]:
     a, b = dt.date.fromisoformat(first), dt.date.fromisoformat(last)
     return [(a + dt.timedelta(days=k)).isoformat() for k in range((b - a).days + 1)]

@@ -19,28 +19,27 @@ def _quantile(column: str, q: float) -> Column:
 
 def profile(df: DataFrame, keys: Sequence[str] = ("city",)) -> DataFrame:
     """Counts, duplicates, delays and status of positions (plate_numb, route_uid, direction,
-    gps_us, update_us, ...) in one aggregation for each key."""
+    gps_us, update_us, ...), one row for each key.
+
+    Rows are reduced to messages, these to vehicles, and these to the key, so that distinct
+    counts are counts of rows and a key of very many rows is no single group until few are
+    left. Delays and routes are counted by value before quantiles are taken."""
     flagged = outlier_flags(df).withColumn("delay_s", (F.col("update_us") - F.col("gps_us")) / 1_000_000)
-    vehicle = F.col("plate_numb")
-    out = flagged.groupBy(*keys).agg(
-        F.count("*").alias("raw_records"),
-        F.count_distinct(F.struct("plate_numb", "route_uid", "direction", "gps_us")).alias("dedup_records"),
-        F.count_distinct(vehicle).alias("distinct_vehicles"),
-        F.count_distinct("route_uid").alias("distinct_routes"),
-        F.count_if(F.col("duty_status") == 2).alias("duty_2"),
-        F.count_if(F.col("bus_status") == 99).alias("status_99"),
-        F.count_if("status_other").alias("status_other"),
-        F.count_if("status_abnormal").alias("status_abnormal"),
-        F.count_if("status_traffic").alias("status_traffic"),
-        F.count_distinct(F.when(F.col("bus_status") == 2, vehicle)).alias("status_2_vehicles"),
-        F.count_if("bad_coordinates").alias("bad_count"),
-        F.count_if("bad_speed").alias("bad_speed_count"),
-        F.count_distinct(F.when(F.col("bad_speed"), vehicle)).alias("bad_speed_vehicles"),
-        _quantile("delay_s", 0.5).alias("delay_median_s"),
-        _quantile("delay_s", 0.95).alias("delay_p95_s"),
-        F.max("delay_s").alias("delay_max_s"),
-    )
-    return out.withColumn("dedup_ratio", F.round(F.col("dedup_records") / F.col("raw_records"), 6))
+    counted = {"raw_records": F.lit(True), "duty_2": F.col("duty_status") == 2, "status_99": F.col("bus_status") == 99, "status_other": F.col("status_other"), "status_abnormal": F.col("status_abnormal"), "status_traffic": F.col("status_traffic"), "bad_count": F.col("bad_coordinates"), "bad_speed_count": F.col("bad_speed")}
+    met = {"status_2_vehicles": F.col("bus_status") == 2, "bad_speed_vehicles": F.col("bad_speed")}
+    message = flagged.groupBy(*keys, "plate_numb", "route_uid", "direction", "gps_us").agg(*[F.count_if(c).alias(n) for n, c in counted.items()], *[F.coalesce(F.bool_or(c), F.lit(False)).alias(n) for n, c in met.items()])
+    vehicle = message.groupBy(*keys, "plate_numb").agg(F.count("*").alias("dedup_records"), *[F.sum(n).alias(n) for n in counted], *[F.bool_or(n).alias(n) for n in met])
+    known = F.col("plate_numb").isNotNull()
+    whole = vehicle.groupBy(*keys).agg(F.sum("dedup_records").alias("dedup_records"), F.count("plate_numb").alias("distinct_vehicles"), *[F.sum(n).alias(n) for n in counted], *[F.count_if(F.col(n) & known).alias(n) for n in met])
+    routes = flagged.groupBy(*keys, "route_uid").agg(F.count("*").alias("n")).groupBy(*keys).agg(F.count("route_uid").alias("distinct_routes"))
+    delays = flagged.groupBy(*keys, "delay_s").agg(F.count("*").alias("n")).groupBy(*keys).agg(*[F.round(F.percentile("delay_s", q, F.col("n")), 6).alias(n) for q, n in ((0.5, "delay_median_s"), (0.95, "delay_p95_s"))], F.max("delay_s").alias("delay_max_s"))
+    out = whole
+    for part in (routes, delays):  # a row for each key
+        other = part.toDF(*[f"_{k}" for k in keys], *part.columns[len(keys) :])
+        same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
+        out = out.join(other, same).drop(*[f"_{k}" for k in keys])
+    out = out.withColumn("dedup_ratio", F.round(F.col("dedup_records") / F.col("raw_records"), 6))
+    return out.select(*keys, "raw_records", "dedup_records", "distinct_vehicles", "distinct_routes", "duty_2", "status_99", "status_other", "status_abnormal", "status_traffic", "status_2_vehicles", "bad_count", "bad_speed_count", "bad_speed_vehicles", "delay_median_s", "delay_p95_s", "delay_max_s", "dedup_ratio")
 
 
 def null_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:

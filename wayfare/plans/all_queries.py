@@ -1,3 +1,3 @@
 """Imports every module that registers queries."""
 
-from . import observation_queries, quality_queries, stateful_queries, transfer_queries, write_queries  # noqa: F401
+from . import lake_queries, observation_queries, quality_queries, stateful_queries, transfer_queries, write_queries  # noqa: F401

@@ -10,6 +10,7 @@ from ..operators import arrivals as A
 from ..operators import dimensions as D
 from ..operators import observations as O
 from ..schemas import RAW_POSITION, conform, drift
+from ..sources.lake import numbered
 from .fixtures import ARRIVALS, POSITIONS, STOPS, arrivals, micros, positions, stops, table
 from .registry import query
 
@@ -86,22 +87,13 @@ def null_safe_boundary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""SELECT name, CAST(row_number() OVER (ORDER BY CASE WHEN regexp_matches(name, '^[0-9]') THEN 0 ELSE 1 END, TRY_CAST(nullif(regexp_extract(name, '^[0-9]+'), '') AS BIGINT) NULLS LAST, name) AS INT) AS place
-    FROM (SELECT DISTINCT CASE WHEN p_partkey % 3 = 0 THEN p_brand ELSE (p_size || ' ' || p_brand) END AS name FROM part) ORDER BY place LIMIT 50""")
+    FROM (SELECT DISTINCT CASE WHEN p_partkey % 3 = 0 THEN p_brand ELSE (p_size || ' ' || p_brand) END AS name FROM part) ORDER BY place""")
 def natural_route_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All names in natural order, numbered. Names go into ranges of that order, each
     numbered by itself from where the ranges before it end, so no task holds all."""
-    from pyspark.sql import Window
-
-    from ..llm.common import cut, sqrt_blocks
-
     part = table(spark, sf_dir, "part")
-    names = cut(part.select(F.when(F.col("p_partkey") % 3 == 0, F.col("p_brand")).otherwise(F.concat(F.col("p_size").cast("string"), F.lit(" "), "p_brand")).alias("name")).distinct())
-    order = C.natural_order(F.col("name"))
-    rows = cut(names.repartitionByRange(sqrt_blocks(names.count()), *order).withColumn("_block", F.spark_partition_id()))
-    before = Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)  # one row for each range
-    starts = rows.groupBy("_block").agg(F.count("*").alias("_n")).select("_block", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
-    own = F.row_number().over(Window.partitionBy("_block").orderBy(*order))
-    return rows.withColumn("_row", own).join(starts, "_block").select("name", (F.col("_start") + F.col("_row")).cast("int").alias("place")).orderBy("place")
+    names = part.select(F.when(F.col("p_partkey") % 3 == 0, F.col("p_brand")).otherwise(F.concat(F.col("p_size").cast("string"), F.lit(" "), "p_brand")).alias("name")).distinct()
+    return numbered(names, C.natural_order(F.col("name")), "place").select("name", "place").orderBy("place")
 
 
 @query(f"WITH {STOPS} SELECT DISTINCT sub_route_uid, city FROM stops")
@@ -149,7 +141,7 @@ def schema_drift_except(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame([(kind, name) for kind, names in found.items() for name in names], "kind string, name string")
 
 
-@query("""SELECT event_id AS id, event_type AS kind, 'event' AS origin, CAST(NULL AS INT) AS direction FROM events WHERE event_id % 5 = 0
+@query("""SELECT event_id AS id, event_type AS kind, 'event' AS origin, CAST(NULL AS INT) AS direction FROM events
     UNION ALL SELECT n_nationkey, n_name, 'nation', CAST(NULL AS INT) FROM nation""")
 def union_align(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two tables brought to one schema: constants win, missing columns are null."""

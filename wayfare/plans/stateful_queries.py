@@ -29,6 +29,13 @@ _MATCH = f"""{POSITIONS}, {STOPS},
   matched AS (SELECT st.*, o.us, o.speed, CASE WHEN st.matched >= 0 THEN o.ds[st.matched + 1] END AS near_dist FROM st JOIN obs o ON st.obs_id = o.obs_id WHERE st.rn > 0)"""
 
 
+#: Its matched observations collapsed to visits.
+_VISITS = f"""{_MATCH},
+    f AS (SELECT *, CASE WHEN lag(us) OVER w IS NULL OR matched <> lag(matched) OVER w OR trip <> lag(trip) OVER w OR us - lag(us) OVER w > 120000000 THEN 1 ELSE 0 END AS new FROM matched WHERE matched >= 0 WINDOW w AS (PARTITION BY sub_route_uid, direction, plate_numb ORDER BY us)),
+    s AS (SELECT *, sum(new) OVER (PARTITION BY sub_route_uid, direction, plate_numb ORDER BY us) AS event FROM f),
+    e AS (SELECT sub_route_uid, direction, plate_numb, event, min(matched) AS idx, min(trip) AS trip, min(us) AS arrival_us, count(*) AS n_obs, min(near_dist) AS min_dist, min(speed) AS min_speed, (max(us) - min(us)) / 1000000.0::DOUBLE AS dwell_s FROM s GROUP BY 1, 2, 3, 4)"""
+
+
 def _matched(spark: SparkSession, sf_dir: str) -> DataFrame:
     usable = O.with_keys(O.with_coordinates(O.in_service(positions(spark, sf_dir))), *A.VEHICLE)
     first = O.keep_first(usable, ["plate_numb", "sub_route_uid", "direction", "us"], ["kafka_partition", "kafka_offset"])
@@ -40,10 +47,7 @@ def sequential_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _matched(spark, sf_dir).select("obs_id", "near_idx", "trip", F.col("cause").cast("int").alias("cause"), F.round("near_dist", 3).alias("near_dist"))
 
 
-@query(f"""WITH RECURSIVE {_MATCH},
-    f AS (SELECT *, CASE WHEN lag(us) OVER w IS NULL OR matched <> lag(matched) OVER w OR trip <> lag(trip) OVER w OR us - lag(us) OVER w > 120000000 THEN 1 ELSE 0 END AS new FROM matched WHERE matched >= 0 WINDOW w AS (PARTITION BY sub_route_uid, direction, plate_numb ORDER BY us)),
-    s AS (SELECT *, sum(new) OVER (PARTITION BY sub_route_uid, direction, plate_numb ORDER BY us) AS event FROM f),
-    e AS (SELECT sub_route_uid, direction, plate_numb, event, min(matched) AS idx, min(trip) AS trip, min(us) AS arrival_us, count(*) AS n_obs, min(near_dist) AS min_dist, min(speed) AS min_speed, (max(us) - min(us)) / 1000000.0::DOUBLE AS dwell_s FROM s GROUP BY 1, 2, 3, 4)
+@query(f"""WITH RECURSIVE {_VISITS}
     SELECT e.sub_route_uid, e.plate_numb, t.seq, CAST(e.trip AS INT) AS trip, arrival_us, n_obs, round(min_dist, 3) AS min_dist, min_speed, dwell_s, t.station_id, t.stop_name, t.boarding, strftime(make_timestamp(arrival_us) + INTERVAL 8 HOUR, '%Y-%m-%d') AS data_date,
       e.plate_numb || '_' || e.sub_route_uid || '_0_' || strftime(make_timestamp(arrival_us) + INTERVAL 8 HOUR, '%Y-%m-%d') || '_' || e.trip AS trip_id
     FROM e JOIN stops t ON e.sub_route_uid = t.sub_route_uid AND e.direction = t.direction AND e.idx = t.idx""")

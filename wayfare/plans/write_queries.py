@@ -8,13 +8,13 @@ from pyspark.sql import functions as F
 from ..operators import arrivals as A
 from ..operators import dimensions as D
 from ..operators import observations as O
-from ..operators.publish import swap
+from ..operators.publish import read_published, swap
 from ..sources.lake import scratch
 from ..streaming.archive import archive, dedup_stream, to_messages
-from ..streaming.matcher import match_stream
+from ..streaming.matcher import arrivals_stream, match_stream
 from .fixtures import POSITIONS, STOPS, positions, stop_lists, stops, table
 from .registry import query
-from .stateful_queries import _MATCH
+from .stateful_queries import _MATCH, _VISITS
 
 
 @query("""WITH c AS (SELECT n_nationkey AS k, n_nationkey || '_1' AS _id FROM nation WHERE n_nationkey < 20), i AS (SELECT n_nationkey AS k, n_nationkey || CASE WHEN n_nationkey % 3 = 0 THEN '_2' ELSE '_1' END AS _id FROM nation),
@@ -37,7 +37,7 @@ def serving_swap(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = stops(spark, sf_dir).select("sub_route_uid", "direction", "seq", "station_id", "stop_name", "city")
     swap(spark, rows.where("seq < 3"), path, ["sub_route_uid", "direction", "seq"])
     swap(spark, rows, path, ["sub_route_uid", "direction", "seq"])
-    return spark.read.parquet(path)
+    return read_published(spark, path)
 
 
 def _messages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -82,3 +82,20 @@ def stream_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = match_stream(spark.readStream.schema(rows.schema).parquet(f"{base}/in"), stop_lists(spark, sf_dir))
     found.writeStream.format("parquet").option("path", f"{base}/out").option("checkpointLocation", f"{base}/checkpoint").outputMode("append").trigger(availableNow=True).start().awaitTermination()
     return spark.read.parquet(f"{base}/out").select("sub_route_uid", "plate_numb", "us", "near_idx", "trip", F.col("cause").cast("int").alias("cause"))
+
+
+@query(f"""WITH RECURSIVE {_VISITS}, a AS (SELECT sub_route_uid, plate_numb, arrival_us, CAST(trip AS INT) AS trip, CAST(idx AS INT) AS near_idx, lag(idx) OVER w AS from_idx, lag(arrival_us) OVER w AS before FROM e WINDOW w AS (PARTITION BY sub_route_uid, direction, plate_numb, trip ORDER BY arrival_us))
+    SELECT sub_route_uid, plate_numb, arrival_us, trip, near_idx, CAST(from_idx AS INT) AS from_idx, CAST((arrival_us - before) // 1000000 AS BIGINT) AS sec, coalesce((arrival_us - before) // 1000000 > 1200, false) AS slow FROM a""")
+def stream_arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Arrivals as they happen, with the time since the one before; slow where that is above
+    what a table of usual times says."""
+    base = scratch(spark, "arrivals")
+    usable = O.with_coordinates(O.in_service(positions(spark, sf_dir)))
+    rows = O.keep_first(usable, ["plate_numb", "sub_route_uid", "direction", "us"], ["kafka_partition", "kafka_offset"]).select(*A.VEHICLE, "us", "lat", "lon")
+    rows.write.parquet(f"{base}/in")
+    lists = stop_lists(spark, sf_dir)
+    usual = lists.select("sub_route_uid", "direction", F.lit(1200).cast("long").alias("p90_sec"))
+    found = arrivals_stream(spark.readStream.schema(rows.schema).parquet(f"{base}/in"), lists).join(usual, ["sub_route_uid", "direction"])
+    found = found.withColumn("slow", F.coalesce(F.col("sec") > F.col("p90_sec"), F.lit(False)))
+    found.writeStream.format("parquet").option("path", f"{base}/out").option("checkpointLocation", f"{base}/checkpoint").outputMode("append").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.parquet(f"{base}/out").select("sub_route_uid", "plate_numb", "arrival_us", "trip", "near_idx", "from_idx", "sec", "slow")

@@ -45,6 +45,31 @@ ARCHIVED_POSITIONS = T.StructType(
     [*POSITIONS.fields, T.StructField("kafka_partition", T.IntegerType()), T.StructField("kafka_offset", T.LongType()), T.StructField("consume_time", T.StringType()), T.StructField("pipeline_version", T.StringType())]
 )
 
+#: One raw route document, with the stops of one direction.
+RAW_ROUTE = T.StructType(
+    [
+        *[T.StructField(c, T.StringType()) for c in ("SubRouteUID", "RouteUID", "VersionID", "UpdateTime")],
+        T.StructField("Direction", T.IntegerType()),
+        T.StructField("RouteName", _NAME),
+        T.StructField("SubRouteName", _NAME),
+        T.StructField("Operators", T.ArrayType(T.StructType([T.StructField("OperatorID", T.StringType()), T.StructField("OperatorNo", T.StringType()), T.StructField("OperatorName", _NAME), T.StructField("OperatorCode", T.StringType())]))),
+        T.StructField(
+            "Stops",
+            T.ArrayType(
+                T.StructType(
+                    [
+                        T.StructField("StopSequence", T.IntegerType()),
+                        *[T.StructField(c, T.StringType()) for c in ("StopUID", "StopID", "StationID", "LocationCityCode")],
+                        T.StructField("StopName", _NAME),
+                        T.StructField("StopBoarding", T.IntegerType()),
+                        T.StructField("StopPosition", T.StructType([T.StructField("PositionLat", T.DoubleType()), T.StructField("PositionLon", T.DoubleType()), T.StructField("GeoHash", T.StringType())])),
+                    ]
+                )
+            ),
+        ),
+    ]
+)
+
 EVENTS = T.StructType(
     [
         T.StructField("seq", T.IntegerType()),

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import uuid
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -53,10 +56,44 @@ def table_metadata(spark: SparkSession, table: str) -> DataFrame:
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A new folder name under the shared folder of spark.checkpoint.dir, or, where the session
-    names none (tests), under a temporary one."""
-    import tempfile
-    import uuid
-
-    base = spark.sparkContext.getConf().get("spark.checkpoint.dir") or tempfile.gettempdir()
+    """A new folder name under the shared folder of spark.checkpoint.dir, which the session
+    must name."""
+    base = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.sparkContext.getCheckpointDir()
+    if not base:
+        raise ValueError("the session names no spark.checkpoint.dir")
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """df written to a new folder of the shared ones, and read back."""
+    path = scratch(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def numbered(df: DataFrame, order: list[Column], name: str) -> DataFrame:
+    """df numbered from 1 in a total order. Rows go into ranges of it, each numbered by itself
+    from where the ranges before it end, so no task holds all."""
+    ranged = df.repartitionByRange(*order).withColumn("_range", F.spark_partition_id())
+    rows = written(ranged, "ranges")
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)  # a row for each range
+    starts = rows.groupBy("_range").agg(F.count("*").alias("_n")).select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    own = F.row_number().over(Window.partitionBy("_range").orderBy(*order))
+    return rows.withColumn("_row", own).join(F.broadcast(starts), "_range").withColumn(name, (F.col("_start") + F.col("_row")).cast("int")).drop("_range", "_row", "_start")
+
+
+def write_table(df: DataFrame, name: str, partitions: Sequence[str], order: Sequence[str]) -> None:
+    """df as a table of the catalog, replaced if it exists: partitioned, and sorted within
+    files by the columns that are looked up, so that row groups can be passed over."""
+    rows = df.repartition(*partitions).sortWithinPartitions(*partitions, *order)
+    rows.write.mode("overwrite").option("compression", "zstd").partitionBy(*partitions).saveAsTable(name)
+
+
+def read_table(spark: SparkSession, name: str, columns: Sequence[str]) -> DataFrame:
+    """Some columns of a catalog table; partitions and columns not asked for are not read."""
+    return spark.table(name).select(*columns)
+
+
+def row_counts(df: DataFrame) -> DataFrame:
+    """Rows of each file of a table; no column is read for it."""
+    return df.groupBy(F.col("_metadata.file_name").alias("file")).agg(F.count("*").alias("n_rows"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import DataStreamWriter
+from pyspark.sql.streaming import DataStreamWriter, StreamingQueryListener
 
 from ..functions.columns import local_date
 from ..operators.observations import normalize
@@ -71,3 +71,30 @@ def dedup_stream(messages: DataFrame, delay: str = "1 hour") -> DataFrame:
     """Messages once each while copies come within delay of the event time; state is dropped
     after that."""
     return messages.withWatermark("timestamp", delay).dropDuplicatesWithinWatermark(["partition", "offset"])
+
+
+class ProgressLog(StreamingQueryListener):
+    """Counters of running queries: rows and batches so far, and the last batch's rate and
+    event. spark.streams.addListener(ProgressLog()) starts it."""
+
+    def __init__(self) -> None:
+        self.queries: dict[str, dict[str, object]] = {}
+
+    def _of(self, run_id: object) -> dict[str, object]:
+        return self.queries.setdefault(str(run_id), {"rows": 0, "batches": 0, "rate": 0.0, "state": "started", "error": None})
+
+    def onQueryStarted(self, event) -> None:
+        self._of(event.runId)
+
+    def onQueryProgress(self, event) -> None:
+        counters = self._of(event.progress.runId)
+        counters["rows"] += event.progress.numInputRows
+        counters["batches"] += 1
+        counters["rate"] = event.progress.processedRowsPerSecond
+        counters["state"] = "running"
+
+    def onQueryIdle(self, event) -> None:
+        self._of(event.runId)["state"] = "idle"
+
+    def onQueryTerminated(self, event) -> None:
+        self._of(event.runId).update(state="ended", error=event.exception)
