@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import by_shard, documents, pieces_of, span_hashes
-from .packs import partitions, stored, unzipped, zipped
+from .packs import partitions, rereadable, stored, unzipped, zipped
 
 #: White space as the tokenizer's pattern means it (Unicode's White_Space).
 _SPACE = r"\x09-\x0D\x20\x85\xA0  -     　"
@@ -272,6 +272,7 @@ def _encoded(df: DataFrame, text: str, vocabulary: Vocabulary, body: Body, schem
     df gave its rows in another order, the meeting raises."""
     rest = [c for c in df.columns if c != text]
     names = [f"c{k}" for k in range(len(rest))]  # whatever df's columns are called
+    df = rereadable(df)
     held = df.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(rest, names, strict=True)], words_of(F.col(f"`{text}`"), vocabulary).alias("words"))
     width, size = len(rest), len(vocabulary.pairs)
     single = vocabulary.word_tokens()

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -32,26 +32,37 @@ def sqrt_blocks(n: int, factor: int = 1) -> int:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that spark.checkpoint.dir names, which driver and executors share. A
-    temporary one is made only where the session names none (tests)."""
-    context = spark.sparkContext
-    folder = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
+    """The folder that spark.checkpoint.dir names, which driver and executors share."""
+    folder = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.sparkContext.getCheckpointDir()
     if not folder:
-        import tempfile
-
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="spark-checkpoint-"))
-        folder = context.getCheckpointDir()
+        raise ValueError("the session names no spark.checkpoint.dir")
     return folder.rstrip("/")
 
 
+_written: list[str] = []
+
+
 def cut(df: DataFrame) -> DataFrame:
     """df written as a table in the shared folder and read back: later uses do not compute
     it again and need no file of an executor's own."""
     path = f"{shared_folder(df.sparkSession)}/tables/{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _written.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def settled(step: Callable[[], DataFrame]) -> DataFrame:
+    """What step gives as a table of its own; the tables that were cut on the way are deleted."""
+    before = len(_written)
+    out = cut(step())
+    spark = out.sparkSession
+    for path in _written[before:-1]:
+        place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+    del _written[before:]
+    return out
+
+
 class Texts(NamedTuple):
     """Documents of one slice: ids, UTF-8 bytes end to end, and where each begins."""
 

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from .common import NULL_ID, Texts, cut, documents, gram_hashes, mix64, span_hashes, word_spans
 from .components import connected_components
-from .packs import Pack, meet
+from .packs import Pack, meet, rereadable
 from .sketch import Estimates, estimates, ranges_of
 
 PACK_BYTES = 2 << 20
@@ -331,7 +331,7 @@ def linked(df: DataFrame, n: int = 5, num: int = 8, den: int = 10) -> DataFrame:
 
     Sets are told apart by their hashes, never by ids, which different texts may share."""
     node = F.xxhash64("h1", "h2", "size")
-    base = cut(_sets(df.select("doc_id", "text", F.xxhash64("text").alias("key")), n, num, den)).withColumn("node", F.when(F.col("size") > 0, node))
+    base = cut(_sets(rereadable(df.select("doc_id", "text", F.xxhash64("text").alias("key"))), n, num, den)).withColumn("node", F.when(F.col("size") > 0, node))
     most = most_enumerated(num, den)
     sets = cut(base.filter("size > 0").groupBy("node", "size").agg(F.first("tokens").alias("tokens"), F.first("need").alias("need"), F.first(F.when(F.col("size") <= most, F.col("held"))).alias("held")))
     reps = sets.withColumnRenamed("node", "id")

@@ -7,7 +7,7 @@ id, so rows that share an id are never taken for one another.
 
 The packs of a table are made anew wherever it is read. That gives the same packs if the
 table gives its rows in the same order, as files do; where it does not, names differ and the
-meeting raises instead of giving a wrong result.
+meeting raises instead of giving a wrong result. rereadable() writes what may be otherwise.
 """
 
 from __future__ import annotations
@@ -23,12 +23,18 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Texts, slices
+from .common import Texts, cut, slices
 
 #: Partitions of a meeting, for each partition of the table.
 MEETINGS_PER_PARTITION = 2
 
 
+def rereadable(df: DataFrame) -> DataFrame:
+    """df, or, where its plan has a shuffle, whose rows may come in another order each time, df
+    written as a table."""
+    return cut(df) if "Exchange" in df._jdf.queryExecution().executedPlan().toString() else df
+
+
 class Pack(NamedTuple):
     name: bytes
     batch: pa.RecordBatch

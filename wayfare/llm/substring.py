@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import Texts, by_shard, documents, equal_words, gram_hashes, mix64, sliding_min, span_hashes, word_spans
-from .packs import Pack, meet, partitions, unzipped, zipped
+from .packs import Pack, meet, partitions, rereadable, unzipped, zipped
 from .sketch import Estimates, estimates, ranges_of
 
 WINDOW = 20
@@ -261,10 +261,9 @@ def _kept(texts: Texts, i: int, spans: tuple[np.ndarray, np.ndarray, np.ndarray]
 
 def dedup(df: DataFrame, window: int = WINDOW) -> DataFrame:
     """df (doc_id, text, other columns) with text cut down to the words kept, joined by one
-    space; texts of which nothing is removed stay as they are. Null texts stay null. df must
-    give its rows in the same order when it is read again, as files do (see packs)."""
+    space; texts of which nothing is removed stay as they are. Null texts stay null."""
     rest = [c for c in df.columns if c not in ("doc_id", "text")]
-    rows = df.select("doc_id", "text", *[F.col(f"`{c}`") for c in rest])
+    rows = rereadable(df.select("doc_id", "text", *[F.col(f"`{c}`") for c in rest]))
 
     def cut(pack: Pack, data: list[bytes]) -> Iterator[pa.RecordBatch]:
         texts, new = pack.texts, pack.batch.column(1).to_pylist()
