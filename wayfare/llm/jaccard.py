@@ -37,7 +37,7 @@ SUBSETS_AT_MOST = 5000
 #: What scanning an entry of an inverted list costs, in rows of an enumeration.
 ENTRY_COST = 4
 #: Sets that meet as many others at once where all of a cluster are compared.
-BLOCK = 1024
+BLOCK = 256
 #: Pairs with one set on one side that meet in one place.
 STAR = 64
 _SECOND = np.uint64(0x6A09E667F3BCC909)
