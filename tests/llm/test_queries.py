@@ -1,12 +1,17 @@
 """The registered queries against brute force on a small table, and on an empty one."""
 
 import hashlib
+import os
 import re
+import struct
 import zlib
 from collections import defaultdict
 
 import pytest
+import xxhash
+from pyspark.sql import functions as F
 
+from wayfare.llm import fingerprints, tiff
 from wayfare.llm.queries import QUERIES
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -38,13 +43,81 @@ def test_suffix_array(spark, tables, corpus):
         assert tuple(got[i])[1:5] == (len(raw), sum(gone), len(re.findall(b"\1+", gone)), sha(kept)), i
 
 
+def plain_lzw(data):
+    bits, at, out = "".join(f"{b:08b}" for b in data), 0, b""
+    table, before = [], None
+    while True:
+        width = next(w for w in (9, 10, 11, 12) if w == 12 or len(table) + (before is not None) + 258 < 1 << w)
+        code, at = int(bits[at : at + width], 2), at + width
+        if code == 257:
+            return out
+        if code == 256:
+            table, before = [], None
+            continue
+        entry = bytes([code]) if code < 256 else table[code - 258] if code - 258 < len(table) else before + before[:1]
+        if before is not None:
+            table.append(before + entry[:1])
+        out, before = out + entry, entry
+
+
+def plain_packbits(data):
+    out, at = b"", 0
+    while at < len(data):
+        n, at = data[at], at + 1
+        out += data[at : at + n + 1] if n < 128 else data[at : at + 1] * (257 - n)
+        at += n + 1 if n < 128 else 1
+    return out
+
+
+def plain_page(media):
+    """The samples of a TIFF file's one page, and what its directory says."""
+    (at,) = struct.unpack_from("<I", media, 4)
+    fields = {}
+    for k in range(struct.unpack_from("<H", media, at)[0]):
+        tag, kind, count, _ = struct.unpack_from("<HHII", media, at + 2 + 12 * k)
+        form, place = {3: "H", 4: "I"}[kind], at + 10 + 12 * k
+        if count * struct.calcsize(form) > 4:
+            (place,) = struct.unpack_from("<I", media, place)
+        fields[tag] = struct.unpack_from(f"<{count}{form}", media, place)
+    width, height = fields[256][0], fields[257][0]
+    tiled = 324 in fields
+    w, h = (fields[322][0], fields[323][0]) if tiled else (width, fields[278][0])
+    rows = [bytearray(width) for _ in range(height)]
+    across = -(-width // w)
+    for k, (begin, size) in enumerate(zip(fields[324 if tiled else 273], fields[325 if tiled else 279])):
+        part = {8: zlib.decompress, 5: plain_lzw, 32773: plain_packbits}[fields[259][0]](media[begin : begin + size])
+        for y in range(len(part) // w):
+            line, total = bytearray(part[y * w : (y + 1) * w]), 0
+            if fields[317][0] == 2:
+                for x in range(w):
+                    total = (total + line[x]) % 256
+                    line[x] = total
+            if k // across * h + y < height:
+                left = k % across * w
+                rows[k // across * h + y][left : left + w] = line[: width - left]
+    return b"".join(rows), width, height, fields[259][0], fields[317][0], tiled
+
+
 def test_tiff(spark, tables, corpus):
-    got = run(spark, "op2_tiff", tables)
+    """The stored files by a plain reader of their own; each form is met, with long texts too."""
+    more = [(100 + k, "".join(chr(97 + (k * j + j * j) % (2 + k)) for j in range(7000 + k))) for k in range(24)]
+    forms = set()
+    df = spark.createDataFrame([(i, t) for i, t, *_ in corpus] + more, "doc_id long, text string")
+    for r in tiff.text_to_tiff(df).join(df, "doc_id").collect():
+        raw = (r.text or "").encode()
+        page, *form = plain_page(bytes(r.media))
+        assert page == raw.ljust(max(64, -(-len(raw) // 64) * 64), b"\0") and form[:2] == [64, len(page) // 64]
+        forms.add((*form[2:], len(raw) > 5000))
+    assert {f[:3] for f in forms if f[3]} == {(c, p, t) for c, p, t in [(32773, 1, False), (32773, 1, True), *[(c, p, t) for c in (5, 8) for p in (1, 2) for t in (False, True)]]}
+    got, stored = run(spark, "op2_tiff", tables), {r.doc_id: bytes(r.media) for r in tiff.text_to_tiff(spark.read.parquet(f"{tables}/documents.parquet")).collect()}
     for i, text, *_ in corpus:
         raw = (text or "").encode()
         payload = raw.ljust(max(64, -(-len(raw) // 64) * 64), b"\0")
         r = got[i]
         assert (r.n_bytes, r.payload_bytes, r.payload_sha256, r.tail_crc32) == (len(raw), len(payload), sha(payload), zlib.crc32(payload[-64:]))
+        _, width, height, compression, *_ = plain_page(stored[i])
+        assert (r.media_bytes, r.media_sha256) == (len(stored[i]), sha(stored[i]))
+        assert r.feature == f"page=0;size={width}x{height};compression={compression};low={min(payload)};high={max(payload)};mean={sum(payload) / len(payload):.6f}"
     assert got[0].media_sha256 == got[3].media_sha256 and got[0].feature == got[3].feature
 
 
@@ -138,18 +211,63 @@ def test_toxicity_without_evidence(spark, tables, corpus):
     assert all(r.held_out == (zlib.crc32(str(i).encode()) % 5 == 0) for i, r in got.items())
 
 
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.1"), reason="no tables here")
+def test_toxicity_held_out(spark):
+    """On the documents that no label was learnt from."""
+    folder = "/root/testdata/sf0.1"
+    labels = {r.doc_id: r.toxic for r in spark.read.parquet(f"{folder}/labels.parquet").where("toxic is not null").collect()}
+    rows = [(r.score, r.predicted, labels[r.doc_id]) for r in QUERIES["op7_crf"](spark, folder).where("held_out").collect() if r.doc_id in labels]
+    toxic, clean = ([s for s, _, y in rows if y == k] for k in (1, 0))
+    assert len(toxic) > 20 and len(clean) > 400
+    assert sum(p == y for _, p, y in rows) / len(rows) >= 0.97
+    assert sum((a > b) + (a == b) / 2 for a in toxic for b in clean) / (len(toxic) * len(clean)) >= 0.93
+    assert sum(s >= 0.5 for s in clean) / len(clean) <= 0.01
+
+
+def plain_fingerprint(text):
+    w, bins = re.split(r"[\x20\x09-\x0D]+", text), [None] * 256
+    w = [x for x in w if x]
+    if not w:
+        return ""
+    for k in range(max(1, len(w) - 4)):
+        h = 42
+        for x in w[k : k + 5]:
+            h = xxhash.xxh64_intdigest(x.encode(), h)
+        h >>= 1
+        bins[h >> 55] = min(h, bins[h >> 55] if bins[h >> 55] is not None else h)
+    start, step, _ = fingerprints._probe_tables(256)
+    value = lambda i: next(bins[(start[i] + t * step[i]) % 256] for t in range(256) if bins[(start[i] + t * step[i]) % 256] is not None)
+    return "".join(f"{(value(i) if h is None else h) & 15:x}" for i, h in enumerate(bins))
+
+
+def plain_likeness(a, b):
+    if a == b or not a or not b:
+        return float(a == b)
+    return min(1.0, max(0.0, (sum(x == y for x, y in zip(a, b)) / 256 - 1 / 16) / (15 / 16)))
+
+
 def test_fingerprints(spark, tables, corpus):
     got, texts = run(spark, "op8_one_permutation", tables), {i: t or "" for i, t, *_ in corpus}
     order = sorted(texts, reverse=True)
     for k, i in enumerate(order):
         after, half = texts[order[(k + 1) % len(order)]], len(texts[i]) // 2
+        edited = texts[i][: len(texts[i]) - half] + after[:half]
+        prints = [plain_fingerprint(t) for t in (texts[i], edited, after)]
         r = got[i]
-        assert r.n_chars == len(texts[i])
-        assert r.edited_sha256 == sha((texts[i][: len(texts[i]) - half] + after[:half]).encode())
-        assert 0 <= r.near_edited <= 1 and 0 <= r.near_next <= 1
+        assert (r.n_chars, r.edited_sha256, r.fingerprint, r.edited_fingerprint) == (len(texts[i]), sha(edited.encode()), *prints[:2])
+        assert r.near_edited == pytest.approx(plain_likeness(*prints[:2])) and r.near_next == pytest.approx(plain_likeness(prints[0], prints[2]))
     assert got[0].fingerprint == got[3].fingerprint != got[5].fingerprint
 
 
+@pytest.mark.parametrize("ids", [[*range(300), 10**15], [None] * 90 + [5] * 200 + [-(2**63), 2**63 - 1, -5 * 10**18, 5 * 10**18, 7, 7], [3], [None, None], [4] * 9])
+def test_next_of_any_ids(spark, ids):
+    df = spark.createDataFrame([(i, f"t{k % 150}") for k, i in enumerate(ids)], "k long, t string").repartition(3)
+    got = fingerprints.with_next(df, "k", ["t"], {"t": "next_t", "k": "next_k"}).withColumn("h", F.xxhash64("t")).collect()
+    order = sorted(got, key=lambda r: (r.k is None, -(r.k or 0), r.h, r.t))
+    assert len(got) == len(ids)
+    assert all((a.next_k, a.next_t) == (b.k, b.t) for a, b in zip(order, order[1:] + order[:1]))
+
+
 def test_bpe(spark, tables, corpus):
     import public_tokenizers
     import tiktoken
