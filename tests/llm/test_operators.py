@@ -266,8 +266,8 @@ def _bpe_ids(spark, texts, partitions=2):
 
 
 def test_bpe_as_tiktoken(spark, monkeypatch):
-    """Words met again after they were forgotten, and words above and below LONG_WORD."""
-    monkeypatch.setattr(bpe, "WORDS_HELD", 5)
+    """Several books a task, and words above and below LONG_WORD."""
+    monkeypatch.setattr(bpe, "BOOK_WORDS", 40)
     monkeypatch.setattr(bpe, "ROWS", 3)
     random.seed(6)
     word = lambda n, letters: "".join(random.choice(letters) for _ in range(n))

@@ -17,6 +17,7 @@ import hashlib
 import os
 import struct
 from collections.abc import Callable, Iterable, Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -33,9 +34,8 @@ from .packs import partitions, rereadable, stored, unzipped, zipped
 _SPACE = r"\x09-\x0D\x20\x85\xA0  -     　"
 #: Longest word, in bytes, of which a step of the fold merges one pair.
 LONG_WORD = 48
-#: Distinct words of a book beside the pieces, of which it is closed; and how many times as
-#: many words it holds at most.
-WORDS_HELD = 200_000
+#: Words after which a book is closed.
+BOOK_WORDS = 2_000_000
 #: Words that one row brings to the fold.
 FOLDED_AT_ONCE = 1000
 SHARDS_PER_PARTITION = 4
@@ -217,45 +217,58 @@ def _lists(offsets: np.ndarray, values: pa.Array) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), values)
 
 
-class _Book:
-    """Some of a task's rows one after another, and the distinct words in them, numbered:
-    pieces first, then others as they are met."""
+def _planes(values: np.ndarray) -> bytes:
+    """Whole numbers compressed, their lowest bytes first, then the next, and so on."""
+    return zipped(np.ascontiguousarray(values.astype("<i4").view(np.uint8).reshape(-1, 4).T).tobytes())
 
-    def __init__(self, pieces: dict[str, int]):
-        self.pieces, self.others, self.words_read, self.slices = pieces, {}, 0, []
 
-    def numbers(self, words: pa.Array) -> np.ndarray:
-        coded, least = words.dictionary_encode(), len(self.pieces)
-        numbers = np.empty(len(coded.dictionary), np.int32)
-        for k, word in enumerate(coded.dictionary.to_pylist()):
-            number = self.pieces.get(word)
-            numbers[k] = self.others.setdefault(word, least + len(self.others)) if number is None else number
-        self.words_read += len(words)
-        return numbers[np.asarray(coded.indices)] if len(words) else np.zeros(0, np.int32)
+def _unplaned(data: bytes) -> np.ndarray:
+    return np.ascontiguousarray(unzipped(data).reshape(4, -1).T).view("<i4").ravel()
 
-    def name(self, partition: int, number: int) -> bytes:
-        """Its place, the number of its words that are no pieces, and a checksum of them."""
-        check = xxhash.xxh3_64_intdigest("\n".join(self.others).encode())
-        return struct.pack(">qqqQ", partition, number, len(self.others), check)
 
+def _text_of(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Bytes of words end to end, and where each begins."""
+    words = words.cast(pa.large_string())
+    _, offsets, data = words.buffers()
+    at = np.frombuffer(offsets, np.int64, len(words) + 1, 8 * words.offset)
+    return np.frombuffer(data, np.uint8)[at[0] : at[-1]] if data is not None else np.zeros(0, np.uint8), at - at[0]
 
-def _books(batches: Iterator[pa.RecordBatch], pieces: list[str], take: Callable[[_Book, pa.RecordBatch], None], rows: int, most: int) -> Iterator[tuple[bytes, _Book]]:
-    """The books of a task, whose words are the last column. take is given each slice."""
-    known = {word: i for i, word in enumerate(pieces)}
-    partition, number, book = TaskContext.get().partitionId(), 0, _Book(known)
-    for batch in _per_slice(batches, rows):
-        take(book, batch)
-        if len(book.others) > most or book.words_read > 20 * most:
-            yield book.name(partition, number), book
-            number, book = number + 1, _Book(known)
-    if book.words_read or book.slices:
-        yield book.name(partition, number), book
 
+class _Book(NamedTuple):
+    """Some of a task's rows one after another. Its distinct words are numbered, pieces first;
+    name has the book's place, how many words are no pieces, and a checksum of them."""
+
+    name: bytes
+    batches: list[pa.RecordBatch]
+    numbers: list[np.ndarray]  # of the words of each batch
+    others: pa.Array  # the words that are no pieces
 
-def _bytes_of(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """UTF-8 bytes of words end to end, and where each begins."""
-    raw = [w.encode() for w in words]
-    return np.frombuffer(b"".join(raw), np.uint8), np.r_[0, np.cumsum([len(w) for w in raw])].astype(np.int64)
+
+def _books(batches: Iterator[pa.RecordBatch], pieces: pa.Array, rows: int, most: int) -> Iterator[_Book]:
+    """The books of a task's batches, whose words are the last column."""
+    partition, number = TaskContext.get().partitionId(), 0
+
+    def closed(held: list[pa.RecordBatch]) -> _Book:
+        words = [b.column(b.num_columns - 1).flatten() for b in held]
+        coded = pa.chunked_array(words, pa.string()).combine_chunks().dictionary_encode()
+        piece = pc.index_in(coded.dictionary, value_set=pieces)
+        known = np.asarray(pc.fill_null(piece, -1)).astype(np.int64)
+        others = coded.dictionary.filter(pc.is_null(piece))
+        number_of = np.where(known >= 0, known, len(pieces) + np.cumsum(known < 0) - 1)
+        numbers = number_of[np.asarray(coded.indices)] if len(coded) else np.zeros(0, np.int64)
+        check = xxhash.xxh3_64_intdigest(_text_of(others)[0])
+        name = struct.pack(">qqqQ", partition, number, len(others), check)
+        return _Book(name, held, np.split(numbers, np.cumsum([len(w) for w in words])[:-1]), others)
+
+    held, words = [], 0
+    for batch in _per_slice(batches, rows):
+        held.append(batch)
+        words += len(batch.column(batch.num_columns - 1).flatten())
+        if words > most:
+            yield closed(held)
+            held, words, number = [], 0, number + 1
+    if held:
+        yield closed(held)
 
 
 Body = Callable[[pa.RecordBatch, pa.Array, np.ndarray], pa.RecordBatch]
@@ -276,117 +289,136 @@ def _encoded(df: DataFrame, text: str, vocabulary: Vocabulary, body: Body, schem
     held = df.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(rest, names, strict=True)], words_of(F.col(f"`{text}`"), vocabulary).alias("words"))
     width, size = len(rest), len(vocabulary.pairs)
     single = vocabulary.word_tokens()
-    shared = df.sparkSession.sparkContext.broadcast((list(single), np.array([i for (i,) in single.values()], np.int32)))
+    shared = df.sparkSession.sparkContext.broadcast((pa.array(list(single), pa.string()), np.array([i for (i,) in single.values()], np.int32)))
     shards = partitions(df, SHARDS_PER_PARTITION, 16)
 
+    def shard_of(book: _Book) -> np.ndarray:
+        data, at = _text_of(book.others)
+        return ((span_hashes(data, at[:-1], at[1:]) >> np.uint64(33)) % np.uint64(shards)).astype(np.int64)
+
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        least = len(shared.value[0])
-        for name, book in _books(batches, shared.value[0], lambda b, batch: b.numbers(batch.column(width).flatten()), ROWS, WORDS_HELD):
-            data, at = _bytes_of(list(book.others))
-            shard = (span_hashes(data, at[:-1], at[1:]) >> np.uint64(33)).astype(np.int64) % shards
+        """For each shard the words of a book in the order of their numbers."""
+        for book in _books(batches, shared.value[0], ROWS, BOOK_WORDS):
+            (data, at), shard = _text_of(book.others), shard_of(book)
             order = np.argsort(shard, kind="stable")
             rows = []
             for s, o in by_shard(shard[order], order):
                 sizes = np.diff(at)[o]
-                rows.append((s, name, (o + least).astype(np.int32).tobytes(), sizes.astype(np.int32).tobytes(), zipped(pieces_of(data, at[o], sizes).tobytes())))
+                rows.append((s, book.name, _planes(sizes), zipped(pieces_of(data, at[o], sizes).tobytes())))
             if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int32(), *[pa.binary()] * 4), strict=True)], ["shard", "book", "numbers", "sizes", "text"])
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int32(), *[pa.binary()] * 3), strict=True)], ["shard", "book", "sizes", "text"])
 
     def distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """The shard's distinct words, then for each book its numbers and which words they are."""
-        books, numbers, sizes, text = [], [], [], []
+        """The partition's distinct words, then for each book and shard which of them it asked for."""
+        asked, sizes, text = [], [], []
         for batch in batches:
-            for _, book, n, s, t in zip(*[c.to_pylist() for c in batch.columns], strict=True):
-                books.append(book)
-                numbers.append(np.frombuffer(n, np.int32))
-                sizes.append(np.frombuffer(s, np.int32))
+            for shard, book, n, t in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+                asked.append((book, shard))
+                sizes.append(_unplaned(n))
                 text.append(unzipped(t))
-        if not books:
+        if not asked:
             return
         ends = np.cumsum(np.concatenate(sizes), dtype=np.int64)
         coded = pa.Array.from_buffers(pa.large_string(), len(ends), [None, pa.py_buffer(np.r_[0, ends]), pa.py_buffer(np.concatenate(text))]).dictionary_encode()
         words, which = coded.dictionary.cast(pa.string()), np.asarray(coded.indices).astype(np.int32)
-        none = pa.array([], pa.string())
+        names, none = ["book", "shard", "which", "words"], pa.array([], pa.string())
         for k in range(0, len(words), FOLDED_AT_ONCE):
             some = words[k : k + FOLDED_AT_ONCE]
-            yield pa.RecordBatch.from_arrays([pa.array([None], pa.binary()), pa.array([None], pa.binary()), _lists(np.array([0, len(some)]), some)], ["book", "refs", "words"])
+            yield pa.RecordBatch.from_arrays([pa.array([None], pa.binary()), pa.array([None], pa.int32()), pa.array([None], pa.binary()), _lists(np.array([0, len(some)]), some)], names)
         done = 0
-        for book, n in zip(books, numbers, strict=True):
-            refs = np.stack([n, which[done : done + len(n)]]).tobytes()
-            yield pa.RecordBatch.from_arrays([pa.array([book], pa.binary()), pa.array([refs], pa.binary()), _lists(np.array([0, 0]), none)], ["book", "refs", "words"])
+        for (book, shard), n in zip(asked, sizes, strict=True):
+            own = which[done : done + len(n)].tobytes()
+            yield pa.RecordBatch.from_arrays([pa.array([book], pa.binary()), pa.array([shard], pa.int32()), pa.array([own], pa.binary()), _lists(np.array([0, 0]), none)], names)
             done += len(n)
+        pa.default_memory_pool().release_unused()
 
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The ids of the words that a book asked a shard for, in their order."""
         sizes, ids, store = [np.zeros(0, np.int64)], [np.zeros(0, np.int32)], None
         for batch in batches:
-            lists, _ = _flat(batch.column(2))
+            lists, _ = _flat(batch.column(3))
             values, edges = _flat(lists)
             if len(lists):
                 sizes.append(np.diff(edges))
                 ids.append(values.to_numpy(zero_copy_only=False))
-            for book, refs in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                if refs is None:
+            for book, shard, which in zip(*[batch.column(k).to_pylist() for k in range(3)], strict=True):
+                if which is None:
                     continue
-                if store is None:  # all words of the shard have come
+                if store is None:  # all words of the partition have come
                     n = np.concatenate(sizes)
                     store = n, np.cumsum(n) - n, np.concatenate(ids)
-                numbers, which = np.frombuffer(refs, np.int32).reshape(2, -1)
+                which = np.frombuffer(which, np.int32)
                 n = store[0][which]
-                out = pieces_of(store[2], store[1][which], n)
-                data = struct.pack("<q", len(numbers)) + zipped(np.concatenate([numbers, n.astype(np.int32), out.astype(np.int32)]).tobytes())
-                yield pa.RecordBatch.from_arrays([pa.array([book], pa.binary()), pa.array([0], pa.int32()), pa.array([0], pa.int32()), pa.array([data], pa.binary())], ["book", "kind", "part", "data"])
+                parts = [_planes(n), _planes(pieces_of(store[2], store[1][which], n))]
+                yield _row(book, 0, shard, struct.pack("<q", len(parts[0])) + b"".join(parts))
+        pa.default_memory_pool().release_unused()
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def take(book: _Book, batch: pa.RecordBatch) -> None:
-            words, at = _flat(batch.column(width))
-            row = pa.RecordBatch.from_arrays([*batch.columns[:width], _lists(at, pa.array(book.numbers(words)))], [*names, "places"])
-            book.slices.append(stored(row))
-
-        for name, book in _books(batches, shared.value[0], take, ROWS, WORDS_HELD):
-            for part, data in enumerate(book.slices):
-                yield pa.RecordBatch.from_arrays([pa.array([name], pa.binary()), pa.array([1], pa.int32()), pa.array([part], pa.int32()), pa.array([data], pa.binary())], ["book", "kind", "part", "data"])
+        """A book's shards by number, then its rows."""
+        for book in _books(batches, shared.value[0], ROWS, BOOK_WORDS):
+            yield _row(book.name, 1, 0, _planes(shard_of(book)))
+            for part, (batch, numbers) in enumerate(zip(book.batches, book.numbers, strict=True)):
+                sizes = pc.fill_null(pc.list_value_length(batch.column(width)), 0)
+                rows = stored(pa.RecordBatch.from_arrays([*batch.columns[:width], sizes], [*names, "sizes"]))
+                yield _row(book.name, 2, part, struct.pack("<q", len(rows)) + rows + _planes(numbers))
+        pa.default_memory_pool().release_unused()
 
     def assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces, name, answers, known = shared.value[1], None, [], None
+        name, answers, known = None, {}, None
         for batch in batches:
-            for book, kind, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(3), strict=True):
+            for book, kind, part, data in zip(*[c.to_pylist() for c in batch.columns], strict=True):
                 if book != name:
-                    name, answers, known = book, [], None
+                    name, answers, known = book, {}, None
                 if kind == 0:
-                    answers.append(data.as_py())
-                    continue
-                if known is None:
-                    known = _ids_by_number(pieces, answers, struct.unpack(">qqqQ", name)[2])
-                rows = pa.ipc.open_stream(data.as_buffer()).read_next_batch()
-                numbers, at = _flat(rows.column(width))
-                numbers = numbers.to_numpy(zero_copy_only=False)
-                n = known[0][numbers]
-                out = pieces_of(known[2], known[1][numbers], n)
-                yield body(pa.RecordBatch.from_arrays(rows.columns[:width], rest), pa.array(out.astype(np.int32)), np.r_[0, np.cumsum(n)][at])
-
-    asked = held.select(*names, "words").mapInArrow(ask, "shard int, book binary, numbers binary, sizes binary, text binary")
-    met = asked.repartition(shards, "shard").mapInArrow(distinct, "book binary, refs binary, words array<string>")
+                    answers[part] = data
+                elif kind == 1:
+                    known = _ids_by_number(shared.value[1], _unplaned(data), answers)
+                else:
+                    if known is None:
+                        raise RuntimeError(CHANGED)
+                    (n,) = struct.unpack_from("<q", data)
+                    rows = pa.ipc.open_stream(data[8 : 8 + n]).read_next_batch()
+                    numbers, at = _unplaned(data[8 + n :]), np.r_[0, np.cumsum(rows.column(width))]
+                    n = known[0][numbers]
+                    out = pieces_of(known[2], known[1][numbers], n)
+                    yield body(pa.RecordBatch.from_arrays(rows.columns[:width], rest), pa.array(out.astype(np.int32)), np.r_[0, np.cumsum(n)][at])
+        pa.default_memory_pool().release_unused()
+
+    asked = held.mapInArrow(ask, "shard int, book binary, sizes binary, text binary")
+    met = asked.repartition(shards, "shard").mapInArrow(distinct, "book binary, shard int, which binary, words array<string>")
     folded = _with_tables(met, vocabulary.literal(df.sparkSession), "folded", lambda t: F.transform("words", lambda w: fold_merges(w, t, size))).drop("words")
-    answers = folded.mapInArrow(answer, "book binary, kind int, part int, data binary")
-    bodies = held.mapInArrow(write, "book binary, kind int, part int, data binary")
+    answers, bodies = folded.mapInArrow(answer, BOOK_ROWS), held.mapInArrow(write, BOOK_ROWS)
     ordered = bodies.union(answers).repartition(shards, "book").sortWithinPartitions("book", "kind", "part")
     return ordered.mapInArrow(assemble, schema)
 
 
-def _ids_by_number(pieces: np.ndarray, answers: list[bytes], words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """How many ids each number has, where they begin, and the ids."""
+#: What meets of a book: answers of shards (kind 0), the shards of its words (1), its rows (2).
+BOOK_ROWS = "book binary, kind int, part int, data binary"
+CHANGED = "the table gave other rows, or rows in another order, when it was read again"
+
+
+def _row(book: bytes, kind: int, part: int, data: bytes) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([book], pa.binary()), pa.array([kind], pa.int32()), pa.array([part], pa.int32()), pa.array([data], pa.binary())], ["book", "kind", "part", "data"])
+
+
+def _ids_by_number(pieces: np.ndarray, shard: np.ndarray, answers: dict[int, bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """How many ids each number has, where they begin, and the ids: those of pieces, then
+    those of other words as their shards answer."""
     k = len(pieces)
-    sizes, begins = np.zeros(k + words, np.int64), np.zeros(k + words, np.int64)
-    sizes[:k], begins[:k] = 1, np.arange(k)
-    ids, done, met = [pieces], k, 0
-    for data in answers:
+    sizes, begins = np.ones(k + len(shard), np.int64), np.arange(k + len(shard))
+    ids, done = [pieces], k
+    order = np.argsort(shard, kind="stable")
+    for s, o in by_shard(shard[order], order):
+        data = answers.get(s)
+        if data is None:
+            raise RuntimeError(CHANGED)
         (n,) = struct.unpack_from("<q", data)
-        numbers, own, out = np.split(unzipped(data[8:]).view(np.int32), [n, 2 * n])
-        sizes[numbers], begins[numbers] = own, done + np.cumsum(own) - own
+        own, out = _unplaned(data[8 : 8 + n]), _unplaned(data[8 + n :])
+        if len(own) != len(o):
+            raise RuntimeError(CHANGED)
+        sizes[k + o], begins[k + o] = own, done + np.cumsum(own) - own
         ids.append(out)
-        done, met = done + len(out), met + n
-    if met != words:
-        raise RuntimeError("the table gave other rows, or rows in another order, when it was read again")
+        done += len(out)
     return sizes, begins, np.concatenate(ids)
 
 
