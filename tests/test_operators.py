@@ -19,9 +19,9 @@ from wayfare.operators import observations as O
 from wayfare.operators import transfers as T
 from wayfare import cli
 from wayfare.streaming.archive import ProgressLog
-from wayfare.operators.publish import PublishError, backfill_allowed, backfill_positions, compact_day, dates_between, read_published, swap, violations
+from wayfare.operators.publish import PublishError, backfill_allowed, backfill_positions, compact_day, dates_between, late_records, read_published, swap, violations, write_jdbc
 from wayfare.schemas import POSITIONS, RAW_POSITION, SchemaDriftError, conform, drift
-from wayfare.sources.lake import read_snapshots
+from wayfare.sources.lake import read_snapshots, write_raw
 from wayfare.sources.paged import RunawaySource, paged_documents
 
 S = 1_000_000
@@ -209,11 +209,23 @@ def test_compaction(spark, tmp_path):
     rows.write.mode("append").parquet(part)
     with pytest.raises(PublishError, match="published"):
         compact_day(spark, staging, silver, "A", "2024-01-01", "2024-01-02")
+    assert late_records(spark, staging, silver, "A", "2024-01-01").count() == 3
+    assert late_records(spark, staging, silver, "B", "2024-01-01") is None
     with pytest.raises(PublishError):
         backfill_allowed("2026-08-21")
     assert dates_between("2024-02-28", "2024-03-01") == ["2024-02-28", "2024-02-29", "2024-03-01"]
 
 
+def test_raw_files_and_database(spark, tmp_path):
+    df = spark.createDataFrame([("0303", 1), ("x", 2)], "id string, n int")
+    write_raw(df, str(tmp_path / "raw"))
+    write_raw(df, str(tmp_path / "raw"))
+    assert spark.read.schema(df.schema).json(str(tmp_path / "raw")).where("id = '0303'").count() == 2
+    url, driver = f"jdbc:derby:{tmp_path}/db;create=true", {"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"}
+    write_jdbc(df.repartition(2), url, "t", driver)
+    assert sorted(map(tuple, spark.read.jdbc(url, "t", properties=driver).collect())) == [("0303", 1), ("x", 2)]
+
+
 def test_backfill_is_guarded(spark, tmp_path):
     silver, rows = str(tmp_path), spark.range(4)
     assert backfill_positions(spark, rows, silver, "A", "2026-08-21") is None

@@ -92,6 +92,17 @@ def compact_day(spark: SparkSession, staging: str, silver: str, city: str, date:
     return Compacted(seen.get["read"], n["n"])
 
 
+def late_records(spark: SparkSession, staging: str, silver: str, city: str, date: str) -> DataFrame | None:
+    """What is staged for a day that is published already and was not part of it; None if
+    there is nothing."""
+    part = f"city={city}/dt={date}"
+    if not exists(spark, f"{silver}/_taken/{part}"):
+        return None
+    known = {r["file"] for r in spark.read.parquet(f"{silver}/_taken/{part}").collect()}  # one day's files
+    late = [f for f in _staged(spark, f"{staging}/{part}") if f not in known]
+    return spark.read.parquet(*late) if late else None
+
+
 def _pointer(spark: SparkSession, path: str) -> str | None:
     fs, p = _files(spark, f"{path}/_current")
     if not fs.exists(p):

@@ -39,6 +39,11 @@ def pair_transfers(arrivals: DataFrame) -> DataFrame:
     return next_departures(a, b, [*SCOPE, "route_b"]).where("b_us is not null")
 
 
+def shared_stations(arrivals: DataFrame, least: int = 2) -> DataFrame:
+    """Stations that at least so many routes stop at, where a transfer is possible at all."""
+    return arrivals.groupBy("city", "station_id").agg(F.count_distinct("route").alias("n_routes")).where(F.col("n_routes") >= least)
+
+
 def transfer_histogram(pairs: DataFrame, max_wait_s: int = MAX_WAIT_S, bin_s: int = BIN_S, compat: bool = False) -> DataFrame:
     """One row for each (scope, route pair, bucket, wait_bin) with the count of successes, and
     n_total and n_over of the pair, bucket and day. A wait of exactly max_wait_s succeeds.

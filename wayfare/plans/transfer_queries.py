@@ -225,3 +225,9 @@ def serving_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     SELECT city, count(*) AS n, count(*) FILTER (dseq < 0) AS backwards, count(*) FILTER (dseq > 0 AND sec < 10 * dseq) AS too_fast FROM l WHERE dseq IS NOT NULL GROUP BY 1""")
 def step_sanity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return B.step_sanity(trip_steps(spark, sf_dir))
+
+
+@query(f"WITH {ARRIVALS} SELECT city, station_id, count(DISTINCT route) AS n_routes FROM arrivals GROUP BY 1, 2 HAVING count(DISTINCT route) >= 3")
+def shared_stations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stations of three routes and more."""
+    return T.shared_stations(arrivals(spark, sf_dir), 3)

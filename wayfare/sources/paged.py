@@ -9,7 +9,6 @@ import json
 from collections.abc import Callable, Iterator
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 PAGE_SIZE = 3000
 GUARD = 100_000
@@ -37,7 +36,7 @@ def read_pages(url: str, fetch: Fetch, first: int, step: int, size: int = PAGE_S
 
 
 def paged_documents(spark: SparkSession, url: str, fetch: Fetch, readers: int = 4, size: int = PAGE_SIZE, guard: int = GUARD) -> DataFrame:
-    """(offset, document) of all pages, read by so many tasks in turns."""
+    """(offset, document) of all pages, read by so many tasks in turns; in no order."""
 
     def read(batches):
         import pandas as pd
@@ -47,4 +46,4 @@ def paged_documents(spark: SparkSession, url: str, fetch: Fetch, readers: int =
                 rows = list(read_pages(url, fetch, int(first), readers, size, guard))
                 yield pd.DataFrame(rows, columns=["offset", "document"])
 
-    return spark.range(readers).repartition(readers, "id").mapInPandas(read, "offset long, document string").orderBy(F.col("offset"))
+    return spark.range(readers).repartition(readers, "id").mapInPandas(read, "offset long, document string")
