@@ -345,3 +345,17 @@ def test_cut_reads_what_was_written(spark):
 def test_slices_of_one_document():
     t = Texts(np.array([1]), np.frombuffer(b"ab", np.uint8), np.array([0, 2]))
     assert t.of(0) == b"ab"
+
+
+def test_clashing_columns(spark):
+    """Columns that are called like those an operator works with, or gives."""
+    names = "_words _sorted _bins _filled _block _order _key _named _name _start _end position passes row block n".split()
+    df = spark.createDataFrame([(k, f"a b c{k}", "s", 3, *[f"{c}{k}" for c in names]) for k in range(5)], ["doc_id", "text", "source", "size", *names])
+    kept = [c for c in names if c not in ("position", "passes")]
+    printed = fingerprints.add_fingerprint(df, "text", "_key")
+    assert printed.columns == [c for c in df.columns if c != "_key"] + ["_key"]
+    assert all(r["_words"] == f"_words{r.doc_id}" and len(r["_key"]) == 256 for r in printed.collect())
+    mixed = mixing.mix(df)
+    assert all(r[c] == f"{c}{r.doc_id}" for r in mixed.collect() for c in kept) and dict(mixed.dtypes)["position"] == "double"
+    slots = sharding.number_slots(df, "source", [F.col("doc_id")])
+    assert sorted(r.slot for r in slots.collect()) == [0, 1, 2, 3, 4] and all(r[c] == f"{c}{r.doc_id}" for r in slots.collect() for c in names)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 from typing import NamedTuple
 
 import numpy as np
@@ -63,6 +63,17 @@ def settled(step: Callable[[], DataFrame]) -> DataFrame:
     return out
 
 
+def shielded(df: DataFrame, own: Sequence[str], step: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """What step makes of df, whose columns other than own it doesn't see by their names: they
+    come through whatever they are called, unless step gives a column of that name, which
+    replaces them."""
+    others = [c for c in df.columns if c not in own]
+    out = step(df.select(*[F.col(f"`{c}`") for c in own], *[F.col(f"`{c}`").alias(f"other {k}") for k, c in enumerate(others)]))
+    new = [c for c in out.columns if not c.startswith("other ") and c not in own]
+    back = [F.col(f"`other {k}`").alias(c) for k, c in enumerate(others) if c not in new]
+    return out.select(*[F.col(f"`{c}`") for c in own if c in out.columns], *back, *[F.col(f"`{c}`") for c in new])
+
+
 class Texts(NamedTuple):
     """Documents of one slice: ids, UTF-8 bytes end to end, and where each begins."""
 

@@ -15,7 +15,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import documents, sqrt_blocks
+from .common import documents, shielded, sqrt_blocks
 
 #: Bins (a power of two) and the bits kept of each; 4 bits make one hexadecimal digit.
 BINS = 256
@@ -48,7 +48,12 @@ def _kept(df: DataFrame, name: str, value: Column) -> DataFrame:
 
 def add_fingerprint(df: DataFrame, text: str, name: str, bins: int = BINS, shingle: int = SHINGLE) -> DataFrame:
     """df with a fingerprint column: bins hexadecimal digits, or '' for texts without
-    words (null, empty or white space). Fewer words than a shingle count as one shingle."""
+    words (null, empty or white space). Fewer words than a shingle count as one shingle. A
+    column of that name is replaced; others come through whatever they are called."""
+    return shielded(df, [text], lambda rows: _fingerprinted(rows, text, name, bins, shingle)).select(*[F.col(f"`{c}`") for c in df.columns if c != name], name)
+
+
+def _fingerprinted(df: DataFrame, text: str, name: str, bins: int, shingle: int) -> DataFrame:
     shift = 63 - (bins.bit_length() - 1)
     start, step, inverse = map(_ints, _probe_tables(bins))
     words = F.filter(F.split(F.coalesce(F.col(text), F.lit("")), r"[\x20\x09-\x0D]+"), lambda w: w != "")

@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import documents, sqrt_blocks, word_count
+from .common import documents, shielded, sqrt_blocks, word_count
 
 #: Weights of the sources in the order of their names, repeating.
 WEIGHTS = (5, 2, 1)
@@ -69,7 +69,12 @@ def mix(df: DataFrame, id_col: str = "doc_id", size_col: str = "size", share: fl
     the columns ties.
 
     Positions in a stream are sums over hashed blocks plus a running sum in a block,
-    so no task holds a source."""
+    so no task holds a source. Columns of df that have the names of new ones are replaced."""
+    own = [id_col, "source", size_col, *ties]
+    return shielded(df, own, lambda rows: _mix(rows, id_col, size_col, share, cap, ties))
+
+
+def _mix(df: DataFrame, id_col: str, size_col: str, share: float, cap: float, ties: Sequence[str]) -> DataFrame:
     blocks = sqrt_blocks(df.count(), 1)
     key = F.xxhash64(F.col(id_col), F.col(size_col))
     rows = df.withColumn("_order", key).withColumn("_block", F.pmod(F.xxhash64("_order"), F.lit(blocks)).cast("int"))

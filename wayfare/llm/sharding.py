@@ -72,13 +72,22 @@ def assign_shards(df: DataFrame, key: str, tree: Tree = TREE, grown: Tree | None
 def number_slots(df: DataFrame, group: str, order: Sequence[Column], slot: str = "slot") -> DataFrame:
     """Number the rows of each group from 0 without gaps. Rows go into hashed blocks,
     each numbered by itself from where the blocks before it end, so no task holds a
-    group. Blocks and the rows of a block grow as the square root of the rows."""
+    group. Blocks and the rows of a block grow as the square root of the rows. A column of
+    the slot's name is replaced."""
+    block, row, start, n = (_free(df, name) for name in ("block", "row", "start", "n"))
     blocks = sqrt_blocks(df.count(), 4)
-    rows = df.withColumn("_block", F.pmod(F.xxhash64(*order), F.lit(blocks)).cast("int"))
-    before = Window.partitionBy(group).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    starts = rows.groupBy(group, "_block").agg(F.count("*").alias("_n")).select(F.col(group), "_block", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
-    own = Window.partitionBy(group, "_block").orderBy(*order)
-    return rows.withColumn("_row", F.row_number().over(own)).join(starts, [group, "_block"]).withColumn(slot, (F.col("_start") + F.col("_row") - 1).cast("long")).drop("_block", "_row", "_start")
+    rows = df.withColumn(block, F.pmod(F.xxhash64(*order), F.lit(blocks)).cast("int"))
+    before = Window.partitionBy(group).orderBy(block).rowsBetween(Window.unboundedPreceding, -1)
+    starts = rows.groupBy(group, block).agg(F.count("*").alias(n)).select(F.col(group), block, F.coalesce(F.sum(n).over(before), F.lit(0)).alias(start))
+    own = Window.partitionBy(group, block).orderBy(*order)
+    return rows.withColumn(row, F.row_number().over(own)).join(starts, [group, block]).withColumn(slot, (F.col(start) + F.col(row) - 1).cast("long")).drop(block, row, start)
+
+
+def _free(df: DataFrame, name: str) -> str:
+    """A name like that which no column of df has."""
+    while name in df.columns:
+        name += "_"
+    return name
 
 
 def op4_hash_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
