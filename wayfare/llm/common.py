@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 import uuid
 from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 from typing import NamedTuple
 
 import numpy as np
@@ -39,7 +40,7 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
-_written: list[str] = []
+_watchers: list[list[str]] = []
 
 
 def cut(df: DataFrame) -> DataFrame:
@@ -47,20 +48,28 @@ def cut(df: DataFrame) -> DataFrame:
     it again and need no file of an executor's own."""
     path = f"{shared_folder(df.sparkSession)}/tables/{uuid.uuid4().hex}"
     df.write.parquet(path)
-    _written.append(path)
+    for paths in _watchers:
+        paths.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def settled(step: Callable[[], DataFrame]) -> DataFrame:
-    """What step gives as a table of its own; the tables that were cut on the way are deleted."""
-    before = len(_written)
-    out = cut(step())
-    spark = out.sparkSession
-    for path in _written[before:-1]:
+@contextmanager
+def tables_cut() -> Iterator[list[str]]:
+    """The paths of the tables that are cut inside."""
+    paths: list[str] = []
+    _watchers.append(paths)
+    try:
+        yield paths
+    finally:
+        _watchers.remove(paths)
+
+
+def drop_tables(spark: SparkSession, paths: Sequence[str]) -> list[str]:
+    """Delete tables that were cut and that nobody will read any more."""
+    for path in paths:
         place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
         place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
-    del _written[before:]
-    return out
+    return list(paths)
 
 
 def shielded(df: DataFrame, own: Sequence[str], step: Callable[[DataFrame], DataFrame]) -> DataFrame:
