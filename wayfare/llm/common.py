@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import tempfile
 import uuid
 from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
@@ -33,10 +34,16 @@ def sqrt_blocks(n: int, factor: int = 1) -> int:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that spark.checkpoint.dir names, which driver and executors share."""
-    folder = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.sparkContext.getCheckpointDir()
+    """The folder that spark.checkpoint.dir names, which driver and executors share. Where it
+    is unset, a local session, which is one process, gets a folder of its own; a cluster's
+    raises."""
+    context = spark.sparkContext
+    folder = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
     if not folder:
-        raise ValueError("the session names no spark.checkpoint.dir")
+        if not context.master.startswith("local"):
+            raise ValueError("the session names no spark.checkpoint.dir")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="spark-checkpoint-"))
+        folder = context.getCheckpointDir()
     return folder.rstrip("/")
 
 
