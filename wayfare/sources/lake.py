@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 from collections.abc import Sequence
 
@@ -56,11 +57,15 @@ def table_metadata(spark: SparkSession, table: str) -> DataFrame:
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A new folder name under the shared folder of spark.checkpoint.dir, which the session
-    must name."""
-    base = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.sparkContext.getCheckpointDir()
+    """A new folder name under the shared folder of spark.checkpoint.dir. Where it is unset, a
+    local session, which is one process, gets a folder of its own; a cluster's raises."""
+    context = spark.sparkContext
+    base = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
     if not base:
-        raise ValueError("the session names no spark.checkpoint.dir")
+        if not context.master.startswith("local"):
+            raise ValueError("the session names no spark.checkpoint.dir")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="spark-checkpoint-"))
+        base = context.getCheckpointDir()
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
