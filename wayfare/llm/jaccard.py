@@ -9,9 +9,9 @@ count as small are those for which enumerating costs less than lists.
 The order has tokens first that a sketch says occur in one document: those cannot be
 shared and need no list. Others come by the number of sets that have them. Each set is compared
 with the most central of those that head its lists; lists that this leaves in more than
-one component are compared in full, block by block, by their differences from a central set. So every pair of a list is linked,
-compared, or connected already, and a group of copies of one text needs about as many
-comparisons as it has members.
+one component are compared in full, block by block, by their differences from a central set.
+So every pair of a list is linked, compared, or connected already, and a group of copies of
+one text needs about as many comparisons as it has members.
 """
 
 from __future__ import annotations
