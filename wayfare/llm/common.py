@@ -246,20 +246,18 @@ def two_smallest(values: np.ndarray, w: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def byte_grams(data: np.ndarray, k: int) -> np.ndarray:
-    """Hashes of all ranges of k successive bytes, k at least 8; empty if there are fewer."""
+    """Hashes of all ranges of k successive bytes, k at least 8; empty if there are fewer.
+    Eight bytes a step, the last eight of the range at the end."""
     n = len(data) - k + 1
     if n <= 0:
         return np.zeros(0, np.uint64)
-    here = eights(data)[: len(data) - 7]
-    level, span, out, done = mix64(here ^ SEEDS[0]), 8, None, 0
-    while True:
-        if k // 8 & span // 8:
-            part = level[done : done + n]
-            out, done = (part if out is None else joined(out, part)), done + span
-        if done == k // 8 * 8:
-            break
-        level, span = joined(level[:-span], level[span:]), 2 * span
-    return joined(out, here[k - 8 : k - 8 + n]) if done < k else mix64(out)
+    here = eights(data)
+    out = here[:n] * SEEDS[0]
+    for at in [*range(8, k - 7, 8), *([k - 8] if k % 8 else [])]:
+        out ^= out >> np.uint64(29)
+        out += here[at : at + n]
+        out *= _LEFT
+    return mix64(out)
 
 
 def pieces_of(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -268,6 +266,11 @@ def pieces_of(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.nda
     return data[np.repeat(starts - begins, sizes) + np.arange(int(sizes.sum()))]
 
 
+def stretches_of(raw: bytes, starts: np.ndarray, sizes: np.ndarray) -> bytes:
+    """raw[start : start + size] of all stretches, end to end; for long ones."""
+    return b"".join([raw[a : a + n] for a, n in zip(starts.tolist(), sizes.tolist(), strict=True)])
+
+
 def by_shard(sorted_shards: np.ndarray, order: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
     """(shard, entries) for each shard that has any."""
     if len(order):

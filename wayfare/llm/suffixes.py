@@ -21,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from .common import Texts, by_shard, byte_grams, documents, joined, pieces_of, sliding_min, two_smallest
+from .common import Texts, by_shard, byte_grams, documents, joined, sliding_min, stretches_of, two_smallest
 from .packs import Pack, meet, partitions
 from .sketch import Estimates, estimates, ranges_of
 from .substring import STRETCHES, Cuts, Stretches, anchor_places, earliest, equal_groups, grouped, runs, stretches
@@ -178,9 +178,11 @@ def repeated_runs(df: DataFrame, length: int = LENGTH, gram: int = GRAM) -> Data
         new = np.flatnonzero(np.r_[True, (keys[1:] != keys[:-1]) | (at[1:] != at[:-1] + 1) | (doc[1:] != doc[:-1])]) if len(at) else at
         begin, counts = at[new], np.diff(np.r_[new, len(at)])
 
+        raw = texts.data.tobytes()
+
         def text(chosen: np.ndarray) -> tuple[bytes, np.ndarray]:
             sizes = counts[chosen] + length - 1
-            return pieces_of(texts.data, begin[chosen], sizes).tobytes(), sizes
+            return stretches_of(raw, begin[chosen], sizes), sizes
 
         yield from stretches(pack, shards, keys[new], doc[new], begin - texts.starts[doc[new]], counts, text, settled)
 
@@ -189,13 +191,14 @@ def repeated_runs(df: DataFrame, length: int = LENGTH, gram: int = GRAM) -> Data
         order = np.argsort(met.labels, kind="stable")
         label, total = met.labels[order], np.cumsum(met.counts[order], dtype=np.int64)
         ends = np.flatnonzero(np.r_[label[1:] != label[:-1], True]) + 1  # of labels
-        a = 0
+        a, raw = 0, met.text.tobytes()
         while a < len(order):
             done = total[a - 1] if a else 0
             fit = ends[(ends > a) & (total[ends - 1] - done <= ARRAY_WINDOWS)]
             b = int(fit[-1]) if len(fit) else int(ends[ends > a][0])
             o = order[a:b]
-            yield from met.found(*_repeats(pieces_of(met.text, begins[o], met.sizes[o]), met.sizes[o], met.counts[o], met.ids[o], met.places[o], met.at[o], length))
+            text = np.frombuffer(stretches_of(raw, begins[o], met.sizes[o]), np.uint8)
+            yield from met.found(*_repeats(text, met.sizes[o], met.counts[o], met.ids[o], met.places[o], met.at[o], length))
             a = b
 
     marked = estimates(rows, lambda texts: _Windows(texts, length, gram).keys(), PACK_BYTES)
