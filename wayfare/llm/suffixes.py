@@ -46,8 +46,10 @@ def smaller_than_successor(data: np.ndarray) -> np.ndarray:
     return np.repeat(rises, np.diff(np.r_[-1, ends]))
 
 
-def _windows(data: np.ndarray, depth: int) -> np.ndarray:
-    return np.lib.stride_tricks.sliding_window_view(np.concatenate([data, np.zeros(depth, np.uint8)]), depth)
+def _strings(data: np.ndarray, depth: int) -> np.ndarray:
+    """The first depth bytes of each suffix as one item; an end counts as bytes 0."""
+    padded = np.concatenate([data, np.zeros(depth, np.uint8)])
+    return np.ndarray(len(data), f"V{depth}", padded, strides=(1,))
 
 
 def two_stage_order(data: np.ndarray, depth: int, wanted: np.ndarray | None = None) -> np.ndarray:
@@ -63,7 +65,7 @@ def two_stage_order(data: np.ndarray, depth: int, wanted: np.ndarray | None = No
         needed[chain] = True
         chain = chain[~small[chain]] + 1
     direct = np.flatnonzero(needed & small)
-    direct = direct[np.argsort(np.ascontiguousarray(_windows(data, depth)[direct]).view(f"S{depth}").ravel(), kind="stable")]
+    direct = direct[np.argsort(_strings(data, depth)[direct].view(f"S{depth}"), kind="stable")]
     bounds = np.searchsorted(data[direct], np.arange(257))  # direct is sorted by first byte too
     induced: list[list[np.ndarray]] = [[] for _ in range(256)]
     if n and needed[n - 1]:
@@ -90,14 +92,18 @@ def two_stage_order(data: np.ndarray, depth: int, wanted: np.ndarray | None = No
 
 
 def adjacent_prefixes(data: np.ndarray, order: np.ndarray, depth: int) -> np.ndarray:
-    """Length of the common prefix of each suffix in order and the one before, depth at most."""
-    windows, out = _windows(data, depth), np.zeros(len(order), np.int64)
+    """Length of the common prefix of each suffix in order and the one before, depth at most.
+    Four bytes are compared at once where depth allows it."""
+    strings, out = _strings(data, depth), np.zeros(len(order), np.int64)
     for a in range(1, len(order), 100_000):
-        at = order[a - 1 : a + 100_000]
-        w = windows[at]
+        w = strings[order[a - 1 : a + 100_000]].view("<u4" if depth % 4 == 0 else np.uint8).reshape(-1, depth // 4 if depth % 4 == 0 else depth)
         same = w[1:] == w[:-1]
-        full = same.all(axis=1)
-        out[a : a + len(full)] = np.where(full, depth, same.argmin(axis=1))
+        full, unit = same.all(axis=1), same.argmin(axis=1)
+        if depth % 4 == 0:
+            row = np.arange(len(unit))
+            differ = w[1:][row, unit] ^ w[:-1][row, unit]
+            unit = 4 * unit + sum((differ & (256**k - 1) == 0).astype(np.int64) for k in (1, 2, 3))
+        out[a : a + len(full)] = np.where(full, depth, unit)
     return np.minimum(out, np.minimum(len(data) - order, np.r_[0, len(data) - order[:-1]]))
 
 
