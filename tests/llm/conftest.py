@@ -17,9 +17,16 @@ def corpus():
 
 
 @pytest.fixture(scope="session")
-def tables(spark, corpus, tmp_path_factory):
-    """A folder with a documents table as the queries read it, in several files."""
+def benchmark():
+    """Items that documents hold in whole or part, short ones, one in two rows, and none."""
+    return [(1, SOME[:90].upper()), (2, "not here at all"), (10, "one two, three"), (4, None), (5, " - "), (6, SOME[60:] + " but this is of no document"), (6, "naïve café"), (7, "漢字 — NAÏVE")]
+
+
+@pytest.fixture(scope="session")
+def tables(spark, corpus, benchmark, tmp_path_factory):
+    """A folder with tables as the queries read them, documents in several files."""
     folder = tmp_path_factory.mktemp("tables")
+    spark.createDataFrame(benchmark, "item_id long, text string").write.parquet(str(folder / "benchmark.parquet"))
     spark.createDataFrame(corpus, SCHEMA).repartition(3).write.parquet(str(folder / "documents.parquet"))
     labels = [(i, 1, int(i in (4, 10))) for i in range(len(corpus)) if i % 2 == 0]
     spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(str(folder / "labels.parquet"))
@@ -31,4 +38,5 @@ def empty_tables(spark, tmp_path_factory):
     folder = tmp_path_factory.mktemp("empty")
     spark.createDataFrame([], SCHEMA).write.parquet(str(folder / "documents.parquet"))
     spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(str(folder / "labels.parquet"))
+    spark.createDataFrame([], "item_id long, text string").write.parquet(str(folder / "benchmark.parquet"))
     return str(folder)

@@ -11,6 +11,7 @@ others are verified over as many words as the window has.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -19,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from .common import Texts, documents
-from .packs import Pack, meet, packs, rereadable
+from .packs import Pack, meet, packs, partitions, rereadable
 from .terms import PART_BYTES, Vocabulary, lowered, parts, ranges, texts_of, totals
 
 WINDOW = 10
@@ -250,9 +251,12 @@ def contaminated(df: DataFrame, items: DataFrame, window: int = WINDOW, num: int
 
             return find
 
-        found = docs.select(*docs.columns[:2]).mapInArrow(finds(0), "pack binary, data binary")
-        for k in range(1, len(shared)):
-            found = found.union(docs.select(*docs.columns[:2]).mapInArrow(finds(k), "pack binary, data binary"))
+        # Each part's finds are dealt by their packs before they come together: in a union a
+        # task's number, which names its packs, would be another one.
+        alone = docs.select(*docs.columns[:2])
+        many = partitions(alone, 1, 1)
+        each = [alone.mapInArrow(finds(k), "pack binary, data binary").repartition(many, "pack") for k in range(len(shared))]
+        found = reduce(DataFrame.union, each)
 
         def join(pack: Pack, data: list[bytes]) -> Iterator[pa.RecordBatch]:
             first, got = Vocabulary(lowered(pack.texts)).first, []
