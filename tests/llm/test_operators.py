@@ -1,5 +1,6 @@
 """Operators on their own interfaces: properties, codecs, skew, nulls, clashing columns."""
 
+import math
 import random
 
 import numpy as np
@@ -149,8 +150,35 @@ def test_jaccard_of_near_copies(spark):
 
 
 def test_boundary_follows_cost():
-    assert jaccard.boundary({s: 10 for s in range(1, 41)}, 9, 10) == 19
-    assert jaccard.boundary({s: 10 for s in range(1, 41)}, 8, 10) < 15
+    sizes = lambda count, entries: {s: (count, entries) for s in range(1, 41)}
+    dear, cheap = 10**9, 0
+    assert jaccard.boundary(sizes(10, cheap), 9, 10) == 0
+    assert jaccard.boundary(sizes(10, dear), 9, 10) == jaccard.most_enumerated(9, 10)
+    assert jaccard.boundary(sizes(10, dear), 8, 10) == jaccard.most_enumerated(8, 10)
+    # Where lists cost more than subsets up to a size and less from there on, that is the boundary.
+    cost = lambda s: jaccard.subset_count(s, 9, 10) / jaccard.ENTRY_COST
+    assert jaccard.boundary({s: (1, math.ceil(cost(s)) + 1 if s <= 12 else 0) for s in range(1, 41)}, 9, 10) == 12
+
+
+@pytest.mark.parametrize("small", [0, 8, 19])
+def test_both_sides_of_the_boundary(spark, monkeypatch, small):
+    """The same links whether sets are enumerated, listed, or dealt to both."""
+    monkeypatch.setattr(jaccard, "boundary", lambda *_: small)
+    random.seed(small)
+    texts = [" ".join(f"s{k % 7}y{j + (k % 3 == j % 11)}" for j in range(4 + k % 23)) for k in range(120)]
+    texts += [" ".join(random.choice("ab") for _ in range(14)) for _ in range(60)]
+    sets = {i: {tuple(t.split()[k : k + 3]) for k in range(len(t.split()) - 2)} for i, t in enumerate(texts)}
+    got = jaccard.components(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), 3, 90, 100).collect()
+    assert {r.doc_id: r.component_id for r in got} == brute_components(sets, 90, 100)
+
+
+def test_counts_of_a_frequent_key_are_not_cut():
+    """A key hit often by few parts is heavy, and estimates are never too low."""
+    hits = [np.array([5000, 1]), np.array([1, 70_000])]
+    assert [sketch._counts(sketch._bytes(n)).tolist() for n in hits] == [n.tolist() for n in hits]
+    keys = np.arange(4, dtype=np.uint64)
+    found = sketch.merged([sketch._cells(keys[:2]), sketch._cells(keys[2:])], [sketch._counts(sketch._bytes(n)) for n in hits])
+    assert found[0][0] >= 5000 and found[1][1] >= 70_000
 
 
 def test_components_of_a_chain(spark):

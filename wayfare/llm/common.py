@@ -6,11 +6,11 @@ import math
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator, Sequence
-from contextlib import contextmanager
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+from py4j.java_gateway import JavaObject
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -47,36 +47,36 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
-_watchers: list[list[str]] = []
+#: Tables cut, by application and path, each with a weak reference of the driver's JVM to the
+#: index of its files, which the plans of all frames over the table hold.
+_tables: dict[tuple[str, str], JavaObject] = {}
 
 
 def cut(df: DataFrame) -> DataFrame:
     """df written as a table in the shared folder and read back: later uses do not compute
-    it again and need no file of an executor's own."""
-    path = f"{shared_folder(df.sparkSession)}/tables/{uuid.uuid4().hex}"
+    it again and need no file of an executor's own. The table is deleted by a later cut or
+    sweep once the JVM has collected every frame over it, this one and those made of it, and
+    no sooner, so results that are still lazy keep it."""
+    spark = df.sparkSession
+    sweep(spark)
+    path = f"{shared_folder(spark)}/tables/{uuid.uuid4().hex}"
     df.write.parquet(path)
-    for paths in _watchers:
-        paths.append(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-@contextmanager
-def tables_cut() -> Iterator[list[str]]:
-    """The paths of the tables that are cut inside."""
-    paths: list[str] = []
-    _watchers.append(paths)
-    try:
-        yield paths
-    finally:
-        _watchers.remove(paths)
-
-
-def drop_tables(spark: SparkSession, paths: Sequence[str]) -> list[str]:
-    """Delete tables that were cut and that nobody will read any more."""
-    for path in paths:
-        place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-        place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
-    return list(paths)
+    out = spark.read.schema(df.schema).parquet(path)
+    index = out._jdf.queryExecution().analyzed().relation().location()
+    _tables[spark.sparkContext.applicationId, path] = spark._jvm.java.lang.ref.WeakReference(index)
+    return out
+
+
+def sweep(spark: SparkSession) -> int:
+    """Delete the tables that were cut and that no frame reads any more; how many."""
+    own, deleted = spark.sparkContext.applicationId, 0
+    for (application, path), reference in list(_tables.items()):
+        if application == own and reference.get() is not None:
+            continue
+        if _tables.pop((application, path), None) is not None and application == own:
+            place = spark._jvm.org.apache.hadoop.fs.Path(path)
+            deleted += place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+    return deleted
 
 
 def shielded(df: DataFrame, own: Sequence[str], step: Callable[[DataFrame], DataFrame]) -> DataFrame:

@@ -16,6 +16,7 @@ one text needs about as many comparisons as it has members.
 
 from __future__ import annotations
 
+import itertools
 import math
 from collections.abc import Iterator
 from itertools import combinations
@@ -324,14 +325,24 @@ def _list_links(listed: DataFrame, known: DataFrame, held: DataFrame, num: int,
     return links.union(_block_links(ready.join(counts, "cluster"), num, den))
 
 
+def _numbered(base: DataFrame) -> DataFrame:
+    """base (h1, h2, size, ...) with node, a number of each set: a hash of the three, by the
+    first seed for which no two sets have the same one. Rows without words have none."""
+    three = F.struct("h1", "h2", "size")
+    for seed in itertools.count():
+        rows = base.withColumn("node", F.when(F.col("size") > 0, F.xxhash64("h1", "h2", "size", F.lit(seed))))
+        shared = rows.filter("size > 0").groupBy("node").agg(F.min(three).alias("low"), F.max(three).alias("high")).filter("low <> high")
+        if shared.isEmpty():
+            return rows
+
+
 def linked(df: DataFrame, n: int = 5, num: int = 8, den: int = 10) -> DataFrame:
     """(id, key, size, node) of each row of df (doc_id, text): NULL_ID for a null id, a hash
     of the text, the size of its set, and a number that rows have in common when their sets
     link, over any others. Rows without words have none.
 
     Sets are told apart by their hashes, never by ids, which different texts may share."""
-    node = F.xxhash64("h1", "h2", "size")
-    base = cut(_sets(rereadable(df.select("doc_id", "text", F.xxhash64("text").alias("key"))), n, num, den)).withColumn("node", F.when(F.col("size") > 0, node))
+    base = _numbered(cut(_sets(rereadable(df.select("doc_id", "text", F.xxhash64("text").alias("key"))), n, num, den)))
     most = most_enumerated(num, den)
     sets = cut(base.filter("size > 0").groupBy("node", "size").agg(F.first("tokens").alias("tokens"), F.first("need").alias("need"), F.first(F.when(F.col("size") <= most, F.col("held"))).alias("held")))
     reps = sets.withColumnRenamed("node", "id")

@@ -43,6 +43,15 @@ def _cells(keys: np.ndarray) -> np.ndarray:
     return mix64(keys + _SALT).view(np.uint32).reshape(-1, ROWS).T
 
 
+def _bytes(counts: np.ndarray) -> bytes:
+    """Counts as four planes of bytes, of which the upper ones, nearly all 0, compress well."""
+    return np.ascontiguousarray(counts.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes()
+
+
+def _counts(planes: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(4, -1).T).view("<u4").ravel()
+
+
 def merged(parts: list[np.ndarray], hits: list[np.ndarray]) -> list[np.ndarray]:
     """Of each part's cells (a row for each row of the sketch) the estimated counts of its
     keys, by one sketch of all parts' hits."""
@@ -65,10 +74,10 @@ def estimates(df: DataFrame, keys_of: Callable[[Texts], np.ndarray], max_bytes:
         for name, _, texts in packs(batches, max_bytes):
             keys, n = np.unique(keys_of(texts), return_counts=True)
             of, order = _by_range(keys, ranges)
-            cells, n = _cells(keys[order]), np.minimum(n[order], 255).astype(np.uint8)
+            cells, n = _cells(keys[order]), n[order]
             edges = np.searchsorted(of[order], np.arange(ranges + 1))
             some = np.flatnonzero(np.diff(edges)) if len(keys) else np.array([struct.unpack_from(">q", name, 8)[0] % ranges])
-            rows = [(int(r), name, np.ascontiguousarray(cells[:, edges[r] : edges[r + 1]]).tobytes(), n[edges[r] : edges[r + 1]].tobytes()) for r in some]
+            rows = [(int(r), name, np.ascontiguousarray(cells[:, edges[r] : edges[r + 1]]).tobytes(), _bytes(n[edges[r] : edges[r + 1]])) for r in some]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int32(), pa.binary(), pa.binary(), pa.binary()), strict=True)], ["range", "pack", "cells", "hits"])
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -78,7 +87,7 @@ def estimates(df: DataFrame, keys_of: Callable[[Texts], np.ndarray], max_bytes:
                 names.append(name)
                 of.append(r)
                 parts.append(np.frombuffer(cells, np.uint32).reshape(ROWS, -1))
-                hits.append(np.frombuffer(n, np.uint8))
+                hits.append(_counts(n))
         if not names:
             return
         found = merged(parts, hits)
