@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import band, day_type, local, local_date, seconds_between
@@ -10,6 +10,8 @@ from ..functions.columns import band, day_type, local, local_date, seconds_betwe
 MIN_N = 30
 RELIABLE_N = 100
 Z90 = 1.28
+#: Up to this many pairs of stations a ladder is broadcast, some 1 kB each.
+BROADCAST_PAIRS = 50_000
 CELL = ("city", "from_station_id", "to_station_id", "day_type", "band")
 STATS = ("n", "n_route", "p25_sec", "p50_sec", "p75_sec", "p90_sec", "mean_sec", "sd_sec", "date_from", "date_to", "n_days")
 
@@ -76,6 +78,38 @@ def baseline_segment(rolled: DataFrame, min_n: int = MIN_N) -> DataFrame:
     return cells.withColumns({"unreliability": F.round(F.try_divide(F.col("p90_sec"), F.col("p50_sec")), 2), "p90_reliable": F.col("n") >= RELIABLE_N, "mean_sec": F.round("mean_sec", 2), "sd_sec": F.round(F.coalesce("sd_sec", F.lit(0.0)), 2), "rule_version": F.lit("v2"), "baseline_version": F.lit("b1")})
 
 
+#: What a rung of the ladder knows.
+RUNG = ("level", "n", "p50_sec", "p90_sec")
+
+
+def _rung(level: str, *keys: str) -> Column:
+    """The name of a level's rung for a day type and band."""
+    return F.concat_ws("/", F.lit(level), *[F.coalesce(F.col(k), F.lit("")) for k in keys])
+
+
+def ladder(rolled: DataFrame) -> DataFrame:
+    """(city, from_station_id, to_station_id, rungs) of a roll-up: a row for each pair, rungs a
+    map from the name of a level, day type and band to its statistics. A pair has a rung for
+    each of its day types and bands, each day type and itself, so that one join by the pair
+    finds the level that holds for any step."""
+    name = F.when(F.col("level") == "band", _rung("band", "day_type", "band")).when(F.col("level") == "daytype", _rung("daytype", "day_type")).otherwise("pair")
+    return rolled.groupBy(*CELL[:3]).agg(F.map_from_entries(F.collect_list(F.struct(name, F.struct(*RUNG)))).alias("rungs"))
+
+
+def expected(steps: DataFrame, rungs: DataFrame, min_n: int = MIN_N) -> DataFrame:
+    """steps (city, from_station_id, to_station_id, day_type, band, sec, other columns) with
+    RUNG of the finest level that has min_n steps, at last the pair's, and slow: whether sec is
+    above its 90 % quantile. Steps that the ladder doesn't know have nulls and aren't slow.
+
+    Up to BROADCAST_PAIRS pairs are broadcast; more are joined by shuffle."""
+    few = rungs.limit(BROADCAST_PAIRS + 1).count() <= BROADCAST_PAIRS
+    known = steps.join(F.broadcast(rungs) if few else rungs, list(CELL[:3]), "left")
+    by_band, by_day, by_pair = (F.try_element_at("rungs", name) for name in (_rung("band", "day_type", "band"), _rung("daytype", "day_type"), F.lit("pair")))
+    known = known.withColumn("_rung", F.when(by_band["n"] >= min_n, by_band).when(by_day["n"] >= min_n, by_day).otherwise(by_pair))
+    out = known.withColumns({c: F.col(f"_rung.{c}") for c in RUNG}).drop("rungs", "_rung")
+    return out.withColumn("slow", F.coalesce(F.col("sec") > F.col("p90_sec"), F.lit(False)))
+
+
 def route_segments(stops: DataFrame, by_lead: bool = True) -> DataFrame:
     """Each stop of a route (sub_route_uid, direction, seq, station_id, stop_name, city) with
     the next one. By lead the next is the one that follows, whatever its number; else the

@@ -103,7 +103,8 @@ def late_records(spark: SparkSession, staging: str, silver: str, city: str, date
     return spark.read.parquet(*late) if late else None
 
 
-def _pointer(spark: SparkSession, path: str) -> str | None:
+def current_version(spark: SparkSession, path: str) -> str | None:
+    """The version that a published table's pointer names; None before the first."""
     fs, p = _files(spark, f"{path}/_current")
     if not fs.exists(p):
         return None
@@ -131,7 +132,7 @@ def _point(spark: SparkSession, path: str, version: str) -> None:
 
 def read_published(spark: SparkSession, path: str) -> DataFrame:
     """The version of a published table that its pointer names."""
-    version = _pointer(spark, path)
+    version = current_version(spark, path)
     if version is None:
         raise PublishError(f"nothing is published at {path}")
     return spark.read.parquet(f"{path}/{version}")
@@ -160,7 +161,7 @@ def swap(spark: SparkSession, df: DataFrame, path: str, keys: Sequence[str] = ()
     the pointer in one step, so that readers (read_published) see the old table or the new
     one. An empty df or a failed check leaves the old one. keep old versions stay for those
     who still read them."""
-    before, version = _pointer(spark, path), f"v-{dt.datetime.now(dt.UTC):%Y%m%dT%H%M%S%f}"
+    before, version = current_version(spark, path), f"v-{dt.datetime.now(dt.UTC):%Y%m%dT%H%M%S%f}"
     df.write.parquet(f"{path}/{version}")
     rows = spark.read.parquet(f"{path}/{version}")
     n = rows.count()

@@ -10,9 +10,11 @@ from ..operators import observations as O
 from .fixtures import POSITIONS, STOPS, positions, stop_lists
 from .registry import query
 
-#: The matcher's state machine as a recursion over the observations of all vehicles at once.
-_MATCH = f"""{POSITIONS}, {STOPS},
-  usable AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY plate_numb, sub_route_uid, direction, us ORDER BY kafka_partition, kafka_offset) AS k FROM positions WHERE duty_status = 1 AND lat IS NOT NULL) WHERE k = 1),
+
+def _matching(usable: str) -> str:
+    """The matcher's state machine as a recursion over the observations of all vehicles at once;
+    usable selects these."""
+    return f"""usable AS ({usable}),
   obs AS MATERIALIZED (SELECT o.obs_id, o.sub_route_uid, o.direction, o.plate_numb, o.us, o.speed, row_number() OVER v AS rn, (o.us - min(o.us) OVER (PARTITION BY o.sub_route_uid, o.direction, o.plate_numb)) / 1000000.0::DOUBLE AS el, d.ds
     FROM usable o JOIN (SELECT u.obs_id, list(2 * 6371000.0 * asin(sqrt(pow(sin(radians(s.lat - u.lat) / 2), 2) + cos(radians(u.lat)) * cos(radians(s.lat)) * pow(sin(radians(s.lon - u.lon) / 2), 2))) ORDER BY s.idx) AS ds FROM usable u JOIN stops s ON u.sub_route_uid = s.sub_route_uid AND u.direction = s.direction GROUP BY 1) d ON o.obs_id = d.obs_id
     WINDOW v AS (PARTITION BY o.sub_route_uid, o.direction, o.plate_numb ORDER BY o.us)),
@@ -29,6 +31,10 @@ _MATCH = f"""{POSITIONS}, {STOPS},
   matched AS (SELECT st.*, o.us, o.speed, CASE WHEN st.matched >= 0 THEN o.ds[st.matched + 1] END AS near_dist FROM st JOIN obs o ON st.obs_id = o.obs_id WHERE st.rn > 0)"""
 
 
+_USABLE = "SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY plate_numb, sub_route_uid, direction, us ORDER BY kafka_partition, kafka_offset) AS k FROM positions WHERE duty_status = 1 AND lat IS NOT NULL) WHERE k = 1"
+_MATCH = f"{POSITIONS}, {STOPS}, {_matching(_USABLE)}"
+
+
 #: Its matched observations collapsed to visits.
 _VISITS = f"""{_MATCH},
     f AS (SELECT *, CASE WHEN lag(us) OVER w IS NULL OR matched <> lag(matched) OVER w OR trip <> lag(trip) OVER w OR us - lag(us) OVER w > 120000000 THEN 1 ELSE 0 END AS new FROM matched WHERE matched >= 0 WINDOW w AS (PARTITION BY sub_route_uid, direction, plate_numb ORDER BY us)),

@@ -6,15 +6,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import arrivals as A
+from ..operators import baseline as B
 from ..operators import dimensions as D
 from ..operators import observations as O
 from ..operators.publish import read_published, swap
-from ..sources.lake import scratch
+from ..sources.lake import scratch, written
 from ..streaming.archive import archive, dedup_stream, to_messages
+from ..streaming.delays import read_judged, watch
 from ..streaming.matcher import arrivals_stream, match_stream
+from ..streaming.ordering import late_counts, match_in_order, write_matched
 from .fixtures import POSITIONS, STOPS, positions, stop_lists, stops, table
 from .registry import query
-from .stateful_queries import _MATCH, _VISITS
+from .stateful_queries import _MATCH, _VISITS, _matching
 
 
 @query("""WITH c AS (SELECT n_nationkey AS k, n_nationkey || '_1' AS _id FROM nation WHERE n_nationkey < 20), i AS (SELECT n_nationkey AS k, n_nationkey || CASE WHEN n_nationkey % 3 = 0 THEN '_2' ELSE '_1' END AS _id FROM nation),
@@ -84,6 +87,90 @@ def stream_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{base}/out").select("sub_route_uid", "plate_numb", "us", "near_idx", "trip", F.col("cause").cast("int").alias("cause"))
 
 
+def _usable(spark: SparkSession, sf_dir: str) -> DataFrame:
+    usable = O.with_coordinates(O.in_service(positions(spark, sf_dir)))
+    return O.keep_first(usable, ["plate_numb", "sub_route_uid", "direction", "us"], ["kafka_partition", "kafka_offset"])
+
+
+#: Arrivals with the step that led to each, the steps' roll-up with its levels, and for each
+#: arrival the finest level of its step that has three.
+_DELAYS = f"""{_VISITS}, a AS (SELECT sub_route_uid, direction, plate_numb, arrival_us, trip, idx, lag(idx) OVER w AS from_idx, lag(arrival_us) OVER w AS before FROM e WINDOW w AS (PARTITION BY sub_route_uid, direction, plate_numb, trip ORDER BY arrival_us)),
+    t AS (SELECT a.*, (arrival_us - before) // 1000000 AS sec, make_timestamp(arrival_us - (arrival_us - before) // 1000000 * 1000000) + INTERVAL 8 HOUR AS lt, s.city, f.station_id AS from_station_id, s.station_id AS to_station_id
+      FROM a JOIN stops s ON a.sub_route_uid = s.sub_route_uid AND a.idx = s.idx LEFT JOIN stops f ON a.sub_route_uid = f.sub_route_uid AND a.from_idx = f.idx),
+    d AS (SELECT *, CASE WHEN isodow(lt) >= 6 THEN 'weekend' WHEN lt IS NOT NULL THEN 'weekday' END AS day_type,
+      CASE WHEN lt IS NULL THEN NULL WHEN hour(lt) BETWEEN 6 AND 9 THEN 'am_peak' WHEN hour(lt) BETWEEN 10 AND 15 THEN 'midday' WHEN hour(lt) BETWEEN 16 AND 19 THEN 'pm_peak' WHEN hour(lt) BETWEEN 20 AND 22 THEN 'evening' ELSE 'night' END AS band FROM t),
+    rolled AS (SELECT city, from_station_id, to_station_id, day_type, band, CASE grouping(city, from_station_id, to_station_id, day_type, band) WHEN 0 THEN 'band' WHEN 1 THEN 'daytype' WHEN 3 THEN 'pair' END AS level, count(*) AS n, quantile_disc(sec, 0.5) AS p50_sec, quantile_disc(sec, 0.9) AS p90_sec
+      FROM d WHERE sec IS NOT NULL GROUP BY ROLLUP (city, from_station_id, to_station_id, day_type, band) HAVING grouping(city, from_station_id, to_station_id, day_type, band) IN (0, 1, 3)),
+    found AS (SELECT d.*, CASE WHEN l1.n >= 3 THEN l1 WHEN l2.n >= 3 THEN l2 ELSE l3 END AS l FROM d
+      LEFT JOIN rolled l1 ON l1.level = 'band' AND d.city = l1.city AND d.from_station_id = l1.from_station_id AND d.to_station_id = l1.to_station_id AND d.day_type = l1.day_type AND d.band = l1.band
+      LEFT JOIN rolled l2 ON l2.level = 'daytype' AND d.city = l2.city AND d.from_station_id = l2.from_station_id AND d.to_station_id = l2.to_station_id AND d.day_type = l2.day_type
+      LEFT JOIN rolled l3 ON l3.level = 'pair' AND d.city = l3.city AND d.from_station_id = l3.from_station_id AND d.to_station_id = l3.to_station_id)"""
+
+
+@query(f"""WITH RECURSIVE {_DELAYS} SELECT sub_route_uid, plate_numb, arrival_us, CAST(trip AS INT) AS trip, CAST(idx AS INT) AS near_idx, CAST(from_idx AS INT) AS from_idx, CAST(sec AS BIGINT) AS sec, l.level AS level, l.n AS n, CAST(l.p50_sec AS BIGINT) AS p50_sec, CAST(l.p90_sec AS BIGINT) AS p90_sec, coalesce(sec > l.p90_sec, false) AS slow FROM found""")
+def stream_delays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Arrivals as they happen, judged by the baseline of the same steps, which is published as
+    a ladder of levels: slow where a step is above the 90 % quantile of the finest level that
+    holds."""
+    base = scratch(spark, "delays")
+    usable, lists = _usable(spark, sf_dir), stop_lists(spark, sf_dir)
+    past = A.trip_steps(A.visit_steps(A.visits(A.match_positions(usable.select(*A.VEHICLE, "us", "lat", "lon", "speed"), lists))), lists).where("sec is not null")
+    swap(spark, B.ladder(B.rollup(past)), f"{base}/ladder", B.CELL[:3])
+    rows = usable.select(*A.VEHICLE, "us", "lat", "lon")
+    rows.write.parquet(f"{base}/in")
+    arrivals = arrivals_stream(spark.readStream.schema(rows.schema).parquet(f"{base}/in"), lists)
+    watch(arrivals, lists, f"{base}/ladder", f"{base}/out", f"{base}/checkpoint", 3).trigger(availableNow=True).start().awaitTermination()
+    return read_judged(spark, f"{base}/out").select("sub_route_uid", "plate_numb", "arrival_us", "trip", "near_idx", "from_idx", "sec", *B.RUNG, "slow")
+
+
+def _shuffled(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Observations with the batch they come in, and (span_s, first_us), a row. Time is cut into
+    four spans; two thirds of the rows come one or two spans late, and every 17th in a last
+    batch, in which each vehicle also sends a time far ahead without a place."""
+    rows = _usable(spark, sf_dir).select("obs_id", *A.VEHICLE, "us", "lat", "lon")
+    spans = rows.agg((F.floor((F.max("us") - F.min("us")) / 4_000_000) + 1).cast("long").alias("span_s"), F.min("us").alias("first_us"))
+    held = rows.crossJoin(F.broadcast(spans))  # one row
+    batch = F.when(F.col("obs_id") % 17 == 0, 6).otherwise(F.floor((F.col("us") - F.col("first_us")) / (F.col("span_s") * 1_000_000)) + F.col("obs_id") % 3)
+    clocks = held.groupBy(*A.VEHICLE).agg((F.max("us") + 9 * F.first("span_s") * 1_000_000).alias("us")).withColumns({"lat": F.lit(None).cast("double"), "lon": F.lit(None).cast("double"), "batch": F.lit(6)})
+    sent = held.withColumn("batch", batch.cast("int")).select(*A.VEHICLE, "us", "lat", "lon", "batch").unionByName(clocks.select(*A.VEHICLE, "us", "lat", "lon", "batch"))
+    return sent, spans
+
+
+def _in_order(spark: SparkSession, sf_dir: str) -> str:
+    """The folder of what the stream makes of _shuffled, a file a batch."""
+    base = scratch(spark, "order")
+    sent, spans = _shuffled(spark, sf_dir)
+    sent = written(sent, "sent")
+    span_s = spans.first()["span_s"]
+    for batch in range(7):
+        sent.where(F.col("batch") == batch).drop("batch").coalesce(1).write.mode("append").parquet(f"{base}/in")
+    source = spark.readStream.schema(sent.drop("batch").schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/in")
+    found = match_in_order(source, stop_lists(spark, sf_dir), 3 * span_s)
+    write_matched(found, f"{base}/matched", f"{base}/late", f"{base}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    return base
+
+
+#: Which observations come too late: those of the last batch not after what their vehicle's clock
+#: was before it, less three spans.
+_LATE = f"""{POSITIONS}, {STOPS},
+  once AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY plate_numb, sub_route_uid, direction, us ORDER BY kafka_partition, kafka_offset) AS k FROM positions WHERE duty_status = 1 AND lat IS NOT NULL) WHERE k = 1),
+  span AS (SELECT (max(us) - min(us)) // 4000000 + 1 AS span_s FROM once),
+  clocks AS (SELECT sub_route_uid, direction, plate_numb, max(us) FILTER (obs_id % 17 <> 0) AS clock FROM once GROUP BY 1, 2, 3),
+  marked AS (SELECT o.*, coalesce(o.obs_id % 17 = 0 AND o.us <= c.clock - 3 * span_s * 1000000, false) AS late FROM once o JOIN clocks c ON o.sub_route_uid = c.sub_route_uid AND o.direction = c.direction AND o.plate_numb = c.plate_numb, span)"""
+
+
+@query(f"WITH RECURSIVE {_LATE}, {_matching('SELECT * FROM marked WHERE NOT late')} SELECT sub_route_uid, plate_numb, us, CAST(matched AS INT) AS near_idx, CAST(trip AS INT) AS trip, CAST(cause AS INT) AS cause FROM matched")
+def stream_in_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Observations in shuffled batches, matched in the order of time."""
+    return spark.read.parquet(f"{_in_order(spark, sf_dir)}/matched").select("sub_route_uid", "plate_numb", "us", "near_idx", "trip", F.col("cause").cast("int").alias("cause"))
+
+
+@query(f"WITH {_LATE} SELECT strftime(make_timestamp(us) + INTERVAL 8 HOUR, '%Y-%m-%d') AS dt, count(*) AS n_late, count(DISTINCT (sub_route_uid, direction, plate_numb)) AS n_vehicles FROM marked WHERE late GROUP BY 1")
+def stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Those that came too late, counted by day."""
+    return late_counts(spark, f"{_in_order(spark, sf_dir)}/late").select("dt", "n_late", "n_vehicles")
+
+
 @query(f"""WITH RECURSIVE {_VISITS}, a AS (SELECT sub_route_uid, plate_numb, arrival_us, CAST(trip AS INT) AS trip, CAST(idx AS INT) AS near_idx, lag(idx) OVER w AS from_idx, lag(arrival_us) OVER w AS before FROM e WINDOW w AS (PARTITION BY sub_route_uid, direction, plate_numb, trip ORDER BY arrival_us))
     SELECT sub_route_uid, plate_numb, arrival_us, trip, near_idx, CAST(from_idx AS INT) AS from_idx, CAST((arrival_us - before) // 1000000 AS BIGINT) AS sec, coalesce((arrival_us - before) // 1000000 > 1200, false) AS slow FROM a""")
 def stream_arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
