@@ -19,7 +19,7 @@ from wayfare.operators import observations as O
 from wayfare.operators import transfers as T
 from wayfare import cli
 from wayfare.streaming.archive import ProgressLog
-from wayfare.operators.publish import PublishError, backfill_allowed, backfill_positions, compact_day, dates_between, late_records, read_published, swap, violations, write_jdbc
+from wayfare.operators.publish import PublishError, backfill_positions, compact_day, dates_between, files_for, is_protected, late_records, packed, read_published, recompact, swap, violations, write_jdbc
 from wayfare.schemas import POSITIONS, RAW_POSITION, SchemaDriftError, conform, drift
 from wayfare.sources.lake import read_snapshots, write_raw
 from wayfare.sources.paged import RunawaySource, paged_documents
@@ -211,8 +211,6 @@ def test_compaction(spark, tmp_path):
         compact_day(spark, staging, silver, "A", "2024-01-01", "2024-01-02")
     assert late_records(spark, staging, silver, "A", "2024-01-01").count() == 3
     assert late_records(spark, staging, silver, "B", "2024-01-01") is None
-    with pytest.raises(PublishError):
-        backfill_allowed("2026-08-21")
     assert dates_between("2024-02-28", "2024-03-01") == ["2024-02-28", "2024-02-29", "2024-03-01"]
 
 
@@ -286,6 +284,73 @@ def test_daily_chain(spark, tmp_path, monkeypatch):
     assert spark.read.json(f"{lake}/metrics").first().raw_records == 180
     assert cli.main(["backfill", "--lake", lake, "--city", "Taipei", "--first", "2024-01-08", "--last", "2024-01-08"]) == 0
     assert spark.read.parquet(f"{lake}/events").count() == 180
+    exact = sorted(map(tuple, read_published(spark, f"{lake}/baseline").collect()))
+    assert cli.main(["daily", "--lake", lake, "--city", "Taipei", "--date", "2024-01-08", "--sketches"]) == 0
+    assert sorted(map(tuple, read_published(spark, f"{lake}/baseline").collect())) == exact
+    assert read_published(spark, f"{lake}/ladder").count() == 2
+
+
+def test_backfill_of_a_history(spark, tmp_path, monkeypatch, capsys):
+    """Raw snapshots of days become positions; a protected day in between is left alone and
+    doesn't keep the days after it from being done."""
+    lake, history = str(tmp_path / "lake"), str(tmp_path / "history")
+    write_json = lambda path, rows: (os.makedirs(os.path.dirname(path), exist_ok=True), open(path, "w").write(json.dumps(rows)))
+    doc = {"SubRouteUID": "TPE1", "RouteUID": "R1", "VersionID": "1", "UpdateTime": "t", "Direction": 0, "RouteName": {"Zh_tw": "1", "En": None}, "SubRouteName": {"Zh_tw": "1", "En": None}, "Operators": [], "Stops": [{"StopSequence": k, "StopUID": f"u{k}", "StopID": f"s{k}", "StationID": f"S{k}", "LocationCityCode": None, "StopName": {"Zh_tw": f"n{k}", "En": None}, "StopBoarding": 0, "StopPosition": {"PositionLat": 25 + k * 0.01, "PositionLon": 121.5, "GeoHash": None}} for k in (1, 2, 3)]}
+    write_json(f"{lake}/raw_routes/Taipei/1.json", [doc])
+    for day in ("2026-08-19", "2026-08-21", "2026-08-26"):
+        for k in (1, 2, 3):
+            at = f"{day}T09:0{k}:00+08:00"
+            write_json(f"{history}/Taipei/{day}/090{k}00.json", [{"PlateNumb": f"P{v}", "SubRouteUID": "TPE1", "Direction": 0, "DutyStatus": 1, "BusStatus": 0, "BusPosition": {"PositionLat": 25 + k * 0.01, "PositionLon": 121.5}, "GPSTime": at, "UpdateTime": at} for v in range(4)])
+    monkeypatch.setattr(cli, "get_session", lambda: spark)
+    assert cli.main(["backfill", "--lake", lake, "--city", "Taipei", "--first", "2026-08-19", "--last", "2026-08-19", "--history", history]) == 1  # no transfers of one route: no marts
+    failed = cli.backfill(spark, lake, ["Taipei"], ["2026-08-21", "2026-08-26"], history, False)
+    said = capsys.readouterr().out
+    assert "2026-08-21: protected" in said and "2026-08-26 Taipei: 12 rows" in said and failed == 1
+    assert {str(r.dt) for r in spark.read.parquet(f"{lake}/silver").select("dt").distinct().collect()} == {"2026-08-19", "2026-08-26"}
+    assert spark.read.parquet(f"{lake}/events").groupBy("dt").count().orderBy("dt").select("count").collect() == [(12,), (12,)]
+    assert cli.backfill_history(spark, lake, history, "Taipei", "2026-08-26") == "left alone"
+    assert cli.backfill_history(spark, lake, history, "Taipei", "2026-08-27") == "no snapshots"
+
+
+def test_routes_of_other_cities_only(spark, tmp_path):
+    os.makedirs(tmp_path / "raw_routes" / "Elsewhere")
+    cli.refresh_stops(spark, str(tmp_path))
+    assert not (tmp_path / "route_stops").exists()
+
+
+def test_files_follow_the_bytes():
+    assert [files_for(n, 100) for n in (0, 1, 149, 151, 1000)] == [1, 1, 1, 2, 10]
+    assert packed({"a": 90, "b": 10, "c": 60, "d": 40, "e": 500}, 100) == [["e"], ["a", "b"], ["c", "d"]]
+    bins = packed({f"f{k}": 1 for k in range(1000)}, 64)
+    assert len(bins) == 16 and sorted(f for b in bins for f in b) == sorted(f"f{k}" for k in range(1000))
+
+
+@pytest.mark.parametrize("files", [1, 40])
+def test_compaction_by_size(spark, tmp_path, files):
+    """One staged file or many: files near the target, rows unchanged."""
+    rows = spark.range(4000).select((F.col("id") % 3).cast("int").alias("kafka_partition"), F.col("id").alias("kafka_offset"), F.sha2(F.col("id").cast("string"), 256).alias("plate_numb"), F.lit("t").alias("consume_time"))
+    staging, silver = str(tmp_path / "staging"), str(tmp_path / "silver")
+    rows.repartition(files).write.parquet(f"{staging}/city=A/dt=2024-01-01")
+    staged = sum(os.path.getsize(f) for f in glob.glob(f"{staging}/city=A/dt=2024-01-01/*.parquet"))
+    assert compact_day(spark, staging, silver, "A", "2024-01-01", "2024-01-02", staged // 4).written == 4000
+    made = glob.glob(f"{silver}/city=A/dt=2024-01-01/*.parquet")
+    assert 3 <= len(made) <= 4 and spark.read.parquet(silver).select("kafka_offset").distinct().count() == 4000
+
+
+def test_recompaction(spark, tmp_path):
+    folder = str(tmp_path / "t" / "dt=1")
+    rows = spark.range(3000).select("id", F.sha2(F.col("id").cast("string"), 256).alias("x"))
+    rows.repartition(60).write.parquet(folder)
+    size = sum(os.path.getsize(f) for f in glob.glob(f"{folder}/*.parquet"))
+    assert recompact(spark, folder, ["id"], size // 3) in ((60, 3), (60, 4))
+    made = [os.path.getsize(f) for f in glob.glob(f"{folder}/*.parquet")]
+    assert max(made) <= size // 2 and sorted(map(tuple, spark.read.parquet(folder).collect())) == sorted(map(tuple, rows.collect()))
+    assert recompact(spark, folder, ["id"], min(made)) == (len(made), len(made))  # no two fit into one
+    assert sorted(os.listdir(tmp_path / "t")) == ["dt=1"]
+    os.rename(folder, str(tmp_path / "t" / "_building-dt=1"))  # as if it ended between its two renames
+    shutil.copytree(tmp_path / "t" / "_building-dt=1", tmp_path / "t" / "_old-dt=1")
+    recompact(spark, folder, ["id"], size // 3)
+    assert spark.read.parquet(folder).count() == 3000 and sorted(os.listdir(tmp_path / "t")) == ["dt=1"]
 
 
 def test_snapshots_keep_ids_and_report_broken_files(spark, tmp_path):

@@ -2,7 +2,10 @@
 the tables over all days: stops, marts, baseline, serving.
 
     python -m wayfare.cli daily --lake DIR --date 2026-08-21 [--city Taipei --city NewTaipei]
-    python -m wayfare.cli backfill --lake DIR --first 2026-08-01 --last 2026-08-20 [--force]
+    python -m wayfare.cli backfill --lake DIR --first 2026-08-01 --last 2026-08-20 [--history DIR] [--force]
+
+A backfill with a history reads each city's raw snapshots of a day (DIR/city/date) as positions
+first. Protected days are left alone and reported, and the others are done.
 """
 
 from __future__ import annotations
@@ -20,13 +23,15 @@ from .functions.columns import LOCAL_ZONE
 from .operators import arrivals as A
 from .operators import baseline as B
 from .operators import dimensions as D
+from .operators import mart_state as M
 from .operators import observations as O
 from .operators import quality as Q
+from .operators import sketches as K
 from .operators import transfers as T
-from .operators.publish import backfill_allowed, compact_day, dates_between, exists, read_published, swap
+from .operators.publish import backfill_positions, compact_day, current_version, dates_between, exists, is_protected, read_published, recompact, sized_files, swap
 from .schemas import RAW_ROUTE
 from .session import get_session
-from .sources.lake import append_metrics, read_documents, write_partitioned
+from .sources.lake import append_metrics, read_documents, read_snapshots, write_partitioned
 
 CITIES = ("Taipei", "NewTaipei")
 
@@ -61,6 +66,19 @@ def build_steps(spark: SparkSession, lake: str, city: str, date: str) -> None:
     write_partitioned(B.segment_steps(e).withColumn("dt", F.lit(date)), f"{lake}/steps", "city", "dt")
 
 
+def build_states(spark: SparkSession, lake: str, city: str, date: str) -> None:
+    """The day's steps as mergeable states, for a baseline that reads no steps."""
+    steps = spark.read.parquet(f"{lake}/steps").where((F.col("city") == city) & (F.col("dt") == date))
+    write_partitioned(K.day_states(steps).withColumn("dt", F.lit(date)), f"{lake}/step_states", "city", "dt")
+
+
+def tidy(spark: SparkSession, lake: str, city: str, date: str) -> None:
+    """Small files of the day put together, in the tables that hold what has been derived."""
+    for name in ("events", "transfers", "steps", "step_states"):
+        if exists(spark, folder := f"{lake}/{name}/city={city}/dt={date}") and len(sized_files(spark, folder)) > 1:
+            recompact(spark, folder)
+
+
 def compact(spark: SparkSession, lake: str, city: str, date: str) -> None:
     """Staged messages of the day as a silver partition, where any are staged."""
     if exists(spark, f"{lake}/staging/city={city}/dt={date}"):
@@ -82,17 +100,25 @@ def refresh_stops(spark: SparkSession, lake: str) -> None:
         if exists(spark, path := f"{lake}/raw_routes/{city}"):
             built = D.build_route_stops(read_documents(spark, path, RAW_ROUTE), now, city)
             found = built if found is None else found.unionByName(built)
+    if found is None:  # documents of other cities only
+        return
     there = exists(spark, f"{lake}/route_stops/_current")
     current = read_published(spark, f"{lake}/route_stops") if there else found.limit(0)
     swap(spark, D.upsert_versions(current, found, ["sub_route_uid", "direction"], now).drop("change"), f"{lake}/route_stops", ["_id"])
 
 
-def build_marts(spark: SparkSession, lake: str) -> None:
-    swap(spark, T.with_validity(T.transfer_marts(spark.read.parquet(f"{lake}/transfers"))), f"{lake}/marts")
+def build_marts(spark: SparkSession, lake: str, days: list[str]) -> None:
+    """The marts with these days as they are now. The first time, all days there are."""
+    if current_version(spark, f"{lake}/mart_state/state") is None:
+        days = [r["dt"] for r in spark.read.parquet(f"{lake}/transfers").select("dt").distinct().collect()]  # a row a day
+    M.publish_marts(spark, f"{lake}/transfers", f"{lake}/mart_state", f"{lake}/marts", days)
 
 
-def build_baseline(spark: SparkSession, lake: str) -> None:
-    swap(spark, B.baseline_segment(B.rollup(spark.read.parquet(f"{lake}/steps"))), f"{lake}/baseline", B.CELL)
+def build_baseline(spark: SparkSession, lake: str, sketches: bool = False) -> None:
+    """The baseline, and its ladder for streams, of the steps, or of their states."""
+    rolled = K.rollup_states(spark.read.parquet(f"{lake}/step_states").drop("dt")) if sketches else B.rollup(spark.read.parquet(f"{lake}/steps"))
+    swap(spark, B.baseline_segment(rolled), f"{lake}/baseline", B.CELL)
+    swap(spark, B.ladder(rolled), f"{lake}/ladder", B.CELL[:3])
 
 
 def build_serving(spark: SparkSession, lake: str) -> None:
@@ -100,11 +126,12 @@ def build_serving(spark: SparkSession, lake: str) -> None:
 
 
 def run_day(spark: SparkSession, lake: str, cities: list[str], date: str) -> int:
-    """All steps of each city; a failed one ends its city's chain, a failed health check none.
+    """All steps of each city; a failed one ends its city's chain, a failed health check or
+    tidying none.
     Returns the number of failures."""
     failed = 0
     for city in cities:
-        for step, must in ((compact, True), (health, False), (build_events, True), (build_transfers, True), (build_steps, True)):
+        for step, must in ((compact, True), (health, False), (build_events, True), (build_transfers, True), (build_steps, True), (build_states, True), (tidy, False)):
             try:
                 step(spark, lake, city, date)
             except Exception:
@@ -115,18 +142,47 @@ def run_day(spark: SparkSession, lake: str, cities: list[str], date: str) -> int
     return failed
 
 
-def run_tables(spark: SparkSession, lake: str) -> int:
+def run_tables(spark: SparkSession, lake: str, days: list[str], sketches: bool = False) -> int:
     """The tables over all days, each whether or not the others succeed."""
     failed = 0
-    for step in (build_marts, build_baseline, build_serving):
+    for step in (lambda: build_marts(spark, lake, days), lambda: build_baseline(spark, lake, sketches), lambda: build_serving(spark, lake)):
         try:
-            step(spark, lake)
+            step()
         except Exception:
             traceback.print_exc()
             failed += 1
     return failed
 
 
+def backfill_history(spark: SparkSession, lake: str, history: str, city: str, date: str, force: bool = False) -> str:
+    """A day's raw snapshots as a silver partition; what became of it."""
+    path = f"{history}/{city}/{date}"
+    if not exists(spark, path):
+        return "no snapshots"
+    rows = O.normalize(read_snapshots(spark, path, date).drop("_corrupt_record"))
+    done = backfill_positions(spark, rows, f"{lake}/silver", city, date, force)
+    return "left alone" if done is None else f"{done.rows} rows" + (", known to be incomplete" if done.incomplete else "")
+
+
+def backfill(spark: SparkSession, lake: str, cities: list[str], days: list[str], history: str | None, force: bool, sketches: bool = False) -> int:
+    """The history and the chain of each day that isn't protected, then the tables. Returns the
+    number of failures; a day that is left alone is none."""
+    failed, done = 0, []
+    for date in days:
+        if is_protected(date, force):
+            print(f"{date}: protected, left alone")
+            continue
+        for city in cities if history else []:
+            try:
+                print(f"{date} {city}: {backfill_history(spark, lake, history, city, date, force)}")
+            except Exception:
+                traceback.print_exc()
+                failed += 1
+        done.append(date)
+        failed += run_day(spark, lake, cities, date)
+    return failed + (run_tables(spark, lake, done, sketches) if done else 0)
+
+
 def main(argv: list[str] | None = None) -> int:
     parser = argparse.ArgumentParser(prog="wayfare")
     commands = parser.add_subparsers(dest="command", required=True)
@@ -134,20 +190,20 @@ def main(argv: list[str] | None = None) -> int:
         c = commands.add_parser(name)
         c.add_argument("--lake", required=True)
         c.add_argument("--city", action="append")
+        c.add_argument("--sketches", action="store_true", help="baseline of day states instead of all steps")
     commands.choices["daily"].add_argument("--date", required=True)
     for option in ("--first", "--last"):
         commands.choices["backfill"].add_argument(option, required=True)
+    commands.choices["backfill"].add_argument("--history")
     commands.choices["backfill"].add_argument("--force", action="store_true")
     args = parser.parse_args(argv)
     spark, cities = get_session(), args.city or list(CITIES)
-    days = [args.date] if args.command == "daily" else dates_between(args.first, args.last)
     refresh_stops(spark, args.lake)
-    failed = 0
-    for date in days:
-        if args.command == "backfill":
-            backfill_allowed(date, args.force)
-        failed += run_day(spark, args.lake, cities, date)
-    failed += run_tables(spark, args.lake)
+    if args.command == "daily":
+        failed = run_day(spark, args.lake, cities, args.date)
+        failed += run_tables(spark, args.lake, [args.date], args.sketches)
+    else:
+        failed = backfill(spark, args.lake, cities, dates_between(args.first, args.last), args.history, args.force, args.sketches)
     return min(failed, 1)
 
 

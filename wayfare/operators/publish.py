@@ -17,6 +17,10 @@ CUTOVER_DAY = "2026-08-20"
 KNOWN_INCOMPLETE = frozenset({"2026-08-16"})
 
 
+#: Bytes of a file that compaction aims at.
+TARGET_BYTES = 128 << 20
+
+
 class PublishError(RuntimeError):
     """A step refused to write, or what it wrote does not hold."""
 
@@ -42,20 +46,36 @@ def rename(spark: SparkSession, source: str, target: str) -> None:
         raise PublishError(f"{source} can't be renamed to {target}")
 
 
+def found_folders(spark: SparkSession, *patterns: str) -> list[str]:
+    """What there is of some paths with wild cards."""
+    out = []
+    for pattern in patterns:
+        fs, p = _files(spark, pattern)
+        out += [s.getPath().toString() for s in fs.globStatus(p) or []]
+    return out
+
+
 @dataclass
 class Compacted:
     read: int
     written: int
 
 
-def _staged(spark: SparkSession, path: str) -> list[str]:
+def sized_files(spark: SparkSession, path: str) -> dict[str, int]:
+    """The parquet files in a folder and their bytes."""
     fs, p = _files(spark, path)
-    found = [s.getPath().toString() for s in fs.listStatus(p)] if fs.exists(p) else []
-    return [f for f in found if f.endswith(".parquet") and f.rsplit("/", 1)[1][0] not in "._"]
+    found = [(s.getPath().toString(), s.getLen()) for s in fs.listStatus(p)] if fs.exists(p) else []
+    return {f: n for f, n in found if f.endswith(".parquet") and f.rsplit("/", 1)[1][0] not in "._"}
+
 
+def files_for(total_bytes: int, target_bytes: int = TARGET_BYTES) -> int:
+    """How many files of about target_bytes that many bytes make."""
+    return max(1, round(total_bytes / target_bytes))
 
-def compact_day(spark: SparkSession, staging: str, silver: str, city: str, date: str, today: str, files: int = 8) -> Compacted:
-    """Staged messages of a city and day as one silver partition, copies removed.
+
+def compact_day(spark: SparkSession, staging: str, silver: str, city: str, date: str, today: str, target_bytes: int = TARGET_BYTES) -> Compacted:
+    """Staged messages of a city and day as one silver partition, copies removed, in as many files
+    as the staged bytes ask for.
 
     Refuses a day that is not over. The list of staged files is taken first and written beside
     the day; only these are read and, after the result was read back and verified, deleted, so
@@ -65,7 +85,8 @@ def compact_day(spark: SparkSession, staging: str, silver: str, city: str, date:
         raise PublishError(f"{date} is not over")
     part = f"city={city}/dt={date}"
     target, taken = f"{silver}/{part}", f"{silver}/_taken/{part}"
-    staged = _staged(spark, f"{staging}/{part}")
+    sizes = sized_files(spark, f"{staging}/{part}")
+    staged = list(sizes)
     if exists(spark, target):
         known = {r["file"] for r in spark.read.parquet(taken).collect()} if exists(spark, taken) else set()  # one day's files
         if late := [f for f in staged if f not in known]:
@@ -79,7 +100,7 @@ def compact_day(spark: SparkSession, staging: str, silver: str, city: str, date:
     once = dedup_messages(spark.read.parquet(*staged).observe(seen, F.count(F.lit(1)).alias("read")))
     building = f"{silver}/_building/{part}"
     key = ["kafka_partition", "kafka_offset"]
-    once.repartitionByRange(files, *key).sortWithinPartitions(*key).write.mode("overwrite").option("compression", "zstd").parquet(building)
+    once.repartitionByRange(files_for(sum(sizes.values()), target_bytes), *key).sortWithinPartitions(*key).write.mode("overwrite").option("compression", "zstd").parquet(building)
     n = spark.read.parquet(building).groupBy(*key).agg(F.count("*").alias("n")).agg(F.sum("n").alias("n"), F.count("*").alias("keys")).first()
     if not n["n"] or n["n"] != n["keys"]:
         raise PublishError(f"{building}: {n['n']} rows, {n['keys']} keys")
@@ -92,6 +113,64 @@ def compact_day(spark: SparkSession, staging: str, silver: str, city: str, date:
     return Compacted(seen.get["read"], n["n"])
 
 
+def packed(sizes: dict[str, int], capacity: int) -> list[list[str]]:
+    """Files dealt to bins of about capacity bytes: the largest first, each to the first bin that
+    has room for it. A file above the capacity has a bin of its own."""
+    bins: list[tuple[int, list[str]]] = []
+    for name, size in sorted(sizes.items(), key=lambda f: (-f[1], f[0])):
+        at = next((k for k, (held, _) in enumerate(bins) if held + size <= capacity), None)
+        if at is None:
+            bins.append((size, [name]))
+        else:
+            bins[at] = (bins[at][0] + size, [*bins[at][1], name])
+    return [names for _, names in bins]
+
+
+def _whole(df: DataFrame) -> tuple:
+    """Count and a sum of hashes of all rows, in whatever order."""
+    row = F.xxhash64(*[F.col(f"`{c}`") for c in sorted(df.columns)]).cast("decimal(38,0)")
+    return tuple(df.agg(F.count("*"), F.sum(row)).first())
+
+
+def recompact(spark: SparkSession, folder: str, order: Sequence[str] = (), target_bytes: int = TARGET_BYTES) -> tuple[int, int]:
+    """Rewrite the files of a folder (a partition) so that they have about target_bytes: small ones
+    are put together, bin by bin, rows ordered within each. Nothing is done where no two files
+    fit into one. The new folder is written beside the old, compared with it row for row by
+    hashes, and takes its place by renaming; a run that broke off in between is finished by the
+    next. Returns the numbers of files before and after."""
+    parent, name = folder.rstrip("/").rsplit("/", 1)
+    building, bins_at, old = (f"{parent}/_{kind}-{name}" for kind in ("building", "bins", "old"))  # names that scans pass over
+    if exists(spark, old):  # a run ended between the two renames, or before it cleared up
+        if not exists(spark, folder):
+            rename(spark, building, folder)
+        delete(spark, old)
+    sizes = sized_files(spark, folder)
+    bins = packed(sizes, target_bytes)
+    if len(bins) >= len(sizes):
+        return len(sizes), len(sizes)
+    # One day's files: a row each.
+    number = spark.createDataFrame([(f.rsplit("/", 1)[1], k) for k, names in enumerate(bins) for f in names], "_file string, _bin int")
+    rows = spark.read.parquet(*sizes)
+    columns = rows.columns
+    dealt = rows.withColumn("_file", F.col("_metadata.file_name")).join(F.broadcast(number), "_file").drop("_file")
+    for left in (building, bins_at):
+        delete(spark, left)
+    dealt.repartition(len(bins), "_bin").sortWithinPartitions("_bin", *order).write.option("compression", "zstd").partitionBy("_bin").parquet(bins_at)
+    fs, p = _files(spark, building)
+    fs.mkdirs(p)
+    for k in range(len(bins)):
+        for f in sized_files(spark, f"{bins_at}/_bin={k}"):
+            rename(spark, f, f"{building}/bin-{k:05d}-{f.rsplit('/', 1)[1]}")
+    delete(spark, bins_at)
+    back = spark.read.parquet(building)
+    if back.columns != columns or _whole(back) != _whole(rows):
+        raise PublishError(f"{building}: what was written differs from what was read")
+    rename(spark, folder, old)
+    rename(spark, building, folder)
+    delete(spark, old)
+    return len(sizes), len(sized_files(spark, folder))
+
+
 def late_records(spark: SparkSession, staging: str, silver: str, city: str, date: str) -> DataFrame | None:
     """What is staged for a day that is published already and was not part of it; None if
     there is nothing."""
@@ -99,7 +178,7 @@ def late_records(spark: SparkSession, staging: str, silver: str, city: str, date
     if not exists(spark, f"{silver}/_taken/{part}"):
         return None
     known = {r["file"] for r in spark.read.parquet(f"{silver}/_taken/{part}").collect()}  # one day's files
-    late = [f for f in _staged(spark, f"{staging}/{part}") if f not in known]
+    late = [f for f in sized_files(spark, f"{staging}/{part}") if f not in known]
     return spark.read.parquet(*late) if late else None
 
 
@@ -177,10 +256,9 @@ def swap(spark: SparkSession, df: DataFrame, path: str, keys: Sequence[str] = ()
     return n
 
 
-def backfill_allowed(date: str, force: bool = False) -> None:
-    """Raise for a protected day unless forced."""
-    if date in PROTECTED_DAYS and not force:
-        raise PublishError(f"{date} is protected")
+def is_protected(date: str, force: bool = False) -> bool:
+    """Whether a backfill must leave a day alone."""
+    return date in PROTECTED_DAYS and not force
 
 
 @dataclass

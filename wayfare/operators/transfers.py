@@ -71,15 +71,22 @@ def transfer_marts(hist: DataFrame, min_samples: int = MIN_SAMPLES, bin_s: int =
     """Histograms of all days merged: one row for each station, pair and bucket with at least
     min_samples successes. Quantiles are of successes alone, so success_rate goes with them."""
     # By day for the totals and by bin for the quantiles, of one pass over the histograms.
-    both = hist.groupingSets([[*PAIR, "data_date"], [*PAIR, "wait_bin"]], *PAIR, "data_date", "wait_bin").agg(F.grouping_id().alias("_set"), F.sum("count").alias("_n"), F.first("n_total").alias("n_total"), F.first("n_over").alias("n_over"))
+    both = hist.groupingSets([[*PAIR, "data_date"], [*PAIR, "wait_bin"]], *PAIR, "data_date", "wait_bin").agg(F.grouping_id().alias("_set"), F.sum("count").alias("count"), F.first("n_total").alias("n_total"), F.first("n_over").alias("n_over"))
     by_day = F.col("_set") == 1  # a bit for each column, 0 where it is grouped by
-    rows = both.repartition(*PAIR).withColumn("_n", F.when(~by_day & F.col("wait_bin").isNotNull(), F.col("_n")))
+    return marts_of_counts(both.withColumns({"kind": F.when(by_day, "total").otherwise("bin"), "n_days": F.lit(1)}), min_samples, bin_s)
+
+
+def marts_of_counts(counts: DataFrame, min_samples: int = MIN_SAMPLES, bin_s: int = BIN_S) -> DataFrame:
+    """The marts of counts (PAIR, kind, wait_bin, count, n_total, n_over, n_days): rows of kind
+    'bin' have the successes of a bin, those of kind 'total' attempts, failures and days."""
+    total, success = F.col("kind") == "total", (F.col("kind") == "bin") & F.col("wait_bin").isNotNull()
+    rows = counts.repartition(*PAIR).withColumn("_n", F.when(success, F.col("count")))
     w = Window.partitionBy(*PAIR)
     so_far = F.when(F.col("_n").isNotNull(), F.sum("_n").over(w.orderBy(F.col("wait_bin").asc_nulls_first()).rangeBetween(Window.unboundedPreceding, 0)))
     rows = rows.withColumns({"cum": so_far, "tot": F.sum("_n").over(w)})
     quantiles = [histogram_quantile(F.col("cum"), F.col("tot"), q, bin_s).alias(f"wait_p{int(q * 100)}") for q in (0.5, 0.9)]
-    day = lambda c: F.when(by_day, F.col(c))
-    out = rows.groupBy(*PAIR).agg(F.sum(day("n_total")).alias("n_total"), F.sum(day("n_over")).alias("n_over"), F.count(day("data_date")).alias("n_days"), *quantiles).where("wait_p50 is not null")
+    sums = [F.sum(F.when(total, F.col(c))).alias(c) for c in ("n_total", "n_over", "n_days")]
+    out = rows.groupBy(*PAIR).agg(*sums, *quantiles).where("wait_p50 is not null")
     out = out.withColumn("n_success", F.col("n_total") - F.col("n_over"))
     return out.withColumn("success_rate", F.col("n_success") / F.col("n_total")).where(F.col("n_success") >= min_samples)
 

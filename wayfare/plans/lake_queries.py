@@ -109,8 +109,10 @@ def name_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
     return D.length_checks(table(spark, sf_dir, "part"), "p_name", 12)
 
 
-_SIDES = """SELECT s_suppkey AS id, 25.0 + (s_suppkey * 37 % 1000) * 0.00001 AS lat, 121.5 + (s_suppkey * 53 % 1000) * 0.00001 AS lon,
-    CASE s_suppkey % 4 WHEN 0 THEN 'N' WHEN 1 THEN 'S' WHEN 2 THEN 'E' ELSE 'W' END AS bearing, 'Stop ' || (s_suppkey % 37) AS name FROM supplier"""
+#: Stops in pairs, some 30 m apart: of every three pairs one has equal bearings, of every five
+#: one has names that have nothing in common.
+_SIDES = """SELECT s_suppkey AS id, 25.0 + (s_suppkey // 2) * 0.002 AS lat, 121.5 + (s_suppkey % 2) * 0.0003 AS lon,
+    CASE WHEN s_suppkey % 2 = 0 OR s_suppkey // 2 % 3 = 2 THEN 'N' ELSE 'S' END AS bearing, CASE WHEN s_suppkey % 2 = 1 AND s_suppkey // 2 % 5 = 4 THEN 'Plaza' ELSE 'Stop ' || (s_suppkey // 2 % 37) || CASE WHEN s_suppkey % 2 = 1 AND s_suppkey % 7 = 0 THEN ' (E)' ELSE '' END END AS name FROM supplier"""
 
 
 @query(f"""SELECT a.id AS id_a, b.id AS id_b, round(1 - levenshtein(a.name, b.name) / greatest(length(a.name), length(b.name))::DOUBLE, 6) AS name_likeness FROM ({_SIDES}) a JOIN ({_SIDES}) b ON a.id < b.id
@@ -118,19 +120,22 @@ _SIDES = """SELECT s_suppkey AS id, 25.0 + (s_suppkey * 37 % 1000) * 0.00001 AS
     WHERE 2 * 6371000.0 * asin(sqrt(pow(sin(radians(b.lat - a.lat) / 2), 2) + cos(radians(a.lat)) * cos(radians(b.lat)) * pow(sin(radians(b.lon - a.lon) / 2), 2))) BETWEEN 20 AND 50""")
 def opposite_stops(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stops across a road from one another: distance, bearing and name."""
-    k = F.col("s_suppkey")
-    bearing = F.when(k % 4 == 0, "N").when(k % 4 == 1, "S").when(k % 4 == 2, "E").otherwise("W")
-    s = table(spark, sf_dir, "supplier").select(k.alias("id"), (25.0 + (k * 37 % 1000) * 0.00001).alias("lat"), (121.5 + (k * 53 % 1000) * 0.00001).alias("lon"), bearing.alias("bearing"), F.concat(F.lit("Stop "), (k % 37).cast("string")).alias("name"))
+    k, pair = F.col("s_suppkey"), F.floor(F.col("s_suppkey") / 2)
+    bearing = F.when((k % 2 == 0) | (pair % 3 == 2), "N").otherwise("S")
+    name = F.when((k % 2 == 1) & (pair % 5 == 4), "Plaza").otherwise(F.concat(F.lit("Stop "), (pair % 37).cast("string"), F.when((k % 2 == 1) & (k % 7 == 0), " (E)").otherwise("")))
+    s = table(spark, sf_dir, "supplier").select(k.alias("id"), (25.0 + pair * 0.002).alias("lat"), (121.5 + (k % 2) * 0.0003).alias("lon"), bearing.alias("bearing"), name.alias("name"))
     return D.opposite_stops(s).select("id_a", "id_b", F.round("name_likeness", 6).alias("name_likeness"))
 
 
-@query("""WITH e AS (SELECT event_id, epoch_us(ts) AS us FROM events), live AS (SELECT * FROM e WHERE event_id % 2 = 0 AND us >= (SELECT min(us) + 864000000000 FROM e)), history AS (SELECT event_id, CASE WHEN event_id % 13 <> 0 THEN us END AS us FROM e WHERE event_id % 2 = 1)
+@query("""WITH e AS (SELECT event_id, epoch_us(ts) AS us FROM events), s AS (SELECT min(us) + 864000000000 AS start FROM e), live AS (SELECT e.* FROM e, s WHERE us >= start), history AS (SELECT event_id, CASE WHEN event_id % 13 <> 0 THEN us END AS us FROM e, s WHERE us < start + 86400000000)
     SELECT event_id, us AS update_time FROM history WHERE us IS NULL OR us < (SELECT min(us) FROM live) UNION ALL SELECT event_id, us FROM live""")
 def cutover_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     """History and live rows merged at the first of the time columns that both know: history
     has no snapshot times, so the update time decides."""
     e = table(spark, sf_dir, "events").select("event_id", micros("ts").alias("us"))
     start = e.agg((F.min("us") + 10 * 86_400_000_000).alias("_from"))
-    live = e.where("event_id % 2 = 0").join(F.broadcast(start)).where("us >= _from").select("event_id", F.col("us").alias("update_time"), F.col("us").alias("snapshot_time"))  # one row
-    history = e.where("event_id % 2 = 1").select("event_id", F.when(F.col("event_id") % 13 != 0, F.col("us")).alias("update_time"), F.lit(None).cast("long").alias("snapshot_time"))
+    timed = e.crossJoin(F.broadcast(start))  # one row
+    live = timed.where("us >= _from").select("event_id", F.col("us").alias("update_time"), F.col("us").alias("snapshot_time"))
+    # History goes on for a day after the first live row.
+    history = timed.where("us < _from + 86400000000").select("event_id", F.when(F.col("event_id") % 13 != 0, F.col("us")).alias("update_time"), F.lit(None).cast("long").alias("snapshot_time"))
     return O.merge_at_cutover(history, live, O.boundary_column(history, live)).select("event_id", "update_time")

@@ -75,14 +75,15 @@ def packed_kafka_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     return positions(spark, sf_dir).select("obs_id", C.packed_offset(F.col("kafka_partition"), F.col("kafka_offset")).alias("packed"))
 
 
-@query("""WITH live AS (SELECT event_id, epoch_us(ts) AS us FROM events WHERE event_id % 2 = 0 AND ts >= (SELECT min(ts) + INTERVAL 10 DAY FROM events)),
-    history AS (SELECT event_id, CASE WHEN event_id % 13 = 0 THEN NULL ELSE epoch_us(ts) END AS us FROM events WHERE event_id % 2 = 1)
+@query("""WITH e AS (SELECT event_id, epoch_us(ts) AS us, user_id FROM events), s AS (SELECT min(us) + 432000000000 AS start FROM e), live AS (SELECT event_id, us FROM e, s WHERE us >= start),
+    history AS (SELECT event_id, CASE WHEN user_id % 7 = 0 THEN NULL ELSE us END AS us FROM e, s WHERE us < start + 3600000000)
     SELECT event_id, us FROM history WHERE us IS NULL OR us < (SELECT min(us) FROM live) UNION ALL SELECT * FROM live""")
 def null_safe_boundary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = table(spark, sf_dir, "events").select("event_id", micros("ts").alias("us"))
-    from_ = e.agg((F.min("us") + 10 * 86_400_000_000).alias("_from"))
-    live = e.where("event_id % 2 = 0").join(F.broadcast(from_)).where("us >= _from").drop("_from")  # one row
-    history = e.where("event_id % 2 = 1").withColumn("us", F.when(F.col("event_id") % 13 != 0, F.col("us")))
+    """A history that goes on for an hour into the live rows, the times of some users unknown."""
+    e = table(spark, sf_dir, "events").select("event_id", micros("ts").alias("us"), "user_id")
+    timed = e.crossJoin(F.broadcast(e.agg((F.min("us") + 5 * 86_400_000_000).alias("_from"))))  # one row
+    live = timed.where("us >= _from").select("event_id", "us")
+    history = timed.where("us < _from + 3600000000").select("event_id", F.when(F.col("user_id") % 7 != 0, F.col("us")).alias("us"))
     return O.merge_at_cutover(history, live, "us")
 
 

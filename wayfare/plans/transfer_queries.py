@@ -9,7 +9,11 @@ from ..functions import columns as C
 from ..operators import arrivals as A
 from ..operators import baseline as B
 from ..operators import dimensions as D
+from ..operators import mart_state as M
+from ..operators import sketches as K
 from ..operators import transfers as T
+from ..operators.publish import delete, read_published
+from ..sources.lake import scratch, write_partitioned, written
 from .fixtures import ARRIVALS, POSITIONS, STOPS, TRIP_STEPS, VOLUME_STEPS, arrivals, positions, stop_lists, stops, table, trip_steps, volume_steps
 from .registry import query
 
@@ -231,3 +235,41 @@ def step_sanity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def shared_stations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stations of three routes and more."""
     return T.shared_stations(arrivals(spark, sf_dir), 3)
+
+
+@query(f"""WITH {_ROLLED} SELECT level, count(*) AS n_cells, count(*) AS p50_within, count(*) AS p90_within, count(*) AS routes_within, CAST(sum(n) AS BIGINT) AS n, CAST(sum(n_days) AS BIGINT) AS n_days, min(date_from) AS date_from, max(date_to) AS date_to, round(max(mean_sec), 2) AS slowest_mean, round(max(coalesce(sd_sec, 0)), 2) AS widest_sd FROM rolled GROUP BY level""")
+def baseline_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The roll-up from stored day states of sketches: how many cells have their medians, 90 %
+    quantiles and numbers of routes within the bounds stated, and what is exact."""
+    path = scratch(spark, "states")
+    steps = volume_steps(spark, sf_dir)
+    K.day_states(steps).write.parquet(path)
+    rolled = K.rollup_states(spark.read.parquet(path))
+    # Day types and bands are null at the upper levels, so cells meet by a name.
+    named = lambda df, *others: df.select(F.to_json(F.struct(*B.CELL, "level")).alias("cell"), *others)
+    errors = named(K.rank_errors(steps, rolled, {"p50_sec": 0.5, "p90_sec": 0.9}), "p50_sec_error", "p90_sec_error")
+    routes = steps.withColumn("_level", F.explode(K.levels())).select(*B.CELL[:3], "_level.*", "sub_route_uid")
+    routes = named(routes.groupBy(*B.CELL, "level").agg(F.count_distinct("sub_route_uid").alias("exact")), "exact")
+    joined = named(rolled, "level", "n", "n_route", "n_days", "date_from", "date_to", "mean_sec", "sd_sec").join(errors, "cell").join(routes, "cell")
+    within = lambda c: F.count_if(F.col(f"{c}_error") <= K.RANK_ERROR)
+    return joined.groupBy("level").agg(F.count("*").alias("n_cells"), within("p50_sec").alias("p50_within"), within("p90_sec").alias("p90_within"), F.count_if(F.abs(F.col("n_route") - F.col("exact")) <= F.col("exact") * K.COUNT_ERROR).alias("routes_within"), F.sum("n").alias("n"), F.sum("n_days").alias("n_days"), F.min("date_from").alias("date_from"), F.max("date_to").alias("date_to"), F.round(F.max("mean_sec"), 2).alias("slowest_mean"), F.round(F.max(F.coalesce("sd_sec", F.lit(0.0))), 2).alias("widest_sd"))
+
+
+_LATER = _MARTS.replace("FROM pairs)", "FROM pairs WHERE data_date > (SELECT min(data_date) FROM pairs))", 1)
+
+
+@query(f"WITH {_LATER} SELECT {', '.join(_MART_COLUMNS)}, round(success_rate, 6) AS success_rate FROM marts WHERE n_success >= {_LEAST}")
+def marts_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The marts of a state that is brought up to date: all days but the last, the second
+    as it was at first known, then the last day, the second again, and the first taken out."""
+    base = scratch(spark, "mart-state")
+    hist, path = written(_hist(spark, sf_dir), "hist").withColumn("dt", F.col("data_date")), f"{base}/hist"
+    days = sorted(r["dt"] for r in hist.select("dt").distinct().collect())  # a row a day
+    first, second, last = days[0], days[1], days[-1]
+    write_partitioned(hist.where((F.col("dt") != second) | (F.col("wait_bin") % 2 == 0)), path, "dt")
+    M.update(spark, base, path, days[:-1])
+    write_partitioned(hist.where(F.col("dt") == second), path, "dt")
+    M.update(spark, base, path, [second, last])
+    delete(spark, f"{path}/dt={first}")
+    M.update(spark, base, path, [first])
+    return M.marts(read_published(spark, f"{base}/state"), _LEAST).select(*_MART_COLUMNS, F.round("success_rate", 6).alias("success_rate"))
