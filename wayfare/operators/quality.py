@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .blocks import HOUR_US, lagged
 from .observations import outlier_flags
 
 MAX_GAP_S = 60
@@ -77,10 +78,11 @@ def break_gaps(df: DataFrame, keys: Sequence[str], at: str, value: str, gap_s: i
     return marked.select(*keys, F.explode(points).alias("p")).select(*keys, F.col("p.at").alias(at), F.col("p.value").alias(value))
 
 
-def adaptive_gaps(df: DataFrame, keys: Sequence[str], at: str, factor: float = 3.0) -> DataFrame:
-    """Gaps longer than factor times the median gap of their hour."""
-    w = Window.partitionBy(*keys).orderBy(at)
-    gaps = df.select(*keys, at).distinct().withColumns({"gap_s": (F.col(at) - F.lag(at).over(w)) / 1_000_000, "hour": F.floor(F.col(at) / 3_600_000_000)}).where("gap_s is not null")
+def adaptive_gaps(df: DataFrame, keys: Sequence[str], at: str, factor: float = 3.0, span_us: int | None = HOUR_US) -> DataFrame:
+    """Gaps longer than factor times the median gap of their hour. Lines are cut into blocks, as
+    a city's times are all in one."""
+    timed = lagged(df.select(*keys, at).distinct(), keys, [at], {at: "_before"}, span_us)
+    gaps = timed.withColumns({"gap_s": (F.col(at) - F.col("_before")) / 1_000_000, "hour": F.floor(F.col(at) / HOUR_US)}).where("gap_s is not null").drop("_before")
     usual = gaps.groupBy(*keys, "hour").agg(_quantile("gap_s", 0.5).alias("usual_s"))
     return gaps.join(usual, [*keys, "hour"]).where(F.col("gap_s") > factor * F.col("usual_s"))
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import local, time_bucket
+from .blocks import lagged, least_later
 
 MAX_WAIT_S = 3600
 BIN_S = 30
@@ -14,16 +15,16 @@ PAIR = ("station_id", "route_a", "route_b", "bucket")
 SCOPE = ("city", "data_date", "station_id")
 
 
-def next_departures(a: DataFrame, b: DataFrame, keys: list[str], at: str = "us", out: str = "b_us") -> DataFrame:
+def next_departures(a: DataFrame, b: DataFrame, keys: list[str], at: str = "us", out: str = "b_us", span_us: int | None = None) -> DataFrame:
     """For each row of a the first time of b that is strictly later within equal keys; null
     where there is none. Both are laid on one time line, of which a running minimum from
-    the end is the next departure: one shuffle and one sort, no join on inequality."""
+    the end is the next departure: one shuffle and one sort, no join on inequality. Where
+    rows of a key may be very many, span_us cuts its line into blocks."""
     line = a.withColumns({"_a": F.lit(True), "_b_at": F.lit(None).cast("long")}).unionByName(b.select(*keys, at).withColumns({"_a": F.lit(False), "_b_at": F.col(at)}), allowMissingColumns=True)
-    later = Window.partitionBy(*keys).orderBy(F.col(at).desc()).rangeBetween(Window.unboundedPreceding, -1)
-    return line.withColumn(out, F.min("_b_at").over(later)).where("_a").drop("_a", "_b_at")
+    return least_later(line, keys, at, "_b_at", out, span_us).where("_a").drop("_a", "_b_at")
 
 
-def pair_transfers(arrivals: DataFrame) -> DataFrame:
+def pair_transfers(arrivals: DataFrame, span_us: int | None = None) -> DataFrame:
     """(scope, route_a, route_b, us, b_us) for each arrival (scope, route, us, boarding) of a
     route that lets passengers off and each other route of the station and day that takes
     passengers on: the next departure strictly after the arrival; none, no row.
@@ -36,7 +37,7 @@ def pair_transfers(arrivals: DataFrame) -> DataFrame:
     routes = off.join(on, list(SCOPE)).where("route_a <> route_b")
     a = arrivals.select(*SCOPE, F.col("route").alias("route_a"), "us").join(routes, [*SCOPE, "route_a"])
     b = arrivals.select(*SCOPE, F.col("route").alias("route_b"), "us")
-    return next_departures(a, b, [*SCOPE, "route_b"]).where("b_us is not null")
+    return next_departures(a, b, [*SCOPE, "route_b"], span_us=span_us).where("b_us is not null")
 
 
 def shared_stations(arrivals: DataFrame, least: int = 2) -> DataFrame:
@@ -110,8 +111,8 @@ def recap(hist: DataFrame, max_wait_s: int, bin_s: int = BIN_S) -> DataFrame:
     return cut.withColumns({"wait_bin": F.when(~F.col("_none"), F.col("wait_bin")), "count": F.when(F.col("_none"), F.lit(0).cast("long")).otherwise(F.col("count"))}).drop("_none")
 
 
-def headways(arrivals: DataFrame) -> DataFrame:
+def headways(arrivals: DataFrame, span_us: int | None = None) -> DataFrame:
     """Regularity of each route at each station and day: the gaps between its arrivals."""
-    w = Window.partitionBy(*SCOPE, "route").orderBy("us")
-    gaps = arrivals.withColumn("gap_s", (F.col("us") - F.lag("us").over(w)) / 1_000_000).where("gap_s is not null")
+    timed = lagged(arrivals, [*SCOPE, "route"], ["us"], {"us": "_before"}, span_us)
+    gaps = timed.withColumn("gap_s", (F.col("us") - F.col("_before")) / 1_000_000).where("gap_s is not null")
     return gaps.groupBy(*SCOPE, "route").agg(F.count("*").alias("n"), F.avg("gap_s").alias("mean_s"), F.stddev_samp("gap_s").alias("sd_s"), F.count_if(F.col("gap_s") < 120).alias("bunched"))

@@ -12,6 +12,7 @@ from ..operators import dimensions as D
 from ..operators import mart_state as M
 from ..operators import sketches as K
 from ..operators import transfers as T
+from ..operators.blocks import DAY_US
 from ..operators.publish import delete, read_published
 from ..sources.lake import scratch, write_partitioned, written
 from .fixtures import ARRIVALS, POSITIONS, STOPS, TRIP_STEPS, VOLUME_STEPS, arrivals, positions, stop_lists, stops, table, trip_steps, volume_steps
@@ -55,7 +56,7 @@ def _marts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def next_departure_asof(spark: SparkSession, sf_dir: str) -> DataFrame:
     """For each click the next view at the station, strictly later."""
     rows = arrivals(spark, sf_dir)
-    found = T.next_departures(rows.where("route = 'click'").select("event_id", "station_id", "us"), rows.where("route = 'view'"), ["station_id"])
+    found = T.next_departures(rows.where("route = 'click'").select("event_id", "station_id", "us"), rows.where("route = 'view'"), ["station_id"], span_us=DAY_US)
     return found.where("b_us is not null").select("event_id", "b_us")
 
 
