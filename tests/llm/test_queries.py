@@ -7,12 +7,13 @@ import struct
 import zlib
 from collections import defaultdict
 
+import duckdb
 import pytest
 import xxhash
 from pyspark.sql import functions as F
 
 from wayfare.llm import fingerprints, tiff
-from wayfare.llm.queries import QUERIES
+from wayfare.llm.queries import ORACLE_SQL, QUERIES
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -294,3 +295,18 @@ def test_count_min(spark, tables, corpus):
             seen.add(window)
         kept = " ".join(w for w, g in zip(words, gone) if not g)
         assert tuple(got[i]) == (i, len(words), sum(gone), sha(kept.encode())), i
+
+
+SMALL = "/root/testdata/sf0.001"
+
+
+@pytest.mark.skipif(not os.path.isdir(SMALL), reason="no tables here")
+@pytest.mark.parametrize("name", sorted(ORACLE_SQL))
+def test_query_equals_sql(spark, name):
+    duck = duckdb.connect()
+    for table in ("documents", "benchmark"):
+        duck.sql(f"CREATE VIEW {table} AS SELECT * FROM '{SMALL}/{table}.parquet'")
+    df, want = QUERIES[name](spark, SMALL), duck.sql(ORACLE_SQL[name])
+    columns = sorted(df.columns)
+    assert sorted(want.columns) == columns
+    assert sorted(map(tuple, df.select(*columns).collect())) == sorted(want.select(", ".join(columns)).fetchall())

@@ -40,7 +40,32 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 _LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORDS = f"regexp_extract_all(coalesce({_LOWER}, ''), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
 
+_SPACED = "regexp_extract_all(coalesce({}, ''), '[^\\x20\\x09-\\x0D]+')"
+
 ORACLE_SQL: dict[str, str] = {
+    "op3_heavy_light": f"""
+        WITH RECURSIVE d AS (SELECT doc_id, {_SPACED.format(_LOWER)} AS w FROM documents),
+        shingles AS (
+            SELECT DISTINCT doc_id, w[k : k + 2] AS s
+            FROM (SELECT doc_id, w, unnest(range(1, 1 + CASE WHEN len(w) = 0 THEN 0 ELSE greatest(len(w) - 2, 1) END)) AS k FROM d)
+        ),
+        sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+        common AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS n FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL),
+        links AS MATERIALIZED (SELECT x, y FROM common c JOIN sizes a ON a.doc_id = x JOIN sizes b ON b.doc_id = y WHERE 100 * c.n >= 90 * (a.n + b.n - c.n)),
+        edges AS MATERIALIZED (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+        reached AS (SELECT x AS doc_id, x AS other FROM edges UNION SELECT r.doc_id, b.y FROM reached r JOIN edges b ON r.other = b.x)
+        SELECT d.doc_id, coalesce(n, 0) AS n_shingles, coalesce(least(component, d.doc_id), d.doc_id) AS component_id
+        FROM d LEFT JOIN sizes USING (doc_id) LEFT JOIN (SELECT doc_id, min(other) AS component FROM reached GROUP BY doc_id) USING (doc_id)""",
+    "op10_count_min": f"""
+        WITH d AS (SELECT doc_id, {_SPACED.format("text")} AS w FROM documents),
+        windows AS (SELECT doc_id, p, w[p : p + 19] AS s FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 18, 1))) AS p FROM d)),
+        late AS (SELECT doc_id, p FROM (SELECT doc_id, p, row_number() OVER (PARTITION BY s ORDER BY doc_id, p) AS k FROM windows) WHERE k > 1),
+        gone AS (SELECT DISTINCT doc_id, unnest(range(p, p + 20)) AS i FROM late),
+        words AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS i FROM d),
+        kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS text FROM words ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id),
+        counts AS (SELECT doc_id, count(*) AS n_removed FROM gone GROUP BY doc_id)
+        SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(text, '')) AS kept_sha256
+        FROM d LEFT JOIN counts USING (doc_id) LEFT JOIN kept USING (doc_id)""",
     "op11_prefix_join": f"""
         WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
         i AS (SELECT coalesce(CAST(item_id AS VARCHAR), '') AS item_id, {_WORDS} AS w FROM benchmark),
