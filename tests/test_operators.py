@@ -381,3 +381,41 @@ def test_grid_pairs_equal_all_pairs(spark):
     lat, lon = (np.array([p[k] for p in pts]) for k in (1, 2))
     d = A.haversine_matrix(lat, lon, lat, lon)
     assert got == {(i, j) for i in range(80) for j in range(i + 1, 80) if 20 <= d[i, j] <= 300}
+
+
+def test_version_at(spark):
+    t = lambda h: dt.datetime(2024, 1, 1, h)
+    versions = spark.createDataFrame([("r", "1", t(2), t(12)), ("r", "2", t(12), None), ("gap", "1", t(2), t(3)), ("gap", "2", t(5), None)], "k string, v string, valid_from timestamp, valid_to timestamp")
+    events = spark.createDataFrame([("r", t(1)), ("r", t(2)), ("r", t(11)), ("r", t(12)), ("r", t(23)), ("gap", t(4)), ("none", t(4)), (None, t(4)), ("r", None)], "k string, at timestamp")
+    got = {(r.k, r.at.hour if r.at else None): r.v for r in D.version_at(events, versions, ["k"], "at", ["v"]).collect()}
+    assert got == {("r", 1): "1", ("r", 2): "1", ("r", 11): "1", ("r", 12): "2", ("r", 23): "2", ("gap", 4): None, ("none", 4): None, (None, 4): None, ("r", None): None}
+    assert D.version_at(events, versions, ["k"], "at", ["v"], before_first=False).where("at < '2024-01-01 02:00:00'").first().v is None
+
+
+def test_stops_change_at_noon(spark):
+    """A vehicle goes by the old stops, then by the new ones, which lie elsewhere; its runs go on
+    being numbered."""
+    lists = lambda v, shift, a, b: ("TPE1", 0, v, a, b, [1, 2, 3], [f"S{v}{k}" for k in range(3)], ["n"] * 3, [0] * 3, [25.0 + shift + k * 0.01 for k in range(3)], [121.5] * 3)
+    noon = dt.datetime(2024, 1, 1, 4)
+    stops = spark.createDataFrame([lists("1", 0.0, dt.datetime(2023, 1, 1), noon), lists("2", 0.5, noon, None)], "sub_route_uid string, direction byte, version_id string, valid_from timestamp, valid_to timestamp, stop_seqs array<int>, station_ids array<string>, stop_names array<string>, boardings array<int>, stop_lats array<double>, stop_lons array<double>")
+    rows = [("TPE1", 0, "P", noon + dt.timedelta(minutes=10 * k), 25.0 + (0.5 if k >= 0 else 0.0) + (k + 3) % 3 * 0.01, 121.5, 9) for k in range(-3, 3)]
+    observed = spark.createDataFrame(rows, "sub_route_uid string, direction byte, plate_numb string, at timestamp, lat double, lon double, speed int").withColumn("us", F.unix_micros("at"))
+    dated = D.version_at(observed, stops, ["sub_route_uid", "direction"], "at", ["version_id"]).drop("at")
+    events = A.arrival_events(A.match_positions(dated, stops, by_version=True), stops).orderBy("arrival_us").collect()
+    assert [(r.station_id, r.version_id, r.trip) for r in events] == [("S10", "1", 0), ("S11", "1", 0), ("S12", "1", 0), ("S20", "2", 1), ("S21", "2", 1), ("S22", "2", 1)]
+
+
+def test_clustered_tables_shuffle_nothing(spark):
+    from wayfare.sources.lake import read_table, write_clustered
+
+    rows = spark.range(5000).select((F.col("id") % 97).alias("k"), F.col("id").alias("x"))
+    for name, df in (("wayfare_left", rows), ("wayfare_right", rows.groupBy("k").agg(F.max("x").alias("y")))):
+        write_clustered(df, name, ["k"], 4, [df.columns[1]])
+    try:
+        joined = read_table(spark, "wayfare_left", ["k", "x"]).hint("merge").join(read_table(spark, "wayfare_right", ["k", "y"]), "k").groupBy("k").agg(F.count("*").alias("n"), F.max("y").alias("y"))
+        assert "Exchange" not in joined._jdf.queryExecution().executedPlan().toString()
+        assert {(r.k, r.y) for r in joined.collect()} == {(k, max(range(k, 5000, 97))) for k in range(97)}
+        assert spark.table("wayfare_left").inputFiles().__len__() == 4
+    finally:
+        for name in ("wayfare_left", "wayfare_right"):
+            spark.sql(f"DROP TABLE IF EXISTS {name}")

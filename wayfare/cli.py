@@ -37,20 +37,23 @@ CITIES = ("Taipei", "NewTaipei")
 
 
 def stop_lists(spark: SparkSession, lake: str) -> DataFrame:
-    """The open versions of the stops as arrays."""
-    open_ = read_published(spark, f"{lake}/route_stops").where("valid_to is null")
+    """All versions of the stops as arrays, with the times from and to which they are valid."""
+    versions = read_published(spark, f"{lake}/route_stops")
     fields = {"stop_seqs": "seq", "station_ids": "station_id", "stop_names": "name", "boardings": "boarding", "stop_lats": "lat", "stop_lons": "lon"}
-    return open_.select("sub_route_uid", "direction", "version_id", *[F.col(f"stops.{f}").alias(name) for name, f in fields.items()])
+    return versions.select("sub_route_uid", "direction", "version_id", "valid_from", "valid_to", *[F.col(f"stops.{f}").alias(name) for name, f in fields.items()])
 
 
 def build_events(spark: SparkSession, lake: str, city: str, date: str) -> None:
+    """Events by the stops that were valid at the time of each observation, so that a day that is
+    done again later goes by the stops of that day."""
     p = spark.read.parquet(f"{lake}/silver").where((F.col("city") == city) & (F.col("dt") == date))
     usable = O.with_keys(O.with_coordinates(O.in_service(p)), *A.VEHICLE, "gps_time")
     order = [c for c in ("snapshot_time", "kafka_partition", "kafka_offset") if c in p.columns]
     first = O.keep_first(usable, O.OBSERVATION_KEY, order)
     stops = stop_lists(spark, lake)
-    rows = first.select(*A.VEHICLE, F.unix_micros("gps_time").alias("us"), "lat", "lon", "speed")
-    events = A.arrival_events(A.match_positions(rows, stops), stops, F.lit(date))
+    rows = first.select(*A.VEHICLE, F.unix_micros("gps_time").alias("us"), "gps_time", "lat", "lon", "speed")
+    dated = D.version_at(rows, stops, ["sub_route_uid", "direction"], "gps_time", ["version_id"]).drop("gps_time")
+    events = A.arrival_events(A.match_positions(dated, stops, by_version=True), stops, F.lit(date))
     write_partitioned(events.withColumns({"city": F.lit(city), "dt": F.col("data_date")}), f"{lake}/events", "city", "dt", order=("trip_id", "arrival_time"))
 
 

@@ -67,6 +67,24 @@ def upsert_versions(current: DataFrame, incoming: DataFrame, keys: Sequence[str]
     return old.unionByName(fresh.withColumn("change", F.lit("added")))
 
 
+def version_at(events: DataFrame, versions: DataFrame, keys: Sequence[str], at: str, fields: Sequence[str], before_first: bool = True) -> DataFrame:
+    """events with fields of the version that was valid at the time in column at: the one from
+    valid_from on, and before valid_to if it is closed; of several the latest. Times before the
+    first version take it if before_first. Events without a version have nulls.
+
+    The versions of a key are few and meet its events as one list in the order of time, by a
+    join on the keys alone: no join by ranges, and no event is met twice."""
+    listed = versions.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("valid_from", "valid_to", *fields))).alias("_versions"))
+    rows = events.join(listed.withColumnsRenamed({k: f"_of_{k}" for k in keys}), [F.col(k) == F.col(f"_of_{k}") for k in keys], "left").drop(*[f"_of_{k}" for k in keys])
+    valid = F.filter("_versions", lambda v: (v["valid_from"] <= F.col(at)) & (v["valid_to"].isNull() | (F.col(at) < v["valid_to"])))
+    found = F.try_element_at(valid, F.lit(-1))
+    if before_first:
+        first = F.get("_versions", F.lit(0))
+        found = F.when(F.col(at) < first["valid_from"], first).otherwise(found)
+    rows = rows.withColumn("_version", found)
+    return rows.withColumns({c: F.col(f"_version.{c}") for c in fields}).drop("_versions", "_version")
+
+
 def serving_rows(route_stops: DataFrame) -> DataFrame:
     """One row for each stop of the open versions. A route without a name, or of an unknown
     city, raises."""

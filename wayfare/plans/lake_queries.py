@@ -13,7 +13,7 @@ from ..operators import dimensions as D
 from ..operators import observations as O
 from ..operators.publish import violations
 from ..schemas import RAW_ROUTE
-from ..sources.lake import read_table, row_counts, table_metadata, write_table, written
+from ..sources.lake import read_table, row_counts, table_metadata, write_clustered, write_table, written
 from .fixtures import POSITIONS, STOPS, TRIP_STEPS, VOLUME_STEPS, micros, positions, stops, table, trip_steps, volume_steps
 from .registry import query
 
@@ -27,6 +27,33 @@ def partitioned_table_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, name, ["obs_id", "plate_numb", "us", "city"]).where("city = 'Taipei' and plate_numb < 'P3'").drop("city")
 
 
+@query("""SELECT CAST(o_custkey AS BIGINT) AS k, count(*) AS n_orders, round(sum(o_totalprice), 2) AS total, max(c_acctbal) AS balance FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1""")
+def clustered_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two tables in buckets by one key, joined by it and grouped by it without a shuffle."""
+    o, c = f"wayfare_{uuid.uuid4().hex}", f"wayfare_{uuid.uuid4().hex}"
+    write_clustered(table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("k"), "o_totalprice", "o_orderdate"), o, ["k"], 8, ["o_orderdate"])
+    write_clustered(table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("k"), "c_acctbal"), c, ["k"], 8)
+    joined = read_table(spark, o, ["k", "o_totalprice"]).hint("merge").join(read_table(spark, c, ["k", "c_acctbal"]), "k")
+    return joined.groupBy("k").agg(F.count("*").alias("n_orders"), F.round(F.sum("o_totalprice"), 2).alias("total"), F.max("c_acctbal").alias("balance"))
+
+
+_NOON = "timestamp '2024-01-04 04:00:00'"
+
+
+@query(f"""WITH v AS (SELECT user_id AS k, 'a' AS version_id, timestamp '2024-01-02 00:00:00' AS valid_from, CASE WHEN user_id % 2 = 0 THEN {_NOON} END AS valid_to FROM (SELECT DISTINCT user_id FROM events WHERE user_id % 5 > 0)
+    UNION ALL SELECT user_id, 'b', {_NOON}, NULL FROM (SELECT DISTINCT user_id FROM events WHERE user_id % 5 > 0 AND user_id % 2 = 0))
+    SELECT event_id, user_id, CASE WHEN ts < timestamp '2024-01-02 00:00:00' AND user_id % 5 > 0 THEN 'a' ELSE (SELECT max(version_id) FROM v WHERE v.k = user_id AND ts >= valid_from AND (valid_to IS NULL OR ts < valid_to)) END AS version_id FROM events""")
+def versions_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The version that each event's user had at the time: half of them changed at local noon of
+    one day, a fifth have none."""
+    e = table(spark, sf_dir, "events").select("event_id", "user_id", F.col("ts").cast("timestamp").alias("ts"))
+    users, time = e.where("user_id % 5 > 0").select("user_id").distinct(), lambda text: F.lit(text).cast("timestamp")
+    first, noon = time("2024-01-02 00:00:00"), time("2024-01-04 04:00:00")
+    version = lambda df, name, a, b: df.select("user_id", F.lit(name).alias("version_id"), a.alias("valid_from"), b.alias("valid_to"))
+    versions = version(users, "a", first, F.when(F.col("user_id") % 2 == 0, noon)).union(version(users.where("user_id % 2 = 0"), "b", noon, F.lit(None).cast("timestamp")))
+    return D.version_at(e, versions, ["user_id"], "ts", ["version_id"]).select("event_id", "user_id", "version_id")
+
+
 @query(f"WITH {TRIP_STEPS} SELECT (SELECT count(*) FROM trip_steps) AS n_rows")
 def file_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows of a table's files, added up."""

@@ -94,6 +94,14 @@ def write_table(df: DataFrame, name: str, partitions: Sequence[str], order: Sequ
     rows.write.mode("overwrite").option("compression", "zstd").partitionBy(*partitions).saveAsTable(name)
 
 
+def write_clustered(df: DataFrame, name: str, keys: Sequence[str], buckets: int, order: Sequence[str] = ()) -> None:
+    """df as a table of the catalog, replaced if it exists, in buckets by keys and sorted in each:
+    joins and aggregations by all of the keys read a bucket a task and shuffle nothing, joins with
+    tables of as many buckets included. A bucket is one file."""
+    rows = df.repartition(buckets, *keys).sortWithinPartitions(*keys, *order)
+    rows.write.mode("overwrite").option("compression", "zstd").bucketBy(buckets, *keys).sortBy(*keys, *order).saveAsTable(name)
+
+
 def read_table(spark: SparkSession, name: str, columns: Sequence[str]) -> DataFrame:
     """Some columns of a catalog table; partitions and columns not asked for are not read."""
     return spark.table(name).select(*columns)
