@@ -22,7 +22,7 @@ from wayfare.streaming.archive import ProgressLog
 from wayfare.operators.publish import PublishError, backfill_positions, compact_day, dates_between, files_for, is_protected, late_records, packed, read_published, recompact, swap, violations, write_jdbc
 from wayfare.schemas import POSITIONS, RAW_POSITION, SchemaDriftError, conform, drift
 from wayfare.sources.lake import read_snapshots, write_raw
-from wayfare.sources.paged import RunawaySource, paged_documents
+from wayfare.sources.paged import RunawaySource, paged_documents, register_paged
 
 S = 1_000_000
 
@@ -373,6 +373,42 @@ def test_paged_source(spark):
         paged_documents(spark, "u", _pages, readers=1, size=1, guard=5).collect()
 
 
+def test_paged_format(spark, tmp_path):
+    """A service as a data source: offsets leave out pages, equalities reach the service."""
+    log = str(tmp_path / "log")
+
+    def serve(url, parameters):
+        with open(log, "a") as f:
+            f.write(f"{parameters['$skip']} {parameters.get('$filter', '')}\n")
+        rows = [{"UID": f"r{k}", "City": "it's" if k % 3 == 0 else "B", "Seq": k} for k in range(95)]
+        if asked := parameters.get("$filter"):
+            assert asked in ("City eq 'it''s'", "City eq 'it''s' and Seq eq 9")
+            rows = [r for r in rows if r["City"] == "it's" and ("Seq" not in asked or r["Seq"] == 9)]
+        skip = int(parameters["$skip"])
+        return rows[skip : skip + int(parameters["$top"])]
+
+    def asked():
+        lines = sorted(open(log).read().splitlines(), key=lambda x: int(x.split()[0]))
+        os.remove(log)
+        return lines
+
+    register_paged(spark, "timetable", serve)
+    read = spark.read.format("timetable").option("pageSize", 10).option("readers", 3)
+    assert sorted(r.offset for r in read.load("u").collect()) == list(range(95)) and len(asked()) >= 10
+    some = read.load("u").where("offset >= 25 and offset < 41")
+    assert sorted((r.offset, json.loads(r.document)["Seq"]) for r in some.collect()) == [(k, k) for k in range(25, 41)]
+    assert [x.split()[0] for x in asked()] == ["20", "30", "40"]
+    assert read.load("u").where("offset = 94").count() == 1 and [x.split()[0] for x in asked()] == ["90"]
+    assert read.load("u").where("offset < 0").count() == 0
+    fields = read.schema("UID string, City string, Seq long").load("u")
+    assert fields.where("City = \"it's\"").count() == 32 and all("eq" in x for x in asked())
+    assert [r.UID for r in fields.where("City = \"it's\" and Seq = 9").collect()] == ["r9"]
+    both = read.schema("offset long, City string").load("u").where("offset > 50 and City = \"it's\"")
+    assert sorted(r.offset for r in both.collect()) == list(range(51, 95, 3))
+    with pytest.raises(Exception, match=RunawaySource.__name__):
+        read.option("guard", 20).load("u").collect()
+
+
 def test_grid_pairs_equal_all_pairs(spark):
     rng = np.random.default_rng(3)
     pts = [(i, float(25 + x * 0.01), float(121 + y * 0.01)) for i, (x, y) in enumerate(rng.uniform(0, 1, (80, 2)))]

@@ -20,8 +20,12 @@ MESSAGE = T.StructType([*RAW_POSITION.fields, T.StructField("city", T.StringType
 
 
 def kafka_source(spark: SparkSession, servers: str, topic: str) -> DataFrame:
-    """The topic from its beginning; the checkpoint of the query keeps the place."""
-    return spark.readStream.format("kafka").option("kafka.bootstrap.servers", servers).option("subscribe", topic).option("startingOffsets", "earliest").option("maxOffsetsPerTrigger", FLUSH_ROWS).load().select("value", "partition", "offset", "timestamp")
+    """The topic from its beginning; the checkpoint of the query keeps the place. A batch begins
+    when FLUSH_ROWS have come or FLUSH_SECONDS are over, whichever is first, if the query is
+    triggered more often than that (archive's every_s)."""
+    source = spark.readStream.format("kafka").option("kafka.bootstrap.servers", servers).option("subscribe", topic).option("startingOffsets", "earliest")
+    bounds = {"minOffsetsPerTrigger": FLUSH_ROWS, "maxTriggerDelay": f"{FLUSH_SECONDS}s", "maxOffsetsPerTrigger": FLUSH_ROWS}
+    return source.options(**bounds).load().select("value", "partition", "offset", "timestamp")
 
 
 def to_messages(df: DataFrame, key: str = "PlateNumb") -> DataFrame:
@@ -51,7 +55,7 @@ def records(decoded: DataFrame) -> DataFrame:
     return normalize(dated, {"pipeline_version": PIPELINE_VERSION}, ARCHIVED_POSITIONS).withColumn("dt", F.col("data_date"))
 
 
-def archive(messages: DataFrame, path: str, dead_letters: str, checkpoint: str) -> DataStreamWriter:
+def archive(messages: DataFrame, path: str, dead_letters: str, checkpoint: str, every_s: int = FLUSH_SECONDS) -> DataStreamWriter:
     """Write each batch's records by city and day and its bad messages aside. Batches are
     written whole before their offsets are; a batch written twice is told by its messages'
     coordinates, which compaction removes."""
@@ -64,7 +68,7 @@ def archive(messages: DataFrame, path: str, dead_letters: str, checkpoint: str)
         finally:
             decoded.unpersist()
 
-    return messages.writeStream.foreachBatch(flush).option("checkpointLocation", checkpoint).trigger(processingTime=f"{FLUSH_SECONDS} seconds")
+    return messages.writeStream.foreachBatch(flush).option("checkpointLocation", checkpoint).trigger(processingTime=f"{every_s} seconds")
 
 
 def dedup_stream(messages: DataFrame, delay: str = "1 hour") -> DataFrame:
