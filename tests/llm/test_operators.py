@@ -8,7 +8,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from wayfare.llm import bpe, components, fingerprints, jaccard, mixing, sharding, sketch, substring, suffixes, tiff, toxicity, wordpiece
+from wayfare.llm import bpe, common, components, fingerprints, jaccard, mixing, sharding, sketch, substring, suffixes, tiff, toxicity, wordpiece
 from wayfare.llm.common import Texts, byte_grams, cut, gram_hashes, sliding_min, span_hashes, two_smallest
 from wayfare.llm.packs import meet
 
@@ -187,6 +187,33 @@ def test_components_of_a_chain(spark):
     assert got == {**{k: 0 for k in range(201)}, 500: 500, 501: 500}
 
 
+@pytest.mark.parametrize("seed", range(3))
+def test_components_of_random_links(spark, seed):
+    """As a union of sets says, with a node of very many links, repeated links, loops and nulls."""
+    rng = np.random.default_rng(seed)
+    links = [*map(tuple, rng.integers(-60, 60, (90, 2)).tolist()), *[(1000 - k, 950) for k in range(60)], (950, 950)]
+    low = {x: x for link in links for x in link}
+    for _ in low:
+        for a, b in links:
+            low[a] = low[b] = min(low[a], low[b])
+    linked = {x for a, b in links if a != b for x in (a, b)}
+    rows = [*links, *links[:20], (None, 7), (8, None), (None, None)]
+    got = components.connected_components(spark.createDataFrame(rows, "a long, b long")).collect()
+    assert sorted(map(tuple, got)) == sorted((x, low[x]) for x in linked)
+
+
+def test_joined_apart_deals_both_sides_anew(spark):
+    rows = spark.range(40).select((F.col("id") % 4).alias("k"), "id")
+    joined = common.joined_apart(rows, rows.groupBy("k").agg(F.max("id").alias("most")), "k")
+    assert {(r.k, r.most) for r in joined.collect()} == {(k, 36 + k) for k in range(4)} and joined.count() == 40
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = common.joined_apart(rows, rows.groupBy("k").agg(F.max("id").alias("most")), "k")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("Exchange hashpartitioning(~") == 2
+
+
 def test_weights_move_rows_only_into_what_grew(spark):
     keys = spark.range(3000)
     heavier = ((sharding.TREE[0][0], (1.0, 3.0)), sharding.TREE[1])

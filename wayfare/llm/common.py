@@ -79,6 +79,13 @@ def sweep(spark: SparkSession) -> int:
     return deleted
 
 
+def joined_apart(left: DataFrame, right: DataFrame, on: str) -> DataFrame:
+    """left and right joined by their long column on, both dealt anew even if one of them has been
+    grouped by it: only then Spark can split the rows of a hot value. Rows of null join nothing."""
+    other = right.withColumnRenamed(on, "_apart")
+    return left.join(other, F.bitwise_not(F.col(on)) == F.bitwise_not(F.col("_apart"))).drop("_apart")
+
+
 def shielded(df: DataFrame, own: Sequence[str], step: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """What step makes of df, whose columns other than own it doesn't see by their names: they
     come through whatever they are called, unless step gives a column of that name, which

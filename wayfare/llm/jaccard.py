@@ -27,7 +27,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import NULL_ID, Texts, cut, documents, gram_hashes, mix64, span_hashes, word_spans
+from .common import NULL_ID, Texts, cut, documents, gram_hashes, joined_apart, mix64, span_hashes, word_spans
 from .components import connected_components
 from .packs import Pack, meet, rereadable
 from .sketch import Estimates, estimates, ranges_of
@@ -303,16 +303,16 @@ def _list_links(listed: DataFrame, known: DataFrame, held: DataFrame, num: int,
     any copy, so most of the group is joined by one comparison each. Lists that are still in
     several components put their members into clusters, in which all are compared by how they
     differ from one of them."""
-    weight = cut(listed.groupBy("id").agg(F.sum("n").alias("weight")))
+    weight = listed.groupBy("id").agg(F.sum("n").alias("weight"))
     members = cut(listed.join(weight, "id").select("token", "id", "size", "weight"))
-    heads = cut(members.groupBy("token").agg(F.max(F.struct("weight", "id", "size")).alias("head")))
-    tried = members.join(heads, "token").withColumns({"head_id": F.col("head.id"), "head_size": F.col("head.size")})
+    heads = members.groupBy("token").agg(F.max(F.struct("weight", "id", "size")).alias("head"))
+    tried = joined_apart(members, heads, "token").withColumns({"head_id": F.col("head.id"), "head_size": F.col("head.size")})
     best = tried.filter(_compatible("size", "head_size", num, den) & (F.col("id") != F.col("head_id"))).groupBy("id").agg(F.max("head").alias("head"))
     pairs = cut(best.select(F.col("id").alias("a"), F.col("head.id").alias("b")))
     links = cut(_verified(pairs, held, num, den).union(known))
     named = cut(members.join(connected_components(links).toDF("id", "component"), "id", "left").withColumn("component", F.coalesce("component", "id")))
-    torn = cut(named.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high").select("token", F.col("low").alias("first")))
-    left = cut(named.join(torn, "token"))
+    torn = named.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high").select("token", F.col("low").alias("first"))
+    left = cut(joined_apart(named, torn, "token"))
     # Lists that share a component are one cluster, and all of their members are in it.
     clusters = connected_components(left.select(F.col("component").alias("a"), F.col("first").alias("b"))).toDF("component", "cluster")
     inside = cut(left.select("id", "size", "weight", "component").distinct().join(clusters, "component"))
@@ -321,8 +321,8 @@ def _list_links(listed: DataFrame, known: DataFrame, held: DataFrame, num: int,
     sets = inside.join(held, "id").select("cluster", "id", "size", "component", "held")
     differing = cut(_from_centres(sets, central.select("cluster", F.col("held").alias("centre"), "places")))
     ready = cut(_may_link(differing, num, den))
-    counts = cut(ready.groupBy("cluster").agg(F.count("*").alias("n")).filter("n > 1"))
-    return links.union(_block_links(ready.join(counts, "cluster"), num, den))
+    counts = ready.groupBy("cluster").agg(F.count("*").alias("n")).filter("n > 1")
+    return links.union(_block_links(joined_apart(ready, counts, "cluster"), num, den))
 
 
 def _numbered(base: DataFrame) -> DataFrame:
