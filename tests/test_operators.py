@@ -419,6 +419,22 @@ def test_grid_pairs_equal_all_pairs(spark):
     assert got == {(i, j) for i in range(80) for j in range(i + 1, 80) if 20 <= d[i, j] <= 300}
 
 
+def test_pairs_of_few_places_go_to_many_tasks(spark, monkeypatch):
+    monkeypatch.setattr(D, "BLOCK", 16)
+    monkeypatch.setattr(D, "PAIRS_A_TASK", 2000)
+    pts = [(i, 25.0 + i % 3 * 0.001, 121.5, f"s{i}") for i in range(300)] + [(None, 25.0, 121.5, "x"), (300, None, 121.5, "x"), (7, 25.0, 121.5, "x")]
+    df = spark.createDataFrame(pts, "id int, lat double, lon double, name string").coalesce(1)
+    pairs = D.near_pairs(df, 100, 120, 0.004)
+    assert pairs.columns == ["id_a", "lat_a", "lon_a", "name_a", "id_b", "lat_b", "lon_b", "name_b", "dist_m"]
+    rows = pairs.withColumn("task", F.spark_partition_id()).collect()
+    near = {(0, 1), (1, 0), (1, 2), (2, 1)}
+    place = lambda p: round((p[1] - 25) * 1000)
+    want = sorted((p[0], p[3], q[0], q[3]) for p in pts for q in pts if None not in (*p, *q) and p[0] < q[0] and (place(p), place(q)) in near)
+    assert sorted((r.id_a, r.name_a, r.id_b, r.name_b) for r in rows) == want
+    tasks = [sum(r.task == t for r in rows) for t in {r.task for r in rows}]
+    assert len(tasks) > 10 and max(tasks) < len(rows) / 4
+
+
 def test_version_at(spark):
     t = lambda h: dt.datetime(2024, 1, 1, h)
     versions = spark.createDataFrame([("r", "1", t(2), t(12)), ("r", "2", t(12), None), ("gap", "1", t(2), t(3)), ("gap", "2", t(5), None)], "k string, v string, valid_from timestamp, valid_to timestamp")

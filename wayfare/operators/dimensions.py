@@ -2,15 +2,21 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import city_of, content_hash, haversine_m
+from ..sources.lake import written
 
 # Bearings of stops and their opposites.
 OPPOSITE = {"E": "W", "W": "E", "N": "S", "S": "N", "NE": "SW", "SW": "NE", "NW": "SE", "SE": "NW"}
+#: Places of a grid cell, and stops of a place, that meet others in one place, about.
+BLOCK = 512
+#: Pairs of stops that a task makes, about.
+PAIRS_A_TASK = 8 << 20
 
 
 def build_route_stops(raw: DataFrame, now: Column, authority: str) -> DataFrame:
@@ -108,15 +114,36 @@ def name_ambiguity(stops: DataFrame, k: int = 10) -> DataFrame:
 
 
 def near_pairs(stops: DataFrame, lowest_m: float, highest_m: float, cell_deg: float) -> DataFrame:
-    """Pairs of stops (id, lat, lon, ...) from lowest_m to highest_m apart. Stops meet by grid
-    cell: one side stands in its cell, the other in it and its eight neighbours; cell_deg
-    must span highest_m both ways."""
+    """Pairs of stops (id, lat, lon, ...) from lowest_m to highest_m apart; cell_deg must span
+    highest_m both ways.
+
+    Stops of one place are compared as one. Places meet by grid cell: one side stands in its
+    cell, the other in it and its eight neighbours, and a cell of many places is dealt to
+    several tasks. Stops of two places that are near meet in blocks, each with each. Pairs may
+    be many more than stops, as their number is the square of the stops of a place, so blocks
+    go to as many tasks as the pairs need, before as after each of them has its stops."""
     cell = lambda c: F.floor(F.col(c) / cell_deg).cast("long")
-    a = stops.select(*[F.col(c).alias(f"{c}_a") for c in stops.columns]).withColumns({"_x": cell("lat_a"), "_y": cell("lon_a")})
+    places = stops.groupBy("lat", "lon").agg(F.count("*").alias("n"))
+    celled = places.withColumns({"_x": cell("lat"), "_y": cell("lon")})
+    parts = celled.groupBy("_x", "_y").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("_parts"))
+    a = celled.join(parts, ["_x", "_y"]).select("_x", "_y", F.pmod(F.xxhash64("lat", "lon"), "_parts").cast("int").alias("_part"), *[F.col(c).alias(f"{c}_a") for c in places.columns])
     near = F.array(*[F.struct(F.lit(i).alias("dx"), F.lit(j).alias("dy")) for i in (-1, 0, 1) for j in (-1, 0, 1)])
-    b = stops.select(*[F.col(c).alias(f"{c}_b") for c in stops.columns]).withColumn("_d", F.explode(near)).withColumns({"_x": cell("lat_b") + F.col("_d.dx"), "_y": cell("lon_b") + F.col("_d.dy")}).drop("_d")
-    pairs = a.join(b, ["_x", "_y"]).where("id_a < id_b").withColumn("dist_m", haversine_m(F.col("lat_a"), F.col("lon_a"), F.col("lat_b"), F.col("lon_b")))
-    return pairs.where(F.col("dist_m").between(lowest_m, highest_m)).drop("_x", "_y")
+    b = celled.withColumn("_d", F.explode(near)).withColumns({"_x": F.col("_x") + F.col("_d.dx"), "_y": F.col("_y") + F.col("_d.dy")})
+    b = b.join(parts, ["_x", "_y"]).select("_x", "_y", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1)).alias("_part"), *[F.col(c).alias(f"{c}_b") for c in places.columns])
+    met = a.join(b, ["_x", "_y", "_part"]).withColumn("dist_m", haversine_m(F.col("lat_a"), F.col("lon_a"), F.col("lat_b"), F.col("lon_b")))
+    met = written(met.where(F.col("dist_m").between(lowest_m, highest_m)).drop("_x", "_y", "_part"), "places")
+    n_pairs = met.agg(F.sum(F.col("n_a") * F.col("n_b"))).first()[0] or 0
+
+    own = F.pmod(F.xxhash64("id"), F.ceil(F.col("n") / BLOCK)).cast("int")
+    others = [c for c in stops.columns if c not in ("lat", "lon")]
+    blocks = stops.join(places, ["lat", "lon"]).groupBy("lat", "lon", own.alias("_block")).agg(F.collect_list(F.struct(*others)).alias("_stops"))
+    of = lambda side: blocks.select(*[F.col(c).alias(f"{c}_{side}") for c in blocks.columns])
+    tasks = math.ceil(n_pairs / PAIRS_A_TASK) or 1
+    one = met.repartition(tasks, "lat_a", "lon_a").join(of("a"), ["lat_a", "lon_a"])
+    both = one.repartition(tasks, "lat_b", "lon_b").join(of("b"), ["lat_b", "lon_b"])
+    dealt = both.repartition(tasks, "lat_a", "lon_a", "_block_a", "lat_b", "lon_b", "_block_b")
+    pairs = dealt.withColumn("_a", F.explode("_stops_a")).withColumn("_b", F.explode("_stops_b")).where("_a.id < _b.id")
+    return pairs.select(*[F.col(f"{c}_{side}") if c in ("lat", "lon") else F.col(f"_{side}.{c}").alias(f"{c}_{side}") for side in "ab" for c in stops.columns], "dist_m")
 
 
 def opposite_stops(stops: DataFrame, lowest_m: float = 20.0, highest_m: float = 50.0, cell_deg: float = 0.0006, least_like: float = 0.6) -> DataFrame:
