@@ -160,6 +160,29 @@ def test_boundary_follows_cost():
     assert jaccard.boundary({s: (1, math.ceil(cost(s)) + 1 if s <= 12 else 0) for s in range(1, 41)}, 9, 10) == 12
 
 
+def test_costs_of_a_group_of_copies_grow_with_its_sets(spark, monkeypatch):
+    class Measured(Exception):
+        pass
+
+    def measure(sizes, num, den):
+        raise Measured(sizes)
+
+    monkeypatch.setattr(jaccard, "boundary", measure)
+    rng, entries = np.random.default_rng(5), []
+    for n in (50, 200):
+        rows = []
+        for k in range(n):
+            words = [f"w{i}" for i in range(24)]
+            words[rng.integers(24)] = f"only{k}"
+            rows.append((k, " ".join(words)))
+        with pytest.raises(Measured) as found:
+            jaccard.linked(spark.createDataFrame(rows, "doc_id long, text string"), 3, 90, 100)
+        sets, scanned = found.value.args[0][22]
+        assert sets == n and scanned > n
+        entries.append(scanned)
+    assert entries[1] <= 5 * entries[0]
+
+
 @pytest.mark.parametrize("small", [0, 8, 19])
 def test_both_sides_of_the_boundary(spark, monkeypatch, small):
     """The same links whether sets are enumerated, listed, or dealt to both."""

@@ -4,7 +4,8 @@ Documents of equal sets are one set. Small sets enumerate their subsets of the s
 an intersection with a linked set may have: sets that share one are linked or not by
 their sizes alone. Large sets are looked up in inverted lists of the first tokens of each
 set in an order of all tokens, among which linked sets must share one. The sizes that
-count as small are those for which enumerating costs less than lists.
+count as small are those for which enumerating costs less than lists; both costs of a set are
+bounded, so what is enumerated grows with the sets and not with the lengths of lists.
 
 The order has tokens first that a sketch says occur in one document: those cannot be
 shared and need no list. Others come by the number of sets that have them. Each set is compared
@@ -37,6 +38,9 @@ PACK_BYTES = 2 << 20
 SUBSETS_AT_MOST = 5000
 #: What scanning an entry of an inverted list costs, in rows of an enumeration.
 ENTRY_COST = 4
+#: Entries of a list that a set counts as scanning at most: sets of a long list meet its head and
+#: then blocks of others, not each other one by one.
+ENTRIES_AT_MOST = 16
 #: Sets that meet as many others at once where all of a cluster are compared.
 BLOCK = 256
 #: Pairs with one set on one side that meet in one place.
@@ -350,7 +354,7 @@ def linked(df: DataFrame, n: int = 5, num: int = 8, den: int = 10) -> DataFrame:
     lengths = cut(rows.groupBy("token").agg(F.count("*").alias("n")))
     listed = cut(_listed(rows, lengths, num, den))
     sizes = reps.filter(F.col("size") <= most).groupBy("size").agg(F.count("*").alias("sets"))
-    entries = listed.filter(F.col("size") <= most).groupBy("size").agg(F.sum("n").alias("entries"))
+    entries = listed.filter(F.col("size") <= most).groupBy("size").agg(F.sum(F.least("n", F.lit(ENTRIES_AT_MOST))).alias("entries"))
     measured = {r["size"]: (r["sets"], r["entries"] or 0) for r in sizes.join(entries, "size", "left").collect()}  # a row for each size
     small = boundary(measured, num, den)
     # A small set may link with one just above the boundary, so it is looked up as well.
