@@ -21,7 +21,7 @@ from wayfare import cli
 from wayfare.streaming.archive import ProgressLog
 from wayfare.operators.publish import PublishError, backfill_positions, compact_day, dates_between, files_for, is_protected, late_records, packed, read_published, recompact, swap, violations, write_jdbc
 from wayfare.schemas import POSITIONS, RAW_POSITION, SchemaDriftError, conform, drift
-from wayfare.sources.lake import read_snapshots, write_raw
+from wayfare.sources.lake import read_snapshots, row_counts, write_raw, write_table
 from wayfare.sources.paged import RunawaySource, paged_documents, register_paged
 
 S = 1_000_000
@@ -435,6 +435,22 @@ def test_pairs_of_few_places_go_to_many_tasks(spark, monkeypatch):
     assert len(tasks) > 10 and max(tasks) < len(rows) / 4
 
 
+def test_a_large_partition_is_several_sorted_files(spark):
+    df = spark.range(40_000).select(F.when(F.col("id") % 100 == 0, "b").otherwise("a").alias("city"), (F.col("id") * 7919 % 40_000).alias("v"))
+    coalesce = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        write_table(df, "ranged", ["city"], ["v"])
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", coalesce)
+    found = spark.table("ranged")
+    assert sorted(map(tuple, found.select("city", "v").collect())) == sorted(map(tuple, df.collect()))
+    assert max(r.n_rows for r in row_counts(found).collect()) < 20_000
+    ranges = found.groupBy("city", F.col("_metadata.file_name").alias("file")).agg(F.min("v").alias("low"), F.max("v").alias("high")).orderBy("city", "low").collect()
+    assert all(x.high < y.low for x, y in zip(ranges, ranges[1:]) if x.city == y.city)
+    spark.sql("drop table ranged")
+
+
 def test_version_at(spark):
     t = lambda h: dt.datetime(2024, 1, 1, h)
     versions = spark.createDataFrame([("r", "1", t(2), t(12)), ("r", "2", t(12), None), ("gap", "1", t(2), t(3)), ("gap", "2", t(5), None)], "k string, v string, valid_from timestamp, valid_to timestamp")

@@ -89,8 +89,10 @@ def numbered(df: DataFrame, order: list[Column], name: str) -> DataFrame:
 
 def write_table(df: DataFrame, name: str, partitions: Sequence[str], order: Sequence[str]) -> None:
     """df as a table of the catalog, replaced if it exists: partitioned, and sorted within
-    files by the columns that are looked up, so that row groups can be passed over."""
-    rows = df.repartition(*partitions).sortWithinPartitions(*partitions, *order)
+    files by the columns that are looked up, so that files and row groups can be passed over.
+    Tasks have ranges of that order, not whole partitions, of which there may be a few large
+    ones; a range in two partitions is two files."""
+    rows = df.repartitionByRange(*partitions, *order).sortWithinPartitions(*partitions, *order)
     rows.write.mode("overwrite").option("compression", "zstd").partitionBy(*partitions).saveAsTable(name)
 
 
