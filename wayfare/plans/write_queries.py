@@ -14,7 +14,7 @@ from ..sources.lake import scratch, written
 from ..streaming.archive import archive, dedup_stream, to_messages
 from ..streaming.delays import read_judged, watch
 from ..streaming.matcher import arrivals_stream, match_stream
-from ..streaming.ordering import late_counts, match_in_order, write_matched
+from ..streaming.ordering import few_states, late_counts, match_in_order, write_matched
 from .fixtures import POSITIONS, STOPS, positions, stop_lists, stops, table
 from .registry import query
 from .stateful_queries import _MATCH, _VISITS, _matching
@@ -146,7 +146,9 @@ def _in_order(spark: SparkSession, sf_dir: str) -> str:
         sent.where(F.col("batch") == batch).drop("batch").coalesce(1).write.mode("append").parquet(f"{base}/in")
     source = spark.readStream.schema(sent.drop("batch").schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/in")
     found = match_in_order(source, stop_lists(spark, sf_dir), 3 * span_s)
-    write_matched(found, f"{base}/matched", f"{base}/late", f"{base}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    with few_states(spark):
+        stream = write_matched(found, f"{base}/matched", f"{base}/late", f"{base}/checkpoint").trigger(availableNow=True).start()
+    stream.awaitTermination()
     return base
 
 

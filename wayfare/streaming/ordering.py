@@ -9,6 +9,7 @@ changes nothing that was matched, and goes to a table of its own.
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pandas as pd
@@ -29,6 +30,24 @@ _NEVER = -(1 << 62)
 ORDERED = f"{OUT}, lat double, lon double, late boolean"
 
 
+#: State partitions of a stream for each core.
+STATES_A_CORE = 4
+
+
+@contextmanager
+def few_states(spark: SparkSession) -> Iterator[None]:
+    """Streams started in it have STATES_A_CORE state partitions for each core, or as many as the
+    session shuffles to if these are fewer. Each batch starts a task for each of them and commits
+    it, however few rows there are; a stream keeps the number it was first started with."""
+    name = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(min(int(before), STATES_A_CORE * spark.sparkContext.defaultParallelism)))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def match_in_order(observations: DataFrame, stops: DataFrame, delay_s: int, idle_ms: int | None = None) -> DataFrame:
     """The matched rows of a stream of observations (VEHICLE, lat, lon, us), as match_stream gives
     them, with late. A row is late if it is not after the vehicle's horizon, which is its clock
