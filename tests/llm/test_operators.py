@@ -361,6 +361,45 @@ def test_bpe_long_words(spark):
     assert _bpe_ids(spark, texts, 3) == _as_tiktoken(texts)
 
 
+def test_bpe_batches_are_bounded(spark, monkeypatch):
+    """Python gets a bounded number of words at a time, however long the texts of a task are."""
+    books, most = bpe._books, 10_000 * 100
+
+    def checked(batches, *rest):
+        def seen():
+            for batch in batches:
+                n = len(batch.column(batch.num_columns - 1).flatten())
+                if n > most:
+                    raise ValueError(f"{n} words at once")
+                yield batch
+
+        return books(seen(), *rest)
+
+    monkeypatch.setattr(bpe, "_books", checked)
+    df = spark.range(0, 300, 1, 1).selectExpr("id AS doc_id", "concat(id, repeat(' one two three four five', 1000)) AS text")
+    want = {f"{i}": len(ids) for i, ids in enumerate(_as_tiktoken([f"{i}" + " one two three four five" * 1000 for i in range(300)]))}
+    got = {f"{r.doc_id}": r.n_tokens for r in bpe.digest(df, bpe.default_vocabulary()).collect()}
+    assert got == want
+
+
+def test_bpe_texts_in_parts(spark, monkeypatch):
+    """Texts whose parts come in several batches, slices and books, beside columns of any type."""
+    monkeypatch.setattr(bpe, "PART_WORDS", 2)
+    monkeypatch.setattr(bpe, "BOOK_WORDS", 40)
+    monkeypatch.setattr(bpe, "ROWS", 3)
+    texts = [" ".join(["word"] * n) + " end" * (n % 2) for n in [*range(9), 50, 1, 0, 0, 0, 0, 2, 100, 3, 4]] + [None, "", "  "]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    df = df.selectExpr("*", "map(doc_id, text) AS m", "struct(doc_id AS x, array(text) AS y) AS s", "CASE WHEN doc_id % 2 = 0 THEN doc_id END AS e", "NULL AS v")
+    key, default = "spark.sql.execution.arrow.maxRecordsPerBatch", spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set(key, "4")
+    try:
+        got = bpe.encode(df, "text", "ids", bpe.default_vocabulary()).orderBy("doc_id").collect()
+    finally:
+        spark.conf.set(key, default)
+    assert [r.ids for r in got] == _as_tiktoken(texts)
+    assert [(r.text, r.m, r.s.y, r.e, r.v) for r in got] == [(t, {i: t}, [t], i if i % 2 == 0 else None, None) for i, t in enumerate(texts)]
+
+
 def test_bpe_keeps_other_columns(spark):
     rows = [(1, "unfathomable zzzzqqqq zzzzqqqq", "keep", 5), (2, None, None, 6), (3, "x" * 400, "", 7)]
     df = spark.createDataFrame(rows, "doc_id long, text string, words string, places int")

@@ -36,6 +36,9 @@ _SPACE = r"\x09-\x0D\x20\x85\xA0  -     　"
 LONG_WORD = 48
 #: Words after which a book is closed.
 BOOK_WORDS = 2_000_000
+#: Words of a text that one row brings to Python. Arrow batches are cut by rows, so this bounds
+#: them however long the texts are.
+PART_WORDS = 100
 #: Words that one row brings to the fold.
 FOLDED_AT_ONCE = 1000
 SHARDS_PER_PARTITION = 4
@@ -201,6 +204,22 @@ def words_of(text: Column, vocabulary: Vocabulary) -> Column:
     return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(vocabulary.pattern), F.lit(0))
 
 
+def _in_parts(df: DataFrame, text: str, vocabulary: Vocabulary) -> DataFrame:
+    """A row for each PART_WORDS words of a text, and one of a text without words: the other
+    columns as c0, c1, ..., in the first of these rows alone, then the row's number in its text
+    and its words."""
+    rest = [c for c in df.columns if c != text]
+
+    def cut_up(words: Column) -> Column:
+        last = F.greatest(F.ceil(F.size(words) / PART_WORDS), F.lit(1)).cast("int") - 1
+        return F.transform(F.sequence(F.lit(0), last), lambda i: F.slice(words, i * PART_WORDS + 1, F.lit(PART_WORDS)))
+
+    # Bound, the words stay an object of which a slice copies its own part alone.
+    parts = F.posexplode(_bind(words_of(F.col(f"`{text}`"), vocabulary), cut_up)).alias("part", "words")
+    rows = df.select(*[F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(rest)], parts)
+    return rows.select(*[F.when(F.col("part") == 0, F.col(f"c{k}")).alias(f"c{k}") for k in range(len(rest))], "part", "words")
+
+
 def _per_slice(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for at in range(0, batch.num_rows, rows):
@@ -235,40 +254,68 @@ def _text_of(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 class _Book(NamedTuple):
-    """Some of a task's rows one after another. Its distinct words are numbered, pieces first;
+    """Some of a task's texts one after another. Its distinct words are numbered, pieces first;
     name has the book's place, how many words are no pieces, and a checksum of them."""
 
     name: bytes
-    batches: list[pa.RecordBatch]
+    batches: list[pa.RecordBatch]  # other columns of the texts, and how many words each has
     numbers: list[np.ndarray]  # of the words of each batch
     others: pa.Array  # the words that are no pieces
 
 
+def _whole(parts: list[pa.RecordBatch]) -> tuple[pa.RecordBatch, pa.ChunkedArray]:
+    """The texts that parts make up: their other columns and numbers of words, and the words."""
+    width = parts[0].num_columns - 2
+    begins = np.concatenate([np.asarray(p.column(width)) for p in parts]) == 0
+    sizes = np.concatenate([np.asarray(pc.list_value_length(p.column(width + 1))) for p in parts])
+    first, fields = pa.array(begins), parts[0].schema
+    columns = [pa.chunked_array([p.column(k) for p in parts], fields.field(k).type).filter(first).combine_chunks() for k in range(width)]
+    sizes = pa.array(np.add.reduceat(sizes, np.flatnonzero(begins)), pa.int64())
+    return pa.RecordBatch.from_arrays([*columns, sizes], [*fields.names[:width], "sizes"]), pa.chunked_array([p.column(width + 1).flatten() for p in parts], pa.string())
+
+
 def _books(batches: Iterator[pa.RecordBatch], pieces: pa.Array, rows: int, most: int) -> Iterator[_Book]:
-    """The books of a task's batches, whose words are the last column."""
+    """The books of a task's batches, whose last columns are the number of a part in its text
+    and its words. A book ends with the text that brings it over most words; its batches have
+    at most so many rows."""
     partition, number = TaskContext.get().partitionId(), 0
-
-    def closed(held: list[pa.RecordBatch]) -> _Book:
-        words = [b.column(b.num_columns - 1).flatten() for b in held]
-        coded = pa.chunked_array(words, pa.string()).combine_chunks().dictionary_encode()
+    held: list[tuple[pa.RecordBatch, pa.ChunkedArray]] = []
+
+    def closed() -> _Book:
+        """The book of what is held, which is let go."""
+        sizes = [len(words) for _, words in held]
+        own = [batch for batch, _ in held]
+        words = pa.chunked_array([c for _, words in held for c in words.chunks], pa.string())
+        held.clear()
+        words = words.combine_chunks()
+        coded = words.dictionary_encode()
+        del words
         piece = pc.index_in(coded.dictionary, value_set=pieces)
         known = np.asarray(pc.fill_null(piece, -1)).astype(np.int64)
         others = coded.dictionary.filter(pc.is_null(piece))
-        number_of = np.where(known >= 0, known, len(pieces) + np.cumsum(known < 0) - 1)
-        numbers = number_of[np.asarray(coded.indices)] if len(coded) else np.zeros(0, np.int64)
+        number_of = np.where(known >= 0, known, len(pieces) + np.cumsum(known < 0) - 1).astype(np.int32)
+        numbers = number_of[np.asarray(coded.indices)] if len(coded) else np.zeros(0, np.int32)
         check = xxhash.xxh3_64_intdigest(_text_of(others)[0])
-        name = struct.pack(">qqqQ", partition, number, len(others), check)
-        return _Book(name, held, np.split(numbers, np.cumsum([len(w) for w in words])[:-1]), others)
+        return _Book(struct.pack(">qqqQ", partition, number, len(others), check), own, np.split(numbers, np.cumsum(sizes)[:-1]), others)
 
-    held, words = [], 0
-    for batch in _per_slice(batches, rows):
-        held.append(batch)
-        words += len(batch.column(batch.num_columns - 1).flatten())
-        if words > most:
-            yield closed(held)
-            held, words, number = [], 0, number + 1
-    if held:
-        yield closed(held)
+    parts, texts, words = [], 0, 0  # of the slice, its texts, and the words of the book
+    for batch in batches:
+        at, width = 0, batch.num_columns
+        before = np.r_[0, np.cumsum(np.asarray(pc.list_value_length(batch.column(width - 1))))]
+        for begin in np.flatnonzero(np.asarray(batch.column(width - 2)) == 0).tolist():
+            full = words + before[begin] - before[at] > most
+            if full or texts == rows:
+                held.append(_whole([*parts, batch.slice(at, begin - at)]))
+                parts, texts, words, at = [], 0, words + before[begin] - before[at], begin
+            if full:
+                yield closed()
+                words, number = 0, number + 1
+            texts += 1
+        parts.append(batch.slice(at))
+        words += before[-1] - before[at]
+    if parts:
+        held.append(_whole(parts))
+        yield closed()
 
 
 Body = Callable[[pa.RecordBatch, pa.Array, np.ndarray], pa.RecordBatch]
@@ -284,9 +331,8 @@ def _encoded(df: DataFrame, text: str, vocabulary: Vocabulary, body: Body, schem
     compressed arrays of numbers. Books are made anew for that; if they differ then, because
     df gave its rows in another order, the meeting raises."""
     rest = [c for c in df.columns if c != text]
-    names = [f"c{k}" for k in range(len(rest))]  # whatever df's columns are called
     df = rereadable(df)
-    held = df.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(rest, names, strict=True)], words_of(F.col(f"`{text}`"), vocabulary).alias("words"))
+    held = _in_parts(df, text, vocabulary)
     width, size = len(rest), len(vocabulary.pairs)
     single = vocabulary.word_tokens()
     shared = df.sparkSession.sparkContext.broadcast((pa.array(list(single), pa.string()), np.array([i for (i,) in single.values()], np.int32)))
@@ -307,6 +353,7 @@ def _encoded(df: DataFrame, text: str, vocabulary: Vocabulary, body: Body, schem
                 rows.append((s, book.name, _planes(sizes), zipped(pieces_of(data, at[o], sizes).tobytes())))
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int32(), *[pa.binary()] * 3), strict=True)], ["shard", "book", "sizes", "text"])
+        pa.default_memory_pool().release_unused()
 
     def distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """The partition's distinct words, then for each book and shard which of them it asked for."""
@@ -358,8 +405,7 @@ def _encoded(df: DataFrame, text: str, vocabulary: Vocabulary, body: Body, schem
         for book in _books(batches, shared.value[0], ROWS, BOOK_WORDS):
             yield _row(book.name, 1, 0, _planes(shard_of(book)))
             for part, (batch, numbers) in enumerate(zip(book.batches, book.numbers, strict=True)):
-                sizes = pc.fill_null(pc.list_value_length(batch.column(width)), 0)
-                rows = stored(pa.RecordBatch.from_arrays([*batch.columns[:width], sizes], [*names, "sizes"]))
+                rows = stored(batch)
                 yield _row(book.name, 2, part, struct.pack("<q", len(rows)) + rows + _planes(numbers))
         pa.default_memory_pool().release_unused()
 
@@ -384,7 +430,7 @@ def _encoded(df: DataFrame, text: str, vocabulary: Vocabulary, body: Body, schem
                     yield body(pa.RecordBatch.from_arrays(rows.columns[:width], rest), pa.array(out.astype(np.int32)), np.r_[0, np.cumsum(n)][at])
         pa.default_memory_pool().release_unused()
 
-    asked = held.mapInArrow(ask, "shard int, book binary, sizes binary, text binary")
+    asked = held.select("part", "words").mapInArrow(ask, "shard int, book binary, sizes binary, text binary")
     met = asked.repartition(shards, "shard").mapInArrow(distinct, "book binary, shard int, which binary, words array<string>")
     folded = _with_tables(met, vocabulary.literal(df.sparkSession), "folded", lambda t: F.transform("words", lambda w: fold_merges(w, t, size))).drop("words")
     answers, bodies = folded.mapInArrow(answer, BOOK_ROWS), held.mapInArrow(write, BOOK_ROWS)
