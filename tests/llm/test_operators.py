@@ -382,6 +382,25 @@ def test_bpe_batches_are_bounded(spark, monkeypatch):
     assert got == want
 
 
+def test_tidy_worker_gives_memory_back():
+    """What a step has freed is not kept by its worker, though something lies above it."""
+    from pathlib import Path
+
+    def private():
+        return sum(int(line.split()[1]) for line in Path("/proc/self/smaps_rollup").read_text().splitlines() if line.startswith("Pss_Anon")) / 1024
+
+    kept = []
+
+    def step(batches):
+        arrays = [np.ones(10_000) for _ in range(3_000)]
+        kept.append(arrays[-1])
+        yield from batches
+
+    before = private()
+    assert list(common.tidy(step)(iter([1, 2]))) == [1, 2]
+    assert private() - before < 60
+
+
 def test_bpe_texts_in_parts(spark, monkeypatch):
     """Texts whose parts come in several batches, slices and books, beside columns of any type."""
     monkeypatch.setattr(bpe, "PART_WORDS", 2)

@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import by_shard, documents, pieces_of, span_hashes
+from .common import by_shard, documents, pieces_of, span_hashes, tidy
 from .packs import partitions, rereadable, stored, unzipped, zipped
 
 #: White space as the tokenizer's pattern means it (Unicode's White_Space).
@@ -353,7 +353,6 @@ def _encoded(df: DataFrame, text: str, vocabulary: Vocabulary, body: Body, schem
                 rows.append((s, book.name, _planes(sizes), zipped(pieces_of(data, at[o], sizes).tobytes())))
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int32(), *[pa.binary()] * 3), strict=True)], ["shard", "book", "sizes", "text"])
-        pa.default_memory_pool().release_unused()
 
     def distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """The partition's distinct words, then for each book and shard which of them it asked for."""
@@ -377,7 +376,6 @@ def _encoded(df: DataFrame, text: str, vocabulary: Vocabulary, body: Body, schem
             own = which[done : done + len(n)].tobytes()
             yield pa.RecordBatch.from_arrays([pa.array([book], pa.binary()), pa.array([shard], pa.int32()), pa.array([own], pa.binary()), _lists(np.array([0, 0]), none)], names)
             done += len(n)
-        pa.default_memory_pool().release_unused()
 
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """The ids of the words that a book asked a shard for, in their order."""
@@ -398,7 +396,6 @@ def _encoded(df: DataFrame, text: str, vocabulary: Vocabulary, body: Body, schem
                 n = store[0][which]
                 parts = [_planes(n), _planes(pieces_of(store[2], store[1][which], n))]
                 yield _row(book, 0, shard, struct.pack("<q", len(parts[0])) + b"".join(parts))
-        pa.default_memory_pool().release_unused()
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """A book's shards by number, then its rows."""
@@ -407,7 +404,6 @@ def _encoded(df: DataFrame, text: str, vocabulary: Vocabulary, body: Body, schem
             for part, (batch, numbers) in enumerate(zip(book.batches, book.numbers, strict=True)):
                 rows = stored(batch)
                 yield _row(book.name, 2, part, struct.pack("<q", len(rows)) + rows + _planes(numbers))
-        pa.default_memory_pool().release_unused()
 
     def assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         name, answers, known = None, {}, None
@@ -428,14 +424,13 @@ def _encoded(df: DataFrame, text: str, vocabulary: Vocabulary, body: Body, schem
                     n = known[0][numbers]
                     out = pieces_of(known[2], known[1][numbers], n)
                     yield body(pa.RecordBatch.from_arrays(rows.columns[:width], rest), pa.array(out.astype(np.int32)), np.r_[0, np.cumsum(n)][at])
-        pa.default_memory_pool().release_unused()
 
-    asked = held.select("part", "words").mapInArrow(ask, "shard int, book binary, sizes binary, text binary")
-    met = asked.repartition(shards, "shard").mapInArrow(distinct, "book binary, shard int, which binary, words array<string>")
+    asked = held.select("part", "words").mapInArrow(tidy(ask), "shard int, book binary, sizes binary, text binary")
+    met = asked.repartition(shards, "shard").mapInArrow(tidy(distinct), "book binary, shard int, which binary, words array<string>")
     folded = _with_tables(met, vocabulary.literal(df.sparkSession), "folded", lambda t: F.transform("words", lambda w: fold_merges(w, t, size))).drop("words")
-    answers, bodies = folded.mapInArrow(answer, BOOK_ROWS), held.mapInArrow(write, BOOK_ROWS)
+    answers, bodies = folded.mapInArrow(tidy(answer), BOOK_ROWS), held.mapInArrow(tidy(write), BOOK_ROWS)
     ordered = bodies.union(answers).repartition(shards, "book").sortWithinPartitions("book", "kind", "part")
-    return ordered.mapInArrow(assemble, schema)
+    return ordered.mapInArrow(tidy(assemble), schema)
 
 
 #: What meets of a book: answers of shards (kind 0), the shards of its words (1), its rows (2).
@@ -501,7 +496,7 @@ def decode(df: DataFrame, ids: str, out: str, vocabulary: Vocabulary) -> DataFra
         for batch in _per_slice(batches, ROWS):
             yield pa.RecordBatch.from_arrays([*batch.columns, _decoded(*_flat(batch.column(at)), pieces)], names)
 
-    return kept.mapInArrow(join, kept.withColumn(out, F.lit(b"")).schema)
+    return kept.mapInArrow(tidy(join), kept.withColumn(out, F.lit(b"")).schema)
 
 
 def default_vocabulary() -> Vocabulary:

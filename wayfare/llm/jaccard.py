@@ -28,7 +28,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import NULL_ID, Texts, cut, documents, gram_hashes, joined_apart, mix64, span_hashes, word_spans
+from .common import NULL_ID, Texts, cut, documents, gram_hashes, joined_apart, mix64, span_hashes, tidy, word_spans
 from .components import connected_components
 from .packs import Pack, meet, rereadable
 from .sketch import Estimates, estimates, ranges_of
@@ -174,7 +174,7 @@ def _small_links(small: DataFrame, num: int, den: int) -> DataFrame:
             signed = [np.array(v, np.uint64).view(np.int64) for v in (x, y)]
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()), *map(pa.array, signed), pa.array(i, pa.int64()), pa.array(s, pa.int64())], ["c", "x", "y", "id", "size"])
 
-    rows = small.select("id", "size", "held").mapInArrow(enumerate_all, "c long, x long, y long, id long, size long")
+    rows = small.select("id", "size", "held").mapInArrow(tidy(enumerate_all), "c long, x long, y long, id long, size long")
     groups = cut(rows.groupBy("c", "x", "y").agg(F.min(F.struct("size", "id")).alias("least"), F.count("*").alias("n")).filter("n > 1"))
     alike = F.col("c") * den >= (F.col("size") + F.col("least.size") - F.col("c")) * num
     return rows.join(groups, ["c", "x", "y"]).filter(alike & (F.col("id") != F.col("least.id"))).select(F.col("id").alias("a"), F.col("least.id").alias("b"))
@@ -201,7 +201,7 @@ def _verified(pairs: DataFrame, held: DataFrame, num: int, den: int) -> DataFram
     dealt = pairs.join(places, "b").withColumn("place", F.pmod(F.xxhash64("a"), "places").cast("int")).select("a", "b", "place")
     one = held.toDF("a", "x")
     two = held.toDF("b", "y").join(places, "b").select("b", "y", F.explode(F.sequence(F.lit(0), F.col("places") - 1)).alias("place"))
-    return dealt.join(one, "a").join(two, ["b", "place"]).select("a", "b", "x", "y").mapInArrow(compare, "a long, b long")
+    return dealt.join(one, "a").join(two, ["b", "place"]).select("a", "b", "x", "y").mapInArrow(tidy(compare), "a long, b long")
 
 
 def _from_centres(rows: DataFrame, centres: DataFrame) -> DataFrame:
@@ -224,7 +224,7 @@ def _from_centres(rows: DataFrame, centres: DataFrame) -> DataFrame:
     dealt = rows.join(few, F.col("cluster") == F.col("_c")).withColumn("place", F.pmod(F.xxhash64("id"), "places").cast("int"))
     spread = centres.select("cluster", "centre", F.explode(F.sequence(F.lit(0), F.col("places") - 1)).alias("place"))
     met = dealt.join(spread, ["cluster", "place"]).select("cluster", "id", "size", "component", "held", "centre")
-    return met.mapInArrow(differ, "cluster long, id long, size long, component long, added array<long>, missing array<long>")
+    return met.mapInArrow(tidy(differ), "cluster long, id long, size long, component long, added array<long>, missing array<long>")
 
 
 def _block_links(rows: DataFrame, num: int, den: int) -> DataFrame:

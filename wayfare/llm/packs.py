@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Texts, cut, slices
+from .common import Texts, cut, slices, tidy
 
 #: Partitions of a meeting, for each partition of the table.
 MEETINGS_PER_PARTITION = 2
@@ -106,9 +106,8 @@ def meet(df: DataFrame, found: DataFrame, task: Task, schema, max_bytes: int, al
                 else:
                     parts.append(data.as_py())
         yield from done()
-        pa.default_memory_pool().release_unused()
 
-    bodies = df.mapInArrow(store, "pack binary, kind int, data binary")
+    bodies = df.mapInArrow(tidy(store), "pack binary, kind int, data binary")
     both = bodies.union(found.select("pack", F.lit(1).alias("kind"), "data"))
     ordered = both.repartition(partitions(df, MEETINGS_PER_PARTITION, 1), "pack").sortWithinPartitions("pack", "kind")
-    return ordered.mapInArrow(gather, schema)
+    return ordered.mapInArrow(tidy(gather), schema)

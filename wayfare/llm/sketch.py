@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import Texts, mix64
+from .common import Texts, mix64, tidy
 from .packs import packs, partitions
 
 #: Cells of a range for each of its keys, at least; and the rows of a sketch.
@@ -94,9 +94,8 @@ def estimates(df: DataFrame, keys_of: Callable[[Texts], np.ndarray], max_bytes:
         for k in range(0, len(names), 1000):
             data = [struct.pack("<i", r) + np.packbits(n > 1).tobytes() + np.packbits(n >= HEAVY).tobytes() for r, n in zip(of[k : k + 1000], found[k : k + 1000], strict=True)]
             yield pa.RecordBatch.from_arrays([pa.array(names[k : k + 1000], pa.binary()), pa.array(data, pa.binary())], ["pack", "data"])
-        pa.default_memory_pool().release_unused()
 
-    return df.mapInArrow(sketch, "range int, pack binary, cells binary, hits binary").repartition(ranges, "range").mapInArrow(merge, "pack binary, data binary")
+    return df.mapInArrow(tidy(sketch), "range int, pack binary, cells binary, hits binary").repartition(ranges, "range").mapInArrow(tidy(merge), "pack binary, data binary")
 
 
 class Estimates:

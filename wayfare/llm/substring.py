@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Texts, by_shard, documents, equal_words, gram_hashes, mix64, sliding_min, span_hashes, word_spans
+from .common import Texts, by_shard, documents, equal_words, gram_hashes, mix64, sliding_min, span_hashes, tidy, word_spans
 from .packs import Pack, meet, partitions, rereadable, unzipped, zipped
 from .sketch import Estimates, estimates, ranges_of
 
@@ -174,11 +174,10 @@ def grouped(sent: DataFrame, shards: int, group: Callable[[Stretches], Iterator[
             met = Stretches(rows)
             rows.clear()
             yield from group(met)
-        pa.default_memory_pool().release_unused()
 
     # What a pack has settled by itself has no group to meet.
     spread = F.when(F.col("shard") < 0, F.xxhash64("pack")).otherwise(F.col("shard"))
-    return sent.repartition(shards, spread).mapInArrow(gather, "pack binary, data binary")
+    return sent.repartition(shards, spread).mapInArrow(tidy(gather), "pack binary, data binary")
 
 
 def repeated_runs(df: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Texts, documents, mix64, slices, span_hashes, word_spans
+from .common import Texts, documents, mix64, slices, span_hashes, tidy, word_spans
 
 #: Bound on the labelled documents that the chain is trained on, half of them toxic: those
 #: of smallest hash. Features are counted over all labelled documents of the training fold.
@@ -199,9 +199,8 @@ def _presence(rows: DataFrame, among: np.ndarray | None) -> DataFrame:
             once = np.r_[True, (flat[1:] != flat[:-1]) | (doc[1:] != doc[:-1])] if len(flat) else np.zeros(0, bool)
             keys, n = np.unique(flat[once], return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(n.astype(np.int64))], ["feature", "n"])
-        pa.default_memory_pool().release_unused()
 
-    return rows.select("doc_id", "text").mapInArrow(count, "feature long, n long").groupBy("feature").agg(F.sum("n").alias("n"))
+    return rows.select("doc_id", "text").mapInArrow(tidy(count), "feature long, n long").groupBy("feature").agg(F.sum("n").alias("n"))
 
 
 def train(labelled: DataFrame, docs_at_most: int = TRAIN_DOCS, steps: int = 40) -> Chain:
@@ -297,9 +296,8 @@ def score(df: DataFrame, chain: Chain, spans: bool = False, threshold: float = 0
                 offsets = np.searchsorted(owner, np.arange(len(texts.ids) + 1)).astype(np.int32)
                 columns, names = [*columns, pa.ListArray.from_arrays(pa.array(offsets), values)], [*names, "toxic_spans"]
             yield pa.RecordBatch.from_arrays(columns, names)
-        pa.default_memory_pool().release_unused()
 
-    return ordered.mapInArrow(run, schema)
+    return ordered.mapInArrow(tidy(run), schema)
 
 
 def held_out(doc_id: str = "doc_id") -> Column:
