@@ -149,6 +149,29 @@ def test_jaccard_of_near_copies(spark):
         assert {r.doc_id: r.component_id for r in got} == brute_components(sets, num, den)
 
 
+@pytest.mark.parametrize("star", [2, 64])
+def test_lists_shared_by_chance_make_no_cluster(spark, monkeypatch, star):
+    """Texts of one of 12 beginnings and one of 12 ends: all lists hang together, no two texts are
+    alike but near copies, which long and short lists find."""
+    clusters = []
+    from_centres = jaccard._from_centres
+
+    def counted(rows, centres):
+        clusters.append(rows.count())
+        return from_centres(rows, centres)
+
+    monkeypatch.setattr(jaccard, "_from_centres", counted)
+    monkeypatch.setattr(jaccard, "STAR", star)
+    part = lambda name, k: " ".join(f"{name}{k}w{j}" for j in range(30))
+    texts = [f"{part('a', i)} {part('b', j)}" for i in range(12) for j in range(12)]
+    texts += [t.replace("w29 ", f"x{k} ", 1) for k, t in enumerate(texts[::9])]
+    sets = {i: {tuple(t.split()[k : k + 3]) for k in range(len(t.split()) - 2)} for i, t in enumerate(texts)}
+    got = jaccard.components(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), 3, 90, 100).collect()
+    want = brute_components(sets, 90, 100)
+    assert {r.doc_id: r.component_id for r in got} == want and len(set(want.values())) < len(texts)
+    assert bool(clusters) == (star == 2)
+
+
 def test_boundary_follows_cost():
     sizes = lambda count, entries: {s: (count, entries) for s in range(1, 41)}
     dear, cheap = 10**9, 0

@@ -10,8 +10,8 @@ bounded, so what is enumerated grows with the sets and not with the lengths of l
 The order has tokens first that a sketch says occur in one document: those cannot be
 shared and need no list. Others come by the number of sets that have them. Each set is compared
 with the most central of those that head its lists; lists that this leaves in more than
-one component are compared in full, block by block, by their differences from a central set.
-So every pair of a list is linked, compared, or connected already, and a group of copies of
+one component are compared in full: short ones pair by pair, long ones block by block, by their
+differences from a central set. So every pair of a list is linked, compared, or connected already, and a group of copies of
 one text needs about as many comparisons as it has members.
 """
 
@@ -43,8 +43,11 @@ ENTRY_COST = 4
 ENTRIES_AT_MOST = 16
 #: Sets that meet as many others at once where all of a cluster are compared.
 BLOCK = 256
-#: Pairs with one set on one side that meet in one place.
+#: Pairs with one set on one side that meet in one place, and sets of a list that is compared pair
+#: by pair: it makes at most half as many pairs a set.
 STAR = 64
+#: Buckets in which hashes of two sets are counted before the sets themselves are compared.
+BUCKETS = 128
 _SECOND = np.uint64(0x6A09E667F3BCC909)
 
 
@@ -298,15 +301,45 @@ def _listed(rows: DataFrame, lengths: DataFrame, num: int, den: int) -> DataFram
     return rows.join(lengths, "token").withColumn("rank", rank).filter("rank <= need and n > 1").select("token", "id", "size", "n")
 
 
+def _short_pairs(rows: DataFrame, num: int, den: int) -> DataFrame:
+    """The pairs (a, b), a < b, of sets of different components and like sizes that share a list
+    of rows (token, id, size, component); each once."""
+    one = rows.select("token", F.col("id").alias("a"), F.col("size").alias("a_size"), F.col("component").alias("a_component"))
+    two = rows.select("token", F.col("id").alias("b"), F.col("size").alias("b_size"), F.col("component").alias("b_component"))
+    apart = (F.col("a") < F.col("b")) & (F.col("a_component") != F.col("b_component")) & _compatible("a_size", "b_size", num, den)
+    return one.join(two.withColumnRenamed("token", "_token"), (F.col("token") == F.col("_token")) & apart).select("a", "b").distinct()
+
+
+def _may_be_alike(pairs: DataFrame, held: DataFrame, num: int, den: int) -> DataFrame:
+    """pairs (a, b) without those of which the numbers of hashes in each of BUCKETS buckets say that
+    their sets (id, held) share too few. What is left is compared itself."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            counts = [np.bincount(np.frombuffer(v.as_buffer(), np.uint64) & np.uint64(BUCKETS - 1), minlength=BUCKETS).astype(np.uint32).tobytes() for v in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts, pa.binary())], ["id", "counts"])
+
+    def bound(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x, y = (np.frombuffer(b"".join(batch.column(k).to_pylist()), np.uint32).reshape(-1, BUCKETS) for k in (2, 3))
+            both, sizes = np.minimum(x, y).sum(axis=1, dtype=np.int64), (x.sum(axis=1, dtype=np.int64) + y.sum(axis=1, dtype=np.int64))
+            yield batch.select(["a", "b"]).filter(pa.array(both * den >= (sizes - both) * num))
+
+    asked = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
+    counts = cut(held.join(asked, "id", "left_semi").mapInArrow(tidy(count), "id long, counts binary"))
+    return pairs.join(counts.toDF("a", "x"), "a").join(counts.toDF("b", "y"), "b").select("a", "b", "x", "y").mapInArrow(tidy(bound), "a long, b long")
+
+
 def _list_links(listed: DataFrame, known: DataFrame, held: DataFrame, num: int, den: int) -> DataFrame:
     """All links (a, b) needed for the components of the sets in lists (token, id, size, n),
     given links known already; these are included.
 
     A set is first compared with one other: of those that head its lists the most central,
     whose lists are the longest. What a group of copies was made from is in more lists than
-    any copy, so most of the group is joined by one comparison each. Lists that are still in
-    several components put their members into clusters, in which all are compared by how they
-    differ from one of them."""
+    any copy, so most of the group is joined by one comparison each. Of lists that are still in
+    several components, those of up to STAR sets give their pairs, so sets that have a token in
+    common by chance make pairs and no chain of lists. Longer ones put their members into
+    clusters, in which all are compared by how they differ from one of them."""
     weight = listed.groupBy("id").agg(F.sum("n").alias("weight"))
     members = cut(listed.join(weight, "id").select("token", "id", "size", "weight"))
     heads = members.groupBy("token").agg(F.max(F.struct("weight", "id", "size")).alias("head"))
@@ -315,14 +348,19 @@ def _list_links(listed: DataFrame, known: DataFrame, held: DataFrame, num: int,
     pairs = cut(best.select(F.col("id").alias("a"), F.col("head.id").alias("b")))
     links = cut(_verified(pairs, held, num, den).union(known))
     named = cut(members.join(connected_components(links).toDF("id", "component"), "id", "left").withColumn("component", F.coalesce("component", "id")))
-    torn = named.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high").select("token", F.col("low").alias("first"))
-    left = cut(joined_apart(named, torn, "token"))
-    # Lists that share a component are one cluster, and all of their members are in it.
-    clusters = connected_components(left.select(F.col("component").alias("a"), F.col("first").alias("b"))).toDF("component", "cluster")
-    inside = cut(left.select("id", "size", "weight", "component").distinct().join(clusters, "component"))
+    ends = named.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("members"))
+    left = cut(joined_apart(named, ends.filter("low < high").select("token", "members", F.col("low").alias("first")), "token"))
+    short, long = left.filter(F.col("members") <= STAR), left.filter(F.col("members") > STAR)
+    torn = cut(held.join(left.select("id").distinct(), "id", "left_semi"))
+    links = links.union(_verified(cut(_may_be_alike(cut(_short_pairs(short, num, den)), torn, num, den)), torn, num, den))
+    if long.isEmpty():
+        return links
+    # Long lists that share a component are one cluster, and all of their members are in it.
+    clusters = connected_components(long.select(F.col("component").alias("a"), F.col("first").alias("b"))).toDF("component", "cluster")
+    inside = cut(long.select("id", "size", "weight", "component").distinct().join(clusters, "component"))
     found = cut(inside.groupBy("cluster").agg(F.max(F.struct("weight", "id")).alias("most"), F.count("*").alias("n")))
-    central = found.select("cluster", F.col("most.id").alias("id"), F.ceil(F.col("n") / STAR).cast("int").alias("places")).join(held, "id")
-    sets = inside.join(held, "id").select("cluster", "id", "size", "component", "held")
+    central = found.select("cluster", F.col("most.id").alias("id"), F.ceil(F.col("n") / STAR).cast("int").alias("places")).join(torn, "id")
+    sets = inside.join(torn, "id").select("cluster", "id", "size", "component", "held")
     differing = cut(_from_centres(sets, central.select("cluster", F.col("held").alias("centre"), "places")))
     ready = cut(_may_link(differing, num, den))
     counts = ready.groupBy("cluster").agg(F.count("*").alias("n")).filter("n > 1")
