@@ -8,7 +8,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from wayfare.llm import bpe, common, components, fingerprints, jaccard, mixing, sharding, sketch, substring, suffixes, tiff, toxicity, wordpiece
+from wayfare.llm import bpe, common, components, fingerprints, jaccard, mixing, packs, sharding, sketch, substring, suffixes, tiff, toxicity, wordpiece
 from wayfare.llm.common import Texts, byte_grams, cut, gram_hashes, sliding_min, span_hashes, two_smallest
 from wayfare.llm.packs import meet
 
@@ -40,6 +40,46 @@ def starts_found(df, found):
     return {(r.id, k) for r in rows for k in range(r["first"], r["last"] + 1)}
 
 
+def test_shards_follow_bytes_not_partitions(spark, tmp_path, monkeypatch):
+    """A table read as one partition is dealt to as many tasks as its bytes ask for."""
+    spark.range(20_000).selectExpr("id AS doc_id", "sha2(string(id), 256) AS text").coalesce(1).write.parquet(str(tmp_path / "one"))
+    df = spark.read.parquet(str(tmp_path / "one"))
+    monkeypatch.setattr("wayfare.llm.packs.PARTITION_BYTES", 1 << 16)
+    assert df.rdd.getNumPartitions() == 1
+    assert packs.partitions(df, 2, 1) >= 2 * 10
+
+
+@pytest.mark.parametrize("heavy,at_most", [(1000, 1), (5, 1), (5, 1 << 19)])
+def test_word_windows_in_parts(spark, monkeypatch, heavy, at_most):
+    """The same runs however many windows meet at once and whether an anchor is split."""
+    monkeypatch.setattr("wayfare.llm.sketch.HEAVY", heavy)
+    monkeypatch.setattr(substring, "GROUP_WINDOWS", at_most)
+    monkeypatch.setattr(substring, "PACK_BYTES", 2000)
+    monkeypatch.setattr(suffixes, "PACK_BYTES", 2000)  # of starts_found
+    line = " ".join(f"line{k}" for k in range(12))
+    texts = [f"{' '.join(f'a{i % 30}x{k}' for k in range(12))} {line} {' '.join(f'b{i % 20}x{k}' for k in range(12))}" for i in range(60)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3).cache()
+    got, seen, want = starts_found(df, substring.repeated_runs(df)), set(), set()
+    for i, t in enumerate(texts):
+        words = t.split()
+        for k in range(len(words) - 19):
+            w = tuple(words[k : k + 20])
+            if w in seen:
+                want.add((i, k))
+            seen.add(w)
+    assert got == want and want
+
+
+def test_parts_are_bounded():
+    rng = np.random.default_rng(2)
+    labels, counts = rng.integers(0, 40, 300).astype(np.uint32), rng.integers(1, 20, 300).astype(np.int32)
+    row = (b"p", np.zeros(300, np.int32).tobytes(), np.zeros(300, np.int64).tobytes(), np.zeros(300, np.int64).tobytes(), counts.tobytes(), labels.tobytes(), np.zeros(300, np.int32).tobytes(), substring.zipped(b""))
+    parts = list(substring.Stretches([row]).parts(200))
+    assert sorted(np.concatenate(parts).tolist()) == list(range(300)) and len(parts) > 5
+    assert all(counts[o].sum() <= 200 or len(set(labels[o])) == 1 for o in parts)
+    assert sum(len(set(labels[o])) for o in parts) == len(set(labels))
+
+
 @pytest.mark.parametrize("heavy,pack", [(5, 1 << 20), (5, 2000), (1000, 700)])
 def test_heavy_anchors_are_split(spark, monkeypatch, heavy, pack):
     monkeypatch.setattr("wayfare.llm.sketch.HEAVY", heavy)

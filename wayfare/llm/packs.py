@@ -27,6 +27,8 @@ from .common import Texts, cut, slices, tidy
 
 #: Partitions of a meeting, for each partition of the table.
 MEETINGS_PER_PARTITION = 2
+#: A table counts as having a partition for each so many bytes of its files at least.
+PARTITION_BYTES = 16 << 20
 
 
 def rereadable(df: DataFrame) -> DataFrame:
@@ -51,8 +53,13 @@ def packs(batches: Iterator[pa.RecordBatch], max_bytes: int) -> Iterator[Pack]:
 
 
 def partitions(df: DataFrame, factor: int, least: int) -> int:
-    """So many for each partition that df is read in, and at least so many."""
-    return max(least, factor * df.rdd.getNumPartitions())
+    """So many for each partition that df is read in, or for each PARTITION_BYTES of the files it is
+    made of if those are more, and at least so many: what a task holds doesn't grow with the
+    partitions that the session reads."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(leaves.apply(k).stats().sizeInBytes()) for k in range(leaves.size())]
+    files = sum(size for size in sizes if size < 1 << 60)  # above that: not known
+    return max(least, factor * max(df.rdd.getNumPartitions(), -(-files // PARTITION_BYTES)))
 
 
 def stored(batch: pa.RecordBatch) -> bytes:

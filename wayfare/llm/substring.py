@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Texts, by_shard, documents, equal_words, gram_hashes, mix64, sliding_min, span_hashes, tidy, word_spans
+from .common import Texts, by_shard, documents, equal_words, gram_hashes, joined, mix64, sliding_min, span_hashes, stretches_of, tidy, two_smallest, word_spans
 from .packs import Pack, meet, partitions, rereadable, unzipped, zipped
 from .sketch import Estimates, estimates, ranges_of
 
@@ -27,6 +27,8 @@ GRAM = 8
 PACK_BYTES = 2 << 20
 #: Shards that the second pass groups windows in, for each partition of the input.
 SHARDS_PER_PARTITION = 2
+#: Windows that a shard compares at once, or those of one label where it alone has more.
+GROUP_WINDOWS = 1 << 19
 
 
 class _Windows:
@@ -150,6 +152,20 @@ class Stretches:
                 column.append(values)
         self.places, self.ids, self.at, self.counts, self.labels, self.sizes, self.text = (np.concatenate(c) for c in columns)
 
+    def parts(self, at_most: int) -> Iterator[np.ndarray]:
+        """The numbers of the stretches in parts of at most so many windows. Stretches of one label
+        are in one part, which may have more."""
+        order = np.argsort(self.labels, kind="stable")
+        label, total = self.labels[order], np.cumsum(self.counts[order], dtype=np.int64)
+        ends = np.flatnonzero(np.r_[label[1:] != label[:-1], True]) + 1 if len(order) else order  # of labels
+        a = 0
+        while a < len(order):
+            done = total[a - 1] if a else 0
+            fit = ends[(ends > a) & (total[ends - 1] - done <= at_most)]
+            b = int(fit[-1]) if len(fit) else int(ends[ends > a][0])
+            yield order[a:b]
+            a = b
+
     def found(self, places: np.ndarray, first: np.ndarray, last: np.ndarray) -> Iterator[pa.RecordBatch]:
         """Runs as rows (pack, data)."""
         pack = places >> 32
@@ -186,9 +202,10 @@ def repeated_runs(df: DataFrame, window: int = WINDOW, gram: int = GRAM) -> Data
     documents; null texts have none.
 
     Windows whose anchor is estimated repeated travel, as the words of the stretch that holds
-    a run of them, to a shard of their anchor: equal windows meet in one. Those that repeat
+    a run of them, to a shard of their anchor: equal windows meet in one. Windows of a very
+    frequent anchor are told apart by their next smallest gram too. Those that repeat
     within a pack go on once, so that a frequent passage is met at most once from each pack.
-    Words are numbered by their bytes and windows compared number by number."""
+    A shard compares its windows in parts of GROUP_WINDOWS. Words are numbered by their bytes and windows compared number by number."""
     rows, ranges, shards = df.select(*df.columns[:2]), ranges_of(df), partitions(df, SHARDS_PER_PARTITION, 12)
 
     def groups_of(words: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -201,17 +218,18 @@ def repeated_runs(df: DataFrame, window: int = WINDOW, gram: int = GRAM) -> Data
             return
         # An anchor is looked up once for its run of windows.
         change = np.r_[True, w.anchors[1:] != w.anchors[:-1]]
-        again, _ = Estimates(w.keys(), data, ranges).of(w.anchors[change])
-        at = w.at[again[np.cumsum(change) - 1]]
+        again, often = (x[np.cumsum(change) - 1] for x in Estimates(w.keys(), data, ranges).of(w.anchors[change]))
+        at, keys, often = w.at[again], w.anchors[again], often[again]
         if not len(at):
             return
+        if often.any():
+            keys[often] = joined(*[x[at[often]] for x in two_smallest(w.grams, w.span)])
         _, words = equal_words(pack.texts.data, w.starts, w.ends)
         doc = w.doc[at]
         late = earliest(groups_of(words, at), pack.texts.ids[doc], doc, at)
         settled = runs(doc[late], at[late] - w.first[doc[late]])
-        at, doc = at[~late], doc[~late]
-        anchors = w.all[at]
-        new = np.flatnonzero(np.r_[True, (at[1:] != at[:-1] + 1) | (anchors[1:] != anchors[:-1]) | (doc[1:] != doc[:-1])]) if len(at) else at
+        at, doc, keys = at[~late], doc[~late], keys[~late]
+        new = np.flatnonzero(np.r_[True, (at[1:] != at[:-1] + 1) | (keys[1:] != keys[:-1]) | (doc[1:] != doc[:-1])]) if len(at) else at
         begin, counts = at[new], np.diff(np.r_[new, len(at)])
         raw = pack.texts.data.tobytes()
 
@@ -219,17 +237,19 @@ def repeated_runs(df: DataFrame, window: int = WINDOW, gram: int = GRAM) -> Data
             parts = [raw[w.starts[a] : w.ends[a + n + window - 2]] for a, n in zip(begin[chosen].tolist(), counts[chosen].tolist(), strict=True)]
             return b"".join(parts), np.array([len(p) for p in parts], np.int64)
 
-        yield from stretches(pack, shards, anchors[new], doc[new], begin - w.first[doc[new]], counts, text, settled)
+        yield from stretches(pack, shards, keys[new], doc[new], begin - w.first[doc[new]], counts, text, settled)
 
     def group(met: Stretches) -> Iterator[pa.RecordBatch]:
-        edges = np.r_[0, np.cumsum(met.sizes)]
-        starts, ends, first = word_spans(Texts(met.places, met.text, edges))
-        _, words = equal_words(met.text, starts, ends)
-        stretch = np.repeat(np.arange(len(met.counts)), met.counts)
-        inside = np.arange(len(stretch)) - (np.cumsum(met.counts) - met.counts)[stretch]
-        place, start = met.places[stretch], met.at[stretch] + inside
-        late = earliest(groups_of(words, first[stretch] + inside), met.ids[stretch], place, start)
-        yield from met.found(*runs(place[late], start[late]))
+        begins, raw = np.cumsum(met.sizes) - met.sizes, met.text.tobytes()
+        for o in met.parts(GROUP_WINDOWS):
+            text, counts = np.frombuffer(stretches_of(raw, begins[o], met.sizes[o]), np.uint8), met.counts[o]
+            starts, ends, first = word_spans(Texts(met.places[o], text, np.r_[0, np.cumsum(met.sizes[o])]))
+            _, words = equal_words(text, starts, ends)
+            stretch = np.repeat(np.arange(len(counts)), counts)
+            inside = np.arange(len(stretch)) - (np.cumsum(counts) - counts)[stretch]
+            place, start = met.places[o][stretch], met.at[o][stretch] + inside
+            late = earliest(groups_of(words, first[stretch] + inside), met.ids[o][stretch], place, start)
+            yield from met.found(*runs(place[late], start[late]))
 
     marked = estimates(rows, lambda texts: _Windows(texts, window, gram).keys(), PACK_BYTES)
     return grouped(meet(rows, marked, find, STRETCHES, PACK_BYTES, all_found=True), shards, group)

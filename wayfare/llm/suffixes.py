@@ -194,18 +194,10 @@ def repeated_runs(df: DataFrame, length: int = LENGTH, gram: int = GRAM) -> Data
 
     def sort(met: Stretches) -> Iterator[pa.RecordBatch]:
         begins = np.cumsum(met.sizes) - met.sizes
-        order = np.argsort(met.labels, kind="stable")
-        label, total = met.labels[order], np.cumsum(met.counts[order], dtype=np.int64)
-        ends = np.flatnonzero(np.r_[label[1:] != label[:-1], True]) + 1  # of labels
-        a, raw = 0, met.text.tobytes()
-        while a < len(order):
-            done = total[a - 1] if a else 0
-            fit = ends[(ends > a) & (total[ends - 1] - done <= ARRAY_WINDOWS)]
-            b = int(fit[-1]) if len(fit) else int(ends[ends > a][0])
-            o = order[a:b]
+        raw = met.text.tobytes()
+        for o in met.parts(ARRAY_WINDOWS):
             text = np.frombuffer(stretches_of(raw, begins[o], met.sizes[o]), np.uint8)
             yield from met.found(*_repeats(text, met.sizes[o], met.counts[o], met.ids[o], met.places[o], met.at[o], length))
-            a = b
 
     marked = estimates(rows, lambda texts: _Windows(texts, length, gram).keys(), PACK_BYTES)
     return grouped(meet(rows, marked, find, STRETCHES, PACK_BYTES, all_found=True), shards, sort)
